@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_DATE_ARRAY = r"^\[(\d{4}),(\d+),(\d+),(\d+),(\d+),(\d+),(\d+)(?:,0)*$"
 _ISO_LOCAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 
 
@@ -41,20 +42,12 @@ def from_instant(moment) -> Column:
 def read_datetime(text) -> Column:
     """Read ``2024-01-15T10:30:00`` or ``[2024,1,15,10,30]`` (trailing zero fields left out)."""
     raw = F.trim(_col(text))
-    fields = F.from_json(raw, "array<int>")
-
-    def part(index: int) -> Column:
-        return F.get(fields, F.lit(index))
-
-    nanos = F.coalesce(part(6), F.lit(0))
-    micros = (nanos - F.pmod(nanos, F.lit(1000))) / F.lit(1000)
-    seconds = F.coalesce(part(5), F.lit(0)) + micros / F.lit(1_000_000)
-    from_array = F.try_make_timestamp_ntz(
-        part(0), part(1), part(2), part(3), part(4), seconds.cast("decimal(16,6)")
-    )
-    return F.when(raw.startswith("["), from_array).when(
-        raw.rlike(_ISO_LOCAL), raw.try_cast("timestamp_ntz")
-    )
+    # padded to seven fields at least, then rewritten as one text to cast
+    fields = F.concat(F.rtrim(F.translate(raw, " ", ""), F.lit("]")), F.lit(",0,0"))
+    second = F.regexp_replace(fields, _DATE_ARRAY, "$1-$2-$3 $4:$5:$6.")
+    micros = F.substring(F.lpad(F.regexp_extract(fields, _DATE_ARRAY, 7), 9, "0"), 1, 6)
+    readable = F.when(raw.startswith("["), F.concat(second, micros)).when(raw.rlike(_ISO_LOCAL), raw)
+    return readable.try_cast("timestamp_ntz")
 
 
 def iso_datetime(moment) -> Column:

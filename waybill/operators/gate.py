@@ -21,7 +21,9 @@ def known_shipments(created: DataFrame, arrival: list[str] = ("created_at",)) ->
     )
 
 
-def _timeline(requests: DataFrame, created: DataFrame, order: list[str]) -> DataFrame:
+def _timeline(
+    requests: DataFrame, created: DataFrame, order: list[str]
+) -> tuple[DataFrame, list[str]]:
     """Creates and scan requests as one stream per shipment; at the same moment
     the create comes first."""
     creates = created.select(
@@ -49,18 +51,16 @@ def scan_results(
     before the scan.  Adds ``success``, ``error_message`` and ``destination``.
     """
     both, full_order = _timeline(requests, created, order)
-    timeline = OrderedKeys(both, "shipment_id", full_order, chunk or [F.col("at")], hot or HotKeys(), keys)
+    timeline = OrderedKeys.of(both, "shipment_id", full_order, chunk or [F.col("at")], hot, keys)
     answered = timeline.with_running(Running("known", "last", F.col("create"))).result().filter("kind = 1")
     not_found = F.concat(F.lit("Shipment with ID "), F.col("shipment_id"), F.lit(" not found."))
-    return (
-        answered.withColumn(
-            "error_message",
-            F.coalesce(scan_error(), F.when(F.col("known").isNull(), not_found)),
-        )
-        .withColumn("success", F.col("error_message").isNull())
-        .withColumn("invalid", scan_error().isNotNull())
-        .withColumn("destination", F.col("known.destination"))
-        .drop("at", "kind", "create", "known")
+    error = F.coalesce(scan_error(), F.when(F.col("known").isNull(), not_found))
+    return answered.select(
+        *requests.columns,
+        F.col("known.destination").alias("destination"),
+        error.isNull().alias("success"),
+        error.alias("error_message"),
+        scan_error().isNotNull().alias("invalid"),
     )
 
 

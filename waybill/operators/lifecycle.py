@@ -42,10 +42,10 @@ def replay(
 
     ``order`` is the total order of arrival within a shipment and ``chunk`` how
     to cut an overfull shipment (see OrderedKeys).  Adds ``seq``, ``created_at``,
-    ``delivered`` (this scan delivers), ``delivered_at`` and ``status``; the
-    event's own destination gives way to the shipment's.
+    ``delivered`` (this scan delivers), ``delivered_at`` and ``status``;
+    ``destination`` is the shipment's, ``scan_destination`` the event's own.
     """
-    ordered = OrderedKeys(usable_scans(scans), "shipment_id", order, chunk, hot or HotKeys(), keys)
+    ordered = OrderedKeys.of(usable_scans(scans), "shipment_id", order, chunk, hot, keys)
     known = ordered.with_running(
         Running("seq", "count"),
         Running("first_scan", "first", F.struct("destination", "scanned_at")),
@@ -56,13 +56,15 @@ def replay(
         # wrapped: a delivering scan without a time still sets the field
         Running("delivery", "last", F.when(delivers, F.struct("scanned_at"))),
     ).result()
-    return (
-        rows.withColumn("destination", F.col("first_scan.destination"))
-        .withColumn("created_at", F.col("first_scan.scanned_at"))
-        .withColumn("delivered", at_destination())
-        .withColumn("delivered_at", F.col("delivery.scanned_at"))
-        .withColumn("status", F.when(F.col("was_delivered"), S.DELIVERED).otherwise(S.IN_TRANSIT))
-        .drop("first_scan", "delivery", "was_delivered")
+    return rows.select(
+        *[c for c in scans.columns if c != "destination"],
+        F.col("destination").alias("scan_destination"),
+        F.col("first_scan.destination").alias("destination"),
+        "seq",
+        F.col("first_scan.scanned_at").alias("created_at"),
+        delivers.alias("delivered"),
+        F.col("delivery.scanned_at").alias("delivered_at"),
+        F.when(F.col("was_delivered"), S.DELIVERED).otherwise(S.IN_TRANSIT).alias("status"),
     )
 
 

@@ -10,44 +10,22 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.functions import messages, text
+from waybill.operators.events import by_type
 from waybill.operators.validate import notification_error
 
 LATEST = 10
-_CREATED, _SCANNED, _DELIVERED = S.NOTIFICATION_TYPES
 
 
-def _made(events: DataFrame, type_: str, message, time: str) -> DataFrame:
+def notifications(events: DataFrame) -> DataFrame:
+    """One notification per event (see operators.events) with a shipment id."""
     return events.filter(~text.is_empty("shipment_id")).select(
         F.sha2("record_id", 256).alias("id"),
         "shipment_id",
-        F.lit(type_).alias("type"),
-        message.alias("message"),
-        F.col(time).alias("timestamp"),
-    )
-
-
-def created_notifications(created: DataFrame) -> DataFrame:
-    return _made(created, _CREATED, messages.created_message(), "created_at")
-
-
-def scanned_notifications(scanned: DataFrame) -> DataFrame:
-    return _made(scanned, _SCANNED, messages.scanned_message(), "scanned_at")
-
-
-def delivered_notifications(delivered: DataFrame) -> DataFrame:
-    return _made(delivered, _DELIVERED, messages.delivered_message(), "delivered_at")
-
-
-def notifications(created: DataFrame, scanned: DataFrame, delivered: DataFrame) -> DataFrame:
-    """One notification per event with a shipment id.
-
-    ``record_id`` names the event's record (topic, partition and offset), from
-    which the notification's id is made; replays repeat it.
-    """
-    return (
-        created_notifications(created)
-        .unionByName(scanned_notifications(scanned))
-        .unionByName(delivered_notifications(delivered))
+        by_type(*[F.lit(t) for t in S.NOTIFICATION_TYPES]).alias("type"),
+        by_type(
+            messages.created_message(), messages.scanned_message(), messages.delivered_message()
+        ).alias("message"),
+        F.col("event_at").alias("timestamp"),
     )
 
 

@@ -8,101 +8,90 @@ from pyspark.sql import types as T
 
 from waybill import schemas as S
 from waybill.functions import messages, times
+from waybill.operators.events import by_type
 
 
-def _record(rows: DataFrame, topic: str, key: Column, **fields: Column) -> DataFrame:
-    value = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
-    return rows.select(F.lit(topic).alias("topic"), key.alias("key"), value.alias("value"))
+def _json(**fields: Column) -> Column:
+    """A JSON object; null fields are left out."""
+    return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
 
 
-def _envelope(event_type: str, time: str, correlation: str = "correlation_id") -> dict[str, Column]:
+def _envelope(event_type: Column, time: Column) -> dict[str, Column]:
     return {
-        "correlationId": F.col(correlation),
-        "timestamp": F.concat(times.iso_datetime(time), F.lit("Z")),
+        "correlationId": F.col("correlation_id"),
+        "timestamp": F.concat(time, F.lit("Z")),
         "version": F.lit(S.DEFAULT_VERSION),
-        "eventType": F.lit(event_type),
+        "eventType": event_type,
     }
 
 
-def created_records(created: DataFrame) -> DataFrame:
-    return _record(
-        created, S.TOPIC_CREATED, F.col("shipment_id"),
-        shipmentId=F.col("shipment_id"), destination=F.col("destination"),
-        createdAt=times.iso_datetime("created_at"),
-        **_envelope(S.CREATED_EVENT, "created_at"),
+def event_records(events: DataFrame) -> DataFrame:
+    """Created, scanned and delivered events as records keyed by shipment."""
+    at = times.iso_datetime("event_at")
+    kind = F.col("event_type")
+    value = _json(
+        shipmentId=F.col("shipment_id"),
+        location=F.when(kind != S.CREATED_EVENT, F.col("location")),
+        destination=F.col("destination"),
+        createdAt=F.when(kind == S.CREATED_EVENT, at),
+        scannedAt=F.when(kind == S.SCANNED_EVENT, at),
+        deliveredAt=F.when(kind == S.DELIVERED_EVENT, at),
+        **_envelope(kind, at),
     )
-
-
-def scanned_records(scanned: DataFrame) -> DataFrame:
-    return _record(
-        scanned, S.TOPIC_SCANNED, F.col("shipment_id"),
-        shipmentId=F.col("shipment_id"), location=F.col("location"),
-        scannedAt=times.iso_datetime("scanned_at"), destination=F.col("destination"),
-        **_envelope(S.SCANNED_EVENT, "scanned_at"),
-    )
-
-
-def delivered_records(delivered: DataFrame) -> DataFrame:
-    return _record(
-        delivered, S.TOPIC_DELIVERED, F.col("shipment_id"),
-        shipmentId=F.col("shipment_id"), destination=F.col("destination"),
-        location=F.col("location"), deliveredAt=times.iso_datetime("delivered_at"),
-        **_envelope(S.DELIVERED_EVENT, "delivered_at"),
-    )
-
-
-def event_records(created: DataFrame, scanned: DataFrame, delivered: DataFrame) -> DataFrame:
-    """The three event streams as records keyed by shipment."""
-    return created_records(created).unionByName(scanned_records(scanned)).unionByName(
-        delivered_records(delivered)
+    return events.select(
+        by_type(F.lit(S.TOPIC_CREATED), F.lit(S.TOPIC_SCANNED), F.lit(S.TOPIC_DELIVERED)).alias("topic"),
+        F.col("shipment_id").alias("key"),
+        value.alias("value"),
     )
 
 
 def analytics_records(counts: DataFrame) -> DataFrame:
     """Counts keyed by location and window start in epoch milliseconds; dates as number arrays."""
     key = F.concat_ws("-", "location", times.epoch_millis("window_start").cast("string"))
-    return _record(
-        counts, S.TOPIC_DELIVERY_ANALYTICS, key,
-        location=F.col("location"), count=F.col("count"),
+    value = _json(
+        location=F.col("location"),
+        count=F.col("count"),
         windowStart=times.datetime_array("window_start"),
         windowEnd=times.datetime_array("window_end"),
     )
+    return counts.select(
+        F.lit(S.TOPIC_DELIVERY_ANALYTICS).alias("topic"), key.alias("key"), value.alias("value")
+    )
 
 
 def notification_sent_records(notes: DataFrame) -> DataFrame:
     """A record per notification, without a key."""
     sent = notes.withColumn("correlation_id", F.sha2(F.concat_ws(":", F.lit("sent"), "id"), 256))
-    return _record(
-        sent, S.TOPIC_NOTIFICATION_SENT, F.lit(None).cast("string"),
-        notificationId=F.col("id"), shipmentId=F.col("shipment_id"), type=F.col("type"),
-        message=F.col("message"), **_envelope(S.NOTIFICATION_SENT_EVENT, "timestamp"),
+    value = _json(
+        notificationId=F.col("id"),
+        shipmentId=F.col("shipment_id"),
+        type=F.col("type"),
+        message=F.col("message"),
+        **_envelope(F.lit(S.NOTIFICATION_SENT_EVENT), times.iso_datetime("timestamp")),
+    )
+    return sent.select(
+        F.lit(S.TOPIC_NOTIFICATION_SENT).alias("topic"),
+        F.lit(None).cast("string").alias("key"),
+        value.alias("value"),
     )
 
 
-def _payload(events: DataFrame, event_type: str, time: str, origin: Column, destination: str) -> DataFrame:
-    millis = times.epoch_millis(time)
+def webhook_payloads(events: DataFrame) -> DataFrame:
+    """What the webhook is told per event: a scan's location travels as origin,
+    a delivery's as destination."""
+    millis = times.epoch_millis("event_at")
+    nowhere = F.lit(None).cast("string")
     return events.select(
-        F.lit(event_type).alias("eventType"),
+        by_type(F.lit(S.TOPIC_CREATED), F.lit(S.TOPIC_SCANNED), F.lit(S.TOPIC_DELIVERED)).alias("eventType"),
         F.col("shipment_id").alias("shipmentId"),
-        messages.default_customer(F.lit(None).cast("string"), F.col("shipment_id")).alias("customerId"),
-        origin.cast("string").alias("origin"),
-        F.col(destination).alias("destination"),
+        messages.default_customer(nowhere, F.col("shipment_id")).alias("customerId"),
+        by_type(nowhere, F.col("location"), nowhere).alias("origin"),
+        by_type(F.col("destination"), F.col("destination"), F.col("location")).alias("destination"),
         millis.alias("timestamp"),
         F.concat(F.lit("serverless-"), millis.cast("string")).alias("correlationId"),
     )
 
 
-def webhook_payloads(created: DataFrame, scanned: DataFrame, delivered: DataFrame) -> DataFrame:
-    """What the webhook is told per event: a scan's location travels as origin,
-    a delivery's as destination."""
-    nowhere = F.lit(None)
-    return (
-        _payload(created, S.TOPIC_CREATED, "created_at", nowhere, "destination")
-        .unionByName(_payload(scanned, S.TOPIC_SCANNED, "scanned_at", F.col("location"), "destination"))
-        .unionByName(_payload(delivered, S.TOPIC_DELIVERED, "delivered_at", nowhere, "location"))
-    )
-
-
 def customer_messages(payloads: DataFrame, brand: str, now=None) -> DataFrame:
     """Texts sent to the customer for each payload, and how long after the event."""
     event_type = F.col("eventType")

@@ -7,7 +7,7 @@ table to every task only after its size has been checked.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +22,8 @@ class HotKeys:
     Keys are counted by hash slot, so the count shuffles at most ``slots`` rows
     per task.  A slot is hot when it has more than ``floor_rows`` rows and more
     than ``factor`` times the average slot; hence at most ``slots / factor``
-    slots are hot, however large the table, and their list can be broadcast.
-    Taking too many or too few keys for hot changes the plan's cost, never its
-    result.
+    slots are hot, however large the table.  Taking too many or too few keys
+    for hot changes the plan's cost, never its result.
     """
 
     slots: int = 65_536
@@ -34,7 +33,8 @@ class HotKeys:
     def slot(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.slots)).cast("int")
 
-    def hot_slots(self, keys: DataFrame, key: str) -> DataFrame:
+    def find(self, keys: DataFrame, key: str) -> list[int]:
+        """Runs the count; the slots come back as a short list."""
         counted = keys.groupBy(self.slot(key).alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
         gathered = counted.agg(
             F.sum("rows").alias("total"), F.collect_list(F.struct("slot", "rows")).alias("slots")
@@ -44,7 +44,7 @@ class HotKeys:
             lambda s: (s["rows"] > self.floor_rows)
             & (s["rows"] * self.slots > F.col("total") * self.factor),
         )
-        return gathered.select(F.explode(busy["slot"]).alias("_hot_slot"))
+        return sorted(gathered.select(busy["slot"].alias("hot")).first()["hot"])
 
 
 @dataclass(frozen=True)
@@ -55,114 +55,115 @@ class Running:
     kind: str
     value: Column | None = None
 
+    def over(self, window) -> Column:
+        """The value within one chunk."""
+        if self.kind == "count":
+            return F.count(F.lit(1)).over(window)
+        if self.kind == "first":
+            return F.first(self.value).over(window)
+        if self.kind == "last":
+            return F.last(self.value, ignorenulls=True).over(window)
+        return F.max(self.value).over(window)
+
+    def total(self, position: Column) -> Column:
+        """What a whole chunk contributes; first and last carry their position along."""
+        placed = F.struct(position.alias("p"), self.value.alias("v")) if self.value is not None else None
+        if self.kind == "count":
+            return F.count(F.lit(1))
+        if self.kind == "first":
+            return F.min(placed)
+        if self.kind == "last":
+            return F.max(F.when(self.value.isNotNull(), placed))
+        return F.max(self.value)
+
+    def carried(self, total: str, before) -> Column:
+        """What the chunks before contribute together."""
+        if self.kind == "count":
+            return F.sum(total).over(before)
+        if self.kind == "first":
+            return F.first(total).over(before)
+        if self.kind == "last":
+            return F.last(total, ignorenulls=True).over(before)
+        return F.max(total).over(before)
+
+    def joined(self, mine: Column, carry: Column) -> Column:
+        if self.kind == "count":
+            return mine + F.coalesce(carry, F.lit(0))
+        if self.kind == "first":
+            return F.when(carry.isNotNull(), carry["v"]).otherwise(mine)
+        if self.kind == "last":
+            return F.coalesce(mine, carry["v"])
+        return F.greatest(mine, carry)
 
-@dataclass
+
+@dataclass(frozen=True)
 class OrderedKeys:
     """Rows of ``df`` grouped by ``key`` and totally ordered by ``order``.
 
-    A hot key is cut into chunks: one per distinct value of the columns
-    ``chunk``, which must be a prefix of ``order`` or grow with it (a day, an
-    offset divided by a million).  Rows are shuffled once, by key and chunk;
-    each chunk runs on its own and takes over the totals of the chunks before
-    it, which are a few rows per hot key.  Keys that are not hot are one chunk.
-
-    ``keys`` may name a cheaper table to count the keys from.
+    The keys are counted first (from ``keys``, which may be a cheaper table).
+    Without a hot key this is a plain window per key.  A hot key is cut into
+    chunks: one per distinct value of the columns ``chunk``, which must be a
+    prefix of ``order`` or grow with it (a day, an offset divided by a million).
+    Rows are still shuffled once, by key and chunk; each chunk runs on its own
+    and takes over the totals of the chunks before it, a few rows per hot key.
     """
 
     df: DataFrame
     key: str
-    order: list[str]
-    chunk: list[Column]
+    order: tuple[str, ...]
+    hot_slots: tuple[int, ...] = ()
+    chunk: Column | None = None
     hot: HotKeys = field(default_factory=HotKeys)
-    keys: DataFrame | None = None
-
-    def __post_init__(self):
-        source = self.keys if self.keys is not None else self.df
-        self._slots = self.hot.hot_slots(source.select(self.key), self.key)
-        on_slot = self.hot.slot(self.key) == F.col("_hot_slot")
-        chunk = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(self.chunk)])
-        self.rows = (
-            self.df.join(F.broadcast(self._slots), on_slot, "left")
-            .withColumn("_chunk", F.when(F.col("_hot_slot").isNotNull(), chunk))
-            .drop("_hot_slot")
-        )
-        self._hot_rows = (
-            self.df.join(F.broadcast(self._slots), on_slot, "inner")
-            .withColumn("_chunk", chunk)
-            .drop("_hot_slot")
-        )
+
+    @classmethod
+    def of(
+        cls,
+        df: DataFrame,
+        key: str,
+        order: list[str],
+        chunk: list[Column],
+        hot: HotKeys | None = None,
+        keys: DataFrame | None = None,
+    ) -> "OrderedKeys":
+        hot = hot or HotKeys()
+        found = hot.find((df if keys is None else keys).select(key), key)
+        if not found:
+            return cls(df, key, tuple(order), hot=hot)
+        cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+        marked = df.withColumn("_chunk", F.when(hot.slot(key).isin(*found), cut))
+        return cls(marked, key, tuple(order), tuple(found), cut, hot)
 
     def with_running(self, *values: Running) -> "OrderedKeys":
         """The same rows with one more column per running value; each includes its own row."""
+        group = [self.key, "_chunk"] if self.hot_slots else [self.key]
         here = (
-            Window.partitionBy(self.key, "_chunk")
+            Window.partitionBy(*group)
             .orderBy(*self.order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
+        rows = self.df.select("*", *[v.over(here).alias(v.name) for v in values])
+        if not self.hot_slots:
+            return replace(self, df=rows)
+
         before = (
             Window.partitionBy(self.key)
             .orderBy("_chunk")
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         position = F.struct(*self.order)
-        local, totals, carried = [], [], []
-        for v in values:
-            carry = f"_carry_{v.name}"
-            if v.kind == "count":
-                local.append(F.count(F.lit(1)).over(here).alias(v.name))
-                totals.append(F.count(F.lit(1)).alias(carry))
-                carried.append(F.sum(carry).over(before).alias(carry))
-            elif v.kind == "first":
-                # wrapped, so that a first value of null is told from no rows
-                local.append(F.first(v.value).over(here).alias(v.name))
-                totals.append(F.min(F.struct(position.alias("p"), v.value.alias("v"))).alias(carry))
-                carried.append(F.first(carry).over(before).alias(carry))
-            elif v.kind == "last":
-                local.append(F.last(v.value, ignorenulls=True).over(here).alias(v.name))
-                totals.append(
-                    F.max(
-                        F.when(v.value.isNotNull(), F.struct(position.alias("p"), v.value.alias("v")))
-                    ).alias(carry)
-                )
-                carried.append(F.last(carry, ignorenulls=True).over(before).alias(carry))
-            elif v.kind == "max":
-                local.append(F.max(v.value).over(here).alias(v.name))
-                totals.append(F.max(v.value).alias(carry))
-                carried.append(F.max(carry).over(before).alias(carry))
-            else:
-                raise ValueError(f"unknown running value {v.kind!r}")
-
-        base = self.rows.columns
-
-        def finish(rows: DataFrame, carry: DataFrame) -> DataFrame:
-            joined = rows.join(carry, [self.key, "_chunk"], "left")
-            final = []
-            for v in values:
-                carry_col = F.col(f"_carry_{v.name}")
-                mine = F.col(v.name)
-                if v.kind == "count":
-                    final.append((mine + F.coalesce(carry_col, F.lit(0))).alias(v.name))
-                elif v.kind == "first":
-                    final.append(
-                        F.when(carry_col.isNotNull(), carry_col["v"]).otherwise(mine).alias(v.name)
-                    )
-                elif v.kind == "last":
-                    final.append(F.coalesce(mine, carry_col["v"]).alias(v.name))
-                else:
-                    final.append(F.greatest(mine, carry_col).alias(v.name))
-            return joined.select(*base, *final)
-
         carry = (
-            self._hot_rows.groupBy(self.key, "_chunk").agg(*totals).select(self.key, "_chunk", *carried)
+            self.df.filter(F.col("_chunk").isNotNull())
+            .groupBy(*group)
+            .agg(*[v.total(position).alias(f"_c_{v.name}") for v in values])
+            .select(*group, *[v.carried(f"_c_{v.name}", before).alias(f"_c_{v.name}") for v in values])
         )
-        result = object.__new__(OrderedKeys)
-        result.__dict__.update(self.__dict__)
-        result.rows = finish(self.rows.select("*", *local), carry)
-        result._hot_rows = finish(self._hot_rows.select("*", *local), carry)
-        return result
+        # Hash join: the rows are already placed by key and chunk and stay sorted.
+        joined = rows.join(carry.hint("shuffle_hash"), group, "left")
+        final = [v.joined(F.col(v.name), F.col(f"_c_{v.name}")).alias(v.name) for v in values]
+        return replace(self, df=joined.select(*self.df.columns, *final))
 
     def result(self) -> DataFrame:
-        return self.rows.drop("_chunk")
+        return self.df.drop("_chunk")
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:

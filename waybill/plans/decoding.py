@@ -7,29 +7,30 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.functions import times
-from waybill.operators import records
+from waybill.operators import events, records
 from waybill.sources import decode, logs, tables
 
 
 def decode_delivered(spark, sf_dir):
-    events = decode.decode(tables.delivered_records(spark, sf_dir))
-    return decode.delivered(events).drop("record_timestamp")
+    decoded = decode.decode(tables.delivered_records(spark, sf_dir))
+    return decode.delivered(decoded).drop("record_timestamp")
 
 
 def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three topics in one table; created records carry the class header in full,
     scanned ones in short, delivered ones none."""
     number = F.regexp_extract("key", r"\d+", 0).cast("bigint")
-    created = records.created_records(tables.created(spark, sf_dir)).withColumn(
-        "type_id", F.lit(f"org.example.events.{S.CREATED_EVENT}")
+    made = events.created_events(tables.created(spark, sf_dir)).unionByName(
+        events.scanned_events(tables.scans(spark, sf_dir))
     )
-    scanned = records.scanned_records(tables.scans(spark, sf_dir)).withColumn("type_id", F.lit(S.SCANNED_EVENT))
-    both = created.unionByName(scanned).select(
+    both = records.event_records(made).select(
         "topic",
         (number % 3).cast("int").alias("partition"),
         F.floor((number - number % 3) / 3).alias("offset"),
         times.epoch().alias("timestamp"),
-        "type_id",
+        F.when(F.col("topic") == S.TOPIC_CREATED, f"org.example.events.{S.CREATED_EVENT}")
+        .otherwise(S.SCANNED_EVENT)
+        .alias("type_id"),
         "key",
         "value",
     )
@@ -45,9 +46,9 @@ def decode_by_type(spark, sf_dir):
 
 def decode_dates(spark, sf_dir):
     """Each time as ISO text and as a number array, read back."""
-    events = tables.deliveries(spark, sf_dir)
+    rows = tables.deliveries(spark, sf_dir)
     array = F.to_json(times.datetime_array("delivered_at"))
-    return events.select(
+    return rows.select(
         "event_id",
         times.read_datetime(times.iso_datetime("delivered_at")).alias("from_iso"),
         times.read_datetime(array).alias("from_array"),
@@ -62,8 +63,8 @@ def dead_letters(spark, sf_dir):
 
 def decode_usable(spark, sf_dir):
     """The other side of the split: what is left to count."""
-    events = decode.decode(tables.broken_records(spark, sf_dir))
-    return decode.delivered(events).select("shipment_id", "location", "delivered_at", "correlation_id")
+    decoded = decode.decode(tables.broken_records(spark, sf_dir))
+    return decode.delivered(decoded).select("shipment_id", "location", "delivered_at", "correlation_id")
 
 
 def error_log_lines(spark, sf_dir):

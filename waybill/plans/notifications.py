@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import schemas as S
-from waybill.operators import lifecycle, notify, records
+from waybill.operators import events, notify, records
 from waybill.plans.lifecycle import replayed
 from waybill.sources import tables
 
@@ -16,18 +16,15 @@ SHIPMENT = " 42 "
 FIRST_CREATED = "bc4963d1b019215ba3be2ebe19b9460b217fe3d75ddcbfe8ea99b03267c9a401"
 
 
-def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered events, each with the record it lies in."""
-    events = lifecycle.delivered_events(replayed(spark, sf_dir))
-    return events.withColumn("record_id", F.concat_ws(":", F.lit(S.TOPIC_DELIVERED), "correlation_id"))
-
-
-def _events(spark, sf_dir):
-    return tables.created(spark, sf_dir), tables.scans(spark, sf_dir), delivered(spark, sf_dir)
+def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created events, and scanned and delivered ones from one replay."""
+    return events.created_events(tables.created(spark, sf_dir)).unionByName(
+        events.replayed_events(replayed(spark, sf_dir))
+    )
 
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return notify.notifications(*_events(spark, sf_dir))
+    return notify.notifications(all_events(spark, sf_dir))
 
 
 def notifications_for_shipment(spark, sf_dir):
@@ -39,7 +36,6 @@ def notification_by_id(spark, sf_dir):
     return notify.notification_by_id(notifications(spark, sf_dir), f"  {FIRST_CREATED}\t")
 
 
-
 def notification_count(spark, sf_dir):
     return notify.notification_count(notifications(spark, sf_dir))
 
@@ -78,7 +74,8 @@ def notification_type_parse(spark, sf_dir):
 def _dirty(spark, sf_dir):
     """Created notifications with parts missing."""
     key = F.col("shipment_id").cast("bigint")
-    notes = notify.created_notifications(tables.created(spark, sf_dir)).withColumn("key", key)
+    created = events.created_events(tables.created(spark, sf_dir))
+    notes = notify.notifications(created).withColumn("key", key)
     return notes.select(
         "id",
         "key",
@@ -127,17 +124,17 @@ def notification_sent_records(spark, sf_dir):
 
 
 def event_records(spark, sf_dir):
-    return records.event_records(*_events(spark, sf_dir))
+    return records.event_records(all_events(spark, sf_dir))
 
 
 def webhook_payloads(spark, sf_dir):
-    return records.webhook_payloads(*_events(spark, sf_dir))
+    return records.webhook_payloads(all_events(spark, sf_dir))
 
 
 def customer_messages(spark, sf_dir):
     """Some payloads have no customer, no destination or a type without a template."""
     key = F.col("timestamp") / 86_400_000 % 7
-    payloads = records.webhook_payloads(*_events(spark, sf_dir)).select(
+    payloads = records.webhook_payloads(all_events(spark, sf_dir)).select(
         F.when(key == 1, F.lit("shipment-lost")).otherwise(F.col("eventType")).alias("eventType"),
         "shipmentId",
         F.when(key == 2, F.lit("")).when(key != 3, F.col("customerId")).alias("customerId"),
@@ -150,7 +147,7 @@ def customer_messages(spark, sf_dir):
 
 def event_metrics(spark, sf_dir):
     """Every 97th created payload is cut off."""
-    payloads = records.webhook_payloads(*_events(spark, sf_dir))
+    payloads = records.webhook_payloads(all_events(spark, sf_dir))
     body = F.to_json(F.struct("*"))
     broken = (F.col("eventType") == S.TOPIC_CREATED) & (F.col("shipmentId").cast("bigint") % 97 == 0)
     bodies = payloads.select(

@@ -384,13 +384,13 @@ NOTIFICATIONS = {
         UNION ALL
         SELECT 'shipment-scanned', shipment_id,
                {_json(shipmentId=_quoted('shipment_id'), location=_quoted('location'),
-                      scannedAt=_quoted(_iso('scanned_at')), destination=_quoted('destination'),
+                      destination=_quoted('destination'), scannedAt=_quoted(_iso('scanned_at')),
                       **_event('ShipmentScannedEvent', 'scanned_at', 'correlation_id'))}
         FROM scans
         UNION ALL
         SELECT 'shipment-delivered', shipment_id,
-               {_json(shipmentId=_quoted('shipment_id'), destination=_quoted('destination'),
-                      location=_quoted('location'), deliveredAt=_quoted(_iso('delivered_at')),
+               {_json(shipmentId=_quoted('shipment_id'), location=_quoted('location'),
+                      destination=_quoted('destination'), deliveredAt=_quoted(_iso('delivered_at')),
                       **_event('ShipmentDeliveredEvent', 'delivered_at', 'correlation_id'))}
         FROM delivered""",
     "webhook_payloads": f"WITH {_WEBHOOK} SELECT * FROM webhook",

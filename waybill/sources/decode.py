@@ -26,10 +26,13 @@ _DATE_FIELDS = {
 }
 
 
-def _parsed() -> Column:
-    return F.from_json(
-        "value", _ANY_EVENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
+def _once(rows: DataFrame, value: Column) -> DataFrame:
+    """Adds the fields of the struct ``value``, evaluated once per row.
+
+    A generator keeps the optimizer from copying the expression into every
+    place its fields are used.
+    """
+    return rows.select("*", F.inline(F.array(value)))
 
 
 def _event_type() -> Column:
@@ -52,20 +55,30 @@ def _field(name: str) -> Column:
     return F.when(F.col("event_type").isin(*owners), F.col(f"e.{name}"))
 
 
+def _moment(name: str) -> Column:
+    """The event's own time, where it is called ``name``."""
+    owners = [event for event, field in _DATE_FIELDS.items() if field == name]
+    return F.when(F.col("event_type").isin(*owners), F.col("event_at"))
+
+
 def parse(records: DataFrame) -> DataFrame:
-    """Adds ``event_type``, the raw fields ``e`` and ``reason``, which says why a
-    record cannot be used; an absent value is no event and no failure."""
-    parsed = records.withColumn("e", _parsed()).withColumn("event_type", _event_type())
+    """Adds ``event_type``, the raw fields ``e``, the event's own time
+    ``event_at`` and ``reason``, which says why a record cannot be used; an
+    absent value is no event and no failure."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = _once(records, F.struct(F.from_json("value", _ANY_EVENT, options).alias("e")))
     date = F.lit(None).cast("string")
     for event, name in _DATE_FIELDS.items():
         date = F.when(F.col("event_type") == event, F.col(f"e.{name}")).otherwise(date)
+    dated = _once(parsed, F.struct(_event_type().alias("event_type"))).withColumn("_date", date)
+    dated = _once(dated, F.struct(times.read_datetime("_date").alias("event_at")))
     reason = (
         F.when(F.col("value").isNull(), F.lit(None))
         .when(F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e").isNull(), "malformed JSON")
         .when(F.col("event_type") == UNKNOWN_TYPE, "unknown event type")
-        .when(date.isNotNull() & times.read_datetime(date).isNull(), "unreadable date")
+        .when(F.col("_date").isNotNull() & F.col("event_at").isNull(), "unreadable date")
     )
-    return parsed.withColumn("reason", reason)
+    return dated.withColumn("reason", reason).drop("_date")
 
 
 def typed(parsed: DataFrame) -> DataFrame:
@@ -81,9 +94,9 @@ def typed(parsed: DataFrame) -> DataFrame:
         _field("shipmentId").alias("shipment_id"),
         _field("destination").alias("destination"),
         _field("location").alias("location"),
-        times.read_datetime(_field("createdAt")).alias("created_at"),
-        times.read_datetime(_field("scannedAt")).alias("scanned_at"),
-        times.read_datetime(_field("deliveredAt")).alias("delivered_at"),
+        _moment("createdAt").alias("created_at"),
+        _moment("scannedAt").alias("scanned_at"),
+        _moment("deliveredAt").alias("delivered_at"),
         _field("notificationId").alias("notification_id"),
         _field("type").alias("type"),
         _field("message").alias("message"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill import schemas as S
 from waybill.functions import times
@@ -20,8 +21,15 @@ SCAN_CHUNK = ["scanned_at", "line"]
 ARRIVAL_ORDER = ["arrival", "event_id"]
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its schema is read from the files once and given from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
