@@ -7,7 +7,7 @@ table to every task only after its size has been checked.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,8 +112,6 @@ class OrderedKeys:
     key: str
     order: tuple[str, ...]
     hot_slots: tuple[int, ...] = ()
-    chunk: Column | None = None
-    hot: HotKeys = field(default_factory=HotKeys)
 
     @classmethod
     def of(
@@ -128,10 +126,13 @@ class OrderedKeys:
         hot = hot or HotKeys()
         found = hot.find((df if keys is None else keys).select(key), key)
         if not found:
-            return cls(df, key, tuple(order), hot=hot)
+            return cls(df, key, tuple(order))
         cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
         marked = df.withColumn("_chunk", F.when(hot.slot(key).isin(*found), cut))
-        return cls(marked, key, tuple(order), tuple(found), cut, hot)
+        # Said outright: rows that lie partitioned by key alone would do for the
+        # windows below, and leave the hot key where it is.
+        spread = marked.repartition(key, "_chunk")
+        return cls(spread, key, tuple(order), tuple(found))
 
     def with_running(self, *values: Running) -> "OrderedKeys":
         """The same rows with one more column per running value; each includes its own row."""

@@ -26,19 +26,10 @@ _DATE_FIELDS = {
 }
 
 
-def _once(rows: DataFrame, value: Column) -> DataFrame:
-    """Adds the fields of the struct ``value``, evaluated once per row.
-
-    A generator keeps the optimizer from copying the expression into every
-    place its fields are used.
-    """
-    return rows.select("*", F.inline(F.array(value)))
-
-
 def _event_type() -> Column:
     """The producer's class header (full or short name), else the type in the
     value, else the topic's own; a foreign class is no event."""
-    named = F.coalesce(F.element_at(F.split("type_id", r"\."), -1), F.col("e.eventType"))
+    named = F.coalesce(F.substring_index("type_id", ".", -1), F.col("e.eventType"))
     by_topic = F.lit(None).cast("string")
     for topic, event in S.EVENT_OF_TOPIC.items():
         by_topic = F.when(F.col("topic") == topic, event).otherwise(by_topic)
@@ -62,29 +53,32 @@ def _moment(name: str) -> Column:
 
 
 def parse(records: DataFrame) -> DataFrame:
-    """Adds ``event_type``, the raw fields ``e``, the event's own time
-    ``event_at`` and ``reason``, which says why a record cannot be used; an
-    absent value is no event and no failure."""
+    """Adds ``event_type``, the raw fields, the event's own time ``event_at`` and
+    ``reason``, which says why a record cannot be used; an absent value is no
+    event and no failure."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = _once(records, F.struct(F.from_json("value", _ANY_EVENT, options).alias("e")))
+    raw = records.withColumn("e", F.from_json("value", _ANY_EVENT, options))
+    known = raw.withColumn("event_type", _event_type())
     date = F.lit(None).cast("string")
     for event, name in _DATE_FIELDS.items():
         date = F.when(F.col("event_type") == event, F.col(f"e.{name}")).otherwise(date)
-    dated = _once(parsed, F.struct(_event_type().alias("event_type"))).withColumn("_date", date)
-    dated = _once(dated, F.struct(times.read_datetime("_date").alias("event_at")))
+    dated = known.withColumn("event_date", date).withColumn("event_at", times.read_datetime("event_date"))
+    malformed = F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e").isNull()
     reason = (
         F.when(F.col("value").isNull(), F.lit(None))
-        .when(F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e").isNull(), "malformed JSON")
+        .when(malformed, "malformed JSON")
         .when(F.col("event_type") == UNKNOWN_TYPE, "unknown event type")
-        .when(F.col("_date").isNotNull() & F.col("event_at").isNull(), "unreadable date")
+        .when(F.col("event_date").isNotNull() & F.col("event_at").isNull(), "unreadable date")
     )
-    return dated.withColumn("reason", reason).drop("_date")
+    # ``_task`` holds filters on the outcome above this point: pushed further
+    # down, they would repeat the parsing once per field they look at.
+    return dated.withColumn("reason", reason).withColumn("_task", F.spark_partition_id())
 
 
 def typed(parsed: DataFrame) -> DataFrame:
     """Usable records as typed events with their metadata; envelope defaults are
     the record's time and version v1."""
-    usable = parsed.filter("reason IS NULL AND value IS NOT NULL")
+    usable = parsed.filter("reason IS NULL AND value IS NOT NULL AND _task >= 0")
     stamped = times.read_datetime(F.regexp_replace("e.timestamp", "Z$", ""))
     return usable.select(
         "topic",
@@ -139,7 +133,7 @@ def notifications_sent(events: DataFrame) -> DataFrame:
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Unusable records with the topic they go to; the partition stays."""
-    return parsed.filter("reason IS NOT NULL").select(
+    return parsed.filter("reason IS NOT NULL AND _task >= 0").select(
         "topic",
         F.concat("topic", F.lit(S.DEAD_LETTER_SUFFIX)).alias("dead_letter_topic"),
         "partition",

@@ -125,13 +125,16 @@ def _any_case(location: Column) -> Column:
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scanned events with the destination of their shipment."""
-    destinations = _orders_to(spark, sf_dir).select("o_orderkey", "destination")
-    return (
-        _lines(spark, sf_dir)
-        .join(destinations, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(*_scan_columns(), _any_case(F.col("location")).alias("location"), "destination")
+    """Scanned events with the destination of their shipment.
+
+    Joined on the shipment id itself, so that the join's partitioning serves
+    whatever groups by shipment next.
+    """
+    destinations = _orders_to(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("shipment_id"), "destination"
     )
+    lines = _lines(spark, sf_dir).select(*_scan_columns(), _any_case(F.col("location")).alias("location"))
+    return lines.join(destinations, "shipment_id")
 
 
 def scan_chunk() -> list[Column]:
