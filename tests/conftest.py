@@ -28,3 +28,8 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def small_dir():
+    return "/root/testdata/sf0.001"

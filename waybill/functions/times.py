@@ -21,12 +21,30 @@ def epoch() -> Column:
     return F.expr(_EPOCH)
 
 
-def epoch_millis(moment) -> Column:
-    return F.timestamp_diff("MILLISECOND", epoch(), _col(moment))
+def _whole(micros: Column, unit: int) -> Column:
+    """Whole units of so many microseconds, rounded down."""
+    return ((micros - F.pmod(micros, F.lit(unit))) / F.lit(unit)).cast("bigint")
+
+
+def _second_micros(moment: Column) -> Column:
+    return (F.extract(F.lit("SECOND"), moment) * F.lit(1_000_000)).cast("bigint")
 
 
 def epoch_micros(moment) -> Column:
-    return F.timestamp_diff("MICROSECOND", epoch(), _col(moment))
+    """Put together from the fields: timestamp_diff would pass through the
+    session's zone and miss times its clocks skip."""
+    moment = _col(moment)
+    day = F.unix_date(moment.cast("date")).cast("bigint")
+    minute = (day * 24 + F.hour(moment)) * 60 + F.minute(moment)
+    return minute * F.lit(60_000_000) + _second_micros(moment)
+
+
+def epoch_millis(moment) -> Column:
+    return _whole(epoch_micros(moment), 1_000)
+
+
+def minutes_between(start, end) -> Column:
+    return _whole(epoch_micros(end) - epoch_micros(start), 60_000_000)
 
 
 def to_instant(moment) -> Column:
@@ -58,7 +76,7 @@ def iso_datetime(moment) -> Column:
 def datetime_array(moment) -> Column:
     """``[2024, 1, 15, 10, 30]``: seconds and nanoseconds only where not zero."""
     moment = _col(moment)
-    nanos = F.pmod(epoch_micros(moment), F.lit(1_000_000)).cast("int") * 1000
+    nanos = F.pmod(_second_micros(moment), F.lit(1_000_000)).cast("int") * 1000
     fields = F.array(
         F.year(moment), F.month(moment), F.dayofmonth(moment),
         F.hour(moment), F.minute(moment), F.second(moment), nanos,

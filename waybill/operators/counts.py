@@ -138,7 +138,7 @@ def retained(counts: DataFrame, retention: str = RETENTION) -> DataFrame:
 
 def delivery_rate(counts: DataFrame) -> DataFrame:
     """Deliveries per hour of each window and the texts shown for it."""
-    minutes = F.timestamp_diff("MINUTE", F.col("window_start"), F.col("window_end"))
+    minutes = times.minutes_between("window_start", "window_end")
     hours = F.coalesce(minutes / F.lit(60.0), F.lit(0.0))
     rate = F.when(hours > 0, F.col("count") / hours).otherwise(F.lit(0.0))
     return counts.select(
