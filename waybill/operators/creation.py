@@ -40,5 +40,6 @@ def created_events(shipments: DataFrame) -> DataFrame:
 
 
 def delete_shipments(shipments: DataFrame, deletions: DataFrame) -> DataFrame:
-    """Shipments whose id is not among ``deletions``."""
-    return shipments.join(deletions.select("shipment_id"), "shipment_id", "left_anti")
+    """Shipments whose id is not among ``deletions``, each taken once before the join."""
+    ids = deletions.select("shipment_id").distinct()
+    return shipments.join(ids, "shipment_id", "left_anti")

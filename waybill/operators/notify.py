@@ -86,10 +86,14 @@ def notification_validation(notes: DataFrame, absent=None) -> DataFrame:
     return notes.select("id", notification_error(absent=absent).alias("error_message"))
 
 
+def _ids(deletions: DataFrame) -> DataFrame:
+    """Trimmed ids to delete, each once."""
+    return deletions.select(text.trimmed("id").alias("id")).filter("id <> ''").distinct()
+
+
 def delete_notifications(notes: DataFrame, deletions: DataFrame) -> DataFrame:
     """Notifications whose id is not among the (trimmed) ids to delete."""
-    ids = deletions.select(text.trimmed("id").alias("id")).filter("id <> ''")
-    return notes.join(ids, "id", "left_anti")
+    return notes.join(_ids(deletions), "id", "left_anti")
 
 
 def deletion_results(notes: DataFrame, deletions: DataFrame) -> DataFrame:
@@ -111,10 +115,7 @@ def deletion_counts(notes: DataFrame, deletions: DataFrame | None = None) -> Dat
     if deletions is None:
         marked = notes.select(F.lit(1).alias("gone"))
     else:
-        ids = (
-            deletions.select(text.trimmed("id").alias("id")).filter("id <> ''").distinct()
-            .withColumn("gone", F.lit(1))
-        )
+        ids = _ids(deletions).withColumn("gone", F.lit(1))
         marked = notes.select("id").join(ids, "id", "left")
     return marked.agg(
         F.count(F.col("gone")).alias("deleted_count"),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions import times
-from waybill.operators import counts, late, records
+from waybill.operators import counts, late, lifecycle, records
 from waybill.plans.lifecycle import replayed
-from waybill.operators import lifecycle
+from waybill.session import shared_dir
 from waybill.sources import tables
+from waybill.streaming import counts as stream_counts
+from waybill.streaming import sinks
 
 ZONE = "Europe/Berlin"
 RANGE = (datetime(2024, 1, 10), datetime(2024, 1, 12))
@@ -106,6 +109,18 @@ def delivery_counts_daily(spark, sf_dir):
     return counts.delivery_counts(events, "1 day")
 
 
+def delivery_counts_streamed(spark, sf_dir):
+    """The flagship as a stream over the events table, run until all is read;
+    its batches go to a folder of their own in the shared one."""
+    path = f"{sf_dir}/[e]vents.parquet"  # a pattern: as a plain path a stream takes folders only
+    events = spark.readStream.schema(tables.table(spark, sf_dir, "events").schema).parquet(path)
+    folder = f"{shared_dir(spark)}/delivery-counts-{uuid.uuid4()}"
+    counted = stream_counts.windowed_counts(tables.as_deliveries(events))
+    writer = stream_counts.counts_writer(counted, f"{folder}/table")
+    sinks.start(writer, f"{folder}/progress", available_now=True).awaitTermination()
+    return stream_counts.read_counts(spark, f"{folder}/table")
+
+
 def analytics_records(spark, sf_dir):
     return records.analytics_records(hourly(spark, sf_dir))
 
@@ -127,5 +142,6 @@ QUERIES = {
     "counts_with_grace_one_clock": counts_with_grace_one_clock,
     "late_deliveries": late_deliveries,
     "delivery_counts_daily": delivery_counts_daily,
+    "delivery_counts_streamed": delivery_counts_streamed,
     "analytics_records": analytics_records,
 }

@@ -11,13 +11,12 @@ from waybill.sources import tables
 SHIPMENT = "42"
 
 
-def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifecycle.replay(
-        tables.scans(spark, sf_dir),
-        tables.SCAN_ORDER,
-        tables.scan_chunk(),
-        keys=tables.scan_keys(spark, sf_dir),
-    )
+def replayed(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """All scans replayed, or those of one shipment, which are picked out first."""
+    scans, keys = tables.scans(spark, sf_dir), tables.scan_keys(spark, sf_dir)
+    if shipment_id is not None:
+        scans, keys = (rows.filter(F.col("shipment_id") == shipment_id) for rows in (scans, keys))
+    return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), keys=keys)
 
 
 def shipment_lifecycle(spark, sf_dir):
@@ -37,7 +36,7 @@ def shipment_state(spark, sf_dir):
 
 
 def shipment_by_id(spark, sf_dir):
-    state = shipment_state(spark, sf_dir)
+    state = lifecycle.shipment_state(replayed(spark, sf_dir, SHIPMENT))
     return lifecycle.response(lifecycle.shipment_by_id(state, SHIPMENT))
 
 
@@ -76,7 +75,7 @@ def _results(spark, sf_dir):
         tables.scan_requests(spark, sf_dir),
         tables.recreated(spark, sf_dir),
         tables.SCAN_ORDER,
-        keys=tables.scan_keys(spark, sf_dir),
+        keys=tables.request_keys(spark, sf_dir),
     )
 
 

@@ -16,10 +16,14 @@ SHIPMENT = " 42 "
 FIRST_CREATED = "bc4963d1b019215ba3be2ebe19b9460b217fe3d75ddcbfe8ea99b03267c9a401"
 
 
-def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Created events, and scanned and delivered ones from one replay."""
-    return events.created_events(tables.created(spark, sf_dir)).unionByName(
-        events.replayed_events(replayed(spark, sf_dir))
+def all_events(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """Created events, and scanned and delivered ones from one replay; of all
+    shipments or of one."""
+    created = tables.created(spark, sf_dir)
+    if shipment_id is not None:
+        created = created.filter(F.col("shipment_id") == shipment_id)
+    return events.created_events(created).unionByName(
+        events.replayed_events(replayed(spark, sf_dir, shipment_id))
     )
 
 
@@ -28,7 +32,8 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notifications_for_shipment(spark, sf_dir):
-    return notify.notifications_for_shipment(notifications(spark, sf_dir), SHIPMENT)
+    notes = notify.notifications(all_events(spark, sf_dir, SHIPMENT.strip()))
+    return notify.notifications_for_shipment(notes, SHIPMENT)
 
 
 def notification_by_id(spark, sf_dir):

@@ -255,6 +255,7 @@ COUNTS = {
         SELECT location, date_trunc('day', delivered_at) AS window_start,
                date_trunc('day', delivered_at) + INTERVAL 1 DAY AS window_end, count(*) AS count
         FROM delivered GROUP BY ALL""",
+    "delivery_counts_streamed": f"WITH {_HOURLY} SELECT * FROM hourly",
     "analytics_records": f"""WITH {_HOURLY}
         SELECT 'delivery-analytics' AS topic, location || '-' || epoch_ms(window_start) AS key,
                {_json(location=_quoted('location'), count='count',

@@ -104,18 +104,18 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
-def _scan_columns() -> list[Column]:
-    identity = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+_SCAN_IDENTITY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def _arrival() -> list[Column]:
+    """The columns of SCAN_ORDER."""
     return [
-        F.col("l_orderkey").cast("string").alias("shipment_id"),
         F.col("l_shipdate").alias("scanned_at"),
         F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supplier"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
-        F.concat_ws("-", *identity).alias("correlation_id"),
-        F.concat_ws(":", F.lit(S.TOPIC_SCANNED), *identity).alias("record_id"),
     ]
 
 
@@ -133,7 +133,13 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     destinations = _orders_to(spark, sf_dir).select(
         F.col("o_orderkey").cast("string").alias("shipment_id"), "destination"
     )
-    lines = _lines(spark, sf_dir).select(*_scan_columns(), _any_case(F.col("location")).alias("location"))
+    lines = _lines(spark, sf_dir).select(
+        F.col("l_orderkey").cast("string").alias("shipment_id"),
+        *_arrival(),
+        F.concat_ws("-", *_SCAN_IDENTITY).alias("correlation_id"),
+        F.concat_ws(":", F.lit(S.TOPIC_SCANNED), *_SCAN_IDENTITY).alias("record_id"),
+        _any_case(F.col("location")).alias("location"),
+    )
     return lines.join(destinations, "shipment_id")
 
 
@@ -157,23 +163,31 @@ def dirty_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan requests: some without id or location, some for shipments nobody made."""
-    line, part = F.col("l_linenumber"), F.col("l_partkey")
-    shipment = F.col("l_orderkey").cast("string")
-    rows = _lines(spark, sf_dir).select(*_scan_columns(), "l_linenumber", "l_partkey", "l_orderkey", "location")
-    return rows.select(
-        F.when((line == 5) & (part % 2 == 0), F.lit(None).cast("string"))
+def _asked_id() -> Column:
+    """The id a scan request names: some name none, some a shipment nobody made."""
+    shipment, part = F.col("l_orderkey").cast("string"), F.col("l_partkey")
+    return (
+        F.when((F.col("l_linenumber") == 5) & (part % 2 == 0), F.lit(None).cast("string"))
         .when(part % 50 == 1, F.concat(F.lit("X-"), shipment))
         .when(part % 50 == 2, F.lit("  "))
         .otherwise(shipment)
-        .alias("shipment_id"),
-        F.when(line == 6, F.lit(None).cast("string"))
-        .when(line == 7, F.lit("  "))
-        .otherwise(F.col("location"))
-        .alias("location"),
-        *SCAN_ORDER,
-        F.col("correlation_id").alias("request_id"),
+        .alias("shipment_id")
+    )
+
+
+def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipment ids of all scan requests; the missing and blank ones are many of a kind."""
+    return table(spark, sf_dir, "lineitem").select(_asked_id())
+
+
+def scan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan requests: some without id or location, some for shipments nobody made."""
+    line = F.col("l_linenumber")
+    location = (
+        F.when(line == 6, F.lit(None).cast("string")).when(line == 7, F.lit("  ")).otherwise(F.col("location"))
+    )
+    return _lines(spark, sf_dir).select(
+        _asked_id(), location.alias("location"), *_arrival(), F.concat_ws("-", *_SCAN_IDENTITY).alias("request_id")
     )
 
 
@@ -218,9 +232,9 @@ def shipment_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered events at clock-time grain."""
-    return table(spark, sf_dir, "events").select(
+def as_deliveries(events: DataFrame) -> DataFrame:
+    """Rows of the events table, still or streaming, as deliveries."""
+    return events.select(
         "event_id",
         F.col("user_id").cast("string").alias("shipment_id"),
         F.col("event_type").alias("location"),
@@ -228,6 +242,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered events at clock-time grain."""
+    return as_deliveries(table(spark, sf_dir, "events"))
+
+
 def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, arriving up to three hours after their time."""
     delay = F.make_dt_interval(mins=(F.col("event_id") * 37 % 180).cast("int"))
