@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators import gate, late, lifecycle
-from waybill.operators.skew import HotKeys, OrderedKeys, Running, sized_broadcast
+from waybill.operators.skew import FIRST, HotKeys, Running, sized_broadcast, with_running
 from waybill.sources import tables
 
 EAGER = HotKeys(slots=4096, factor=8, floor_rows=100)
@@ -56,8 +56,10 @@ def test_replay_of_a_hot_shipment(spark, small_dir, prepared):
 
 def test_the_hot_rows_spread_over_tasks(spark, small_dir):
     scans = hot_scans(spark, small_dir).repartition(8, "shipment_id")
-    ordered = OrderedKeys.of(scans, "shipment_id", tables.SCAN_ORDER, tables.scan_chunk(), EAGER)
-    placed = ordered.with_running(Running("seq", "count")).df.filter("shipment_id = 'HOT'")
+    counted = with_running(
+        scans, "shipment_id", tables.SCAN_ORDER, tables.scan_chunk(), [Running("seq", "count")], hot=EAGER
+    )
+    placed = counted.filter("shipment_id = 'HOT'")
     adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -86,21 +88,22 @@ def test_running_values_over_nulls(spark):
     rows = [("a", i, None if i % 3 == 0 else i, None if i < 40 else -i) for i in range(90)]
     rows += [("b", i, i, None) for i in range(3)]
     df = spark.createDataFrame(rows, "k string, o int, v int, w int")
-    values = (
+    values = [
         Running("n", "count"),
-        Running("f", "first", F.col("v")),
         Running("l", "last", F.col("v")),
         Running("m", "max", F.col("w")),
-    )
+        Running("d", "last", F.col("o") - F.coalesce(F.col(FIRST), F.lit(100))),
+    ]
 
     def run(hot):
-        return OrderedKeys.of(df, "k", ["o"], [F.floor(F.col("o") / 7)], hot).with_running(*values).result()
+        chunk = [F.floor(F.col("o") / 7)]
+        return with_running(df, "k", ["o"], chunk, values, F.col("v"), hot).withColumnRenamed(FIRST, "f")
 
     split = run(HotKeys(slots=16, factor=0, floor_rows=10))
     same(split, run(NEVER))
     at = {r["o"]: r for r in split.filter("k = 'a'").collect()}
-    assert (at[0]["n"], at[0]["f"], at[0]["l"], at[0]["m"]) == (1, None, None, None)
-    assert (at[63]["n"], at[63]["f"], at[63]["l"], at[63]["m"]) == (64, None, 62, -40)
+    assert [at[0][c] for c in "nflmd"] == [1, None, None, None, -100]
+    assert [at[63][c] for c in "nflmd"] == [64, None, 62, -40, -37]
 
 
 def test_sized_broadcast(spark):

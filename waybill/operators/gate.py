@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.functions import text
-from waybill.operators.skew import HotKeys, OrderedKeys, Running
+from waybill.operators.skew import HotKeys, Running, with_running
 from waybill.operators.validate import scan_error
 
 
@@ -51,8 +51,10 @@ def scan_results(
     before the scan.  Adds ``success``, ``error_message`` and ``destination``.
     """
     both, full_order = _timeline(requests, created, order)
-    timeline = OrderedKeys.of(both, "shipment_id", full_order, chunk or [F.col("at")], hot, keys)
-    answered = timeline.with_running(Running("known", "last", F.col("create"))).result().filter("kind = 1")
+    answered = with_running(
+        both, "shipment_id", full_order, chunk or [F.col("at")],
+        [Running("known", "last", F.col("create"))], hot=hot, keys=keys,
+    ).filter("kind = 1")
     not_found = F.concat(F.lit("Shipment with ID "), F.col("shipment_id"), F.lit(" not found."))
     error = F.coalesce(scan_error(), F.when(F.col("known").isNull(), not_found))
     return answered.select(

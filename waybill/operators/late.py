@@ -42,15 +42,16 @@ def closing_arrivals(
     """Per clock and window the arrival that closes it: ``closed_by``, null if none does."""
     # the last window a row closes, and with it all earlier ones
     shifted = F.col(time) - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {grace}")
-    marked = (
-        _assigned(events, time, size, slide)
-        .select(*clock, _position(order).alias("a"), "window_start", shifted.alias("_shifted"))
-        .select("*", F.window("_shifted", slide)["start"].alias("_closes"))
+    closes = (
+        events.select(*clock, _position(order).alias("a"), F.window(shifted, slide)["start"].alias("window_start"))
+        .groupBy(*clock, "window_start")
+        .agg(F.min("a").alias("a"))
+        .withColumn("asked", F.lit(False))
     )
-    own = F.struct("window_start", F.when(F.lit(False), F.col("a")).alias("a"), F.lit(True).alias("asked"))
-    closed = F.struct(F.col("_closes").alias("window_start"), "a", F.lit(False).alias("asked"))
+    asked = _assigned(events, time, size, slide).select(*clock, "window_start").distinct()
     marks = (
-        marked.select(*clock, F.inline(F.array(own, closed)))
+        asked.withColumn("asked", F.lit(True))
+        .unionByName(closes, allowMissingColumns=True)
         .groupBy(*clock, "window_start")
         .agg(F.min("a").alias("a"), F.max("asked").alias("asked"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from waybill import schemas as S
 from waybill.functions import text
-from waybill.operators.skew import HotKeys, OrderedKeys, Running
+from waybill.operators.skew import FIRST, HotKeys, Running, with_running
 
 
 def usable_scans(scans: DataFrame) -> DataFrame:
@@ -41,27 +41,29 @@ def replay(
     """Every scan with the shipment's state right after it.
 
     ``order`` is the total order of arrival within a shipment and ``chunk`` how
-    to cut an overfull shipment (see OrderedKeys).  Adds ``seq``, ``created_at``,
+    to cut an overfull shipment (see skew.with_running).  Adds ``seq``, ``created_at``,
     ``delivered`` (this scan delivers), ``delivered_at`` and ``status``;
     ``destination`` is the shipment's, ``scan_destination`` the event's own.
     """
-    ordered = OrderedKeys.of(usable_scans(scans), "shipment_id", order, chunk, hot, keys)
-    known = ordered.with_running(
-        Running("seq", "count"),
-        Running("first_scan", "first", F.struct("destination", "scanned_at")),
+    delivers = at_destination(F.col("location"), F.col(f"{FIRST}.destination"))
+    rows = with_running(
+        usable_scans(scans), "shipment_id", order, chunk,
+        [
+            Running("seq", "count"),
+            Running("was_delivered", "max", delivers),
+            # wrapped: a delivering scan without a time still sets the field
+            Running("delivery", "last", F.when(delivers, F.struct("scanned_at"))),
+        ],
+        first=F.struct("destination", "scanned_at"),
+        hot=hot,
+        keys=keys,
     )
-    delivers = at_destination(F.col("location"), F.col("first_scan.destination"))
-    rows = known.with_running(
-        Running("was_delivered", "max", delivers),
-        # wrapped: a delivering scan without a time still sets the field
-        Running("delivery", "last", F.when(delivers, F.struct("scanned_at"))),
-    ).result()
     return rows.select(
         *[c for c in scans.columns if c != "destination"],
         F.col("destination").alias("scan_destination"),
-        F.col("first_scan.destination").alias("destination"),
+        F.col(f"{FIRST}.destination").alias("destination"),
         "seq",
-        F.col("first_scan.scanned_at").alias("created_at"),
+        F.col(f"{FIRST}.scanned_at").alias("created_at"),
         delivers.alias("delivered"),
         F.col("delivery.scanned_at").alias("delivered_at"),
         F.when(F.col("was_delivered"), S.DELIVERED).otherwise(S.IN_TRANSIT).alias("status"),

@@ -1,13 +1,13 @@
 """Keys that hold a large share of the rows.
 
-Two tools: ``OrderedKeys`` computes running values per key in arrival order
+Two tools: ``with_running`` computes running values per key in arrival order
 without ever putting a hot key into one task, and ``sized_broadcast`` hands a
 table to every task only after its size has been checked.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ class HotKeys:
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is count, first, last (ignoring nulls) or max."""
+    """One running value: ``kind`` is count, last (ignoring nulls) or max."""
 
     name: str
     kind: str
@@ -59,20 +59,16 @@ class Running:
         """The value within one chunk."""
         if self.kind == "count":
             return F.count(F.lit(1)).over(window)
-        if self.kind == "first":
-            return F.first(self.value).over(window)
         if self.kind == "last":
             return F.last(self.value, ignorenulls=True).over(window)
         return F.max(self.value).over(window)
 
     def total(self, position: Column) -> Column:
-        """What a whole chunk contributes; first and last carry their position along."""
-        placed = F.struct(position.alias("p"), self.value.alias("v")) if self.value is not None else None
+        """What a whole chunk contributes; a last value carries its position along."""
         if self.kind == "count":
             return F.count(F.lit(1))
-        if self.kind == "first":
-            return F.min(placed)
         if self.kind == "last":
+            placed = F.struct(position.alias("p"), self.value.alias("v"))
             return F.max(F.when(self.value.isNotNull(), placed))
         return F.max(self.value)
 
@@ -80,91 +76,95 @@ class Running:
         """What the chunks before contribute together."""
         if self.kind == "count":
             return F.sum(total).over(before)
-        if self.kind == "first":
-            return F.first(total).over(before)
         if self.kind == "last":
-            return F.last(total, ignorenulls=True).over(before)
+            return F.last(total, ignorenulls=True).over(before)["v"]
         return F.max(total).over(before)
 
     def joined(self, mine: Column, carry: Column) -> Column:
         if self.kind == "count":
             return mine + F.coalesce(carry, F.lit(0))
-        if self.kind == "first":
-            return F.when(carry.isNotNull(), carry["v"]).otherwise(mine)
         if self.kind == "last":
-            return F.coalesce(mine, carry["v"])
+            return F.coalesce(mine, carry)
         return F.greatest(mine, carry)
 
 
-@dataclass(frozen=True)
-class OrderedKeys:
-    """Rows of ``df`` grouped by ``key`` and totally ordered by ``order``.
+FIRST = "first_value"
+
+
+def with_running(
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    chunk: list[Column],
+    values: list[Running],
+    first: Column | None = None,
+    hot: HotKeys | None = None,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` with one more column per running value, per ``key`` in the total
+    order of the columns ``order``; each value includes its own row.
 
-    The keys are counted first (from ``keys``, which may be a cheaper table).
+    ``first``, if given, is evaluated on a key's first row and put on all of its
+    rows as ``first_value``, which the running values may refer to.
+
+    The keys are counted beforehand (in ``keys``, which may be a cheaper table).
     Without a hot key this is a plain window per key.  A hot key is cut into
     chunks: one per distinct value of the columns ``chunk``, which must be a
     prefix of ``order`` or grow with it (a day, an offset divided by a million).
-    Rows are still shuffled once, by key and chunk; each chunk runs on its own
-    and takes over the totals of the chunks before it, a few rows per hot key.
+    The chunks' totals are aggregated first, a few rows per hot key; then the
+    rows are shuffled once, by key and chunk, and each chunk runs on its own,
+    on top of the totals of the chunks before it.  Rows without a key belong to
+    no group; their values mean nothing.
     """
-
-    df: DataFrame
-    key: str
-    order: tuple[str, ...]
-    hot_slots: tuple[int, ...] = ()
-
-    @classmethod
-    def of(
-        cls,
-        df: DataFrame,
-        key: str,
-        order: list[str],
-        chunk: list[Column],
-        hot: HotKeys | None = None,
-        keys: DataFrame | None = None,
-    ) -> "OrderedKeys":
-        hot = hot or HotKeys()
-        found = hot.find((df if keys is None else keys).select(key), key)
-        if not found:
-            return cls(df, key, tuple(order))
-        cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-        marked = df.withColumn("_chunk", F.when(hot.slot(key).isin(*found), cut))
-        # Said outright: rows that lie partitioned by key alone would do for the
-        # windows below, and leave the hot key where it is.
-        spread = marked.repartition(key, "_chunk")
-        return cls(spread, key, tuple(order), tuple(found))
-
-    def with_running(self, *values: Running) -> "OrderedKeys":
-        """The same rows with one more column per running value; each includes its own row."""
-        group = [self.key, "_chunk"] if self.hot_slots else [self.key]
-        here = (
-            Window.partitionBy(*group)
-            .orderBy(*self.order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        rows = self.df.select("*", *[v.over(here).alias(v.name) for v in values])
-        if not self.hot_slots:
-            return replace(self, df=rows)
-
-        before = (
-            Window.partitionBy(self.key)
-            .orderBy("_chunk")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        position = F.struct(*self.order)
-        carry = (
-            self.df.filter(F.col("_chunk").isNotNull())
-            .groupBy(*group)
-            .agg(*[v.total(position).alias(f"_c_{v.name}") for v in values])
-            .select(*group, *[v.carried(f"_c_{v.name}", before).alias(f"_c_{v.name}") for v in values])
-        )
-        # Hash join: the rows are already placed by key and chunk and stay sorted.
-        joined = rows.join(carry.hint("shuffle_hash"), group, "left")
-        final = [v.joined(F.col(v.name), F.col(f"_c_{v.name}")).alias(v.name) for v in values]
-        return replace(self, df=joined.select(*self.df.columns, *final))
-
-    def result(self) -> DataFrame:
-        return self.df.drop("_chunk")
+    hot = hot or HotKeys()
+    found = hot.find((df if keys is None else keys).select(key), key)
+    group = [key, "_chunk"] if found else [key]
+    here = (
+        Window.partitionBy(*group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    if not found:
+        rows = df if first is None else df.withColumn(FIRST, F.first(first).over(here))
+        return rows.select("*", *[v.over(here).alias(v.name) for v in values])
+
+    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+    is_hot = hot.slot(key).isin(*found)
+    marked = df.withColumn("_chunk", F.when(is_hot, cut))
+    hot_rows = df.filter(is_hot).withColumn("_chunk", cut)
+    carry = sized_broadcast(_chunk_totals(hot_rows, key, order, values, first))
+    # Said outright: rows that lie partitioned by key alone would do for the
+    # windows below, and leave the hot key where it is.
+    rows = marked.repartition(*group).join(carry, group, "left")
+    if first is not None:
+        own = F.first(first).over(here)
+        rows = rows.withColumn(FIRST, F.when(F.col("_first").isNotNull(), F.col("_first.v")).otherwise(own))
+    rows = rows.select("*", *[v.over(here).alias(f"_here_{v.name}") for v in values])
+    kept = df.columns if first is None else [*df.columns, FIRST]
+    return rows.select(
+        *kept, *[v.joined(F.col(f"_here_{v.name}"), F.col(f"_c_{v.name}")).alias(v.name) for v in values]
+    )
+
+
+def _chunk_totals(
+    rows: DataFrame, key: str, order: list[str], values: list[Running], first: Column | None
+) -> DataFrame:
+    """Per key and chunk what came before it, and the key's first value."""
+    position = F.struct(*order)
+    if first is not None:
+        wrapped = F.min(F.struct(position.alias("p"), first.alias("v"))).alias("_first")
+        firsts = sized_broadcast(rows.groupBy(key).agg(wrapped))
+        rows = rows.join(firsts, key).withColumn(FIRST, F.col("_first.v"))
+    totals = rows.groupBy(key, "_chunk").agg(
+        *[v.total(position).alias(f"_c_{v.name}") for v in values],
+        *([] if first is None else [F.min("_first").alias("_first")]),
+    )
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        key, "_chunk",
+        *[v.carried(f"_c_{v.name}", before).alias(f"_c_{v.name}") for v in values],
+        *([] if first is None else ["_first"]),
+    )
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
