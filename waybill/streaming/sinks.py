@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from waybill.sources import decode
@@ -19,7 +19,10 @@ from waybill.sources import decode
 TRIGGER = "10 seconds"
 
 
-def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False, every: str = TRIGGER) -> StreamingQuery:
+def start(
+    writer: DataStreamWriter, checkpoint: str, available_now: bool = False, every: str = TRIGGER
+) -> StreamingQuery:
+    """Run on a trigger, or once over all that is there."""
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()
