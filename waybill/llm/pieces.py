@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED = 700_000  # segments remembered by one Python worker
-SLICE = 2_000_000  # characters of text taken at once
+CACHED = 250_000  # segments remembered by one Python worker
+SLICE = 500_000  # characters of text taken at once
+ROWS = 400  # rows of a batch that Python holds at once
 ROUND = 100_000  # characters of new segments merged at once; fits a processor's cache
 NONE = np.int64(1) << 30
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
@@ -370,8 +371,8 @@ def _with(df: DataFrame, name: str, kind: T.DataType, column: str, make) -> Data
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                batch = whole.slice(begin, 2000)
+            for begin in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(begin, ROWS)
                 made = make(batch.column(column))
                 yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
