@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import pieces
+from waybill.llm import oracle, pieces, secrets, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without windows of an earlier document."""
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text; base_sha256 leaves out what the test battery adds."""
+    found = secrets.find(read(spark, sf_dir, "documents"))
+
+    def of(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), of(3).alias("n_random"),
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and their decoding, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -25,6 +48,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op8_sentencepiece": op8_sentencepiece,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_substring_dedup": oracle.OP2,
+}
