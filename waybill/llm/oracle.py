@@ -34,3 +34,27 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+OP9 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents
+), s AS (
+  SELECT r, doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS g
+  FROM d
+), x AS MATERIALIZED (SELECT r, len(g) AS n, unnest(g) AS k FROM s),
+p AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM x a JOIN x b ON a.k = b.k AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT r AS a, r AS b FROM s
+  UNION
+  SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a
+)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id
+FROM s JOIN (SELECT reach.a, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = reach.b GROUP BY 1) m ON m.a = s.r
+"""

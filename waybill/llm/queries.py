@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import oracle, pieces, secrets, substrings
+from waybill.llm import jaccard, oracle, pieces, secrets, substrings
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,11 +47,18 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity class of every document."""
+    return jaccard.similar_classes(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 ORACLE = {
     "op2_substring_dedup": oracle.OP2,
+    "op9_jaccard_join": oracle.OP9,
 }
