@@ -58,3 +58,50 @@ p AS MATERIALIZED (
 SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id
 FROM s JOIN (SELECT reach.a, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = reach.b GROUP BY 1) m ON m.a = s.r
 """
+
+OP10 = r"""
+WITH c AS (
+  SELECT page_id, url,
+         make_timestamp(1000000 * (1704067200 +
+           ('0x' || substr(md5(concat_ws('|', url, page_id::VARCHAR)), 1, 7))::BIGINT % (366 * 86400))) AS fetched_at,
+         nullif(lower(regexp_replace(regexp_extract(trim(url),
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\.$', '')), '') AS host,
+         regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), h AS (
+  SELECT host, n, to_timestamp(1704067200 + n % (200 * 86400))::TIMESTAMP AS a,
+         to_timestamp(1704067200 + n % (200 * 86400) + (n % 97 + 1) * 86400)::TIMESTAMP AS b,
+         string_split(host, '.') AS l
+  FROM (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 7))::BIGINT % 134217728 AS n FROM c WHERE host IS NOT NULL)
+), log AS (
+  SELECT 'hosts' AS list, 'block' AS action, 'host' AS kind, host AS pattern, a AS since, 0 AS removed FROM h WHERE n % 3 = 0
+  UNION ALL SELECT 'hosts', 'block', 'host', host, b, 1 FROM h WHERE n % 6 = 0
+  UNION ALL SELECT 'domains', 'block', 'domain', array_to_string(l[-2:], '.'), a, 0 FROM h WHERE n % 4 = 0 AND len(l) > 1
+  UNION ALL SELECT 'domains', 'block', 'domain', array_to_string(l[-2:], '.'), b, 1 FROM h WHERE n % 2 = 0 AND len(l) > 1
+  UNION ALL SELECT 'paths', 'allow', 'prefix', host || '/en/', b, 0 FROM h WHERE n % 5 < 2
+), each AS (
+  SELECT list, action, kind, pattern, since, max(removed) AS removed FROM log GROUP BY ALL
+), changes AS (
+  SELECT * FROM (
+    SELECT *, lag(removed, 1, 1) OVER (PARTITION BY list, action, kind, pattern ORDER BY since) AS before FROM each
+  ) WHERE removed <> before
+), held AS (
+  SELECT * FROM (
+    SELECT *, lead(since) OVER (PARTITION BY list, action, kind, pattern ORDER BY since) AS until FROM changes
+  ) WHERE removed = 0
+), met AS (
+  SELECT c.page_id, c.url, c.fetched_at, held.list, held.action, held.kind, held.pattern,
+         CASE held.kind WHEN 'domain' THEN len(string_split(held.pattern, '.')) WHEN 'host' THEN 1000000
+           ELSE 2000000 + len(string_split(held.pattern, '/')) - 1 END AS weight
+  FROM c JOIN held ON fetched_at >= since AND (until IS NULL OR fetched_at < until) AND CASE held.kind
+    WHEN 'host' THEN c.host = held.pattern
+    WHEN 'domain' THEN c.host = held.pattern OR ends_with(c.host, '.' || held.pattern)
+    ELSE starts_with(c.host || c.path, held.pattern) END
+), best AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY page_id, url ORDER BY weight DESC, action DESC, kind DESC, pattern DESC, list DESC
+  ) AS place FROM met
+)
+SELECT c.page_id, c.url, c.fetched_at, coalesce(best.action, 'unlisted') AS verdict, best.list, best.kind, best.pattern
+FROM c LEFT JOIN best ON best.page_id = c.page_id AND best.url = c.url AND place = 1
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import jaccard, oracle, pieces, secrets, substrings
+from waybill.llm import jaccard, oracle, pieces, secrets, substrings, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    return topk.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text; base_sha256 leaves out what the test battery adds."""
     found = secrets.find(read(spark, sf_dir, "documents"))
@@ -52,13 +57,59 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_classes(read(spark, sf_dir, "documents"))
 
 
+def _number(text: Column, modulus: int) -> Column:
+    """A number that SQL engines agree on, from a text."""
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") % modulus
+
+
+def captures_of(pages: DataFrame) -> DataFrame:
+    """The pages with a fetch time in 2024; the table has none of its own."""
+    second = _number(F.concat_ws("|", "url", F.col("page_id").cast("string")), 366 * 86400)
+    return pages.select("page_id", "url", F.timestamp_seconds(F.lit(1704067200) + second).alias("fetched_at"))
+
+
+def list_log_of(pages: DataFrame) -> DataFrame:
+    """Dated list entries for every host of ``pages``, so that the lists grow with them."""
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).filter("host is not null").distinct()
+    n = _number(F.col("host"), 1 << 27)
+    moment = F.timestamp_seconds(F.lit(1704067200) + n % (200 * 86400))
+    later = F.timestamp_seconds(F.lit(1704067200) + n % (200 * 86400) + (n % 97 + 1) * 86400)
+    domain = F.array_join(F.slice(F.split("host", r"\."), -2, 2), ".")
+    two = F.size(F.split("host", r"\.")) > 1
+
+    def entry(name: str, action: str, kind: str, pattern: Column, at: Column, op: str, when: Column) -> Column:
+        return F.when(when, F.struct(
+            F.lit(name).alias("list"), F.lit(action).alias("action"), F.lit(kind).alias("kind"),
+            pattern.alias("pattern"), at.alias("at"), F.lit(op).alias("op"),
+        ))
+
+    rows = F.array(
+        entry("hosts", "block", "host", F.col("host"), moment, "add", n % 3 == 0),
+        entry("hosts", "block", "host", F.col("host"), later, "remove", n % 6 == 0),
+        entry("domains", "block", "domain", domain, moment, "add", (n % 4 == 0) & two),
+        entry("domains", "block", "domain", domain, later, "remove", (n % 2 == 0) & two),
+        entry("paths", "allow", "prefix", F.concat("host", F.lit("/en/")), later, "add", n % 5 < 2),
+    )
+    return hosts.select(F.explode(F.array_compact(rows)).alias("e")).select("e.*")
+
+
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the lists as of its fetch time."""
+    pages = read(spark, sf_dir, "pages")
+    return urls.evaluate(captures_of(pages), list_log_of(pages))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_url_lists": op10_url_lists,
 }
 ORACLE = {
     "op2_substring_dedup": oracle.OP2,
+    "op4_exact_topk": oracle.OP4,
     "op9_jaccard_join": oracle.OP9,
+    "op10_url_lists": oracle.OP10,
 }
