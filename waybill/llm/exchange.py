@@ -13,7 +13,7 @@ the shuffle small.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -61,17 +61,23 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(wide.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
-def narrowed(values: np.ndarray) -> bytes:
-    """Non-negative integers in the narrowest of four widths, told by the first byte."""
-    top = int(values.max()) if len(values) else 0
-    kind = next(k for k in "BHIQ" if top < 1 << (8 * np.dtype(k).itemsize))
-    return kind.encode() + values.astype(f"<{np.dtype(kind).str[1:]}").tobytes()
+def packed_columns(columns: list[np.ndarray]) -> bytes:
+    """Arrays of non-negative integers, each in the narrowest width that holds it."""
+    out = []
+    for values in columns:
+        top = int(values.max()) if len(values) else 0
+        width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
+        out += [width.to_bytes(1, "little"), len(values).to_bytes(4, "little"), values.astype(f"<u{width}").tobytes()]
+    return b"".join(out)
 
 
-def widened(data: bytes) -> np.ndarray:
-    if not data:
-        return np.zeros(0, np.int64)
-    return np.frombuffer(data, f"<{np.dtype(data[:1].decode()).str[1:]}", offset=1).astype(np.int64)
+def unpacked_columns(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        width, size = data[at], int.from_bytes(data[at + 1:at + 5], "little")
+        out.append(np.frombuffer(data, f"<u{width}", size, at + 5).astype(np.int64))
+        at += 5 + width * size
+    return out
 
 
 def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -81,75 +87,104 @@ def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def asked(
-    grouped: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray | None]], buckets: int,
+    grouped: DataFrame,
+    keys_of: Callable[[pa.Table, pa.Table], tuple[np.ndarray, list[np.ndarray]]],
+    buckets: int,
+    side: DataFrame,
 ) -> DataFrame:
-    """Rows (b, g, keys, payload) of each group ``g``.
+    """Rows (b, g, keys, payload): what each group ``g`` asks each bucket.
 
-    ``keys_of`` gets a group's rows and returns ascending distinct keys and, if
-    wanted, a non-negative integer for each.
+    ``keys_of`` gets a group's rows and its rows of ``side``, and returns ascending
+    distinct keys with any number of non-negative integers for each.  A group asks
+    every bucket, if only with no keys, so that all learn what the buckets tell all.
     """
 
-    def send(table: pa.Table) -> pa.Table:
-        keys, payload = keys_of(table)
+    def send(table: pa.Table, beside: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return ASKED_ARROW.empty_table()
+        keys, payload = keys_of(table, beside)
         g = table.column("g")[0].as_py()
-        cuts = bucket_bounds(keys, buckets)
-        rows = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
+        cuts = bucket_bounds(keys, buckets).tolist()
+        parts = list(zip(cuts[:-1], cuts[1:]))
         return pa.table({
-            "b": pa.array(rows, pa.int32()),
-            "g": pa.array([g] * len(rows), pa.int32()),
-            "keys": pa.array([pack(keys[cuts[b]:cuts[b + 1]]) for b in rows], pa.binary()),
-            "payload": pa.array(
-                [None if payload is None else narrowed(payload[cuts[b]:cuts[b + 1]]) for b in rows], pa.binary()
-            ),
+            "b": pa.array(range(buckets), pa.int32()),
+            "g": pa.array([g] * buckets, pa.int32()),
+            "keys": pa.array([pack(keys[x:y]) for x, y in parts], pa.binary()),
+            "payload": pa.array([packed_columns([p[x:y] for p in payload]) for x, y in parts], pa.binary()),
         }, schema=ASKED_ARROW)
 
-    return grouped.groupBy("g").applyInArrow(send, ASKED)
+    return grouped.groupBy("g").cogroup(side.groupBy("g")).applyInArrow(send, ASKED)
 
 
 def replied(
-    asks: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarray | None], np.ndarray],
-    encode: Callable[[np.ndarray], bytes],
+    asks: DataFrame,
+    answer: Callable[[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray], tuple[list[np.ndarray], list[int]]],
 ) -> DataFrame:
     """Rows (g, b, reply) for each (b, g).
 
-    ``answer`` gets all entries of a bucket sorted by key, then group: for each the
-    number of its run of equal keys, whether it begins the run, and its payload.  It
-    returns a value for each entry; ``encode`` packs those of one group.
+    ``answer`` gets all entries of a bucket by key, then group: the number of each
+    one's run of equal keys, whether it begins the run, the payload, and the keys.  It
+    returns arrays with a value for each entry, and numbers for every group.
     """
 
     def reply(table: pa.Table) -> pa.Table:
         groups = table.column("g").to_numpy()
         by = np.argsort(groups, kind="stable")
         keys = [unpack(table.column("keys")[int(i)].as_py()) for i in by]
-        payloads = [table.column("payload")[int(i)].as_py() for i in by]
-        sizes = np.array([len(k) for k in keys])
+        payloads = [unpacked_columns(table.column("payload")[int(i)].as_py()) for i in by]
         flat = np.concatenate(keys)
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
-        first = np.append(True, flat[1:] != flat[:-1])
-        run = np.cumsum(first) - 1
-        payload = None if payloads[0] is None else np.concatenate([widened(p) for p in payloads])[order]
-        values = answer(run, first, payload)
-        back = np.empty(len(values), values.dtype)
-        back[order] = values
-        ends = np.cumsum(sizes)
+        first = np.ones(len(flat), bool)
+        first[1:] = flat[1:] != flat[:-1]
+        payload = [np.concatenate(p)[order] for p in zip(*payloads)]
+        del payloads
+        values, told = answer(np.cumsum(first) - 1, first, payload, flat)
+        back = []
+        for column in values:
+            out = np.empty_like(column)
+            out[order] = column
+            back.append(out)
+        ends = np.cumsum([len(k) for k in keys])
         b = table.column("b")[0].as_py()
         return pa.table({
             "g": pa.array(groups[by], pa.int32()),
             "b": pa.array([b] * len(by), pa.int32()),
-            "reply": pa.array([encode(back[e - n:e]) for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary()),
+            "reply": pa.array([
+                packed_columns([np.array(told, np.int64), *(v[end - len(k):end] for v in back)])
+                for k, end in zip(keys, ends.tolist())
+            ], pa.binary()),
         }, schema=REPLIED_ARROW)
 
     return asks.groupBy("b").applyInArrow(reply, REPLIED)
 
 
 def finished(
-    grouped: DataFrame, replies: DataFrame, finish: Callable[[pa.Table, list[bytes]], Iterator[pa.Table] | pa.Table], schema,
+    grouped: DataFrame,
+    replies: DataFrame,
+    finish: Callable[[pa.Table, pa.Table, list[np.ndarray], np.ndarray], pa.Table],
+    schema: str,
+    side: DataFrame,
 ) -> DataFrame:
-    """``finish`` gets a group's rows and the replies in bucket order."""
+    """What ``finish`` makes of each group's rows.
+
+    It also gets the group's rows of ``side``, the replies' arrays in the order of the
+    group's keys, and the sums of the numbers that the buckets tell all.
+    """
+    names = [c for c in side.columns if c != "g"]
+    beside = replies.unionByName(side, allowMissingColumns=True)
+
+    def each(table: pa.Table, back: pa.Table) -> pa.Table:
+        place = back.column("b").to_numpy(zero_copy_only=False)
+        told = np.isfinite(place.astype(float))
+        by = np.flatnonzero(told)[np.argsort(place[told], kind="stable")]
+        parts = [unpacked_columns(back.column("reply")[int(i)].as_py()) for i in by]
+        values = [np.concatenate(v) for v in list(zip(*parts))[1:]]
+        total = np.sum([p[0] for p in parts], axis=0) if parts else np.zeros(0, np.int64)
+        return finish(table, back.select(names).filter(pa.array(~told)), values, total)
+
+    return grouped.groupBy("g").cogroup(beside.groupBy("g")).applyInArrow(each, schema)
 
-    def each(docs: pa.Table, back: pa.Table) -> pa.Table:
-        by = np.argsort(back.column("b").to_numpy()) if back.num_rows else []
-        return finish(docs, [back.column("reply")[int(i)].as_py() for i in by])
 
-    return grouped.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(each, schema)
+def no_side(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "g int")

@@ -88,20 +88,20 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
         exchange.hashed_group(F.col("node"), groups).alias("g"), "node", "text"
     )
 
-    def keys_of(table: pa.Table):
+    def keys_of(table: pa.Table, _):
         sets = shingle_sets(raw_texts(_different(table).column("text")), size)
         keys, counts = np.unique(np.concatenate([_codes(s) for s in sets]), return_counts=True)
-        return keys, counts
+        return keys, [counts]
 
-    def frequency(run, first, payload):
-        return np.minimum(np.bincount(run, payload).astype(np.int64)[run], DF_LIMIT)
+    def frequency(run, first, payload, keys):
+        return [np.minimum(np.bincount(run, payload[0]).astype(np.int64)[run], DF_LIMIT)], []
 
-    def finish(table: pa.Table, replies: list[bytes]) -> pa.Table:
+    def finish(table: pa.Table, _, replies: list[np.ndarray], told) -> pa.Table:
         table = _different(table)
         sets = shingle_sets(raw_texts(table.column("text")), size)
         codes = [_codes(s) for s in sets]
         keys = np.unique(np.concatenate(codes))
-        known = np.concatenate([np.zeros(0, np.int64), *map(exchange.widened, replies)])
+        known = replies[0]
         rare, marks, ordered = [], [], []
         for one, code in zip(sets, codes):
             n = len(one)
@@ -119,8 +119,9 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
             "node": table.column("node"), "n": [len(s) for s in sets], "rare": rare, "marks": marks, "ordered": ordered,
         }, schema=SETS_ARROW)
 
-    replies = exchange.replied(exchange.asked(grouped, keys_of, groups), frequency, exchange.narrowed)
-    return exchange.finished(grouped, replies, finish, SETS)
+    side = exchange.no_side(texts)
+    replies = exchange.replied(exchange.asked(grouped, keys_of, groups, side), frequency)
+    return exchange.finished(grouped, replies, finish, SETS, side)
 
 
 def fragments(sets: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import jaccard, oracle, pieces, secrets, substrings, topk, urls
+from waybill.llm import jaccard, oracle, pieces, scoring, secrets, substrings, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against the documents labelled as good, relative to all others."""
+    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return scoring.cross_entropy_difference(read(spark, sf_dir, "documents"), good)
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector."""
     return topk.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -101,6 +107,7 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op8_sentencepiece": op8_sentencepiece,
@@ -109,6 +116,7 @@ QUERIES = {
 }
 ORACLE = {
     "op2_substring_dedup": oracle.OP2,
+    "op3_lm_scoring": oracle.OP3,
     "op4_exact_topk": oracle.OP4,
     "op9_jaccard_join": oracle.OP9,
     "op10_url_lists": oracle.OP10,

@@ -55,15 +55,6 @@ def id_groups(docs: DataFrame, groups: int) -> DataFrame:
     return docs.select(F.when(F.col("doc_id").isNull(), 0).otherwise(at).cast("int").alias("g"), "doc_id", "text")
 
 
-def _bits(values: np.ndarray) -> bytes:
-    return bytes([-len(values) % 8]) + np.packbits(values).tobytes()
-
-
-def _unbits(data: bytes) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=1))
-    return bits[:len(bits) - data[0]]
-
-
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, removed (word intervals, end exclusive), kept.
 
@@ -75,22 +66,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = exchange.groups_for(rows)
     grouped = id_groups(rows, groups)
 
-    def keys_of(table: pa.Table):
+    def keys_of(table: pa.Table, _):
         _, known = _known(table)
         keys, _, owner, _ = _windows(raw_texts(table.column("text")), width)
-        return np.unique(keys[known[owner]]), None
+        return np.unique(keys[known[owner]]), []
 
-    def seen_before(run, first, payload):
-        return ~first  # entries are in the order of groups, so only the first group is new
+    def seen_before(run, first, payload, keys):
+        return [(~first).astype(np.uint8)], []  # equal keys stand by group, so the first group's is new
 
-    def finish(table: pa.Table, replies: list[bytes]) -> pa.Table:
+    def finish(table: pa.Table, _, replies: list[np.ndarray], told) -> pa.Table:
         ids, known = _known(table)
         texts = raw_texts(table.column("text"))
         keys, start, owner, ends = _windows(texts, width)
         valid = known[owner]
         keys, start, owner = keys[valid], start[valid], owner[valid]
         distinct, at = np.unique(keys, return_inverse=True)
-        earlier = np.concatenate([np.zeros(0, np.uint8), *map(_unbits, replies)])
+        earlier = replies[0]
         least = np.full(len(distinct), np.iinfo(np.int64).max)
         np.minimum.at(least, at, ids[owner])
         repeated = (earlier[at] > 0) | (ids[owner] > least[at])
@@ -113,5 +104,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             out["kept"].append(b" ".join(words).decode())
         return pa.table({"doc_id": table.column("doc_id"), **out}, schema=RESULT_ARROW)
 
-    replies = exchange.replied(exchange.asked(grouped, keys_of, groups), seen_before, _bits)
-    return exchange.finished(grouped, replies, finish, RESULT)
+    side = exchange.no_side(docs)
+    replies = exchange.replied(exchange.asked(grouped, keys_of, groups, side), seen_before)
+    return exchange.finished(grouped, replies, finish, RESULT, side)
