@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm import exchange
@@ -234,26 +234,60 @@ def classes(sets: DataFrame, percent: int) -> DataFrame:
     return found if found is not None else spark.createDataFrame([], "node binary, label binary")
 
 
-def similar_classes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
-) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links, its own included).
+def _noded(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, node, text): a node stands for all rows with one text."""
+    words = F.coalesce(F.col(text), F.lit(""))
+    return only(docs, doc_id, text).select(
+        F.col(doc_id).cast("long").alias("doc_id"), node_of(words).alias("node"), words.alias("text")
+    )
 
-    Null and empty texts, and those of white space, have no shingles and no links.  Rows
-    that share a text are linked; those with a null id take part without giving one.
-    Other columns are not carried.
-    """
-    rows = only(docs, doc_id, text).select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("node", F.unhex(F.md5(F.col("text").cast("binary"))))
+
+def node_of(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _placed(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """(doc_id, node, label, n_shingles, component_id) of every row; a class has one label."""
+    rows = _noded(docs, doc_id, text)
     sets = stored(sets_of(rows.select("node", "text"), size, percent))
     labels = classes(sets, percent)
     nodes = sets.select("node", "n").join(labels, "node", "left").select(
         "node", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label")
     )
-    placed = stored(rows.select("doc_id", "node").join(nodes, "node").select("doc_id", "n_shingles", "label"))
+    placed = stored(rows.select("doc_id", "node").join(nodes, "node"))
     least = placed.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "label", "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "node", "label", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def similar_classes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
+) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links, its own included).
+
+    Null and empty texts, and those of white space, have no shingles and no links.  Rows
+    that share a text are linked; those with a null id take part without giving one.
+    Other columns are not carried.
+    """
+    return _placed(docs, doc_id, text, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each_class(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one of each class does: the one with the smallest id.
+
+    Rows without shingles all stay, but for repeated rows of one id; so do classes in
+    which no row has an id.  All columns are carried.
+    """
+    placed = _placed(docs, doc_id, text, size, percent)
+    # of rows that share the smallest id, one text
+    keep = placed.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "label").agg(
+        F.min("node").alias("node")
+    )
+    own = F.col(doc_id).cast("long")
+    here = docs.withColumn("keep_row", F.struct(own.alias("i"), node_of(F.coalesce(F.col(text), F.lit(""))).alias("n")))
+    wanted = keep.select(F.struct(F.col("doc_id").alias("i"), F.col("node").alias("n")).alias("keep_row"))
+    return here.join(wanted, "keep_row", "left_semi").dropDuplicates(["keep_row"]).drop("keep_row")

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import jaccard, oracle, pieces, scoring, secrets, substrings, topk, urls
+from waybill.llm import decontaminate, jaccard, oracle, pieces, quality, scoring, secrets, substrings, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and where."""
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without windows of an earlier document."""
     return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
@@ -46,6 +51,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability that a text is good, learnt from labels of rows that aren't held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.PREDICTED).cast("int").alias("predicted"),
+    )
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and their decoding, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,10 +121,12 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
+    "op6_quality": op6_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_lists": op10_url_lists,

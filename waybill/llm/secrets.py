@@ -184,26 +184,27 @@ def battery(spans: Column) -> Column:
     ))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, base and candidate spans.  One pass, nothing shuffled."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = only(docs, doc_id, text).select(F.col(doc_id).alias("doc_id"), t.alias("t"))
+def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Per row of ``docs``: columns ``keep``, base and candidate spans.  One pass, nothing shuffled."""
+    only(docs, *keep, text)
+    carried = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
+    rows = docs.select(*carried, F.coalesce(F.col(text), F.lit("")).alias("t"))
     t = F.col("t")
     assign = F.filter(_matches(t, ASSIGN, 2), lambda s: F.length(s["value"]) >= ASSIGN_LENGTH)
     # runs of fixed classes: a too short one can't hide a longer one
     access = _matches(t, ACCESS[:-1] + "{%d,}" % (ACCESS_LENGTH - 4))
     hexes = _matches(t, HEX[:-1] + "{%d,}" % HEX_LENGTH)
     return rows.select(
-        "doc_id",
+        *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)),
         *(
-            F.transform(_where(has, spans), lambda s: F.struct(s["start"], s["end"])).alias(kind)
+            F.transform(_where(has, spans), lambda s: F.struct(s["start"], s["end"])).alias(f"found_{kind}")
             for kind, has, spans in (
                 ("assign", t.rlike(ASSIGN), assign),
                 ("access", F.contains(t, F.lit("AKIA")), access),
                 ("hex", t.rlike("[0-9a-f]{%d}" % HEX_LENGTH), hexes),
             )
         ),
-        battery(_where(t.rlike("[A-Za-z0-9+/_-]{%d}" % CANDIDATE_LENGTH), _matches(t, CANDIDATE))).alias("candidates"),
+        battery(_where(t.rlike("[A-Za-z0-9+/_-]{%d}" % CANDIDATE_LENGTH), _matches(t, CANDIDATE))).alias("found_candidates"),
     )
 
 
@@ -213,7 +214,7 @@ def limits(scanned: DataFrame, level: float = LEVEL) -> DataFrame:
     At most (encodings x bands x steps) rows meet, whatever the corpus holds.
     """
     steps = (
-        scanned.select(F.explode("candidates").alias("c")).groupBy("c.encoding", "c.band", "c.step").count()
+        scanned.select(F.explode("found_candidates").alias("c")).groupBy("c.encoding", "c.band", "c.step").count()
     )
     band = Window.partitionBy("encoding", "band")
     ranked = steps.withColumn("upto", F.sum("count").over(band.orderBy(F.desc("step")))).withColumn(
@@ -223,13 +224,16 @@ def limits(scanned: DataFrame, level: float = LEVEL) -> DataFrame:
     return ranked.filter(small).groupBy("encoding", "band").agg(F.min("step").alias("limit"))
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: float = LEVEL) -> DataFrame:
+def find(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: float = LEVEL, keep: list[str] | None = None,
+) -> DataFrame:
     """Per row: doc_id and ``spans``, an array of (start, kind, end, name) by start and kind.
 
     Random spans that touch a base span are left out.  Rows with a null id or text
-    stay (null texts are empty); other columns of ``docs`` are not carried.
+    stay (null texts are empty).  ``keep`` names the columns to carry instead of doc_id.
     """
-    scanned = stored(scan(docs, doc_id, text))
+    keep = [doc_id] if keep is None else keep
+    scanned = stored(scan(docs, keep, text))
     # bounded: encodings x length bands
     found = {(r["encoding"], r["band"]): r["limit"] for r in limits(scanned, level).collect()}
     table = F.create_map(*[
@@ -241,13 +245,13 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: flo
             s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), F.lit(KINDS[kind]).alias("name"),
         ))
 
-    base = F.concat(*(listed(i, F.col(k)) for i, k in enumerate(KINDS[:3])))
-    held = F.filter("candidates", lambda c: c["step"] < F.coalesce(
+    base = F.concat(*(listed(i, F.col(f"found_{k}")) for i, k in enumerate(KINDS[:3])))
+    held = F.filter("found_candidates", lambda c: c["step"] < F.coalesce(
         F.try_element_at(table, c["encoding"] * 1000 + c["band"]), F.lit(P_LOWEST + 1)
     ))
-    apart = F.filter(held, lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    rows = scanned.select("doc_id", base.alias("base"), "candidates")
-    return rows.select("doc_id", F.array_sort(F.concat("base", listed(3, apart))).alias("spans"))
+    apart = F.filter(held, lambda c: ~F.exists("found_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    rows = scanned.withColumn("found_base", base)
+    return rows.select(*keep, F.array_sort(F.concat("found_base", listed(3, apart))).alias("spans"))
 
 
 def as_text(spans: Column) -> Column:

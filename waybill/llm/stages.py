@@ -5,11 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import pieces
+from waybill.llm import decontaminate, jaccard, pieces, quality, secrets
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier rejects."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.classify(docs, model, score="quality_score")
+    return scored.filter(F.col("quality_score") >= quality.PREDICTED).select(*docs.columns)
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones: the one with the smallest id."""
+    return jaccard.one_of_each_class(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark item."""
+    hits = decontaminate.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret masked; n_chars follows the text."""
+    found = secrets.find(docs, keep=docs.columns)
+    masked = secrets.masked(F.coalesce("text", F.lit("")), F.col("spans"))
+    text = F.when(F.size("spans") > 0, masked).otherwise(F.col("text"))
+    out = found.withColumn("text", text)
+    return out.withColumn(
+        "n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(*docs.columns)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept text as ids, with what they decode to."""
-    return pieces.decode(pieces.encode(docs, "text", "ids"), "ids", "decoded").withColumn(
-        "n_tokens", F.size("ids").cast("long")
+    """Every text as ids, and the digest of what they decode to."""
+    coded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), "text", "ids")
+    return pieces.decode(coded, "ids", "decoded").select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
