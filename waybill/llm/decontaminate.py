@@ -292,13 +292,21 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Length of the longest common subsequence of words, by bit-parallel rows, and
-    from which to which word of ``text`` its words reach."""
+    """Length of the longest common subsequence of words, and a short stretch of ``text`` that has it."""
+    length, end = _longest(item, text)
+    if not length:
+        return 0, 0, 0
+    _, back = _longest(item[::-1], text[:end][::-1])
+    return length, end - back, end
+
+
+def _longest(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """The length, by bit-parallel rows, and after how many words of ``text`` it is reached."""
     masks: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
         masks[w] = masks.get(w, 0) | 1 << i
     full = (1 << len(item)) - 1
-    row, best, begin, end = full, 0, 0, 0
+    row, best, end = full, 0, 0
     for at, w in enumerate(text.tolist()):
         mask = masks.get(w)
         if mask is None:
@@ -307,10 +315,8 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int, in
         row = ((row + used) | (row - used)) & full
         length = len(item) - row.bit_count()
         if length > best:
-            if not best:
-                begin = at
             best, end = length, at + 1
-    return best, begin, end
+    return best, end
 
 
 class Finder:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate, jaccard, oracle, pieces, quality, scoring, secrets, substrings, topk, urls
+from waybill.llm import decontaminate, extract, jaccard, oracle, pieces, quality, scoring, secrets, substrings, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    return extract.extract(pages, extract.fit(pages), ["page_id", "url"]).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and their decoding, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -127,6 +135,7 @@ QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_quality": op6_quality,
+    "op7_html_extraction": op7_html_extraction,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_lists": op10_url_lists,
