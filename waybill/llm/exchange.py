@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from waybill.llm.store import shuffle_partitions
 
-GROUP_BYTES = 12 << 20  # of stored input for one group of documents
+# Of stored input for one group of documents.  Small enough for executors of 3 GB; with
+# larger ones, larger groups send fewer and longer rows.
+GROUP_BYTES = 5 << 20
 
 ASKED = "b int, g int, keys binary, payload binary"
 REPLIED = "g int, b int, reply binary"
@@ -102,6 +104,7 @@ def asked(
     def send(table: pa.Table, beside: pa.Table) -> pa.Table:
         if not table.num_rows:
             return ASKED_ARROW.empty_table()
+        pa.default_memory_pool().release_unused()
         keys, payload = keys_of(table, beside)
         g = table.column("g")[0].as_py()
         cuts = bucket_bounds(keys, buckets).tolist()
@@ -128,6 +131,7 @@ def replied(
     """
 
     def reply(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         groups = table.column("g").to_numpy()
         by = np.argsort(groups, kind="stable")
         keys = [unpack(table.column("keys")[int(i)].as_py()) for i in by]
@@ -175,6 +179,7 @@ def finished(
     beside = replies.unionByName(side, allowMissingColumns=True)
 
     def each(table: pa.Table, back: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         place = back.column("b").to_numpy(zero_copy_only=False)
         told = np.isfinite(place.astype(float))
         by = np.flatnonzero(told)[np.argsort(place[told], kind="stable")]
