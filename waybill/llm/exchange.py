@@ -64,21 +64,27 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def packed_columns(columns: list[np.ndarray]) -> bytes:
-    """Arrays of non-negative integers, each in the narrowest width that holds it."""
+    """Arrays of non-negative integers: a byte for each that is below 255, and the
+    others apart, as most counts are small and a few very large."""
     out = []
     for values in columns:
-        top = int(values.max()) if len(values) else 0
-        width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
-        out += [width.to_bytes(1, "little"), len(values).to_bytes(4, "little"), values.astype(f"<u{width}").tobytes()]
+        large = values >= 255
+        body = np.where(large, 255, values).astype(np.uint8).tobytes()
+        rest = values[large].astype("<i8").tobytes()
+        out += [len(body).to_bytes(4, "little"), body, len(rest).to_bytes(4, "little"), rest]
     return b"".join(out)
 
 
 def unpacked_columns(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(data):
-        width, size = data[at], int.from_bytes(data[at + 1:at + 5], "little")
-        out.append(np.frombuffer(data, f"<u{width}", size, at + 5).astype(np.int64))
-        at += 5 + width * size
+        size = int.from_bytes(data[at:at + 4], "little")
+        values = np.frombuffer(data, np.uint8, size, at + 4).astype(np.int64)
+        at += 4 + size
+        size = int.from_bytes(data[at:at + 4], "little")
+        values[values == 255] = np.frombuffer(data, "<i8", size // 8, at + 4)
+        at += 4 + size
+        out.append(values)
     return out
 
 

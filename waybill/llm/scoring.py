@@ -1,13 +1,13 @@
 """Documents scored by the difference of two language models' losses.
 
 A target and a background model of the same form (bigrams smoothed by words and by a
-uniform floor) share one vocabulary, every word of the corpus.  A document's score is
+uniform floor; a word is followed by another word or by the text's end) share one vocabulary, every word of the corpus.  A document's score is
 the mean over its tokens of the target's loss minus the background's: the lower, the
 more it reads like the target.  Counts cover all documents and grow with them; no
 document is scored by its own counts, which are taken off before.
 
-Counts travel by ``exchange``: each group of documents sends its distinct words,
-contexts and bigrams once, with both models' counts, and gets the corpus' counts back.
+Counts travel by ``exchange``: each group of documents sends its distinct words and
+bigrams once, with both models' counts, and gets the corpus' counts back.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ BIGRAM, WORD, FLOOR = 0.6, 0.3, 0.1
 MICRO = 1_000_000  # losses are summed as whole millionths of a nat, so any order gives the same
 START = np.uint64(0x5851F42D4C957F2D)  # what stands before the first word
 
-WORD_KEY, CONTEXT_KEY, BIGRAM_KEY = (np.uint64(k) for k in (0, 1, 2))
+WORD_KEY, BIGRAM_KEY = np.uint64(0), np.uint64(1)
+TEXTS_KEY = np.uint64((1 << 64) - 2)
 
 SCORES = "doc_id long, in_target boolean, n_tokens long, target_loss long, background_loss long, score double"
 SCORES_ARROW = pa.schema([
@@ -36,18 +37,27 @@ SCORES_ARROW = pa.schema([
 
 
 def _keyed(hashes: np.ndarray, kind: np.uint64) -> np.ndarray:
-    """62 bits of the hash, then the kind."""
-    return (hashes & ~np.uint64(3)) | kind
+    """63 bits of the hash, then the kind."""
+    return (hashes & ~np.uint64(1)) | kind
 
 
-def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per token its word's, context's and bigram's key, and where each text's tokens begin."""
+def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per token its word's and its bigram's key, and where each text's tokens begin."""
     words, ends = word_hashes([t.lower() for t in texts])
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[ends[:-1][np.diff(ends) > 0]] = START
     pairs = scrambled(before * MULTIPLIER + words)
-    return _keyed(words, WORD_KEY), _keyed(before, CONTEXT_KEY), _keyed(pairs, BIGRAM_KEY), ends
+    return _keyed(words, WORD_KEY), _keyed(pairs, BIGRAM_KEY), ends
+
+
+def _after(per_word: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per token what holds for the word before it; ``starts`` for each text's first."""
+    out = np.empty_like(per_word)
+    out[1:] = per_word[:-1]
+    filled = np.diff(ends) > 0
+    out[ends[:-1][filled]] = starts[filled]
+    return out
 
 
 def _targets(table: pa.Table, beside: pa.Table) -> np.ndarray:
@@ -81,37 +91,41 @@ def cross_entropy_difference(
     side = ids.select(exchange.hashed_group(F.col("target_id"), groups).alias("g"), "target_id")
 
     def keys_of(table: pa.Table, beside: pa.Table):
-        *kinds, ends = ngrams(raw_texts(table.column("text")))
-        target = np.repeat(_targets(table, beside), np.diff(ends))
-        keys, at = np.unique(np.concatenate(kinds), return_inverse=True)
-        wanted = np.bincount(at, np.tile(target, 3), len(keys)).astype(np.int64)
+        words, pairs, ends = ngrams(raw_texts(table.column("text")))
+        chosen = _targets(table, beside)
+        # the last key is no word's: how many texts of each model have a first word
+        flat = np.concatenate([words, pairs, np.full(int((np.diff(ends) > 0).sum()), TEXTS_KEY)])
+        target = np.repeat(chosen, np.diff(ends))
+        target = np.concatenate([target, target, chosen[np.diff(ends) > 0]])
+        keys, at = np.unique(flat, return_inverse=True)
+        wanted = np.bincount(at, target, len(keys)).astype(np.int64)
         return keys, [wanted, np.bincount(at, minlength=len(keys)) - wanted]
 
     def totals(run, first, payload, keys):
         sums = [np.bincount(run, p).astype(np.int64) for p in payload]
-        words = (keys & np.uint64(3)) == WORD_KEY
-        told = [int((first & words).sum()), int(payload[0][words].sum()), int(payload[1][words].sum())]
+        texts = keys == TEXTS_KEY
+        words = ((keys & np.uint64(1)) == WORD_KEY) & ~texts
+        told = [int((first & words).sum()), *(int(p[w].sum()) for w in (words, texts) for p in payload)]
         return [s[run] for s in sums], told
 
     def finish(table: pa.Table, beside: pa.Table, values: list[np.ndarray], told: np.ndarray) -> pa.Table:
-        *kinds, ends = ngrams(raw_texts(table.column("text")))
+        words, pairs, ends = ngrams(raw_texts(table.column("text")))
         sizes = np.diff(ends)
         target = _targets(table, beside)
-        mine = np.repeat(target, sizes)
-        flat = np.concatenate(kinds)
-        _, at = np.unique(flat, return_inverse=True)
-        own = [_own(k, ends) for k in kinds]
-        counts = []
-        for model, total in enumerate(values):
-            each = total[at].reshape(3, -1)
-            counts.append([c - np.where(mine == (model == 0), o, 0) for c, o in zip(each, own)])
+        asked = np.concatenate([words, pairs, np.full(int((sizes > 0).sum()), TEXTS_KEY)])
+        _, at = np.unique(asked, return_inverse=True)
+        own_words, own_pairs = _own(words, ends), _own(pairs, ends)
         vocabulary = int(told[0])
         losses = []
-        for model, (word, context, bigram) in enumerate(counts):
-            tokens = np.full(len(sizes), int(told[1 + model])) - np.where(target == (model == 0), sizes, 0)
-            each = np.repeat(np.maximum(tokens, 0), sizes)
-            plain = word / np.maximum(each, 1)
-            after = np.where(context > 0, bigram / np.maximum(context, 1), plain)
+        for model in (0, 1):
+            mine = target == (model == 0)
+            inside = np.repeat(mine, sizes)
+            word = values[model][at[:len(words)]] - np.where(inside, own_words, 0)
+            pair = values[model][at[len(words):2 * len(words)]] - np.where(inside, own_pairs, 0)
+            before = _after(word, int(told[3 + model]) - mine.astype(np.int64), ends)
+            tokens = np.repeat(int(told[1 + model]) - np.where(mine, sizes, 0), sizes)
+            plain = word / np.maximum(tokens, 1)
+            after = np.where(before > 0, pair / np.maximum(before, 1), plain)
             p = BIGRAM * after + WORD * plain + FLOOR / (vocabulary + 1)
             loss = np.rint(-np.log(p) * MICRO).astype(np.int64)
             losses.append(np.diff(np.append(0, np.cumsum(loss))[ends]))
