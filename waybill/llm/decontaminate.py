@@ -5,7 +5,7 @@ Latent semantic retrieval finds where to look, and two checks on the words decid
 1. Texts become numbers of the benchmark's words (0 for all others), stored once;
    everything after reads only that.
 2. Passages are WINDOW words long and start every half of it.  Their TF-IDF rows, with
-   document frequencies over all passages of the corpus, go through a randomised
+   document frequencies over all half passages of the corpus, go through a randomised
    singular value decomposition: one distributed pass sums A' (A G) for a random G,
    and a small factorisation (Nystrom's, of a vocabulary by a few dozen columns) gives
    the latent directions.
@@ -33,7 +33,7 @@ from waybill.llm.words import raw_texts
 
 WINDOW = 40
 HALF = WINDOW // 2
-RANK = 64
+RANK = 48
 EXTRA = 8  # random columns beyond the rank
 SEED = 11
 COSINE = 0.5  # of a passage to an item that fills one; less for shorter items, see ``least_cosines``
@@ -178,22 +178,18 @@ def _slices(batches, rows: int = 500):
 
 
 def frequencies(numbers: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """In how many passages each word stands, and how many passages there are."""
+    """In how many half passages each word stands, and how many of these there are."""
     size, kind = items.size, "<u2" if items.size < 1 << 16 else "<u4"
 
     def each(batches):
-        total, passages = np.zeros(size, np.int64), 0
+        total, blocks = np.zeros(size, np.int64), 0
         for batch in _slices(batches):
             b = Blocks(_texts(batch, kind))
-            passages += len(b.passages)
-            # of each passage the distinct words: those of the block and of the next one
-            index = np.full(len(b.text_of) + 1, -1)
-            index[b.passages] = np.arange(len(b.passages))
-            second = np.where((b.block_of > 0) & b.followed[b.block_of - 1], index[b.block_of - 1], -1)
-            pairs = np.concatenate([index[b.block_of] * size + b.words, second * size + b.words])
-            pairs = np.unique(pairs[np.concatenate([index[b.block_of], second]) >= 0])
+            blocks += len(b.text_of)
+            pairs = np.sort(b.block_of * size + b.words)
+            pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
             total += np.bincount(pairs % size, minlength=size)
-        total[0] = passages
+        total[0] = blocks
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["w", "n"])
 
@@ -291,17 +287,9 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Length of the longest common subsequence of words, and a short stretch of ``text`` that has it."""
-    length, end = _longest(item, text)
-    if not length:
-        return 0, 0, 0
-    _, back = _longest(item[::-1], text[:end][::-1])
-    return length, end - back, end
-
-
-def _longest(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """The length, by bit-parallel rows, and after how many words of ``text`` it is reached."""
+def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Length of the longest common subsequence of words, by bit-parallel rows, and
+    after how many words of ``text`` it is reached."""
     masks: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
         masks[w] = masks.get(w, 0) | 1 << i
@@ -384,11 +372,15 @@ class Finder:
                 if (low, len(span)) in seen:
                     continue
                 seen.add((low, len(span)))
-                length, begin, end = common_subsequence(item, span)
+                length, end = common_subsequence(item, span)
+                if length < PARAPHRASED * len(item):
+                    continue
+                _, back = common_subsequence(item[::-1], span[:end][::-1])
+                begin = end - back
                 answer = bool(len(self.rare[i])) and bool(np.isin(self.rare[i], span).mean() >= ANSWERED)
                 if length >= COPIED * len(item):
                     kind = "copy"
-                elif length >= PARAPHRASED * len(item) and answer and end - begin <= 2 * len(item):
+                elif answer and end - begin <= 2 * len(item):
                     kind = "paraphrase"
                 else:
                     continue
