@@ -19,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="4000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -69,15 +69,34 @@ class TestCounts:
         assert counts.counts_in_range(hourly, at(9), at(10)).count() == 2
         assert counts.location_counts(hourly, " Berlin", at(0), at(23)).count() == 0
 
-    def test_cap_also_limits_the_total(self, spark):
+    def test_a_cap_limits_the_list_only(self, spark):
         rows = [("S", "Berlin", at(h)) for h in range(6)]
         hourly = counts.delivery_counts(deliveries(spark, *rows))
         capped = counts.location_analytics(hourly, "Berlin", at(0), at(23), max_results=4).first()
-        assert capped["total_deliveries"] == 4
+        assert capped["total_deliveries"] == 6
         assert [h["window_start"] for h in capped["hourly_data"]] == [at(h) for h in range(4)]
         assert (capped["from"], capped["to"]) == (at(0), at(23))
-        whole = counts.location_analytics(hourly, "Berlin", at(0), at(23), max_results=None).first()
-        assert whole["total_deliveries"] == 6
+        assert counts.location_counts(hourly, "Berlin", at(0), at(23), max_results=2).count() == 2
+
+    def test_nothing_is_cut_by_default(self, spark):
+        start = DAY - timedelta(hours=3000)
+        rows = [("S", "Berlin", start + timedelta(hours=h)) for h in range(3000)]
+        hourly = counts.delivery_counts(deliveries(spark, *rows))
+        whole = counts.location_analytics(hourly, "Berlin", start, DAY).first()
+        assert whole["total_deliveries"] == 3000 and len(whole["hourly_data"]) == 3000
+        assert counts.location_total(hourly, "Berlin", start, DAY).first()["total_deliveries"] == 3000
+        assert counts.counts_in_range(hourly, start, DAY).count() == 3000
+        many = [("S", f"L{i}", at(1)) for i in range(1500)]
+        assert counts.recent_window_count(counts.delivery_counts(deliveries(spark, *many)), at(1)).first()[0] == 1500
+
+    def test_a_range_of_deliveries_is_enough_for_its_windows(self, spark):
+        rows = [("S", "Berlin", at(h) + timedelta(minutes=m)) for h in range(8) for m in (0, 30, 59)]
+        events = deliveries(spark, *rows)
+        for start, end in ((at(2), at(4)), (at(2) + timedelta(minutes=30), at(4) + timedelta(minutes=30))):
+            some = counts.delivery_counts(counts.deliveries_of_range(events, start, end))
+            whole = counts.delivery_counts(events)
+            picked = [sorted(map(tuple, counts.counts_in_range(c, start, end).collect())) for c in (some, whole)]
+            assert picked[0] == picked[1] and picked[0]
 
     def test_nothing_found(self, spark):
         hourly = counts.delivery_counts(deliveries(spark))
@@ -248,7 +267,7 @@ class TestCreation:
         assert errors == {"1": "Origin must not be blank", "2": "Destination must not be blank",
                           "3": "CustomerId must not be blank", "4": None}
         made = creation.create_shipments(requests).first()
-        assert len(made["shipment_id"]) == 8
+        assert len(made["shipment_id"]) == 64
         assert (made["status"], made["created_at"]) == ("CREATED", DAY)
         assert creation.created_events(creation.create_shipments(requests)).columns == [
             "shipment_id", "destination", "created_at", "correlation_id"]
@@ -320,7 +339,7 @@ class TestNotifications:
     def test_deletion(self, spark):
         notes = notify.notifications(self.life(spark))
         first = notes.orderBy("timestamp").first()["id"]
-        gone = table(spark, "id string", (f" {first}",), ("x",), (" ",), (None,))
+        gone = table(spark, "request_id int, id string", (1, f" {first}"), (2, "x"), (3, " "), (4, None))
         assert notify.delete_notifications(notes, gone).count() == 2
         assert tuple(notify.deletion_counts(notes, gone).first()) == (1, 2)
         assert tuple(notify.deletion_counts(notes).first()) == (3, 0)
@@ -329,6 +348,14 @@ class TestNotifications:
                            " ": "Notification ID must not be null or empty",
                            None: "Notification ID must not be null or empty"}
 
+    def test_an_id_is_deleted_once(self, spark):
+        notes = notify.notifications(self.life(spark))
+        first = notes.orderBy("timestamp").first()["id"]
+        again = table(spark, "request_id int, id string", (2, first), (1, f"{first} "), (3, first))
+        answers = {r["request_id"]: r["success"] for r in notify.deletion_results(notes, again).collect()}
+        assert answers == {1: True, 2: False, 3: False}
+        assert tuple(notify.deletion_counts(notes, again).first()) == (1, 2)
+
     def test_webhook_and_customer_messages(self, spark):
         payloads = records.webhook_payloads(self.life(spark))
         by_type = {r["eventType"]: r for r in payloads.collect()}

@@ -1,9 +1,12 @@
 """What the plans look like: columns and filters at the scan, few shuffles, no Python."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
 from waybill.plans import catalog
+from waybill.sources import decode, tables
 
 
 def plan(spark, sf_dir, name):
@@ -18,13 +21,43 @@ def test_flagship_reads_two_columns_and_shuffles_once(spark, sf_dir):
     assert text.count("HashAggregate") == 2
 
 
-def test_location_reaches_the_scan(spark, sf_dir):
-    assert "PushedFilters: [" in plan(spark, sf_dir, "location_analytics")
+def pushed(text):
+    return [line.strip() for line in re.findall(r"PushedFilters: (\[[^\n]*)", text)]
+
+
+@pytest.mark.parametrize("name", ["counts_in_range", "location_analytics"])
+def test_ranges_reach_the_scan(spark, sf_dir, name):
+    found = pushed(plan(spark, sf_dir, name))
+    assert any("GreaterThanOrEqual(ts,2024-01-" in f and "LessThan(ts,2024-01-" in f for f in found), found
+
+
+@pytest.mark.parametrize("name", ["counts_last_24h", "recent_window_count"])
+def test_a_range_up_to_the_newest_reaches_the_scan(spark, sf_dir, name):
+    found = pushed(plan(spark, sf_dir, name))
+    assert any("GreaterThanOrEqual(ts," in f and "LessThan(ts," in f for f in found), found
+
+
+def test_a_location_reaches_the_scan(spark, sf_dir):
+    assert any("StringContains(event_type,purchase)" in f for f in pushed(plan(spark, sf_dir, "location_analytics")))
+
+
+@pytest.mark.parametrize("name", ["shipment_by_id", "notifications_for_shipment"])
+def test_a_shipment_reaches_the_scan(spark, sf_dir, name):
+    assert any("EqualTo(l_orderkey,42)" in f for f in pushed(plan(spark, sf_dir, name)))
+
+
+def test_metadata_of_records_reaches_the_scan(spark, small_dir, tmp_path):
+    tables.delivered_records(spark, small_dir).write.parquet(str(tmp_path / "records"))
+    records = spark.read.parquet(str(tmp_path / "records"))
+    rows = decode.decode(records, where="partition = 1 and offset < 10")
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert any("EqualTo(partition,1)" in f and "LessThan(offset,10)" in f for f in pushed(text))
+    assert rows.count() == decode.decode(records).filter("partition = 1 and offset < 10").count() == 10
 
 
-def test_point_lookup_reaches_the_scan(spark, sf_dir):
-    text = plan(spark, sf_dir, "shipment_by_id")
-    assert "l_orderkey" in text.split("PushedFilters")[1] or "cast(l_orderkey" in text
+def test_deletions_do_not_shuffle_the_notifications(spark, small_dir):
+    text = plan(spark, small_dir, "deletion_results")
+    assert "LeftSemi" in text
 
 
 def test_state_takes_one_shuffle_of_the_scans(spark, sf_dir):

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle_check import compare, connect
+from waybill.plans import catalog, oracle
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(sf_dir):
 
 def test_same_names():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from waybill.operators import gate, late, lifecycle
+from waybill.operators import gate, late, lifecycle, skew
 from waybill.operators.skew import FIRST, HotKeys, Running, sized_broadcast, with_running
 from waybill.sources import tables
 
@@ -84,6 +84,28 @@ def test_scan_gate_with_a_hot_shipment(spark, small_dir):
     same(*answers)
 
 
+def test_chunks_depend_on_rows_not_on_the_grain_of_time(spark):
+    rows = spark.range(4000).select(
+        F.lit("HOT").alias("k"),
+        F.timestamp_add("MICROSECOND", F.col("id") * 7 % 4000, F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).alias("at"),
+        F.col("id"),
+    )
+    hot = HotKeys(slots=16, factor=0, floor_rows=1000)
+    split = with_running(rows, "k", ["at", "id"], [F.col("at")], [Running("n", "count")], hot=hot)
+    same(split, with_running(rows, "k", ["at", "id"], [F.col("at")], [Running("n", "count")], hot=NEVER))
+    chunks = skew._chunked(rows, "k", [F.col("at")], 16).select("_chunk").distinct().count()
+    assert 8 <= chunks <= 2 * 16
+
+
+def test_one_moment_with_many_rows_is_cut_by_the_rest(spark):
+    rows = spark.range(1000).select(F.lit("HOT").alias("k"), F.lit(5).alias("day"), F.col("id"))
+    chunk = [F.col("day"), F.floor(F.col("id") / 100)]
+    hot = HotKeys(slots=16, factor=0, floor_rows=100)
+    split = with_running(rows, "k", ["day", "id"], chunk, [Running("n", "count")], hot=hot)
+    same(split, with_running(rows, "k", ["day", "id"], chunk, [Running("n", "count")], hot=NEVER))
+    assert skew._chunked(rows, "k", chunk, 8).select("_chunk").distinct().count() == 10
+
+
 def test_running_values_over_nulls(spark):
     rows = [("a", i, None if i % 3 == 0 else i, None if i < 40 else -i) for i in range(90)]
     rows += [("b", i, i, None) for i in range(3)]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill import schemas as S
-from waybill.operators import counts, lifecycle
+from waybill.operators import counts, events, lifecycle, notify
 from waybill.sources import decode, tables, topics
 from waybill.streaming import counts as stream_counts
 from waybill.streaming import lifecycle as stream_lifecycle
@@ -73,7 +73,7 @@ def test_a_repeated_batch_does_not_count_twice(spark, tmp_path):
     assert [r["count"] for r in stream_counts.read_counts(spark, table).collect()] == [5]
 
 
-def test_compaction_keeps_the_view_and_drops_old_windows(spark, tmp_path):
+def test_compaction_keeps_the_view(spark, tmp_path):
     table = str(tmp_path / "counts")
 
     def write(batch_id, start, count):
@@ -84,11 +84,63 @@ def test_compaction_keeps_the_view_and_drops_old_windows(spark, tmp_path):
     write(0, START - timedelta(days=8), 7)
     write(1, START, 1)
     assert stream_counts.compact(spark, table) == 1
-    assert rows(stream_counts.read_counts(spark, table), "window_start", "count") == [(START, 1)]
+    old = (START - timedelta(days=8), 7)
+
+    def seen(**options):
+        return dict(rows(stream_counts.read_counts(spark, table, **options), "window_start", "count"))
+
+    assert seen() == dict([old, (START, 1)])
+    assert seen(retention="7 days") == {START: 1}
     write(2, START, 4)
-    assert rows(stream_counts.read_counts(spark, table), "window_start", "count") == [(START, 4)]
+    assert seen() == dict([old, (START, 4)])
     assert stream_counts.compact(spark, table) == 2
-    assert rows(stream_counts.read_counts(spark, table), "window_start", "count") == [(START, 4)]
+    assert seen() == dict([old, (START, 4)])
+    # folders that the compaction covers go, and the view and the next compaction stay right
+    assert stream_counts.remove_covered(spark, table) == 3
+    assert sinks.batch_ids(spark, table) == [2]
+    assert seen() == dict([old, (START, 4)])
+    write(3, START, 5)
+    assert stream_counts.compact(spark, table) == 3
+    assert seen() == dict([old, (START, 5)])
+
+
+def test_a_replay_in_several_triggers_is_complete(spark, tmp_path):
+    source = tmp_path / "events"
+    events = tables.deliveries(spark, "/root/testdata/sf0.001")
+    events.repartition(6, "event_id").write.parquet(str(source))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+    counted = stream_counts.windowed_counts(stream, grace=None)
+    table = str(tmp_path / "counts")
+    writer = stream_counts.counts_writer(counted, table)
+    sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert len(sinks.batch_ids(spark, table)) >= 6
+    streamed = rows(stream_counts.read_counts(spark, table), *COLUMNS)
+    assert streamed == rows(counts.delivery_counts(events), *COLUMNS)
+
+
+def test_ids_and_times_of_records_from_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    created = [
+        {"shipmentId": f"S-{i}", "destination": "Berlin", "createdAt": START.isoformat(), "correlationId": f"c{i}"}
+        for i in range(5)
+    ]
+    created[1]["timestamp"] = 1705314600.123456789
+    created[2]["timestamp"] = "2024-01-15T10:30:00+01:00"
+    created[3]["timestamp"] = "whenever"
+    put(folder, "1.json", created)
+    put(folder, "2.json", [dict(created[0])])
+    records = topics.file_records(spark, str(folder), S.TOPIC_CREATED)
+    decoded = decode.decode(records)
+    notes = notify.notifications(events.decoded_events(decoded))
+    first = rows(notes, "id", "shipment_id")
+    assert len(first) == 5 and len({i for i, _ in first}) == 5
+    assert first == rows(notify.notifications(events.decoded_events(decode.decode(records))), "id", "shipment_id")
+    times = dict(rows(decode.created(decoded), "shipment_id", "timestamp"))
+    assert times["S-1"] == datetime(2024, 1, 15, 10, 30, 0, 123456)
+    assert times["S-2"] == datetime(2024, 1, 15, 9, 30)
+    dead = decode.dead_letters(decode.parse(records)).collect()
+    assert [r["reason"] for r in dead] == ["unreadable timestamp"]
+    assert {r["source_file"].rsplit("/")[-1] for r in decoded.select("source_file").collect()} == {"1.json", "2.json"}
 
 
 def test_too_late_records_are_dropped(spark, tmp_path):

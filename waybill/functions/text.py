@@ -45,11 +45,6 @@ def first_failure(*checks: tuple[Column, Column | str]) -> Column:
     )
 
 
-def record_id(*parts) -> Column:
-    """A stable id for one record, so that a replay produces the same id again."""
-    return F.sha2(F.concat_ws(":", *parts), 256)
-
-
 def preview(text, length: int = 50) -> Column:
     column = F.col(text) if isinstance(text, str) else text
     return F.when(

@@ -23,7 +23,7 @@ def epoch() -> Column:
 
 def _whole(micros: Column, unit: int) -> Column:
     """Whole units of so many microseconds, rounded down."""
-    return ((micros - F.pmod(micros, F.lit(unit))) / F.lit(unit)).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, F.lit(unit)), F.lit(unit))
 
 
 def _second_micros(moment: Column) -> Column:

@@ -14,7 +14,6 @@ from waybill.functions import text, times
 
 WINDOW = "60 minutes"
 RETENTION = "7 days"
-MAX_RESULTS = 1_000
 
 
 def valid_deliveries(events: DataFrame) -> DataFrame:
@@ -64,9 +63,9 @@ def _moment(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _capped(rows: DataFrame, max_results: int | None) -> DataFrame:
-    ordered = rows.orderBy("window_start", "location")
-    return ordered if max_results is None else ordered.limit(max_results)
+def _listed(rows: DataFrame, max_results: int | None) -> DataFrame:
+    """All rows, in no order; with ``max_results`` the first so many in time order."""
+    return rows if max_results is None else rows.orderBy("window_start", "location").limit(max_results)
 
 
 def _in_range(counts: DataFrame, start, end) -> DataFrame:
@@ -74,48 +73,82 @@ def _in_range(counts: DataFrame, start, end) -> DataFrame:
     return counts.filter(F.col("window_start").between(_moment(start), _moment(end)))
 
 
-def counts_in_range(counts: DataFrame, start, end, max_results: int | None = MAX_RESULTS) -> DataFrame:
+def deliveries_of_range(
+    events: DataFrame, start, end, time: str = "delivered_at", size: str = WINDOW
+) -> DataFrame:
+    """The events that windows starting within ``[start, end]`` can hold, for
+    counting no more than a range asks for; a plain comparison that reaches the scan."""
+    check_range(start, end)
+    last = _moment(end) + F.expr(f"INTERVAL {size}")
+    return events.filter((F.col(time) >= _moment(start)) & (F.col(time) < last))
+
+
+def deliveries_of_location(events: DataFrame, location: str) -> DataFrame:
+    """The events that can count for a location: those whose own text contains it,
+    padded or not; a comparison that reaches the scan."""
+    check_location(location)
+    return events.filter(F.contains("location", F.lit(location)))
+
+
+def counts_in_range(counts: DataFrame, start, end, max_results: int | None = None) -> DataFrame:
     """Windows of all locations starting within ``[start, end]``, both ends
-    included, in time order, at most ``max_results``."""
-    return _capped(_in_range(counts, start, end), max_results)
+    included; the first ``max_results`` in time order if that is given."""
+    return _listed(_in_range(counts, start, end), max_results)
 
 
 def location_counts(
-    counts: DataFrame, location: str, start, end, max_results: int | None = MAX_RESULTS
+    counts: DataFrame, location: str, start, end, max_results: int | None = None
 ) -> DataFrame:
     """The same for one location, matched exactly (the argument is not trimmed)."""
     check_location(location)
-    return _capped(_in_range(counts, start, end).filter(F.col("location") == location), max_results)
+    return _listed(_in_range(counts, start, end).filter(F.col("location") == location), max_results)
 
 
-def counts_looking_back(
-    counts: DataFrame, as_of, hours: int = 24, max_results: int | None = MAX_RESULTS
-) -> DataFrame:
-    """Windows that started in the last ``hours`` before ``as_of``."""
+def looking_back(as_of, hours: int = 24) -> tuple[Column, Column]:
+    """The range of the last ``hours`` before ``as_of``."""
     if as_of is None:
         raise ValueError("To date cannot be null")
     end = _moment(as_of)
-    return counts_in_range(counts, end - F.expr(f"INTERVAL {int(hours)} HOURS"), end, max_results)
+    return end - F.expr(f"INTERVAL {int(hours)} HOURS"), end
+
 
+def counts_looking_back(
+    counts: DataFrame, as_of, hours: int = 24, max_results: int | None = None
+) -> DataFrame:
+    """Windows that started in the last ``hours`` before ``as_of``."""
+    return counts_in_range(counts, *looking_back(as_of, hours), max_results)
 
-def recent_window_count(counts: DataFrame, as_of, max_results: int | None = MAX_RESULTS) -> DataFrame:
-    """How many windows the last hour's query returns."""
-    return counts_looking_back(counts, as_of, 1, max_results).agg(
-        F.count(F.lit(1)).alias("recent_data_count")
+
+def recent_window_count(counts: DataFrame, as_of) -> DataFrame:
+    """How many windows started in the last hour, all of them."""
+    return counts_looking_back(counts, as_of, 1).agg(F.count(F.lit(1)).alias("recent_data_count"))
+
+
+def location_total(counts: DataFrame, location: str, start, end) -> DataFrame:
+    """One row: the location, the range and the total of all its windows."""
+    return location_counts(counts, location, start, end).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_deliveries")
+    ).select(
+        F.lit(location).alias("location"), _moment(start).alias("from"), _moment(end).alias("to"), "total_deliveries",
     )
 
 
 def location_analytics(
-    counts: DataFrame, location: str, start, end, max_results: int | None = MAX_RESULTS
+    counts: DataFrame, location: str, start, end, max_results: int | None = None
 ) -> DataFrame:
     """One row: the location, the range, its windows in time order and their total.
 
-    The total is taken over the rows that are returned.
+    The total is over all windows of the range; ``max_results`` shortens the list
+    only.  The list is one value, so for ranges without bound use ``location_counts``
+    and ``location_total``.
     """
-    rows = location_counts(counts, location, start, end, max_results)
+    rows = location_counts(counts, location, start, end)
     entry = F.struct("window_start", "window_end", "location", "count")
+    listed = F.sort_array(F.collect_list(entry))
+    if max_results is not None:
+        listed = F.slice(listed, 1, max_results)
     return rows.agg(
-        F.sort_array(F.collect_list(entry)).alias("hourly_data"),
+        listed.alias("hourly_data"),
         F.coalesce(F.sum("count"), F.lit(0)).alias("total_deliveries"),
     ).select(
         F.lit(location).alias("location"),

@@ -8,23 +8,20 @@ from pyspark.sql import functions as F
 from waybill import schemas as S
 from waybill.operators.validate import create_error
 
-ID_LENGTH = 8
-
 
 def create_validation(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", create_error().alias("error_message"))
 
 
-def create_shipments(requests: DataFrame, id_length: int = ID_LENGTH) -> DataFrame:
+def create_shipments(requests: DataFrame) -> DataFrame:
     """State rows of the valid requests.
 
-    The id is the head of a hash of the request id, so a replay makes the same
-    shipments.  Eight characters are the customary length; collisions become
-    likely beyond some ten thousand shipments, so use up to 64 for large sets.
+    The id is the whole hash of the request id, so a replay makes the same
+    shipments and no two requests share one.
     """
     return requests.filter(create_error().isNull()).select(
         "request_id",
-        F.substring(F.sha2(F.col("request_id"), 256), 1, id_length).alias("shipment_id"),
+        F.sha2(F.col("request_id"), 256).alias("shipment_id"),
         "origin",
         "destination",
         "customer_id",

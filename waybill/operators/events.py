@@ -1,8 +1,8 @@
 """The three event streams as one: ``event_type, shipment_id, destination,
 location, event_at, correlation_id, record_id``.
 
-``record_id`` names the record an event lies in (topic, partition and offset);
-ids made from it stay the same in a replay.
+``record_id`` names the record an event lies in (topic, partition and offset, or
+file and line); ids made from it stay the same in a replay.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def decoded_events(decoded: DataFrame) -> DataFrame:
         "location",
         F.coalesce("created_at", "scanned_at", "delivered_at").alias("event_at"),
         "correlation_id",
-        F.concat_ws(":", "topic", "partition", "offset").alias("record_id"),
+        "record_id",
     )
 
 

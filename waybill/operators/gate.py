@@ -12,10 +12,14 @@ from waybill.operators.validate import scan_error
 
 
 def known_shipments(created: DataFrame, arrival: list[str] = ("created_at",)) -> DataFrame:
-    """Latest created event per shipment; a repeated create starts the shipment afresh."""
+    """Latest created event per shipment; a repeated create starts the shipment afresh.
+
+    Keys hardly repeat, so rows are placed by shipment first: a struct's maximum is
+    aggregated over sorted rows, which then are sorted once.
+    """
     last = F.max_by(F.struct("destination", "created_at"), F.struct(*arrival))
     return (
-        created.groupBy("shipment_id")
+        created.repartition("shipment_id").groupBy("shipment_id")
         .agg(last.alias("c"))
         .select("shipment_id", "c.destination", "c.created_at", F.lit(S.CREATED).alias("status"))
     )
@@ -50,16 +54,25 @@ def scan_results(
     known from its create on, and the destination is that of its latest create
     before the scan.  Adds ``success``, ``error_message`` and ``destination``.
     """
-    both, full_order = _timeline(requests, created, order)
+    # Requests that are wrong in themselves need no history, nor do blank ids unless
+    # a create has one; both would be keys with very many rows.
+    wrong = scan_error().isNotNull()
+    blank = text.is_blank("shipment_id")
+    nameless = blank if created.filter(blank).isEmpty() else F.lit(False)
+    named = requests.filter(~wrong & ~nameless)
+    both, full_order = _timeline(named, created.filter(~nameless), order)
     answered = with_running(
         both, "shipment_id", full_order, chunk or [F.col("at")],
-        [Running("known", "last", F.col("create"))], hot=hot, keys=keys,
+        [Running("known", "last", F.col("create"))], hot=hot,
+        keys=None if keys is None else keys.filter(~nameless),
     ).filter("kind = 1")
+    found = answered.select(*requests.columns, F.col("known.destination").alias("destination"), "known")
+    others = requests.filter(wrong | nameless).withColumn("destination", F.lit(None).cast("string"))
     not_found = F.concat(F.lit("Shipment with ID "), F.col("shipment_id"), F.lit(" not found."))
     error = F.coalesce(scan_error(), F.when(F.col("known").isNull(), not_found))
-    return answered.select(
+    return found.unionByName(others, allowMissingColumns=True).select(
         *requests.columns,
-        F.col("known.destination").alias("destination"),
+        "destination",
         error.isNull().alias("success"),
         error.alias("error_message"),
         scan_error().isNotNull().alias("invalid"),
@@ -93,7 +106,7 @@ def scan_state(requests: DataFrame, created: DataFrame, order: list[str]) -> Dat
     both, full_order = _timeline(requests.filter(scan_error().isNull()), created, order)
     position = F.struct(*full_order)
     scan = F.col("kind") == 1
-    latest = both.groupBy("shipment_id").agg(
+    latest = both.repartition("shipment_id").groupBy("shipment_id").agg(
         F.max(F.when(~scan, F.struct(position.alias("p"), "create"))).alias("c"),
         F.max(F.when(scan, F.struct(position.alias("p"), "location", "scanned_at"))).alias("s"),
     )

@@ -39,35 +39,49 @@ def _position(order: list[str]) -> Column:
 def closing_arrivals(
     events: DataFrame, order: list[str], clock: list[str], time: str, size: str, slide: str, grace: str
 ) -> DataFrame:
-    """Per clock and window the arrival that closes it: ``closed_by``, null if none does."""
+    """Per clock and window the arrival that closes it: ``closed_by``, null if none does.
+
+    One pass over the events marks both what each row belongs to and what it closes.
+    """
     # the last window a row closes, and with it all earlier ones
     shifted = F.col(time) - F.expr(f"INTERVAL {size}") - F.expr(f"INTERVAL {grace}")
-    closes = (
-        events.select(*clock, _position(order).alias("a"), F.window(shifted, slide)["start"].alias("window_start"))
-        .groupBy(*clock, "window_start")
-        .agg(F.min("a").alias("a"))
-        .withColumn("asked", F.lit(False))
-    )
-    asked = _assigned(events, time, size, slide).select(*clock, "window_start").distinct()
+    rows = _assigned(events, time, size, slide).withColumn("closes", F.window(shifted, slide)["start"])
+    position = _position(order)
     marks = (
-        asked.withColumn("asked", F.lit(True))
-        .unionByName(closes, allowMissingColumns=True)
-        .groupBy(*clock, "window_start")
-        .agg(F.min("a").alias("a"), F.max("asked").alias("asked"))
+        rows.select(*clock, F.explode(F.array(
+            F.struct(F.col("window_start").alias("w"), F.lit(None).cast(_type(rows, position)).alias("a"), F.lit(True).alias("asked")),
+            F.struct(F.col("closes").alias("w"), position.alias("a"), F.lit(False).alias("asked")),
+        )).alias("m"))
+        .groupBy(*clock, F.col("m.w").alias("window_start"))
+        .agg(F.min("m.a").alias("a"), F.max("m.asked").alias("asked"))
     )
-    # one row per clock and window from here on: few, whatever the number of events
-    later = (
-        Window.partitionBy(*(clock or [F.lit(0)]))
-        .orderBy(F.col("window_start").desc())
+    # One row per clock and window from here on.  The minimum over this and all later
+    # windows goes day by day: within a day by a window, across days over one row a day.
+    day = F.date_trunc("day", "window_start")
+    marks = marks.withColumn("_day", day)
+    within = (
+        Window.partitionBy(*clock, "_day").orderBy(F.col("window_start").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    days = marks.groupBy(*clock, "_day").agg(F.min("a").alias("_least"))
+    after = (
+        Window.partitionBy(*(clock or [F.lit(0)])).orderBy(F.col("_day").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    later = days.withColumn("_later", F.min("_least").over(after)).drop("_least")
     return (
-        marks.withColumn("closed_by", F.min("a").over(later))
+        marks.withColumn("_here", F.min("a").over(within))
+        .join(later, [*clock, "_day"])
+        .withColumn("closed_by", F.least("_here", "_later"))
         .filter("asked")
         .select(*clock, "window_start", "closed_by")
     )
 
 
+def _type(rows: DataFrame, column: Column) -> str:
+    return rows.select(column.alias("c")).schema["c"].dataType.simpleString()
+
+
 def with_lateness(
     events: DataFrame,
     order: list[str],

@@ -152,26 +152,28 @@ def mark_delivered(requests: DataFrame, state: DataFrame) -> DataFrame:
         F.col("request.location").alias("location"),
     )
     stored = state.select("shipment_id", "destination").withColumn("known", F.lit(True))
-    failure = text.first_failure(
+    refusal = text.first_failure(
         (F.col("absent"), "Request must not be null"),
         (text.is_blank("shipment_id"), "shipmentId must not be null or empty"),
         (text.is_blank("location"), "location must not be null or empty"),
-        (F.col("known").isNull(), F.concat(F.lit("Shipment not found: "), F.col("shipment_id"))),
+    )
+    checked = asked.withColumn("error_message", refusal)
+    # what is refused needs no state, and its blank ids would meet in one task
+    refused = checked.filter("error_message IS NOT NULL").withColumn("destination", F.lit(None).cast("string"))
+    unknown = F.concat(F.lit("Shipment not found: "), F.col("shipment_id"))
+    looked_up = checked.filter("error_message IS NULL").join(stored, "shipment_id", "left").withColumn(
+        "error_message", F.when(F.col("known").isNull(), unknown)
     )
     done = F.col("error_message").isNull()
-    return (
-        asked.join(stored, "shipment_id", "left")
-        .withColumn("error_message", failure)
-        .select(
-            "request_id",
-            F.when(done, F.col("shipment_id")).alias("shipment_id"),
-            done.alias("success"),
-            F.when(done, F.lit(S.DELIVERED)).alias("status"),
-            F.when(done, F.col("location")).alias("location"),
-            F.when(done, F.col("destination")).alias("destination"),
-            F.when(done, F.col("requested_at")).alias("delivered_at"),
-            "error_message",
-        )
+    return looked_up.select(*refused.columns).unionByName(refused).select(
+        "request_id",
+        F.when(done, F.col("shipment_id")).alias("shipment_id"),
+        done.alias("success"),
+        F.when(done, F.lit(S.DELIVERED)).alias("status"),
+        F.when(done, F.col("location")).alias("location"),
+        F.when(done, F.col("destination")).alias("destination"),
+        F.when(done, F.col("requested_at")).alias("delivered_at"),
+        "error_message",
     )
 
 
@@ -184,8 +186,9 @@ def manual_deliveries(marked: DataFrame) -> DataFrame:
 
 
 def apply_deliveries(state: DataFrame, marked: DataFrame) -> DataFrame:
-    """State after the requests: status, location and delivery time of the last one each."""
-    last = F.max(F.struct("delivered_at", "location"))
+    """State after the requests: status, location and delivery time of the last one
+    each; of requests at the same moment the one with the greater id."""
+    last = F.max(F.struct("delivered_at", "request_id", "location"))
     changed = marked.filter("success").groupBy("shipment_id").agg(last.alias("d"))
     hit = F.col("d").isNotNull()
     return state.join(changed, "shipment_id", "left").select(

@@ -96,17 +96,34 @@ def delete_notifications(notes: DataFrame, deletions: DataFrame) -> DataFrame:
     return notes.join(_ids(deletions), "id", "left_anti")
 
 
-def deletion_results(notes: DataFrame, deletions: DataFrame) -> DataFrame:
-    """Answer to each deletion by id: an absent id is an error."""
-    present = notes.select(F.col("id").alias("wanted")).withColumn("found", F.lit(True))
-    error = text.first_failure(
-        (text.is_empty("id"), "Notification ID must not be null or empty"),
-        (F.col("found").isNull(), F.concat(F.lit("Notification not found with ID: "), F.col("id"))),
+def deletion_results(notes: DataFrame, deletions: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Answer to each deletion by id, in the order of the columns ``order``: a blank
+    or absent id is an error, and so is an id that an earlier request deleted.
+
+    Only the ids asked for are looked up, so the notifications are filtered by a
+    list that may be broadcast, rather than shuffled.  Which of several requests for
+    one id is first is settled by a minimum per id; requests without an id take no part.
+    """
+    order = order or ["request_id"]
+    asked = deletions.withColumn("wanted", text.trimmed("id"))
+    blank = text.is_empty("id")
+    named = asked.filter(~blank)
+    first = named.groupBy("wanted").agg(F.min(F.struct(*order)).alias("first"))
+    present = (
+        notes.select(F.col("id").alias("wanted"))
+        .join(first.select("wanted"), "wanted", "left_semi").distinct().withColumn("found", F.lit(True))
     )
-    return (
-        deletions.withColumn("wanted", text.trimmed("id"))
-        .join(present, "wanted", "left")
-        .select("id", error.isNull().alias("success"), error.alias("error_message"))
+    known = first.join(present, "wanted", "left")
+    absent = F.concat(F.lit("Notification not found with ID: "), F.col("id"))
+    succeeds = F.col("found").isNotNull() & (F.struct(*order) == F.col("first"))
+    answered = named.join(known, "wanted").select(
+        *order, "id", F.when(~succeeds, absent).alias("error_message")
+    )
+    refused = asked.filter(blank).select(
+        *order, "id", F.lit("Notification ID must not be null or empty").alias("error_message")
+    )
+    return answered.unionByName(refused).select(
+        *order, "id", F.col("error_message").isNull().alias("success"), "error_message"
     )
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.session import materialise
+from waybill.session import materialise, size_in_bytes
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,10 @@ class HotKeys:
 
     def find(self, keys: DataFrame, key: str) -> list[int]:
         """Runs the count; the slots come back as a short list."""
+        return sorted(self.find_rows(keys, key))
+
+    def find_rows(self, keys: DataFrame, key: str) -> dict[int, int]:
+        """The hot slots and their rows."""
         counted = keys.groupBy(self.slot(key).alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
         gathered = counted.agg(
             F.sum("rows").alias("total"), F.collect_list(F.struct("slot", "rows")).alias("slots")
@@ -44,7 +48,14 @@ class HotKeys:
             lambda s: (s["rows"] > self.floor_rows)
             & (s["rows"] * self.slots > F.col("total") * self.factor),
         )
-        return sorted(gathered.select(busy["slot"].alias("hot")).first()["hot"])
+        return {s["slot"]: s["rows"] for s in gathered.select(busy.alias("hot")).first()["hot"]}
+
+
+class NoHotKeys(HotKeys):
+    """For rows of so few keys that counting them would cost more than it saves."""
+
+    def find_rows(self, keys: DataFrame, key: str) -> dict[int, int]:
+        return {}
 
 
 @dataclass(frozen=True)
@@ -107,40 +118,77 @@ def with_running(
     ``first``, if given, is evaluated on a key's first row and put on all of its
     rows as ``first_value``, which the running values may refer to.
 
-    The keys are counted beforehand (in ``keys``, which may be a cheaper table).
-    Without a hot key this is a plain window per key.  A hot key is cut into
-    chunks: one per distinct value of the columns ``chunk``, which must be a
-    prefix of ``order`` or grow with it (a day, an offset divided by a million).
-    The chunks' totals are aggregated first, a few rows per hot key; then the
-    rows are shuffled once, by key and chunk, and each chunk runs on its own,
-    on top of the totals of the chunks before it.  Rows without a key belong to
-    no group; their values mean nothing.
+    The keys are counted beforehand (in ``keys``, which may be a cheaper table), so
+    building the plan runs jobs.  Without a hot key this is a plain window per key.
+
+    Otherwise hot keys' rows are written once, all others take the plain window, and
+    each hot key is cut into chunks of its arrival order, about ``floor_rows / 4``
+    rows each, at quantiles of the first of the columns ``chunk`` (a number, a date
+    or a time, a prefix of ``order`` or growing with it).  A single value that fills
+    chunks of its own is cut by the other columns of ``chunk``.  So the chunks
+    depend on the number of rows, not on how fine the times are.  Their totals are
+    aggregated; then the rows are shuffled by key and chunk, and each chunk runs on
+    its own, on top of the totals of the chunks before it.
+
+    Rows without a key belong to no group; their values mean nothing.
     """
     hot = hot or HotKeys()
-    found = hot.find((df if keys is None else keys).select(key), key)
-    group = [key, "_chunk"] if found else [key]
-    here = (
-        Window.partitionBy(*group)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    found = hot.find_rows((df if keys is None else keys).select(key), key)
     if not found:
-        rows = df if first is None else df.withColumn(FIRST, F.first(first).over(here))
-        return rows.select("*", *[v.over(here).alias(v.name) for v in values])
-
-    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    is_hot = hot.slot(key).isin(*found)
-    marked = df.withColumn("_chunk", F.when(is_hot, cut))
-    hot_rows = df.filter(is_hot).withColumn("_chunk", cut)
-    carry = sized_broadcast(_chunk_totals(hot_rows, key, order, values, first))
+        return _plain(df, key, order, values, first)
+    is_hot = F.coalesce(hot.slot(key).isin(*found), F.lit(False))
+    pieces = -(-max(found.values()) * 4 // max(hot.floor_rows, 1))
+    rows = _chunked(materialise(df.filter(is_hot)), key, chunk, min(max(pieces, 2), MOST_CHUNKS))
+    return _plain(df.filter(~is_hot), key, order, values, first).unionByName(
+        _split(rows, df.columns, key, order, values, first)
+    )
+
+
+MOST_CHUNKS = 10_000
+
+
+def _running(*group: str, order: list[str]):
+    return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _plain(df: DataFrame, key: str, order: list[str], values: list[Running], first: Column | None) -> DataFrame:
+    here = _running(key, order=order)
+    rows = df if first is None else df.withColumn(FIRST, F.first(first).over(here))
+    return rows.select("*", *[v.over(here).alias(v.name) for v in values])
+
+
+def _chunked(rows: DataFrame, key: str, chunk: list[Column], pieces: int) -> DataFrame:
+    """Adds ``_chunk``, which grows with the order of arrival."""
+    value = chunk[0]
+    cuts = rows.groupBy(key).agg(
+        F.percentile_approx(value, [i / pieces for i in range(1, pieces)], max(10_000, 20 * pieces)).alias("_cuts")
+    )
+    met = rows.join(sized_broadcast(cuts), key, "left").withColumn("_at", value)
+    # a value that is a cut is a chunk of its own, between those on either side
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_at")))
+    upto = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
+    full = upto - below > 1
+    place = F.struct(
+        F.when(F.col("_cuts").isNull(), 0).otherwise(below + upto).alias("c0"),
+        *[F.when(full, c).alias(f"c{i}") for i, c in enumerate(chunk[1:], 1)],
+    )
+    return met.withColumn("_chunk", place).drop("_cuts", "_at")
+
+
+def _split(
+    rows: DataFrame, kept: list[str], key: str, order: list[str], values: list[Running], first: Column | None
+) -> DataFrame:
+    group = [key, "_chunk"]
+    here = _running(*group, order=order)
+    carry = sized_broadcast(_chunk_totals(rows, key, order, values, first))
     # Said outright: rows that lie partitioned by key alone would do for the
     # windows below, and leave the hot key where it is.
-    rows = marked.repartition(*group).join(carry, group, "left")
+    rows = rows.repartition(*group).join(carry, group, "left")
     if first is not None:
         own = F.first(first).over(here)
         rows = rows.withColumn(FIRST, F.when(F.col("_first").isNotNull(), F.col("_first.v")).otherwise(own))
+        kept = [*kept, FIRST]
     rows = rows.select("*", *[v.over(here).alias(f"_here_{v.name}") for v in values])
-    kept = df.columns if first is None else [*df.columns, FIRST]
     return rows.select(
         *kept, *[v.joined(F.col(f"_here_{v.name}"), F.col(f"_c_{v.name}")).alias(v.name) for v in values]
     )
@@ -167,9 +215,13 @@ def _chunk_totals(
     )
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+BROADCAST_BYTES = 64 << 20
+
+
+def sized_broadcast(small: DataFrame, max_rows: int = 1_000_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` written out and counted; marked for broadcast only if it has at
-    most ``max_rows`` rows, else left to a shuffled join (which adaptive
-    execution splits where a key is hot)."""
+    most ``max_rows`` rows and ``max_bytes`` in its files, else left to a shuffled
+    join (which adaptive execution splits where a key is hot)."""
     kept = materialise(small)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    fits = size_in_bytes(kept) <= max_bytes and kept.count() <= max_rows
+    return F.broadcast(kept) if fits else kept

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 from waybill.functions import times
 from waybill.operators import counts, late, lifecycle, records
 from waybill.plans.lifecycle import replayed
-from waybill.session import shared_dir
-from waybill.sources import tables
+from waybill.session import temporary_folder
+from waybill.sources import tables, topics
 from waybill.streaming import counts as stream_counts
 from waybill.streaming import sinks
 
@@ -43,25 +42,36 @@ def event_time(spark, sf_dir):
     return events.select("event_id", times.event_time(own, recorded, now, ZONE).alias("event_time"))
 
 
+def _hourly_of(spark, sf_dir, start, end):
+    """Hourly counts of no more deliveries than a range can hold."""
+    return counts.delivery_counts(counts.deliveries_of_range(tables.deliveries(spark, sf_dir), start, end))
+
+
 def counts_in_range(spark, sf_dir):
-    return counts.counts_in_range(hourly(spark, sf_dir), *RANGE)
+    return counts.counts_in_range(_hourly_of(spark, sf_dir, *RANGE), *RANGE)
 
 
-def _as_of(spark, sf_dir):
-    return tables.deliveries(spark, sf_dir).agg(F.max("delivered_at")).scalar()
+def _newest(spark, sf_dir) -> datetime:
+    """The latest delivery time, asked at once so that it can prune the scan."""
+    newest = tables.deliveries(spark, sf_dir).agg(F.max("delivered_at").alias("t")).first()["t"]
+    return newest or datetime(1970, 1, 1)
 
 
 def counts_last_24h(spark, sf_dir):
-    return counts.counts_looking_back(hourly(spark, sf_dir), _as_of(spark, sf_dir), 24)
+    now = _newest(spark, sf_dir)
+    return counts.counts_looking_back(_hourly_of(spark, sf_dir, *counts.looking_back(now, 24)), now, 24)
 
 
 def recent_window_count(spark, sf_dir):
-    return counts.recent_window_count(hourly(spark, sf_dir), _as_of(spark, sf_dir))
+    now = _newest(spark, sf_dir)
+    return counts.recent_window_count(_hourly_of(spark, sf_dir, *counts.looking_back(now, 1)), now)
 
 
 def location_analytics(spark, sf_dir):
     """The nested row, laid out flat for comparison."""
-    nested = counts.location_analytics(hourly(spark, sf_dir), *ANALYSED)
+    events = counts.deliveries_of_location(tables.deliveries(spark, sf_dir), ANALYSED[0])
+    hourly_counts = counts.delivery_counts(counts.deliveries_of_range(events, *ANALYSED[1:]))
+    nested = counts.location_analytics(hourly_counts, *ANALYSED)
     return nested.select(
         "location", F.explode("hourly_data").alias("h"), "total_deliveries"
     ).select("location", "h.window_start", "h.window_end", "h.count", "total_deliveries")
@@ -110,12 +120,18 @@ def delivery_counts_daily(spark, sf_dir):
 
 
 def delivery_counts_streamed(spark, sf_dir):
-    """The flagship as a stream over the events table, run until all is read;
-    its batches go to a folder of their own in the shared one."""
+    """The flagship as a stream over the events table, run until all is read, a
+    bounded number of files at a time.  Building it runs the stream; its batches go
+    to a folder of their own in the shared one, which goes when the application ends.
+
+    Stored rows come in no order, so no watermark may drop any.
+    """
     path = f"{sf_dir}/[e]vents.parquet"  # a pattern: as a plain path a stream takes folders only
-    events = spark.readStream.schema(tables.table(spark, sf_dir, "events").schema).parquet(path)
-    folder = f"{shared_dir(spark)}/delivery-counts-{uuid.uuid4()}"
-    counted = stream_counts.windowed_counts(tables.as_deliveries(events))
+    events = spark.readStream.schema(tables.table(spark, sf_dir, "events").schema).option(
+        "maxFilesPerTrigger", topics.FILES_PER_TRIGGER
+    ).parquet(path)
+    folder = temporary_folder(spark, "delivery-counts")
+    counted = stream_counts.windowed_counts(tables.as_deliveries(events), grace=None)
     writer = stream_counts.counts_writer(counted, f"{folder}/table")
     sinks.start(writer, f"{folder}/progress", available_now=True).awaitTermination()
     return stream_counts.read_counts(spark, f"{folder}/table")

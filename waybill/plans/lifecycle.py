@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from waybill.operators import creation, gate, lifecycle
+from waybill.operators.skew import NoHotKeys
 from waybill.sources import tables
 
 SHIPMENT = "42"
@@ -13,10 +13,10 @@ SHIPMENT = "42"
 
 def replayed(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
     """All scans replayed, or those of one shipment, which are picked out first."""
-    scans, keys = tables.scans(spark, sf_dir), tables.scan_keys(spark, sf_dir)
+    scans = tables.scans(spark, sf_dir, shipment_id)
     if shipment_id is not None:
-        scans, keys = (rows.filter(F.col("shipment_id") == shipment_id) for rows in (scans, keys))
-    return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), keys=keys)
+        return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), hot=NoHotKeys())
+    return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), keys=tables.scan_keys(spark, sf_dir))
 
 
 def shipment_lifecycle(spark, sf_dir):

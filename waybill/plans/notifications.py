@@ -19,9 +19,7 @@ FIRST_CREATED = "bc4963d1b019215ba3be2ebe19b9460b217fe3d75ddcbfe8ea99b03267c9a40
 def all_events(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
     """Created events, and scanned and delivered ones from one replay; of all
     shipments or of one."""
-    created = tables.created(spark, sf_dir)
-    if shipment_id is not None:
-        created = created.filter(F.col("shipment_id") == shipment_id)
+    created = tables.created(spark, sf_dir, shipment_id)
     return events.created_events(created).unionByName(
         events.replayed_events(replayed(spark, sf_dir, shipment_id))
     )
@@ -95,12 +93,14 @@ def notification_validation(spark, sf_dir):
 
 
 def _deletions(spark, sf_dir):
-    """Delete the notifications of all creations of urgent orders, some twice
-    wrong: by a blank id or one that is not there."""
-    urgent = tables.table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    """Delete the notifications of all orders' creations: some by a blank id or one
+    that is not there, every ninth a second time."""
     key = F.col("o_orderkey")
     record = F.concat_ws(":", F.lit(S.TOPIC_CREATED), key % 3, F.expr("o_orderkey div 3"))
-    return urgent.select(
+    times = F.when(key % 9 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    asked = tables.table(spark, sf_dir, "orders").select("o_orderkey", F.explode(times).alias("again"))
+    return asked.select(
+        (key * 2 + F.col("again")).alias("request_id"),
         F.when(key % 7 == 0, F.lit(" "))
         .when(key % 5 == 0, F.concat(F.lit("gone-"), key.cast("string")))
         .otherwise(F.concat(F.lit(" "), F.sha2(record, 256)))

@@ -130,10 +130,11 @@ _NOTES = _REPLAY + ", " + _CREATED + """, notes AS (
   FROM delivered)"""
 
 _DELETIONS = """deletions AS (
-  SELECT CASE WHEN o_orderkey % 7 = 0 THEN ' '
+  SELECT o_orderkey * 2 + again AS request_id,
+         CASE WHEN o_orderkey % 7 = 0 THEN ' '
               WHEN o_orderkey % 5 = 0 THEN 'gone-' || o_orderkey
               ELSE ' ' || sha256(concat_ws(':', 'shipment-created', o_orderkey % 3, o_orderkey // 3)) END AS id
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+  FROM orders, (VALUES (0), (1)) AS t(again) WHERE again = 0 OR o_orderkey % 9 = 0)"""
 
 _WEBHOOK = _REPLAY + ", " + _CREATED + """, webhook AS (
   SELECT *, 'serverless-' || timestamp AS "correlationId" FROM (
@@ -221,18 +222,15 @@ COUNTS = {
                               WHEN event_id % 11 = 0 THEN ts ELSE ts - INTERVAL 1 HOUR END AS event_time
         FROM events""",
     "counts_in_range": f"""WITH {_HOURLY} SELECT * FROM hourly
-        WHERE window_start BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'
-        ORDER BY window_start, location LIMIT 1000""",
+        WHERE window_start BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'""",
     "counts_last_24h": f"""WITH {_HOURLY}, latest AS (SELECT max(ts) AS t FROM events)
-        SELECT hourly.* FROM hourly, latest WHERE window_start BETWEEN t - INTERVAL 24 HOUR AND t
-        ORDER BY window_start, location LIMIT 1000""",
+        SELECT hourly.* FROM hourly, latest WHERE window_start BETWEEN t - INTERVAL 24 HOUR AND t""",
     "recent_window_count": f"""WITH {_HOURLY}, latest AS (SELECT max(ts) AS t FROM events)
-        SELECT least(count(*), 1000) AS recent_data_count
+        SELECT count(*) AS recent_data_count
         FROM hourly, latest WHERE window_start BETWEEN t - INTERVAL 1 HOUR AND t""",
     "location_analytics": f"""WITH {_HOURLY}, picked AS (
           SELECT * FROM hourly WHERE location = 'purchase'
-            AND window_start BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'
-          ORDER BY window_start LIMIT 1000)
+            AND window_start BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25')
         SELECT *, CAST(sum(count) OVER () AS BIGINT) AS total_deliveries FROM picked""",
     "delivery_rate": f"""WITH {_HOURLY}
         SELECT location, window_start, CAST(count AS DOUBLE) AS per_hour, format('{{:,}}', count) AS total_display,
@@ -319,7 +317,7 @@ LIFECYCLE = {
     "create_validation": f"""
         SELECT 'request-' || o_orderkey AS request_id, {_CREATE_ERROR} AS error_message FROM orders""",
     "create_shipments": f"""WITH {_ORDERS_TO}
-        SELECT 'request-' || o_orderkey AS request_id, substr(sha256('request-' || o_orderkey), 1, 8) AS shipment_id,
+        SELECT 'request-' || o_orderkey AS request_id, sha256('request-' || o_orderkey) AS shipment_id,
                origin, destination, c_name AS customer_id, o_orderdate AS created_at, 'CREATED' AS status
         FROM orders_to WHERE ({_CREATE_ERROR}) IS NULL""",
     "delete_shipments": f"""WITH {_ORDERS_TO}
@@ -361,10 +359,11 @@ NOTIFICATIONS = {
     "delete_notifications": f"""WITH {_NOTES}, {_DELETIONS}
         SELECT * FROM notes WHERE id NOT IN (SELECT trim(id) FROM deletions)""",
     "deletion_results": f"""WITH {_NOTES}, {_DELETIONS}, answered AS (
-          SELECT d.id, CASE WHEN trim(d.id) = '' THEN 'Notification ID must not be null or empty'
-                            WHEN n.id IS NULL THEN 'Notification not found with ID: ' || d.id END AS error_message
+          SELECT request_id, d.id, CASE WHEN trim(d.id) = '' THEN 'Notification ID must not be null or empty'
+            WHEN n.id IS NULL OR row_number() OVER (PARTITION BY trim(d.id) ORDER BY request_id) > 1
+              THEN 'Notification not found with ID: ' || d.id END AS error_message
           FROM deletions d LEFT JOIN notes n ON trim(d.id) = n.id)
-        SELECT id, error_message IS NULL AS success, error_message FROM answered""",
+        SELECT request_id, id, error_message IS NULL AS success, error_message FROM answered""",
     "deletion_counts": f"""WITH {_NOTES}, {_DELETIONS}
         SELECT count(*) FILTER (id IN (SELECT trim(id) FROM deletions)) AS deleted_count,
                count(*) FILTER (id NOT IN (SELECT trim(id) FROM deletions)) AS remaining_count FROM notes""",

@@ -52,23 +52,59 @@ def _moment(name: str) -> Column:
     return F.when(F.col("event_type").isin(*owners), F.col("event_at"))
 
 
-def parse(records: DataFrame) -> DataFrame:
-    """Adds ``event_type``, the raw fields, the event's own time ``event_at`` and
+def record_id(records: DataFrame) -> Column:
+    """What names a record: its topic, partition and offset; for a line of a file,
+    the file and a hash of the line.  Identical lines of one file are one record
+    read twice and share an id, as a redelivered record does."""
+    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    file = F.col("source_file") if "source_file" in records.columns else F.lit(None).cast("string")
+    return F.when(placed, F.concat_ws(":", "topic", "partition", "offset")).otherwise(
+        F.concat_ws(":", "topic", F.coalesce(file, F.lit("")), F.sha2(F.coalesce("value", F.lit("")), 256))
+    )
+
+
+_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?[+-]\d{2}:?\d{2}$"
+
+
+def envelope_time(text) -> Column:
+    """The envelope's time in UTC: a date-time (with Z, an offset or neither), its
+    array form, or seconds since 1970 with a fraction."""
+    raw = F.trim(F.col(text))
+    seconds = F.when(~raw.startswith("["), raw.try_cast("decimal(38,9)"))
+    micros = F.floor(seconds * 1_000_000).cast("bigint")
+    return F.coalesce(
+        times.read_datetime(F.regexp_replace(raw, "Z$", "")),
+        F.timestamp_add("MICROSECOND", micros, times.epoch()),
+        times.from_instant(F.when(raw.rlike(_WITH_OFFSET), raw).try_cast("timestamp")),
+    )
+
+
+def parse(records: DataFrame, where: Column | str | None = None) -> DataFrame:
+    """``where`` picks records by topic, partition, offset, timestamp or key; given
+    here it reaches the scan, while filters on the result stay above the parser.
+
+    Adds ``event_type``, the raw fields, the event's own time ``event_at`` and
     ``reason``, which says why a record cannot be used; an absent value is no
     event and no failure."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    raw = records.withColumn("e", F.from_json("value", _ANY_EVENT, options))
+    chosen = records if where is None else records.filter(where)
+    raw = chosen.withColumn("e", F.from_json("value", _ANY_EVENT, options)).withColumn(
+        "record_id", record_id(records)
+    )
     known = raw.withColumn("event_type", _event_type())
     date = F.lit(None).cast("string")
     for event, name in _DATE_FIELDS.items():
         date = F.when(F.col("event_type") == event, F.col(f"e.{name}")).otherwise(date)
-    dated = known.withColumn("event_date", date).withColumn("event_at", times.read_datetime("event_date"))
+    dated = known.withColumn("event_date", date).withColumn(
+        "event_at", times.read_datetime("event_date")
+    ).withColumn("envelope_at", envelope_time("e.timestamp"))
     malformed = F.col(f"e.{_CORRUPT}").isNotNull() | F.col("e").isNull()
     reason = (
         F.when(F.col("value").isNull(), F.lit(None))
         .when(malformed, "malformed JSON")
         .when(F.col("event_type") == UNKNOWN_TYPE, "unknown event type")
         .when(F.col("event_date").isNotNull() & F.col("event_at").isNull(), "unreadable date")
+        .when(F.col("e.timestamp").isNotNull() & F.col("envelope_at").isNull(), "unreadable timestamp")
     )
     # ``_task`` holds filters on the outcome above this point: pushed further
     # down, they would repeat the parsing once per field they look at.
@@ -79,7 +115,6 @@ def typed(parsed: DataFrame) -> DataFrame:
     """Usable records as typed events with their metadata; envelope defaults are
     the record's time and version v1."""
     usable = parsed.filter("reason IS NULL AND value IS NOT NULL AND _task >= 0")
-    stamped = times.read_datetime(F.regexp_replace("e.timestamp", "Z$", ""))
     return usable.select(
         "topic",
         "partition",
@@ -95,14 +130,16 @@ def typed(parsed: DataFrame) -> DataFrame:
         _field("type").alias("type"),
         _field("message").alias("message"),
         F.col("e.correlationId").alias("correlation_id"),
-        F.coalesce(stamped, F.col("timestamp")).alias("timestamp"),
+        F.coalesce("envelope_at", "timestamp").alias("timestamp"),
         F.coalesce("e.version", F.lit(S.DEFAULT_VERSION)).alias("version"),
         F.col("timestamp").alias("record_timestamp"),
+        "record_id",
+        *(["source_file"] if "source_file" in parsed.columns else []),
     )
 
 
-def decode(records: DataFrame) -> DataFrame:
-    return typed(parse(records))
+def decode(records: DataFrame, where: Column | str | None = None) -> DataFrame:
+    return typed(parse(records, where))
 
 
 def _of_type(events: DataFrame, event_type: str, *columns: str) -> DataFrame:
@@ -125,12 +162,6 @@ def delivered(events: DataFrame) -> DataFrame:
     )
 
 
-def notifications_sent(events: DataFrame) -> DataFrame:
-    return _of_type(
-        events, S.NOTIFICATION_SENT_EVENT, "notification_id", "shipment_id", "type", "message"
-    )
-
-
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Unusable records with the topic they go to; the partition stays."""
     return parsed.filter("reason IS NOT NULL AND _task >= 0").select(

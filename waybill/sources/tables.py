@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from waybill import schemas as S
 from waybill.functions import times
 from waybill.sources import logs
@@ -21,28 +19,31 @@ SCAN_CHUNK = ["scanned_at", "line"]
 ARRIVAL_ORDER = ["arrival", "event_id"]
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; its schema is read from the files once and given from then on."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
-def _orders_to(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _of_order(rows: DataFrame, column: str, shipment_id: str | None) -> DataFrame:
+    """Rows of one shipment, compared as the stored number so that it reaches the scan."""
+    if shipment_id is None:
+        return rows
+    if not (shipment_id.isascii() and shipment_id.isdigit() and str(int(shipment_id)) == shipment_id):
+        return rows.limit(0)  # no order has such a key
+    return rows.filter(F.col(column) == F.lit(int(shipment_id)).cast(rows.schema[column].dataType))
+
+
+def _orders_to(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
     customers = (
         table(spark, sf_dir, "customer")
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", "c_name", F.col("n_name").alias("destination"), "n_regionkey")
     )
-    return table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    orders = _of_order(table(spark, sf_dir, "orders"), "o_orderkey", shipment_id)
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +65,9 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def created(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Created events without the request's own columns."""
-    return _orders_to(spark, sf_dir).select(
+def created(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """Created events without the request's own columns; of all shipments or one."""
+    return _orders_to(spark, sf_dir, shipment_id).select(
         F.col("o_orderkey").cast("string").alias("shipment_id"),
         "destination",
         F.col("o_orderdate").alias("created_at"),
@@ -95,13 +96,14 @@ def scan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("shipment_id"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
     suppliers = (
         table(spark, sf_dir, "supplier")
         .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", F.col("n_name").alias("location"))
     )
-    return table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = _of_order(table(spark, sf_dir, "lineitem"), "l_orderkey", shipment_id)
+    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 _SCAN_IDENTITY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -124,16 +126,16 @@ def _any_case(location: Column) -> Column:
     return F.when(F.col("l_partkey") % 2 == 0, F.lower(location)).otherwise(location)
 
 
-def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scanned events with the destination of their shipment.
+def scans(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """Scanned events with the destination of their shipment; of all shipments or one.
 
     Joined on the shipment id itself, so that the join's partitioning serves
     whatever groups by shipment next.
     """
-    destinations = _orders_to(spark, sf_dir).select(
+    destinations = _orders_to(spark, sf_dir, shipment_id).select(
         F.col("o_orderkey").cast("string").alias("shipment_id"), "destination"
     )
-    lines = _lines(spark, sf_dir).select(
+    lines = _lines(spark, sf_dir, shipment_id).select(
         F.col("l_orderkey").cast("string").alias("shipment_id"),
         *_arrival(),
         F.concat_ws("-", *_SCAN_IDENTITY).alias("correlation_id"),

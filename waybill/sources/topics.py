@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from waybill.functions import times
 
 TYPE_HEADER = "__TypeId__"
+# Bounds of one trigger, and so of what a busy key hands to one task at a time.
+RECORDS_PER_TRIGGER = 1_000_000
+FILES_PER_TRIGGER = 64
 
 
 def kafka_records(
@@ -17,7 +20,7 @@ def kafka_records(
     topics: list[str],
     streaming: bool = True,
     starting_offsets: str = "earliest",
-    max_per_trigger: int | None = None,
+    max_per_trigger: int = RECORDS_PER_TRIGGER,
 ) -> DataFrame:
     """Records of Kafka topics (needs Spark's Kafka connector on the class path)."""
     reader = (spark.readStream if streaming else spark.read).format("kafka")
@@ -27,7 +30,7 @@ def kafka_records(
         .option("startingOffsets", starting_offsets)
         .option("includeHeaders", "true")
     )
-    if streaming and max_per_trigger:
+    if streaming:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     header = F.filter("headers", lambda h: h["key"] == TYPE_HEADER)
     return reader.load().select(
@@ -46,12 +49,12 @@ def file_records(
     path: str,
     topic: str,
     streaming: bool = False,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """One JSON event per line.  Files have no partition or offset; the file's
     path and time stand in for the record's metadata."""
     reader = spark.readStream if streaming else spark.read
-    if streaming and max_files_per_trigger:
+    if streaming:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.format("text").load(path).select(
         F.lit(topic).alias("topic"),

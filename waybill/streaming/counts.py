@@ -23,13 +23,18 @@ _BASE = "_base"
 
 
 def windowed_counts(
-    delivered: DataFrame, size: str = counts.WINDOW, grace: str = GRACE, zone: str | None = "UTC"
+    delivered: DataFrame, size: str = counts.WINDOW, grace: str | None = GRACE, zone: str | None = "UTC"
 ) -> DataFrame:
-    """``delivered`` is a stream of decoded delivered events."""
+    """``delivered`` is a stream of decoded delivered events.
+
+    Without ``grace`` nothing is ever late: for replaying stored events, which come
+    in any order.  The state then keeps one row per location and window.
+    """
     record_time = "record_timestamp" if "record_timestamp" in delivered.columns else None
     at = times.to_instant(times.event_time("delivered_at", record_time, zone=zone))
     timed = counts.valid_deliveries(delivered).select("location", at.alias("event_time"))
-    counted = counts.count_windows(timed.withWatermark("event_time", grace), "event_time", size)
+    timed = timed if grace is None else timed.withWatermark("event_time", grace)
+    counted = counts.count_windows(timed, "event_time", size)
     return counted.select(
         "location",
         times.from_instant("window_start").alias("window_start"),
@@ -43,38 +48,56 @@ def counts_writer(counted: DataFrame, path: str) -> DataStreamWriter:
     return counted.writeStream.outputMode("update").foreachBatch(sinks.to_batches(path))
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The counts table: each window as the latest batch left it."""
-    base = sinks.read_batches(spark, path + _BASE, S.DELIVERY_COUNT)
-    through = F.coalesce(base.agg(F.max("batch_id")).scalar(), F.lit(-1))
-    batches = sinks.read_batches(spark, path, S.DELIVERY_COUNT)
-    rows = base.filter(F.col("batch_id") == through).unionByName(
-        batches.filter(F.col("batch_id") > through)
-    )
+def _last_base(spark: SparkSession, path: str, through: int | None = None) -> int:
+    base = sinks.read_batches(spark, path + _BASE, T.StructType([]))
+    base = base if through is None else base.filter(F.col("batch_id") < through)
+    last = base.agg(F.max("batch_id").alias("b")).first()["b"]
+    return -1 if last is None else last
+
+
+def _view(spark: SparkSession, path: str, base: int, through: int | None = None) -> DataFrame:
+    """One compaction and the batches after it, up to ``through``."""
+    kept = sinks.read_batches(spark, path + _BASE, S.DELIVERY_COUNT).filter(F.col("batch_id") == base)
+    newer = sinks.read_batches(spark, path, S.DELIVERY_COUNT).filter(F.col("batch_id") > base)
+    newer = newer if through is None else newer.filter(F.col("batch_id") <= through)
     return (
-        rows.groupBy("location", "window_start", "window_end")
+        kept.unionByName(newer)
+        .groupBy("location", "window_start", "window_end")
         .agg(F.max_by("count", "batch_id").alias("count"))
     )
 
 
-def compact(spark: SparkSession, path: str, retention: str = counts.RETENTION) -> int | None:
-    """Write the table as of now beside the batches, without the windows past
-    retention; readers then skip the batches it covers.  Returns the last batch
-    covered, None if there is none."""
-    latest = sinks.read_batches(spark, path, T.StructType([])).agg(F.max("batch_id")).first()[0]
+def read_counts(spark: SparkSession, path: str, retention: str | None = None) -> DataFrame:
+    """The counts table: each window as the latest batch left it.
+
+    ``retention`` leaves out windows that started that long before the newest one.
+    """
+    rows = _view(spark, path, _last_base(spark, path))
+    return rows if retention is None else counts.retained(rows, retention)
+
+
+def compact(spark: SparkSession, path: str, files: int = 16) -> int | None:
+    """Write the whole table as of now beside the batches, into few files; readers
+    then skip the batches it covers, and see the same rows as before.  Reads the
+    last compaction and what came after it.  Returns the last batch covered, None if
+    there is none."""
+    latest = sinks.read_batches(spark, path, T.StructType([])).agg(F.max("batch_id").alias("b")).first()["b"]
     if latest is None:
         return None
-    current = counts.retained(_as_of(spark, path, latest), retention)
-    sinks.write_batch(current, path + _BASE, latest)
+    current = _view(spark, path, _last_base(spark, path, latest), latest)
+    sinks.write_batch(current.coalesce(files), path + _BASE, latest)
     return latest
 
 
-def _as_of(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """The table as of one batch, older compactions included."""
-    base = sinks.read_batches(spark, path + _BASE, S.DELIVERY_COUNT).filter(F.col("batch_id") < batch_id)
-    batches = sinks.read_batches(spark, path, S.DELIVERY_COUNT).filter(F.col("batch_id") <= batch_id)
-    return (
-        base.unionByName(batches)
-        .groupBy("location", "window_start", "window_end")
-        .agg(F.max_by("count", "batch_id").alias("count"))
-    )
+def remove_covered(spark: SparkSession, path: str) -> int:
+    """Delete the batches that the latest compaction covers, and older compactions.
+
+    For when no reader is at work on an older view.  Returns how many folders went.
+    """
+    base = _last_base(spark, path)
+    gone = 0
+    for table, covered in ((path, base), (path + _BASE, base - 1)):
+        for batch_id in sinks.batch_ids(spark, table):
+            if batch_id <= covered and (table != path or batch_id < base):
+                gone += sinks.delete_batch(spark, table, batch_id)
+    return gone

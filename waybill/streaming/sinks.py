@@ -47,6 +47,21 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], full)
 
 
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a folder, from a listing of the table's folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def delete_batch(spark: SparkSession, path: str, batch_id: int) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def kafka_writer(records: DataFrame, servers: str, mode: str = "append") -> DataStreamWriter:
     """Records (``topic, key, value``) to Kafka; at least once, so readers rely on keys and ids."""
     return (
