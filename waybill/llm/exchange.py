@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.store import shuffle_partitions
+from waybill.session import size_in_bytes
 
 # Of stored input for one group of documents.  Small enough for executors of 3 GB; with
 # larger ones, larger groups send fewer and longer rows.
@@ -32,10 +33,19 @@ ASKED_ARROW = pa.schema([("b", pa.int32()), ("g", pa.int32()), ("keys", pa.binar
 REPLIED_ARROW = pa.schema([("g", pa.int32()), ("b", pa.int32()), ("reply", pa.binary())])
 
 
-def groups_for(df: DataFrame) -> int:
-    """Groups of about GROUP_BYTES, and no fewer than the shuffle's partitions."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(1 << 30, max(shuffle_partitions(df), -(-size // GROUP_BYTES)))
+UNKNOWN_BYTES = 1 << 50
+
+
+def groups_for(df: DataFrame, text: str = "text") -> int:
+    """Groups of about GROUP_BYTES, and no fewer than the shuffle's partitions.
+
+    The size is the optimizer's, which for files is theirs; where it has none, the
+    texts are measured.
+    """
+    size = size_in_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(shuffle_partitions(df), -(-size // GROUP_BYTES))
 
 
 def hashed_group(key: Column, groups: int) -> Column:
