@@ -89,9 +89,10 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
     )
 
     def keys_of(table: pa.Table, _):
-        sets = shingle_sets(raw_texts(_different(table).column("text")), size)
-        keys, counts = np.unique(np.concatenate([_codes(s) for s in sets]), return_counts=True)
-        return keys, [counts]
+        flat = np.concatenate([_codes(s) for s in shingle_sets(raw_texts(_different(table).column("text")), size)])
+        flat.sort()
+        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+        return flat[first], [np.diff(np.append(first, len(flat)))]
 
     def frequency(run, first, payload, keys):
         return [np.minimum(np.bincount(run, payload[0]).astype(np.int64)[run], DF_LIMIT)], []

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHED = 150_000  # words remembered by one Python worker
+CACHED = 100_000  # words remembered by one Python worker
 
 
 class WordHashes(dict):
