@@ -77,7 +77,7 @@ def _one_of_each(batches):
             if node not in seen:
                 seen.add(node)
                 fresh.append(i)
-        yield batch.take(pa.array(fresh, pa.int64()))
+        yield batch if len(fresh) == len(nodes) else batch.take(pa.array(fresh, pa.int64()))
 
 
 def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:

@@ -172,7 +172,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
     """The model learnt from the labelled rows that aren't held out.
 
-    At most TRAIN_ROWS rows of each class: those whose ids hash lowest.
+    At most TRAIN_ROWS rows of each class: those whose ids hash lowest.  Without rows
+    of both classes every text scores alike: near 1, or near 0 if all are of class 0.
     """
     known = only(labels, doc_id, label).select(
         F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")
@@ -189,16 +190,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             ids += batch.column("id").to_pylist()
             texts += raw_texts(batch.column("text"))
             marks += batch.column("label").to_pylist()
-        if len(set(marks)) < 2:  # nothing to tell apart
-            model = np.zeros(BUCKETS + 1, np.float32)
-            model[-1] = 10.0 if set(marks) <= {1} else -10.0
+        if len(set(marks)) < 2:
+            model = _constant(1 if set(marks) <= {1} else 0)
         else:
             order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
             model = train([texts[i] for i in order], np.array([marks[i] for i in order]))
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.tobytes()], pa.binary())})
 
     made = rows.select("id", "text", "label").repartition(1).mapInArrow(learn, "model binary").first()
-    return np.frombuffer(made["model"], np.float32)
+    return _constant(1) if made is None else np.frombuffer(made["model"], np.float32)
+
+
+def _constant(label: int) -> np.ndarray:
+    model = np.zeros(BUCKETS + 1, np.float32)
+    model[-1] = 10.0 if label else -10.0
+    return model
 
 
 def classify(
