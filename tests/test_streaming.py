@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill import schemas as S
-from waybill.operators import counts, events, lifecycle, notify
+from waybill.operators import counts, events, gate, lifecycle, notify
 from waybill.sources import decode, tables, topics
 from waybill.streaming import counts as stream_counts
 from waybill.streaming import lifecycle as stream_lifecycle
+from waybill.streaming import notifications as stream_notifications
 from waybill.streaming import sinks
 
 START = datetime(2024, 1, 15, 10)
@@ -239,3 +240,86 @@ def test_life_cycle_of_the_tables(spark, tmp_path):
 def test_kafka_needs_its_connector(spark, streaming):
     with pytest.raises(Exception, match="kafka"):
         topics.kafka_records(spark, "nowhere:9092", ["a", "b"], streaming, max_per_trigger=10)
+
+
+def created(shipment, minute, destination="Berlin"):
+    return {"shipmentId": shipment, "destination": destination, "createdAt": (START + timedelta(minutes=minute)).isoformat()}
+
+
+def mixed_records(spark, root, streaming):
+    """The three topics as one, each a folder of files."""
+    parts = [
+        topics.file_records(spark, str(root / topic), topic, streaming, max_files_per_trigger=1)
+        for topic in (S.TOPIC_CREATED, S.TOPIC_SCANNED, S.TOPIC_DELIVERED)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def test_notifications_from_three_topics(spark, tmp_path):
+    root, table, dead = tmp_path / "in", str(tmp_path / "notes"), str(tmp_path / "dead")
+    root.mkdir()
+    for number in range(2):  # stops and starts again between the rounds
+        put(root / S.TOPIC_CREATED, f"{number}.json", [created(f"S{number}-{i}", i) for i in range(3)] + ["{"])
+        put(root / S.TOPIC_SCANNED, f"{number}.json", [scan(f"S{number}-{i}", i, "Depot") for i in range(2)])
+        put(root / S.TOPIC_DELIVERED, f"{number}.json", [event(number, shipment=f"S{number}-0"), event(9 + number, shipment=" ")])
+        writer = stream_notifications.notifications_writer(mixed_records(spark, root, True), table, dead)
+        sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    streamed = stream_notifications.read_notifications(spark, table)
+    batch = stream_notifications.notification_stream(mixed_records(spark, root, False))
+    assert rows(streamed, *streamed.columns) == rows(batch, *streamed.columns)
+    assert streamed.count() == 12
+    letters = sinks.read_batches(spark, dead, S.struct("topic string, reason string"))
+    assert [r for _, r in rows(letters, "topic", "reason")] == ["malformed JSON"] * 2 + [notify.NO_SHIPMENT] * 2
+
+
+def test_scan_gate_as_a_stream(spark, tmp_path):
+    schema = "kind string, at timestamp_ntz, shipment_id string, destination string, location string, request_id string"
+
+    def moment(minute):
+        return START + timedelta(minutes=minute)
+
+    batches = [
+        [("create", moment(0), "A", "Berlin", None, None), ("scan", moment(1), "A", None, "Depot", "1"),
+         ("scan", moment(1), "B", None, "Depot", "2"), ("scan", moment(2), None, None, "Depot", "3")],
+        [("create", moment(3), "B", "Paris", None, None), ("scan", moment(4), "B", None, "Depot", "4"),
+         ("scan", moment(5), "A", None, " ", "5"), ("scan", moment(6), "A", None, "Hub", "6")],
+        [("create", moment(7), "A", "Rome", None, None), ("scan", moment(8), "A", None, "Hub", "7")]
+        + [("scan", moment(9 + i), "B", None, "Hub", f"b{i}") for i in range(50)],  # one busy shipment
+    ]
+    folder = tmp_path / "in"
+    for number, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        stream = spark.readStream.schema(schema).parquet(str(folder))
+        writer = stream_notifications.gate_writer(stream, str(tmp_path / "known"), str(tmp_path / "answers"), ["request_id"])
+        sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    every = spark.createDataFrame(sum(batches, []), schema)
+    batch = gate.scan_results(
+        every.filter("kind = 'scan'").select("request_id", "shipment_id", "location", F.col("at").alias("scanned_at")),
+        every.filter("kind = 'create'").select("shipment_id", "destination", F.col("at").alias("created_at")),
+        ["request_id"],
+    )
+    names = ("request_id", "shipment_id", "location", "destination", "success", "error_message")
+    streamed = stream_notifications.read_answers(spark, str(tmp_path / "answers"))
+    assert rows(streamed, *names) == rows(batch, *names)
+    assert streamed.filter("success").count() == 54
+
+
+def test_chain_from_scans_to_counts(spark, tmp_path):
+    folder = tmp_path / "in"
+    order = ["scanned_at", "correlation_id"]
+    trips = [
+        [scan("A", 1, "Depot"), scan("A", 2, "Berlin"), scan("B", 3, "Depot")],
+        [scan("B", 50, "berlin"), scan("A", 55, "Berlin"), scan("C", 61, "Berlin")],
+        [scan("H", 70 + i, "Berlin" if i % 2 else "Depot") for i in range(60)] + [scan("B", 200, "Berlin")],
+    ]
+    for number, trip in enumerate(trips):
+        put(folder, f"{number}.json", trip)
+        writer = stream_notifications.chain_writer(
+            scans(spark, folder, True), order, str(tmp_path / "replayed"), str(tmp_path / "counts")
+        )
+        sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    batch = lifecycle.replay(scans(spark, folder, False), order, [F.col("scanned_at")])
+    wanted = counts.delivery_counts(lifecycle.delivered_events(batch))
+    streamed = stream_notifications.read_chained_counts(spark, str(tmp_path / "counts"))
+    assert rows(streamed, *COLUMNS) == rows(wanted, *COLUMNS)
+    assert streamed.agg(F.sum("count")).first()[0] == 35

@@ -5,7 +5,7 @@ A notification has the columns ``id, shipment_id, type, message, timestamp``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill import schemas as S
@@ -14,6 +14,13 @@ from waybill.operators.events import by_type
 from waybill.operators.validate import notification_error
 
 LATEST = 10
+NO_SHIPMENT = "Notification shipmentId must not be null or empty"
+
+
+def refused() -> Column:
+    """Whether a parsed record (see sources.decode) is an event that makes no notification."""
+    kinds = (S.CREATED_EVENT, S.SCANNED_EVENT, S.DELIVERED_EVENT)
+    return F.col("value").isNotNull() & F.col("event_type").isin(*kinds) & text.is_empty(F.col("e.shipmentId"))
 
 
 def notifications(events: DataFrame) -> DataFrame:
