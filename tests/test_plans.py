@@ -55,6 +55,17 @@ def test_metadata_of_records_reaches_the_scan(spark, small_dir, tmp_path):
     assert rows.count() == decode.decode(records).filter("partition = 1 and offset < 10").count() == 10
 
 
+def test_stored_counts_are_pruned_by_day(spark, sf_dir):
+    text = plan(spark, sf_dir, "counts_in_range_stored")
+    assert "PartitionFilters: [isnotnull(day" in text and "2024-01-10" in text
+
+
+def test_stored_notifications_are_pruned_by_shipment(spark, sf_dir):
+    text = plan(spark, sf_dir, "notifications_for_shipment_stored")
+    assert "PartitionFilters: [isnotnull(bucket" in text
+    assert any("EqualTo(shipment_id,42)" in f for f in pushed(text))
+
+
 def test_deletions_do_not_shuffle_the_notifications(spark, small_dir):
     text = plan(spark, small_dir, "deletion_results")
     assert "LeftSemi" in text

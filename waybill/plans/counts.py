@@ -11,7 +11,7 @@ from waybill.functions import times
 from waybill.operators import counts, late, lifecycle, records
 from waybill.plans.lifecycle import replayed
 from waybill.session import temporary_folder
-from waybill.sources import tables, topics
+from waybill.sources import stored, tables, topics
 from waybill.streaming import counts as stream_counts
 from waybill.streaming import sinks
 
@@ -77,6 +77,24 @@ def location_analytics(spark, sf_dir):
     ).select("location", "h.window_start", "h.window_end", "h.count", "total_deliveries")
 
 
+def _stored(spark, sf_dir) -> DataFrame:
+    """The hourly counts as a table by day, made once in a session."""
+    return stored.once(
+        spark, "hourly-counts", [f"{sf_dir}/events.parquet"],
+        lambda folder: stored.write_counts(hourly(spark, sf_dir), folder),
+    )
+
+
+def counts_in_range_stored(spark, sf_dir):
+    return counts.counts_in_range(stored.counts_of_days(_stored(spark, sf_dir), *RANGE), *RANGE)
+
+
+def location_total_stored(spark, sf_dir):
+    location, start, end = ANALYSED
+    total = counts.location_total(stored.counts_of_days(_stored(spark, sf_dir), start, end), location, start, end)
+    return total.select("location", "total_deliveries")
+
+
 def delivery_rate(spark, sf_dir):
     return counts.delivery_rate(hourly(spark, sf_dir))
 
@@ -150,6 +168,8 @@ QUERIES = {
     "counts_last_24h": counts_last_24h,
     "recent_window_count": recent_window_count,
     "location_analytics": location_analytics,
+    "counts_in_range_stored": counts_in_range_stored,
+    "location_total_stored": location_total_stored,
     "delivery_rate": delivery_rate,
     "deliveries_per_location": deliveries_per_location,
     "delivery_counts_merged": delivery_counts_merged,

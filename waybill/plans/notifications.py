@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waybill import schemas as S
 from waybill.operators import events, notify, records
 from waybill.plans.lifecycle import replayed
-from waybill.sources import tables
+from waybill.sources import stored, tables
 
 BRAND = "Waybill"
 SHIPMENT = " 42 "
@@ -59,6 +59,40 @@ def busiest_shipments(spark, sf_dir):
     return notify.notifications_by_shipment(notifications(spark, sf_dir), top_n=10)
 
 
+def _stored(spark, sf_dir) -> DataFrame:
+    """All notifications as a table by shipment, made once in a session."""
+    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation")]
+    return stored.once(
+        spark, "notifications", inputs,
+        lambda folder: stored.write_notifications(notifications(spark, sf_dir), folder),
+    )
+
+
+def notifications_for_shipment_stored(spark, sf_dir):
+    rows = stored.notifications_of(_stored(spark, sf_dir), SHIPMENT)
+    return notify.notifications_for_shipment(rows, SHIPMENT)
+
+
+def notification_by_id_stored(spark, sf_dir):
+    return notify.notification_by_id(_stored(spark, sf_dir).drop("bucket"), f"  {FIRST_CREATED}\t")
+
+
+def notification_count_stored(spark, sf_dir):
+    return notify.notification_count(_stored(spark, sf_dir))
+
+
+def notifications_by_type_stored(spark, sf_dir):
+    return notify.notifications_by_type(_stored(spark, sf_dir))
+
+
+def recent_notifications_stored(spark, sf_dir):
+    return notify.recent_notifications(_stored(spark, sf_dir).drop("bucket"))
+
+
+def deletion_results_stored(spark, sf_dir):
+    return notify.deletion_results(_stored(spark, sf_dir), _deletions(spark, sf_dir))
+
+
 def notification_preview(spark, sf_dir):
     return notify.notification_preview(notifications(spark, sf_dir))
 
@@ -170,6 +204,12 @@ QUERIES = {
     "notifications_by_type": notifications_by_type,
     "notifications_by_shipment": notifications_by_shipment,
     "busiest_shipments": busiest_shipments,
+    "notifications_for_shipment_stored": notifications_for_shipment_stored,
+    "notification_by_id_stored": notification_by_id_stored,
+    "notification_count_stored": notification_count_stored,
+    "notifications_by_type_stored": notifications_by_type_stored,
+    "recent_notifications_stored": recent_notifications_stored,
+    "deletion_results_stored": deletion_results_stored,
     "notification_preview": notification_preview,
     "notification_type_parse": notification_type_parse,
     "notification_validation": notification_validation,

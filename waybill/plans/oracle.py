@@ -464,3 +464,15 @@ DECODING = {
 }
 
 ORACLE = {**COUNTS, **LIFECYCLE, **NOTIFICATIONS, **DECODING}
+
+# The same questions asked of stored tables.
+ORACLE |= {
+    f"{name}_stored": ORACLE[name]
+    for name in (
+        "counts_in_range", "notifications_for_shipment", "notification_by_id", "notification_count",
+        "notifications_by_type", "recent_notifications", "deletion_results",
+    )
+}
+ORACLE["location_total_stored"] = (
+    f"SELECT DISTINCT location, total_deliveries FROM ({ORACLE['location_analytics']})"
+)
