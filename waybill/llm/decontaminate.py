@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.store import only, stored
-from waybill.llm.words import raw_texts
+from waybill.llm.words import hand_back, raw_texts
 
 WINDOW = 40
 HALF = WINDOW // 2
@@ -111,6 +111,7 @@ def numbered(docs: DataFrame, items: Items) -> DataFrame:
     def each(batches):
         get = Numbers(vocabulary.value).__getitem__
         for batch in batches:
+            hand_back()
             out = []
             for text in raw_texts(batch.column("text")):
                 words = text.split()

@@ -13,8 +13,6 @@ the shuffle small.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 from collections.abc import Callable
 
 import numpy as np
@@ -23,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.store import shuffle_partitions
+from waybill.llm.words import hand_back
 from waybill.session import size_in_bytes
 
 # Of stored input for one group of documents.  Small enough for executors of 3 GB; with
@@ -50,14 +49,6 @@ def groups_for(df: DataFrame, text: str = "text") -> int:
     return max(shuffle_partitions(df), -(-size // GROUP_BYTES))
 
 
-def _hand_back() -> None:
-    """Memory that earlier groups freed goes back to the system; Python workers live
-    on between stages, and several share an executor with its JVM."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def hashed_group(key: Column, groups: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")
 
@@ -130,7 +121,7 @@ def asked(
     def send(table: pa.Table, beside: pa.Table) -> pa.Table:
         if not table.num_rows:
             return ASKED_ARROW.empty_table()
-        _hand_back()
+        hand_back()
         keys, payload = keys_of(table, beside)
         g = table.column("g")[0].as_py()
         cuts = bucket_bounds(keys, buckets).tolist()
@@ -157,7 +148,7 @@ def replied(
     """
 
     def reply(table: pa.Table) -> pa.Table:
-        _hand_back()
+        hand_back()
         groups = table.column("g").to_numpy()
         by = np.argsort(groups, kind="stable")
         keys = [unpack(table.column("keys")[int(i)].as_py()) for i in by]
@@ -205,7 +196,7 @@ def finished(
     beside = replies.unionByName(side, allowMissingColumns=True)
 
     def each(table: pa.Table, back: pa.Table) -> pa.Table:
-        _hand_back()
+        hand_back()
         place = back.column("b").to_numpy(zero_copy_only=False)
         told = np.isfinite(place.astype(float))
         by = np.flatnonzero(told)[np.argsort(place[told], kind="stable")]

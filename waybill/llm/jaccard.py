@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from waybill.llm import exchange
 from waybill.llm.graph import components as connected
 from waybill.llm.store import only, stored
-from waybill.llm.words import raw_texts, rolling, word_hashes
+from waybill.llm.words import hand_back, raw_texts, rolling, word_hashes
 
 SIZE = 5
 PERCENT = 80
@@ -71,6 +71,7 @@ def _one_of_each(batches):
     """Drops copies that one task meets, so that a crowd of copies doesn't travel."""
     seen: set[bytes] = set()
     for batch in batches:
+        hand_back()
         nodes = batch.column("node").to_pylist()
         fresh = []
         for i, node in enumerate(nodes):

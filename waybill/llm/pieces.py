@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from waybill.llm.words import hand_back
+
 SPACE = "▁"
 CACHED = 250_000  # segments remembered by one Python worker
 SLICE = 500_000  # characters of text taken at once
@@ -371,6 +373,7 @@ def _with(df: DataFrame, name: str, kind: T.DataType, column: str, make) -> Data
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            hand_back()
             for begin in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(begin, ROWS)
                 made = make(batch.column(column))

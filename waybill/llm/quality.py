@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.llm.store import only
-from waybill.llm.words import raw_texts
+from waybill.llm.words import hand_back, raw_texts
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -218,6 +218,7 @@ def classify(
 
     def each(batches):
         for whole in batches:
+            hand_back()
             for begin in range(0, whole.num_rows, 100):
                 batch = whole.slice(begin, 100)
                 made = scores(raw_texts(batch.column(text)), shared.value)

@@ -6,6 +6,9 @@ A word is a run of bytes other than space and 0x09 to 0x0D, which is exactly how
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,6 +29,16 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def hand_back() -> None:
+    """Memory that earlier batches freed goes back to the system.
+
+    Python workers live on between stages, and several share an executor with its JVM.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The texts as UTF-8; null is the empty text."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
