@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill.functions import times
 from waybill.llm import decontaminate, extract, jaccard, oracle, pieces, quality, scoring, secrets, substrings, topk, urls
 
 
@@ -125,7 +126,9 @@ def list_log_of(pages: DataFrame) -> DataFrame:
 def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the lists as of its fetch time."""
     pages = read(spark, sf_dir, "pages")
-    return urls.evaluate(captures_of(pages), list_log_of(pages))
+    return urls.evaluate(captures_of(pages), list_log_of(pages)).withColumn(
+        "fetched_at", times.from_instant("fetched_at")
+    )
 
 
 QUERIES = {
