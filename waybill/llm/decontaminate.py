@@ -120,6 +120,8 @@ def numbered(docs: DataFrame, items: Items) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "numbers"]
             )
+            del batch, out
+        hand_back()
 
     return docs.mapInArrow(each, "doc_id long, numbers binary")
 

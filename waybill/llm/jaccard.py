@@ -79,6 +79,8 @@ def _one_of_each(batches):
                 seen.add(node)
                 fresh.append(i)
         yield batch if len(fresh) == len(nodes) else batch.take(pa.array(fresh, pa.int64()))
+        del batch, nodes
+    hand_back()
 
 
 def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:

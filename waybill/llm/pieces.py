@@ -378,6 +378,8 @@ def _with(df: DataFrame, name: str, kind: T.DataType, column: str, make) -> Data
                 batch = whole.slice(begin, ROWS)
                 made = make(batch.column(column))
                 yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
+            del whole, batch, made
+        hand_back()
 
     return df.mapInArrow(each, schema)
 

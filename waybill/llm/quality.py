@@ -195,6 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         else:
             order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
             model = train([texts[i] for i in order], np.array([marks[i] for i in order]))
+        del texts
+        hand_back()
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.tobytes()], pa.binary())})
 
     made = rows.select("id", "text", "label").repartition(1).mapInArrow(learn, "model binary").first()
@@ -223,5 +225,7 @@ def classify(
                 batch = whole.slice(begin, 100)
                 made = scores(raw_texts(batch.column(text)), shared.value)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made)], names=[*batch.schema.names, score])
+            del whole, batch, made
+        hand_back()
 
     return docs.mapInArrow(each, schema)

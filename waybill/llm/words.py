@@ -32,7 +32,8 @@ _HASHES = WordHashes()
 def hand_back() -> None:
     """Memory that earlier batches freed goes back to the system.
 
-    Python workers live on between stages, and several share an executor with its JVM.
+    Python workers live on when their stage is over, and several share an executor
+    with its JVM.
     """
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
