@@ -68,3 +68,12 @@ def test_packing():
     columns = [np.array([0, 254, 255, 256, 2**40]), np.zeros(0, np.int64)]
     back = exchange.unpacked_columns(exchange.packed_columns(columns))
     assert [b.tolist() for b in back] == [c.tolist() for c in columns]
+
+
+def test_buckets_share_out_the_range_of_the_keys():
+    import numpy as np
+
+    for bits in (48, 64):
+        keys = np.sort(np.random.default_rng(2).integers(0, 1 << bits, 10_000, dtype=np.uint64))
+        sizes = np.diff(exchange.bucket_bounds(keys, 10, bits))
+        assert sizes.sum() == 10_000 and sizes.min() > 800 and sizes.max() < 1200

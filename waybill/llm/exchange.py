@@ -99,9 +99,9 @@ def unpacked_columns(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+def bucket_bounds(keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
     """Where each bucket's range begins in the ascending keys (and the end)."""
-    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+    edges = np.array([(b << bits) // buckets for b in range(1, buckets)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
@@ -110,9 +110,12 @@ def asked(
     keys_of: Callable[[pa.Table, pa.Table], tuple[np.ndarray, list[np.ndarray]]],
     buckets: int,
     side: DataFrame,
+    bits: int = 64,
 ) -> DataFrame:
     """Rows (b, g, keys, payload): what each group ``g`` asks each bucket.
 
+    Keys are evenly spread over ``bits`` bits, which the buckets' ranges share out.
+
     ``keys_of`` gets a group's rows and its rows of ``side``, and returns ascending
     distinct keys with any number of non-negative integers for each.  A group asks
     every bucket, if only with no keys, so that all learn what the buckets tell all.
@@ -124,7 +127,7 @@ def asked(
         hand_back()
         keys, payload = keys_of(table, beside)
         g = table.column("g")[0].as_py()
-        cuts = bucket_bounds(keys, buckets).tolist()
+        cuts = bucket_bounds(keys, buckets, bits).tolist()
         parts = list(zip(cuts[:-1], cuts[1:]))
         return pa.table({
             "b": pa.array(range(buckets), pa.int32()),

@@ -124,7 +124,7 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
         }, schema=SETS_ARROW)
 
     side = exchange.no_side(texts)
-    replies = exchange.replied(exchange.asked(grouped, keys_of, groups, side), frequency)
+    replies = exchange.replied(exchange.asked(grouped, keys_of, groups, side, CODE_BITS), frequency)
     return exchange.finished(grouped, replies, finish, SETS, side)
 
 
