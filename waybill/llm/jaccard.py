@@ -10,8 +10,10 @@ Classes are wanted, not all pairs, so a crowd of near copies is compared with a
 leaders at a time.  Within the texts that share a rare shingle, a leader is compared
 with all that aren't in its class yet and then never again; classes merge; and this
 goes on, with four times as many leaders each time, until every bucket holds one
-class or all its pairs across classes have been compared.  No link is lost, and a
-crowd that is one class costs one comparison a text instead of one a pair.
+class or all its pairs across classes have been compared.  Leaders are the texts with
+the fewest shingles of their own, the common origin of near copies if it is there.  No
+link is lost, and a crowd that is one class costs one comparison a text instead of one
+a pair.
 """
 
 from __future__ import annotations
@@ -32,9 +34,9 @@ FRAGMENTS = 4
 CODE_BITS = 48  # of a shingle's hash, for ordering and counting
 DF_LIMIT = (1 << 15) - 1
 
-SETS = "node binary, n long, rare array<long>, marks array<long>, ordered binary"
+SETS = "node binary, n long, s long, seen long, rare array<long>, marks array<long>, ordered binary"
 SETS_ARROW = pa.schema([
-    ("node", pa.binary()), ("n", pa.int64()), ("rare", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())),
+    ("node", pa.binary()), ("n", pa.int64()), ("s", pa.int64()), ("seen", pa.int64()), ("rare", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())),
     ("ordered", pa.binary()),
 ])
 
@@ -84,8 +86,9 @@ def _one_of_each(batches):
 
 
 def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per different text (node, text): set size, and for those that may have a partner
-    the rare shingles to meet on and all shared shingles in global order."""
+    """Per different text (node, text): set size, how many of its shingles other texts
+    have (``s``) and how often all of them are seen, and for those that may have a
+    partner the rare shingles to meet on and all shared ones in global order."""
     groups = exchange.groups_for(texts)
     grouped = texts.mapInArrow(_one_of_each, texts.schema).select(
         exchange.hashed_group(F.col("node"), groups).alias("g"), "node", "text"
@@ -106,11 +109,12 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
         codes = [_codes(s) for s in sets]
         keys = np.unique(np.concatenate(codes))
         known = replies[0]
-        rare, marks, ordered = [], [], []
+        rare, marks, ordered, common, seen = [], [], [], [], []
         for one, code in zip(sets, codes):
             n = len(one)
             df = known[np.searchsorted(keys, code)]
             shared = df > 1
+            common.append(int(shared.sum())), seen.append(int(df.sum()))
             if not n or 100 * int(shared.sum()) < percent * n:  # no text shares enough of it
                 rare.append([]), marks.append([]), ordered.append(None)
                 continue
@@ -120,7 +124,7 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
             marks.append(order[len(order) * np.arange(1, FRAGMENTS) // FRAGMENTS].astype(np.int64))
             ordered.append(exchange.pack(order))
         return pa.table({
-            "node": table.column("node"), "n": [len(s) for s in sets], "rare": rare, "marks": marks, "ordered": ordered,
+            "node": table.column("node"), "n": [len(s) for s in sets], "s": common, "seen": seen, "rare": rare, "marks": marks, "ordered": ordered,
         }, schema=SETS_ARROW)
 
     side = exchange.no_side(texts)
@@ -199,18 +203,24 @@ def classes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, label) of the nodes that have links."""
     spark = sets.sparkSession
     parts = stored(fragments(sets))
-    postings = sets.select("node", "n", F.explode("rare").alias("t"), F.col("node").alias("label"))
+    postings = sets.select("node", "n", "s", "seen", F.explode("rare").alias("t"), F.col("node").alias("label"))
     postings = stored(_open(postings))
     found = None
     slots = 1
     while not postings.isEmpty():
         slot = F.pmod(F.xxhash64("label", F.lit(slots)), F.lit(slots))
         leaders = postings.groupBy("t", slot.alias("slot")).agg(
-            F.min(F.struct("n", "node", "label")).alias("leader")
-        ).select("t", F.col("leader.n").alias("n_a"), F.col("leader.node").alias("a"), F.col("leader.label").alias("label_a"))
+            F.min(F.struct((F.col("n") - F.col("s")).alias("own"), (-F.col("seen")).alias("rank"), "node", "n", "s", "label"))
+            .alias("leader")
+        ).select(
+            "t", F.col("leader.n").alias("n_a"), F.col("leader.s").alias("s_a"),
+            F.col("leader.node").alias("a"), F.col("leader.label").alias("label_a"),
+        )
         pairs = postings.join(leaders, "t").filter(
             (F.col("label") != F.col("label_a"))
             & (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
+            # no two sets have more in common than either has in common with any
+            & ((100 + percent) * F.least("s", "s_a") >= percent * (F.col("n") + F.col("n_a")))
         ).select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b"), "label_a", "label").distinct()
         pairs = stored(pairs)
         edges = linked(pairs.select("a", "b", "n_a", "n_b"), parts, percent)
@@ -225,7 +235,7 @@ def classes(sets: DataFrame, percent: int) -> DataFrame:
             merged = connected(edges)
             new = merged.select(F.col("node").alias("label"), F.col("label").alias("class"))
             postings = postings.join(new, "label", "left").select(
-                "node", "n", "t", F.coalesce("class", "label").alias("label")
+                "node", "n", "s", "seen", "t", F.coalesce("class", "label").alias("label")
             )
             if found is None:
                 found = merged
@@ -233,7 +243,7 @@ def classes(sets: DataFrame, percent: int) -> DataFrame:
                 moved = found.join(new, "label", "left").select("node", F.coalesce("class", "label").alias("label"))
                 fresh = merged.join(found.select("node"), "node", "left_anti")
                 found = stored(moved.union(fresh))
-        postings = stored(_open(postings.select("node", "n", "t", "label")))
+        postings = stored(_open(postings.select("node", "n", "s", "seen", "t", "label")))
         slots *= 4
     return found if found is not None else spark.createDataFrame([], "node binary, label binary")
 
