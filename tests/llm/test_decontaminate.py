@@ -85,3 +85,63 @@ def test_nulls_blocks_and_empty_tables(spark, docs, monkeypatch):
     assert got == sorted([(3, 7, "copy", 2, 14), (3, 7, "copy", 0, 12), (None, 7, "copy", 0, 12)], key=repr)
     assert d.find(table.limit(0), items).count() == 0
     assert d.find(table, items.limit(0)).count() == 0
+
+
+def brute_force(texts, items):
+    """The final rule at every passage for every item: (text, item, common words)."""
+    out = {}
+    for t, text in enumerate(texts):
+        last = max(1, -(-len(text) // d.HALF) - 1)
+        for i, item in enumerate(items.words):
+            for start in range(0, last * d.HALF, d.HALF):
+                span = text[max(0, start - len(item) // 2):start + d.WINDOW + len(item) // 2]
+                length, end = d.common_subsequence(item, span)
+                if length < d.PARAPHRASED * len(item):
+                    continue
+                _, back = d.common_subsequence(item[::-1], span[:end][::-1])
+                answer = items.answers[i]
+                rare = np.unique(answer[IDF[answer] >= np.median(IDF[answer])])
+                answered = np.isin(rare, span).mean() >= d.ANSWERED
+                if length >= d.COPIED * len(item) or answered and back <= 2 * len(item):
+                    out[t, i] = max(out.get((t, i), 0), length)
+    return {(t, i, n) for (t, i), n in out.items()}
+
+
+IDF = np.append(0, np.linspace(1, 9, 900)).astype(np.float32)
+
+
+def test_all_that_the_rule_accepts_is_found(monkeypatch):
+    """Items of all lengths at all offsets among other words of the vocabulary, whatever the latent space says."""
+    rng = random.Random(3)
+    vocabulary = [f"w{n:03}" for n in range(900)]
+    weights = [1 / (n + 1) for n in reversed(range(900))]  # the last are the most common, IDF says the opposite
+
+    def some(n):
+        return rng.choices(vocabulary, weights, k=n)
+
+    items = d.Items([(-1, " ".join(vocabulary))] + [
+        (n, " ".join(some(size - size // 3)) + ". " + " ".join(some(size // 3))) for n, size in enumerate([3, 8, *range(12, 60, 4), 150])
+    ])
+    ranked = {w: n for w, n in items.vocabulary.items()}
+    texts, copies = [np.zeros(0, np.int64), np.array([0, 1])], set()
+    for i, item in list(enumerate(items.words))[1:]:
+        for how in range(4):
+            for _ in range(2):
+                rare = sorted(item, key=lambda w: -IDF[w])[:len(item) // 3]
+                new = [x for w in item.tolist() for x in (
+                    [w] if how == 0 else [rng.choice([0, 1])] * (rng.random() > 0.5) if how == 1 and rng.random() < 0.2
+                    else [0] if how == 2 and w in rare else [w, 0] if how == 3 and rng.random() < 0.4 else [w]
+                )]
+                before, after = ([ranked[w.encode()] for w in some(rng.randrange(70))] for _ in range(2))
+                if how == 0:
+                    copies.add((len(texts), i, len(item)))
+                texts.append(np.array(before + new + after))
+    latent = np.random.default_rng(4).normal(size=(items.size, 5)).astype(np.float32)
+    finder = d.Finder(items, IDF[:items.size], latent)
+    want = brute_force(texts, items)
+    assert copies <= want and len(want) > 2 * len(copies)
+    for places in (2_000_000, 50):  # in one piece and in many
+        monkeypatch.setattr(d, "PLACES", places, raising=False)
+        hits = finder.hits(texts)
+        assert {(h[0], h[1], h[4]) for h in hits} == want
+        assert all(-1.001 <= h[8] <= 1.001 for h in hits)

@@ -1,6 +1,7 @@
 """Documents that hold benchmark items, word for word or paraphrased.
 
-Latent semantic retrieval finds where to look, and two checks on the words decide:
+A bound on the words says where to look, two checks on the words decide, and latent
+semantic analysis says how near what was found is:
 
 1. Texts become numbers of the benchmark's words (0 for all others), stored once;
    everything after reads only that.
@@ -9,11 +10,16 @@ Latent semantic retrieval finds where to look, and two checks on the words decid
    singular value decomposition: one distributed pass sums A' (A G) for a random G,
    and a small factorisation (Nystrom's, of a vocabulary by a few dozen columns) gives
    the latent directions.
-3. Every passage of every document is compared with every passage of the items by
-   cosine in that space.  What is near enough is a candidate.
+3. Every passage of every document is held against every item.  A common subsequence
+   of PARAPHRASED of an item leaves out so few of its words that SEEDS of the rarest
+   ones (as many as may be left out, and SEEDS more) stand in the text around the
+   passage, and that all words there that are the item's number as many.  What fails
+   either can't pass step 4, so nothing is lost; all the rest are candidates.
 4. A candidate counts if the longest common subsequence of words between the item and
    the surrounding text covers COPIED of the item, or PARAPHRASED of it together with
    the item's answer (its last sentence), whose rarer words must be there.
+5. ``cosine`` is that of its passage and the item's nearest passage in latent space.
+   It doesn't decide: RANK directions are too few to tell the items of a block apart.
 
 The benchmark is read in blocks of at most BLOCK_WORDS words (or one item), so what
 the driver holds and broadcasts doesn't grow with it; the corpus is never gathered.
@@ -36,15 +42,14 @@ HALF = WINDOW // 2
 RANK = 48
 EXTRA = 8  # random columns beyond the rank
 SEED = 11
-COSINE = 0.5  # of a passage to an item that fills one; less for shorter items, see ``least_cosines``
-SHARED = 0.4  # of an item's weight, that a candidate passage must have
+SEEDS = 4  # rarer words of an item that must stand together before the others are looked at
 COPIED = 0.75
 PARAPHRASED = 0.55
 ANSWERED = 0.6  # of the answer's rarer words
 BLOCK_WORDS = 50_000
 FIXED_POINT = 1 << 20  # sums of the sketch are whole numbers, so their order doesn't matter
 CACHED = 300_000
-PAIRS = 2_000_000  # cosines held at once
+PLACES = 2_000_000  # words of candidates, or places of rarer words, held at once
 
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -322,75 +327,143 @@ class Finder:
         for answer in items.answers:
             middle = np.median(idf[answer]) if len(answer) else 0
             self.rare.append(np.unique(answer[idf[answer] >= middle]) if len(answer) else answer)
-        sizes = np.array([len(w) for w in items.words])
-        # an item's words are at most this share of a passage's, and so is its cosine
-        self.least_cosines = COSINE * np.sqrt(np.minimum(sizes, WINDOW) / WINDOW)[self.item_of]
-        # whatever its offset, one passage holds three quarters of a window of an item
-        reach = np.minimum(1, 0.75 * WINDOW / np.maximum(sizes, 1))
-        self.least_shared = SHARED * reach * np.array([idf[w].sum() for w in items.words])
-        self.holds = np.zeros((len(items.words), len(idf)), bool)
-        for i, words in enumerate(items.words):
-            self.holds[i, words] = True
-
-    def candidates(self, texts: list[np.ndarray]) -> dict[tuple[int, int], list[tuple[int, float]]]:
-        """(text, item) -> (word where the passage starts, cosine)."""
+        sizes = np.array([len(w) for w in items.words], np.int64)
+        self.least = np.ceil(PARAPHRASED * sizes).astype(np.int64)  # common words, see ``hits``
+        self.margin = sizes // 2
+        self.spans = WINDOW + 2 * self.margin
+        self.seeds = np.minimum(SEEDS, self.least)
+        # the items of which a word is among the rarer ones, once for each time it stands there
+        rarer = [
+            w[np.argsort(-idf[w], kind="stable")][:len(w) - least + seeds]
+            for w, least, seeds in zip(items.words, self.least, self.seeds)
+        ]
+        words = np.concatenate([np.zeros(0, np.int64), *rarer])
+        by = np.argsort(words, kind="stable")
+        self.listed = np.repeat(np.arange(len(rarer)), [len(w) for w in rarer])[by]
+        self.listed_from = np.searchsorted(words[by], np.arange(len(idf) + 1))
+        # (item, word) pairs, and how often the item has the word
+        pairs = np.concatenate([np.zeros(0, np.int64), *(i * len(idf) + w for i, w in enumerate(items.words))])
+        self.held, self.times = np.unique(pairs, return_counts=True)
+
+    def candidates(self, texts: list[np.ndarray]) -> tuple[Blocks, np.ndarray, np.ndarray]:
+        """The passages (their first blocks, in order) and items that may pass ``hits``, and all that do."""
         b = Blocks(texts)
-        out: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        if not len(b.words) or not len(self.passages):
-            return out
-        rows = _unit(b.of_passages(b.sums(self.latent)))
-        step = max(1, PAIRS // len(self.passages))
-        for begin in range(0, len(rows), step):
-            cosines = rows[begin:begin + step] @ self.passages.T
-            at, with_ = np.nonzero(cosines >= self.least_cosines)
-            if not len(at):
-                continue
-            passage = b.passages[begin + at]
-            item = self.item_of[with_]
-            keep = self._shared(b, passage, item) >= self.least_shared[item]
-            for p, i, c in zip(passage[keep].tolist(), item[keep].tolist(), cosines[at[keep], with_[keep]].tolist()):
-                out.setdefault((int(b.text_of[p]), i), []).append((int(b.block_in[p]) * HALF, c))
-        return out
-
-    def _shared(self, b: Blocks, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """The weight of each passage's words that stand in the item."""
-        start = b.text_starts[b.text_of[passage]] + b.block_in[passage] * HALF
-        text_end = np.append(b.text_starts[1:], len(b.flat))[b.text_of[passage]]
-        out = np.zeros(len(passage), np.float32)
-        for k in range(WINDOW):
-            at = start + k
-            word = np.where(at < text_end, b.flat[np.minimum(at, len(b.flat) - 1)], 0)
-            out += self.holds[item, word] * self.idf[word]
+        each = np.diff(self.listed_from)[b.words]
+        at, each, words = b.known[each > 0], each[each > 0], b.words[each > 0]
+        upto = np.cumsum(each)
+        keys = [np.zeros(0, np.int64)]
+        begin = 0
+        while begin < len(at):
+            done = upto[begin] - each[begin]
+            end = max(begin + 1, int(np.searchsorted(upto, done + PLACES, "right")))
+            # what begins here may end behind
+            last = int(np.searchsorted(at, at[end - 1] + self.spans.max()))
+            keys.append(self._seeded(b, at[begin:last], each[begin:last], words[begin:last], at[end - 1]))
+            begin = end
+        keys = np.unique(np.concatenate(keys))
+        passage, item = keys // len(self.least), keys % len(self.least)
+        keep = self._common(b, passage, item) >= self.least[item]
+        return b, passage[keep], item[keep]
+
+    def _seeded(self, b: Blocks, at: np.ndarray, each: np.ndarray, words: np.ndarray, last: int) -> np.ndarray:
+        """passage * items + item, where enough of an item's rarer words stand around the passage,
+        the first of them not behind ``last``."""
+        place = np.repeat(at, each)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(each) - each, each)
+        item = self.listed[within + np.repeat(self.listed_from[words], each)]
+        key = np.sort(item * len(b.flat) + place)
+        item, place = key // len(b.flat), key % len(b.flat)
+        first = np.arange(len(key))
+        final = first + self.seeds[item] - 1
+        fits = (place <= last) & (final < len(key))
+        first, final = first[fits], final[fits]
+        text = np.searchsorted(b.text_starts, place[first], "right") - 1
+        fits = (
+            (item[final] == item[first]) & (place[final] - place[first] < self.spans[item[first]])
+            & (np.searchsorted(b.text_starts, place[final], "right") - 1 == text)
+        )
+        first, final, text = first[fits], final[fits], text[fits]
+        item, start = item[first], b.text_starts[text]
+        # passages begin every HALF words; those around which both the first and the last stand
+        low = np.maximum(0, -((start + WINDOW + self.margin[item] - 1 - place[final]) // HALF))
+        high = (place[first] - start + self.margin[item]) // HALF
+        many = np.maximum(0, high - low + 1)
+        block = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        opens, sizes = self._first_blocks(b)
+        text = np.repeat(text, many)
+        inside = (block == 0) | (block + 1 < sizes[text])
+        return np.unique((opens[text] + block)[inside] * len(self.least) + np.repeat(item, many)[inside])
+
+    @staticmethod
+    def _first_blocks(b: Blocks) -> tuple[np.ndarray, np.ndarray]:
+        """Of every text: its first block, and how many it has."""
+        sizes = np.bincount(b.text_of, minlength=len(b.text_starts))
+        return np.cumsum(sizes) - sizes, sizes
+
+    def _bounds(self, b: Blocks, passage: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``flat`` the text around each passage begins and ends."""
+        text = b.text_of[passage]
+        start = b.text_starts[text] + b.block_in[passage] * HALF
+        text_end = np.append(b.text_starts[1:], len(b.flat))[text]
+        return (
+            np.maximum(b.text_starts[text], start - self.margin[item]),
+            np.minimum(text_end, start + WINDOW + self.margin[item]),
+        )
+
+    def _common(self, b: Blocks, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """How many of the item's words stand around each passage, in whatever order."""
+        begin, end = self._bounds(b, passage, item)
+        out = np.zeros(len(passage), np.int64)
+        upto = np.cumsum(end - begin)
+        done = 0
+        while done < len(passage):
+            to = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + PLACES, "right")))
+            long = (end - begin)[done:to]
+            row = np.repeat(np.arange(to - done), long)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(long) - long - begin[done:to], long)
+            word = b.flat[place]
+            row, word = row[word > 0], word[word > 0]
+            pair = item[done:to][row] * len(self.idf) + word
+            found = np.minimum(np.searchsorted(self.held, pair), len(self.held) - 1)
+            is_held = self.held[found] == pair
+            # each word of a passage once
+            once = np.unique(row[is_held] * len(self.held) + found[is_held])
+            np.add.at(out, done + once // len(self.held), self.times[once % len(self.held)])
+            done = to
         return out
 
     def hits(self, texts: list[np.ndarray]) -> list[tuple]:
         """(text, item, kind, item words, common words, start, end, answer, cosine), best per text and item."""
         best: dict[tuple[int, int], tuple] = {}
-        for (text, i), places in self.candidates(texts).items():
-            item = self.items.words[i]
-            seen = set()
-            for start, cosine in places:
-                low = max(0, start - len(item) // 2)
-                span = texts[text][low:start + WINDOW + len(item) // 2]
-                if (low, len(span)) in seen:
-                    continue
-                seen.add((low, len(span)))
-                length, end = common_subsequence(item, span)
-                if length < PARAPHRASED * len(item):
-                    continue
-                _, back = common_subsequence(item[::-1], span[:end][::-1])
-                begin = end - back
-                answer = bool(len(self.rare[i])) and bool(np.isin(self.rare[i], span).mean() >= ANSWERED)
-                if length >= COPIED * len(item):
-                    kind = "copy"
-                elif answer and end - begin <= 2 * len(item):
-                    kind = "paraphrase"
-                else:
-                    continue
-                found = (text, i, kind, len(item), length, low + begin, low + end, answer, round(cosine, 4))
-                if (text, i) not in best or length > best[text, i][4]:
-                    best[text, i] = found
-        return list(best.values())
+        b, passages, of = self.candidates(texts)
+        begins, ends = self._bounds(b, passages, of)
+        for passage, i, low, high in zip(passages.tolist(), of.tolist(), begins.tolist(), ends.tolist()):
+            text = int(b.text_of[passage])
+            item, span = self.items.words[i], b.flat[low:high]
+            low -= int(b.text_starts[text])
+            length, end = common_subsequence(item, span)
+            if length < PARAPHRASED * len(item):
+                continue
+            _, back = common_subsequence(item[::-1], span[:end][::-1])
+            begin = end - back
+            answer = bool(len(self.rare[i])) and bool(np.isin(self.rare[i], span).mean() >= ANSWERED)
+            if length >= COPIED * len(item):
+                kind = "copy"
+            elif answer and end - begin <= 2 * len(item):
+                kind = "paraphrase"
+            else:
+                continue
+            if (text, i) not in best or length > best[text, i][0][4]:
+                best[text, i] = (text, i, kind, len(item), length, low + begin, low + end, answer), passage
+        return [(*found, self._cosine(b, passage, found[1])) for found, passage in best.values()]
+
+    def _cosine(self, b: Blocks, passage: int, item: int) -> float:
+        """The largest to the item's passages."""
+        begin = int(b.text_starts[b.text_of[passage]] + b.block_in[passage] * HALF)
+        end = min(begin + WINDOW, int(np.append(b.text_starts, len(b.flat))[b.text_of[passage] + 1]))
+        words = b.flat[begin:end]
+        row = _unit(self.latent[words[words > 0]].sum(axis=0)[None])[0]
+        return round(float((self.passages[self.item_of == item] @ row).max()), 4)
 
 
 def find(
