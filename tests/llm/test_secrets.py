@@ -62,6 +62,20 @@ def test_random_strings_are_found_and_plain_ones_are_not(spark, docs):
     assert found[one][0]["start"] == 4
 
 
+def test_strings_without_digits_are_judged(spark, docs):
+    """Random ones of 16 to 24 characters are found, words and paths of such lengths mostly aren't."""
+    rng = random.Random(8)
+    alphabets = [secrets.UPPER + secrets.LOWER, secrets.UPPER + secrets.LOWER + "+/", secrets.UPPER, secrets.LOWER]
+    words = "the river house walks under green light often slowly between seven little stones".split()
+    rows = [(i, "see " + "".join(rng.choice(alphabets[i % 4]) for _ in range(rng.randrange(16, 25))) + " there") for i in range(800)]
+    rows += [(800 + i, "see " + "-/"[i % 2].join(rng.sample(words, 5)) + " there") for i in range(400)]
+    rows += [(1200 + i, "see " + "".join(w.title() for w in rng.sample(words, 4)) + " there") for i in range(400)]
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == 3] for r in secrets.find(docs(rows)).collect()}
+    for kind in range(4):
+        assert sum(bool(found[i]) for i in range(kind, 800, 4)) >= 0.85 * 200
+    assert sum(bool(found[i]) for i in range(800, 1600)) <= 0.05 * 800
+
+
 def test_masking(spark):
     text = "é token=abcdef0 and " + "0f" * 15 + " end"
     table = spark.createDataFrame([(1, text), (2, "nothing"), (3, "")], "doc_id long, text string")

@@ -8,7 +8,11 @@ Everything is built-in column functions.  Per text:
   encoding that their characters fit.  Three tests ask whether the characters look
   drawn evenly and independently from that encoding's alphabet: chi-squared of the
   character counts, runs about the alphabet's middle, and correlation of neighbours.
-  Fisher's method joins the three p-values.
+  Fisher's method joins the three p-values.  A string without a digit may be any
+  encoding's by chance, or of letters alone: it is held against the letters and signs
+  of the encodings it fits (LETTERS), in bands of its own.  As long words have such
+  bands to themselves, a fourth test asks there whether the letters are the common ones
+  of written language (LETTER_SHARES).
 
 Whether a p-value is too small to call a string random depends on how many strings
 were tried.  Benjamini and Hochberg's step-up rule is applied within each encoding
@@ -55,6 +59,33 @@ ENCODINGS = [
     ("base64", "^[0-9A-Za-z+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("base64_url", "^[0-9A-Za-z_-]+$", UPPER + LOWER + DIGITS + "-_"),
 ]
+# of strings without a digit, and the size of the encoding whose bits they have if none came by chance
+LETTERS = [
+    ("hex_letters", "^[a-f]+$", LOWER[:6], 16),
+    ("hex_upper_letters", "^[A-F]+$", UPPER[:6], 16),
+    ("upper", "^[A-Z]+$", UPPER, 32),
+    ("lower", "^[a-z]+$", LOWER, 36),
+    ("letters", "^[A-Za-z]+$", UPPER + LOWER, 62),
+    ("base64_letters", "^[A-Za-z+/]+$", UPPER + LOWER + "+/", 64),
+    ("base64_url_letters", "^[A-Za-z_-]+$", UPPER + LOWER + "-_", 64),
+]
+# per cent of a to z in English, German, French and Spanish texts, roughly
+LETTER_SHARES = dict(zip(LOWER, [
+    8.5, 1.6, 3.4, 4.6, 14.8, 1.3, 1.6, 3.1, 7.2, 0.4, 0.5, 4.4, 2.7, 7.9, 5.7, 2.2, 0.5, 6.6, 7.0, 6.9, 4.2, 1.2, 1.0, 0.2, 0.8, 0.6,
+]))
+ALPHABETS = [a for _, _, a in ENCODINGS] + [a for _, _, a, _ in LETTERS]
+SIZES = [len(a) for _, _, a in ENCODINGS] + [n for _, _, _, n in LETTERS]
+
+
+def _commonness(alphabet: str) -> list[float]:
+    """Per character the logarithm of its share in texts, to mean 0 and variance 1; signs are rare."""
+    logs = [math.log(LETTER_SHARES.get(c.lower(), LETTER_SHARES["z"])) for c in alphabet]
+    mean = sum(logs) / len(logs)
+    spread = math.sqrt(sum((x - mean) ** 2 for x in logs) / len(logs))
+    return [(x - mean) / spread for x in logs]
+
+
+COMMONNESS = [None] * len(ENCODINGS) + [_commonness(a) for _, _, a, _ in LETTERS]
 
 SPAN = "struct<start:int,end:int,match:string,value:string>"
 
@@ -97,24 +128,29 @@ def _chi_squared_tail(x: Column, mean: Column, variance: Column) -> Column:
     return _normal_tail((F.pow(ratio, F.lit(1 / 3)) - (1 - 2 / (9 * shape))) / F.sqrt(2 / (9 * shape)))
 
 
-def _alphabet(encoding: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for i, (_, _, alphabet) in reversed(list(enumerate(ENCODINGS))):
-        out = F.when(encoding == i, F.lit(alphabet)).otherwise(out)
+def _per_encoding(encoding: Column, values: list) -> Column:
+    out = F.lit(None)
+    for i, value in reversed(list(enumerate(values))):
+        out = F.when(encoding == i, F.lit(value)).otherwise(out)
     return out
 
 
 def _encoding(core: Column) -> Column:
-    out = F.lit(None).cast("int")
-    for i, (_, pattern, _) in reversed(list(enumerate(ENCODINGS))):
-        out = F.when(core.rlike(pattern), F.lit(i)).otherwise(out)
-    return out
+    def first(patterns: list[str], begin: int) -> Column:
+        out = F.lit(None).cast("int")
+        for i, pattern in reversed(list(enumerate(patterns, begin))):
+            out = F.when(core.rlike(pattern), F.lit(i)).otherwise(out)
+        return out
+
+    return F.when(core.rlike("[0-9]"), first([e[1] for e in ENCODINGS], 0)).otherwise(
+        first([e[1] for e in LETTERS], len(ENCODINGS))
+    )
 
 
 def battery(spans: Column) -> Column:
     """Candidates that are long enough, with encoding, length band and joint p-value."""
     named = F.transform(
-        F.filter(spans, lambda s: s["match"].rlike("[0-9]")),
+        spans,
         lambda s: F.struct(s["start"], s["end"], F.rtrim(s["match"], F.lit("=")).alias("core")),
     )
     coded = F.filter(
@@ -124,11 +160,11 @@ def battery(spans: Column) -> Column:
         lambda s: s["encoding"].isNotNull(),
     )
     spelt = F.transform(coded, lambda s: F.struct(
-        s["start"], s["end"], s["core"], s["encoding"], _alphabet(s["encoding"]).alias("alphabet"),
+        s["start"], s["end"], s["core"], s["encoding"], _per_encoding(s["encoding"], ALPHABETS).alias("alphabet"),
         F.length(s["core"]).cast("double").alias("n"),
     ))
     long_enough = F.filter(
-        spelt, lambda s: s["n"] * F.log2(F.length(s["alphabet"]).cast("double")) >= MIN_BITS
+        spelt, lambda s: s["n"] * _per_encoding(s["encoding"], [math.log2(n) for n in SIZES]) >= MIN_BITS
     )
     counted = F.transform(long_enough, lambda s: F.struct(
         s["start"], s["end"], s["encoding"], s["n"],
@@ -159,8 +195,13 @@ def battery(spans: Column) -> Column:
 
         return F.aggregate(s["codes"], begin, step)
 
+    def common(s: Column) -> Column:
+        shares = _per_encoding(s["encoding"], COMMONNESS)
+        return F.aggregate(s["codes"], F.lit(0.0), lambda total, code: total + F.get(shares, code.cast("int")))
+
     walked = F.transform(counted, lambda s: F.struct(
         s["start"], s["end"], s["encoding"], s["n"], s["k"], s["squares"], walk(s).alias("walk"),
+        F.when(s["encoding"] >= len(ENCODINGS), common(s)).alias("common"),
     ))
 
     def values(s: Column) -> Column:
@@ -169,17 +210,24 @@ def battery(spans: Column) -> Column:
         runs = 2 * _normal_tail(F.abs(s["walk"]["changes"] - pairs / 2) / F.sqrt(pairs / 4))
         serial = 2 * _normal_tail(F.abs(s["walk"]["products"]) / F.sqrt(pairs) / ((k * k - 1) / 12))
         floor = F.lit(1e-300)
-        return -(F.log(F.greatest(even, floor)) + F.log(F.greatest(runs, floor)) + F.log(F.greatest(serial, floor)))
+        # 1 adds nothing: strings with digits have three tests
+        letters = F.coalesce(_normal_tail(s["common"] / F.sqrt(n)), F.lit(1.0))
+        return -sum((F.log(F.greatest(p, floor)) for p in (runs, serial, letters)), F.log(F.greatest(even, floor)))
 
     tested = F.transform(walked, lambda s: F.struct(
         s["start"], s["end"], s["encoding"], F.floor(2 * F.log2(s["n"])).cast("int").alias("band"), values(s).alias("half"),
     ))
-    # Fisher: twice the sum of -log p is chi-squared with six degrees of freedom
+    def joint(s: Column) -> Column:
+        """Fisher: twice the sum of -log p is chi-squared with two degrees of freedom a test."""
+        h = s["half"]
+        fourth = F.when(s["encoding"] >= len(ENCODINGS), h * h * h / 6).otherwise(0.0)
+        return h - F.log(1 + h + h * h / 2 + fourth)
+
     return F.transform(tested, lambda s: F.struct(
         s["start"], s["end"], s["encoding"], s["band"],
         F.least(
             F.lit(P_LOWEST),
-            F.floor(P_STEPS / math.log(10) * (s["half"] - F.log(1 + s["half"] + s["half"] * s["half"] / 2))),
+            F.floor(P_STEPS / math.log(10) * joint(s)),
         ).cast("int").alias("step"),
     ))
 
