@@ -58,3 +58,17 @@ def test_a_walk_skips_what_cannot_count():
     assert list(zip(scores.tolist(), ids.tolist())) == [(-s, i) for s, i in want]
     none = topk.search(tree, np.array([0]), q, 5, np.array([10**9]))
     assert len(none[0][0]) == 0
+
+
+def test_repeated_rows_in_a_crowd_of_equal_vectors():
+    ids = np.repeat(np.arange(300), 2)
+    tree = topk.build(ids, np.full((600, 2), 3))
+    for own in (0, 1, 2, 3, 299):
+        (found, scores), = topk.search(tree, np.array([own]), np.array([[3, 3]]), 5, np.array([topk.LOWEST]))
+        assert found.tolist() == [i for i in ids.tolist() if i != own][:5]
+        assert scores.tolist() == [18] * 5
+    tree = topk.build(np.repeat(np.arange(4), 2), np.full((8, 2), 3))
+    (found, _), = topk.search(tree, np.array([0]), np.array([[3, 3]]), 5, np.array([topk.LOWEST]))
+    assert found.tolist() == [1, 1, 2, 2, 3]
+    (found, _), = topk.search(topk.build(np.zeros(9, np.int64), np.full((9, 2), 3)), np.array([0]), np.array([[3, 3]]), 5, np.array([0]))
+    assert not len(found)

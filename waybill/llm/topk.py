@@ -100,8 +100,9 @@ def search(
                         heapq.heappush(heap, (-bound[child], child))
                 continue
             b, e = begin[node], end[node]
-            if same[node]:  # of equal rows, those with the smallest ids do
-                e = min(e, b + k + 1)
+            if same[node]:  # of equal rows, the k with the smallest ids do, the query's own left out
+                first, last = np.searchsorted(tree["ids"][b:e], [own, own + 1])
+                e = min(e, b + k + (int(last - first) if first < k else 0))
             got = (vectors[b:e] @ q[i]).astype(np.int64)
             keep = np.flatnonzero((got >= least) & (tree["ids"][b:e] != own))
             if not len(keep):
