@@ -60,7 +60,7 @@ class NoHotKeys(HotKeys):
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is count, last (ignoring nulls) or max."""
+    """One running value: ``kind`` is count, sum (of values without nulls), last (ignoring nulls) or max."""
 
     name: str
     kind: str
@@ -70,6 +70,8 @@ class Running:
         """The value within one chunk."""
         if self.kind == "count":
             return F.count(F.lit(1)).over(window)
+        if self.kind == "sum":
+            return F.sum(self.value).over(window)
         if self.kind == "last":
             return F.last(self.value, ignorenulls=True).over(window)
         return F.max(self.value).over(window)
@@ -78,6 +80,8 @@ class Running:
         """What a whole chunk contributes; a last value carries its position along."""
         if self.kind == "count":
             return F.count(F.lit(1))
+        if self.kind == "sum":
+            return F.sum(self.value)
         if self.kind == "last":
             placed = F.struct(position.alias("p"), self.value.alias("v"))
             return F.max(F.when(self.value.isNotNull(), placed))
@@ -85,14 +89,14 @@ class Running:
 
     def carried(self, total: str, before) -> Column:
         """What the chunks before contribute together."""
-        if self.kind == "count":
+        if self.kind in ("count", "sum"):
             return F.sum(total).over(before)
         if self.kind == "last":
             return F.last(total, ignorenulls=True).over(before)["v"]
         return F.max(total).over(before)
 
     def joined(self, mine: Column, carry: Column) -> Column:
-        if self.kind == "count":
+        if self.kind in ("count", "sum"):
             return mine + F.coalesce(carry, F.lit(0))
         if self.kind == "last":
             return F.coalesce(mine, carry)
