@@ -144,3 +144,73 @@ SELECT doc_id, coalesce(t, false) AS in_target, len(w)::BIGINT AS n_tokens, coal
        coalesce(b, 0) AS background_loss, (a - b)::DOUBLE / len(w) / 1000000 AS score
 FROM d LEFT JOIN loss USING (r)
 """
+
+OP12 = r"""
+WITH t AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+  ), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, p - c.h + (SELECT count(*) FROM t b WHERE b.conv_id = c.base AND b.p <= c.h), role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.p > c.h
+), l AS MATERIALIZED (
+  SELECT c.conv_id, list([role, text] ORDER BY p) FILTER (p IS NOT NULL) AS turns FROM c LEFT JOIN r USING (conv_id) GROUP BY 1
+), s AS MATERIALIZED (
+  SELECT conv_id, d, coalesce(turns, [])[:d] AS k, len(coalesce(turns, [])) = d AS last
+  FROM (SELECT conv_id, turns, unnest(range(0, len(coalesce(turns, [])) + 1)) AS d FROM l)
+), n AS MATERIALIZED (
+  SELECT min(conv_id) AS conv_id, d, k, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last) AS ended,
+         (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE
+           len(list_filter(regexp_split_to_array(k[d][2], '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS own
+  FROM s GROUP BY d, k
+), m AS MATERIALIZED (
+  SELECT s.conv_id AS member, n.d, n.conv_id FROM s JOIN n USING (d, k)
+), e AS MATERIALIZED (
+  SELECT n.*, m.conv_id AS parent_conv_id FROM n LEFT JOIN m ON m.member = n.conv_id AND m.d = n.d - 1
+), kids AS (SELECT d - 1 AS d, parent_conv_id AS conv_id, count(*) AS n_children FROM e WHERE d > 0 GROUP BY ALL),
+f AS MATERIALIZED (SELECT e.*, coalesce(n_children, 0) AS n_children FROM e LEFT JOIN kids USING (d, conv_id)),
+sub AS (
+  SELECT m.d, m.conv_id, count(*) FILTER (f.n_children = 0) AS n_leaves, sum(f.own) AS saved_tokens
+  FROM f JOIN m ON m.member = f.conv_id AND m.d <= f.d GROUP BY ALL
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(ended, '')) AS ends_sha256
+FROM f JOIN sub USING (d, conv_id)
+"""
+
+TERMS = (
+    r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         {TERMS.format("coalesce(text, '')")} AS w
+  FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest({TERMS.format("text")}) AS t
+  FROM benchmark
+), s AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS all_terms FROM d WHERE len(w) > 0),
+p AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL
+), f AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY t, docs),
+g AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // all_terms))))::BIGINT AS score
+  FROM p JOIN f USING (t) JOIN q USING (t), s GROUP BY item_id, r, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM g WHERE score > 0
+) WHERE rank <= 50
+"""

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions import times
-from waybill.llm import decontaminate, extract, jaccard, oracle, pieces, quality, scoring, secrets, substrings, topk, urls
+from waybill.llm import (
+    decontaminate, extract, jaccard, lexical, oracle, packing, pieces, quality, scoring, secrets, substrings, topk, trie, urls,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -131,6 +133,29 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, and where they lie in sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that begin with turns of every twentieth one."""
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    turns, convs = trie.branched(
+        trie.turns_of(read(spark, sf_dir, "conversations")), F.col("conv_id") - F.col("conv_id") % 20, shared, 3
+    )
+    return trie.trie(turns, convs).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -142,6 +167,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_lists": op10_url_lists,
+    "op11_packing": op11_packing,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLE = {
     "op2_substring_dedup": oracle.OP2,
@@ -149,4 +177,6 @@ ORACLE = {
     "op4_exact_topk": oracle.OP4,
     "op9_jaccard_join": oracle.OP9,
     "op10_url_lists": oracle.OP10,
+    "op12_conversation_trie": oracle.OP12,
+    "op13_lexical_search": oracle.OP13,
 }
