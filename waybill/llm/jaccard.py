@@ -6,14 +6,19 @@ few of both, which gives candidates.  A candidate pair's intersection is counted
 vertical partitioning: the global order is cut into fragments, each fragment of the
 two sets is intersected on its own, and the partial counts are summed per pair.
 
+Where two texts meet at their first common shingle, all that they have in common lies
+from there on in the order.  So a text says at each of its rare shingles how large a
+partner may be whose intersection could still be enough (``room``), and two texts are
+a pair only where each fits into the other's room.
+
 Classes are wanted, not all pairs, so a crowd of near copies is compared with a few
 leaders at a time.  Within the texts that share a rare shingle, a leader is compared
-with all that aren't in its class yet and then never again; classes merge; and this
-goes on, with four times as many leaders each time, until every bucket holds one
-class or all its pairs across classes have been compared.  Leaders are the texts with
-the fewest shingles of their own, the common origin of near copies if it is there.  No
-link is lost, and a crowd that is one class costs one comparison a text instead of one
-a pair.
+with all that aren't in its class yet and then never again; classes merge; texts that
+fit nobody of another class under a shingle leave it; and this goes on, with four times
+as many leaders each time, until no shingle has two classes whose texts could fit.
+Leaders are the texts with the fewest shingles of their own, the common origin of near
+copies if it is there.  No link is lost, and a crowd that is one class costs one
+comparison a text instead of one a pair.
 """
 
 from __future__ import annotations
@@ -25,8 +30,9 @@ from pyspark.sql import functions as F
 
 from waybill.llm import exchange
 from waybill.llm.graph import components as connected
-from waybill.llm.store import only, stored
+from waybill.llm.store import only, stored, unused
 from waybill.llm.words import hand_back, raw_texts, rolling, word_hashes
+from waybill.operators.skew import sized_broadcast
 
 SIZE = 5
 PERCENT = 80
@@ -34,10 +40,10 @@ FRAGMENTS = 4
 CODE_BITS = 48  # of a shingle's hash, for ordering and counting
 DF_LIMIT = (1 << 15) - 1
 
-SETS = "node binary, n long, s long, seen long, rare array<long>, marks array<long>, ordered binary"
+SETS = "node binary, id long, n long, s long, rare array<long>, marks array<long>, ordered binary"
 SETS_ARROW = pa.schema([
-    ("node", pa.binary()), ("n", pa.int64()), ("s", pa.int64()), ("seen", pa.int64()), ("rare", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())),
-    ("ordered", pa.binary()),
+    ("node", pa.binary()), ("id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("rare", pa.list_(pa.int64())),
+    ("marks", pa.list_(pa.int64())), ("ordered", pa.binary()),
 ])
 
 
@@ -86,9 +92,12 @@ def _one_of_each(batches):
 
 
 def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per different text (node, text): set size, how many of its shingles other texts
-    have (``s``) and how often all of them are seen, and for those that may have a
-    partner the rare shingles to meet on and all shared ones in global order."""
+    """Per different text (node, text): a number for it, set size, how many of its shingles
+    other texts have (``s``), and for those that may have a partner the rare shingles to
+    meet on and all shared ones in global order.
+
+    Numbers count within a group, so only a written table of these rows has one numbering.
+    """
     groups = exchange.groups_for(texts)
     grouped = texts.mapInArrow(_one_of_each, texts.schema).select(
         exchange.hashed_group(F.col("node"), groups).alias("g"), "node", "text"
@@ -109,12 +118,12 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
         codes = [_codes(s) for s in sets]
         keys = np.unique(np.concatenate(codes))
         known = replies[0]
-        rare, marks, ordered, common, seen = [], [], [], [], []
+        rare, marks, ordered, common = [], [], [], []
         for one, code in zip(sets, codes):
             n = len(one)
             df = known[np.searchsorted(keys, code)]
             shared = df > 1
-            common.append(int(shared.sum())), seen.append(int(df.sum()))
+            common.append(int(shared.sum()))
             if not n or 100 * int(shared.sum()) < percent * n:  # no text shares enough of it
                 rare.append([]), marks.append([]), ordered.append(None)
                 continue
@@ -123,8 +132,10 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
             rare.append(order[:max(first, 1)].astype(np.int64))
             marks.append(order[len(order) * np.arange(1, FRAGMENTS) // FRAGMENTS].astype(np.int64))
             ordered.append(exchange.pack(order))
+        first_id = table.column("g")[0].as_py() << 32
         return pa.table({
-            "node": table.column("node"), "n": [len(s) for s in sets], "s": common, "seen": seen, "rare": rare, "marks": marks, "ordered": ordered,
+            "node": table.column("node"), "id": range(first_id, first_id + len(sets)), "n": [len(s) for s in sets],
+            "s": common, "rare": rare, "marks": marks, "ordered": ordered,
         }, schema=SETS_ARROW)
 
     side = exchange.no_side(texts)
@@ -133,25 +144,25 @@ def sets_of(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def fragments(sets: DataFrame) -> DataFrame:
-    """(node, f, part): each set's shingles, cut where the global order is cut."""
+    """(id, f, part): each set's shingles, cut where the global order is cut."""
     at = [i / FRAGMENTS for i in range(1, FRAGMENTS)]
     marks = sets.select(F.explode("marks").alias("m"))
     cuts = np.array(marks.select(F.percentile_approx("m", at).alias("q")).first()["q"] or [], np.uint64)
 
     def cut(batches):
         for batch in batches:
-            nodes, fs, parts = [], [], []
-            for node, data in zip(batch.column("node").to_pylist(), batch.column("ordered").to_pylist()):
+            ids, fs, parts = [], [], []
+            for one, data in zip(batch.column("id").to_pylist(), batch.column("ordered").to_pylist()):
                 order = exchange.unpack(data)
                 for f, part in enumerate(np.split(order, np.searchsorted(order, cuts))):
                     if len(part):
-                        nodes.append(node), fs.append(f), parts.append(exchange.pack(part))
+                        ids.append(one), fs.append(f), parts.append(exchange.pack(part))
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array(nodes, pa.binary()), "f": pa.array(fs, pa.int32()), "part": pa.array(parts, pa.binary()),
+                "id": pa.array(ids, pa.int64()), "f": pa.array(fs, pa.int32()), "part": pa.array(parts, pa.binary()),
             })
 
-    return sets.filter("ordered is not null").select("node", "ordered").mapInArrow(
-        cut, "node binary, f int, part binary"
+    return sets.filter("ordered is not null").select("id", "ordered").mapInArrow(
+        cut, "id long, f int, part binary"
     )
 
 
@@ -176,76 +187,99 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     ``a`` are leaders: few, but one may stand in very many pairs, so its parts are
     laid out SALTS times.
     """
-    leaders = parts.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+    leaders = parts.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
     leaders = leaders.select(
-        F.col("node").alias("a"), "f", F.col("part").alias("part_a"),
+        F.col("id").alias("a"), "f", F.col("part").alias("part_a"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
     )
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-    others = parts.select(F.col("node").alias("b"), "f", F.col("part").alias("part_b"))
+    others = parts.select(F.col("id").alias("b"), "f", F.col("part").alias("part_b"))
     return (
         salted.join(leaders, ["a", "salt"]).join(others, ["b", "f"])
         .select("a", "b", "n_a", "n_b", "part_a", "part_b")
-        .mapInArrow(_counted, "a binary, b binary, n_a long, n_b long, both long")
+        .mapInArrow(_counted, "a long, b long, n_a long, n_b long, both long")
         .groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
         .filter(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
         .select("a", "b")
     )
 
 
+def _postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(t, id, n, room, own, label): a text under each of its rare shingles.
+
+    ``room`` is the largest partner whose intersection, if it lies from ``t`` on, can be
+    enough; ``own`` the shingles that no other text has.
+    """
+    left = F.col("s") - F.col("place")
+    return sets.select("id", "n", "s", F.posexplode("rare").alias("place", "t")).select(
+        "t", "id", "n", (F.floor(left * (100 + percent) / percent) - F.col("n")).cast("long").alias("room"),
+        (F.col("n") - F.col("s")).alias("own"), F.col("id").alias("label"),
+    )
+
+
+POSTING = ["t", "id", "n", "room", "own", "label"]
+
+
 def _open(postings: DataFrame) -> DataFrame:
-    """The postings of shingles under which more than one class still meets."""
-    several = postings.groupBy("t").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    return postings.join(several.select("t"), "t")
+    """The postings that could fit one of another class under their shingle: by the
+    smallest text and the widest room there, or those of another label than the text's."""
+    met = postings.join(
+        postings.groupBy("t").agg(
+            F.min("label").alias("x"), F.max("label").alias("y"),
+            F.min(F.struct("n", "label")).alias("small"), F.max(F.struct("room", "label")).alias("wide"),
+        ).filter("x <> y").select("t", "small", "wide"), "t",
+    )
+    is_small, is_wide = F.col("label") == F.col("small.label"), F.col("label") == F.col("wide.label")
+    second = met.groupBy("t").agg(
+        F.min(F.when(~is_small, F.col("n"))).alias("next_small"), F.max(F.when(~is_wide, F.col("room"))).alias("next_wide")
+    )
+    fits = (
+        (F.col("room") >= F.when(is_small, F.col("next_small")).otherwise(F.col("small.n")))
+        & (F.col("n") <= F.when(is_wide, F.col("next_wide")).otherwise(F.col("wide.room")))
+    )
+    return met.join(second, "t").filter(fits).select(*POSTING)
 
 
 def classes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of the nodes that have links."""
+    """(id, label) of the texts that have links."""
     spark = sets.sparkSession
     parts = stored(fragments(sets))
-    postings = sets.select("node", "n", "s", "seen", F.explode("rare").alias("t"), F.col("node").alias("label"))
-    postings = stored(_open(postings))
+    postings = stored(_open(_postings(sets, percent)))
     found = None
     slots = 1
     while not postings.isEmpty():
         slot = F.pmod(F.xxhash64("label", F.lit(slots)), F.lit(slots))
         leaders = postings.groupBy("t", slot.alias("slot")).agg(
-            F.min(F.struct((F.col("n") - F.col("s")).alias("own"), (-F.col("seen")).alias("rank"), "node", "n", "s", "label"))
-            .alias("leader")
+            F.min(F.struct("own", (-F.col("room")).alias("less"), "id", "n", "label")).alias("leader")
         ).select(
-            "t", F.col("leader.n").alias("n_a"), F.col("leader.s").alias("s_a"),
-            F.col("leader.node").alias("a"), F.col("leader.label").alias("label_a"),
+            "t", F.col("leader.n").alias("n_a"), (-F.col("leader.less")).alias("room_a"),
+            F.col("leader.id").alias("a"), F.col("leader.label").alias("label_a"),
         )
-        pairs = postings.join(leaders, "t").filter(
+        pairs = stored(postings.join(leaders, "t").filter(
             (F.col("label") != F.col("label_a"))
+            & (F.col("n") <= F.col("room_a")) & (F.col("n_a") <= F.col("room"))
             & (100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
-            # no two sets have more in common than either has in common with any
-            & ((100 + percent) * F.least("s", "s_a") >= percent * (F.col("n") + F.col("n_a")))
-        ).select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b"), "label_a", "label").distinct()
-        pairs = stored(pairs)
+        ).select("a", F.col("id").alias("b"), "n_a", F.col("n").alias("n_b"), "label_a", "label").distinct())
         edges = linked(pairs.select("a", "b", "n_a", "n_b"), parts, percent)
         edges = stored(edges.join(pairs.select("a", "b", "label_a", "label"), ["a", "b"]).select(
             F.col("label_a").alias("a"), F.col("label").alias("b")
         ).distinct())
         # leaders have met all others of their shingle
-        postings = postings.join(
-            leaders.select("t", F.col("a").alias("node")), ["t", "node"], "left_anti"
-        )
+        postings = postings.join(leaders.select("t", F.col("a").alias("id")), ["t", "id"], "left_anti")
         if not edges.isEmpty():
-            merged = connected(edges)
-            new = merged.select(F.col("node").alias("label"), F.col("label").alias("class"))
-            postings = postings.join(new, "label", "left").select(
-                "node", "n", "s", "seen", "t", F.coalesce("class", "label").alias("label")
-            )
-            if found is None:
-                found = merged
+            merged = connected(edges).select(F.col("node").alias("label"), F.col("label").alias("class"))
+            if found is None:  # so far a text's label is the text
+                found = merged.select(F.col("label").alias("id"), F.col("class").alias("label"))
             else:
-                moved = found.join(new, "label", "left").select("node", F.coalesce("class", "label").alias("label"))
-                fresh = merged.join(found.select("node"), "node", "left_anti")
-                found = stored(moved.union(fresh))
-        postings = stored(_open(postings.select("node", "n", "s", "seen", "t", "label")))
+                merged = sized_broadcast(merged)
+                moved = found.join(merged, "label", "left").select("id", F.coalesce("class", "label").alias("label"))
+                fresh = merged.join(found.select(F.col("id").alias("label")), "label", "left_anti")
+                found = stored(moved.union(fresh.select("label", "class")))
+            # by the text, as one label may have very many postings
+            postings = postings.drop("label").join(found, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        postings = stored(_open(postings.select(*POSTING)))
         slots *= 4
-    return found if found is not None else spark.createDataFrame([], "node binary, label binary")
+    return found if found is not None else spark.createDataFrame([], "id long, label long")
 
 
 def _noded(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -265,8 +299,8 @@ def _placed(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) ->
     rows = _noded(docs, doc_id, text)
     sets = stored(sets_of(rows.select("node", "text"), size, percent))
     labels = classes(sets, percent)
-    nodes = sets.select("node", "n").join(labels, "node", "left").select(
-        "node", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label")
+    nodes = sets.select("node", "id", "n").join(labels, "id", "left").select(
+        "node", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("label")
     )
     placed = stored(rows.select("doc_id", "node").join(nodes, "node"))
     least = placed.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
@@ -302,6 +336,7 @@ def one_of_each_class(
         F.min("node").alias("node")
     )
     own = F.col(doc_id).cast("long")
-    here = docs.withColumn("keep_row", F.struct(own.alias("i"), node_of(F.coalesce(F.col(text), F.lit(""))).alias("n")))
-    wanted = keep.select(F.struct(F.col("doc_id").alias("i"), F.col("node").alias("n")).alias("keep_row"))
-    return here.join(wanted, "keep_row", "left_semi").dropDuplicates(["keep_row"]).drop("keep_row")
+    row = unused(docs.columns, "keep_row")
+    here = docs.withColumn(row, F.struct(own.alias("i"), node_of(F.coalesce(F.col(text), F.lit(""))).alias("n")))
+    wanted = keep.select(F.struct(F.col("doc_id").alias("i"), F.col("node").alias("n")).alias(row))
+    return here.join(wanted, row, "left_semi").dropDuplicates([row]).drop(row)
