@@ -20,8 +20,11 @@ a power of two of tokens needs no padding and stays as it is.
 
 from __future__ import annotations
 
+import json
+import re
 from collections import deque
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,9 @@ from waybill.operators.skew import sized_broadcast
 SIZE = 2048
 SLACK = 16  # tokens of padding that a window may keep
 END = 1  # the id behind every document
-CACHED = 250_000  # words remembered by one Python worker
+CACHED = 400_000  # words, and cores of words, remembered by one Python worker
 PART = 1 << 20  # bytes of text taken at once
-SPECIAL = b"<|"  # a special token may stand in such a word
+SPECIAL = "<|"  # a special token may stand in such a word
 
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary, slice int, k long"
 PIECES_ARROW = pa.schema([
@@ -53,47 +56,70 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# The pattern by which this kind of tokenizer parts words, for ASCII and the
+# letters of Latin-1, and the normalisation and byte characters that go with it.
+CORES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\v\f\ra-z0-9ß-öø-ÿ]+")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMAL = ["NFC", "Replace", "Lowercase"]
+PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
+
+
 class Tokens:
     """A tokenizer whose ids of a text are those of its words, one after the other.
 
     That holds where nothing joins across ASCII white space: the split keeps no white
-    space, and the normalisation is by character.  New words are encoded together, with
-    a special token between them to tell them apart.
+    space, and the normalisation is by character.  Words of ASCII and Latin-1 letters are
+    parted here into cores, which a tokenizer without normalisation and split then
+    encodes, each distinct one once; all others, and special tokens, are encoded as they are.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
-        self.mark, self.between = special[0] if special else (None, None)
-        self._forget()
-
-    def _forget(self) -> None:
+        with open(path) as f:
+            made = json.load(f)
+        steps = made["normalizer"].get("normalizers", []), made["pre_tokenizer"].get("pretokenizers", [])
+        if (
+            [n["type"] for n in steps[0]] != NORMAL or [p["type"] for p in steps[1]] != ["Split", "ByteLevel"]
+            or steps[1][0]["pattern"] != {"Regex": SPLIT} or steps[1][1]["use_regex"] or steps[1][1]["add_prefix_space"]
+        ):
+            raise ValueError("only tokenizers with byte-level pairs over lowered words, without white space")
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self._forget_cores()
         self.numbers: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        self.word_ids = Spans()
+
+    def _forget_cores(self) -> None:
+        self.cores = {"\n": -1}  # parts the words that are learnt together
+        self.core_ids = Spans()
+
+    def _learn_cores(self, cores: list[str]) -> None:
+        if not cores:
+            return
+        coded = self.bare.encode(" ".join(c.encode().decode("latin-1").translate(BYTES) for c in cores), add_special_tokens=False)
+        begin = len(self.core_ids.sizes)
+        self.cores.update(zip(cores, range(begin, begin + len(cores))))
+        self.core_ids.add(np.array(coded.ids, np.uint32), np.bincount(np.array(coded.word_ids), minlength=len(cores)))
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if SPECIAL not in w] if self.between else []
-        parts = []
-        if plain:
-            text = self.between.join(w.decode("utf-8", "replace") for w in plain)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.mark))
-            parts[1:] = [p[1:] for p in parts[1:]]
-        marked = [w for w in words if SPECIAL in w] if self.between else words
-        parts += [
-            np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-            for w in marked
-        ]
-        begin = len(self.starts)
-        self.numbers.update(zip([*plain, *marked], range(begin, begin + len(words))))
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.flat = np.concatenate([self.flat, *parts])
+        if len(self.cores) >= CACHED:
+            self._forget_cores()
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        plain = [i for i, t in enumerate(texts) if (t.isascii() or PLAIN.fullmatch(t)) and SPECIAL not in t]
+        found = CORES.findall("\n".join([texts[i] for i in plain]).lower())
+        self._learn_cores([c for c in set(found) if c not in self.cores])
+        number = np.fromiter(map(self.cores.__getitem__, found), np.int64, len(found))
+        word = np.cumsum(number < 0)[number >= 0]
+        ids, sizes = self.core_ids.take(number[number >= 0])
+        sizes = np.bincount(word, sizes, len(plain)).astype(np.int64)
+        known = set(plain) if len(plain) < len(words) else ()
+        others = [i for i in range(len(words)) if i not in known] if known or not plain else []
+        parts = [np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32) for i in others]
+        self.numbers.update(zip((words[i] for i in [*plain, *others]), range(len(self.numbers), len(self.numbers) + len(words))))
+        self.word_ids.add(np.concatenate([ids, *parts]), np.append(sizes, [len(p) for p in parts]).astype(np.int64))
 
     def ids(self, text: bytes) -> np.ndarray:
         """The ids of one text, PART bytes of whole words at a time."""
@@ -102,7 +128,7 @@ class Tokens:
             end = at + PART
             while end < len(text) and text[end] not in b" \t\n\v\f\r":
                 end += 1
-            out.append(self._of(text[at:end].split()))
+            out.append(self._counted(text[at:end].split())[0])
             at = end
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
@@ -113,11 +139,10 @@ class Tokens:
 
         def flush():
             words = [texts[i].split() for i in held]
-            sizes = np.array([len(w) for w in words])
-            ids, ends = self._counted([w for ws in words for w in ws])
-            cuts = np.append(0, ends)[np.cumsum(sizes)][:-1]
-            for i, part in zip(held, np.split(ids, cuts)):
-                out[i] = part
+            ids, sizes = self._counted(list(chain.from_iterable(words)))
+            ends = np.append(0, np.cumsum(sizes))[np.cumsum([len(w) for w in words])]
+            for i, begin, end in zip(held, [0, *ends[:-1].tolist()], ends.tolist()):
+                out[i] = ids[begin:end]
 
         for i, text in enumerate(texts):
             if len(text) > PART:
@@ -132,23 +157,46 @@ class Tokens:
             flush()
         return out
 
-    def _of(self, words: list[bytes]) -> np.ndarray:
-        return self._counted(words)[0]
-
     def _counted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All words' ids, and behind how many of them each word ends."""
+        """All words' ids, and how many each word has."""
         if len(self.numbers) >= CACHED:
-            self._forget()
-        new = set(words).difference(self.numbers)
+            self.numbers, self.word_ids = {}, Spans()
+        new = [w for w in set(words) if w not in self.numbers]
         if new:
-            self._learn(sorted(new))
-        number = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[number]
+            self._learn(new)
+        return self.word_ids.take(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+
+
+class Spans:
+    """Rows of ids of various lengths, one after the other."""
+
+    def __init__(self):
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.flat = np.append(self.flat, ids)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these rows together, and how many each has."""
+        sizes = self.sizes[rows]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) + np.repeat(self.starts[number] - ends + sizes, sizes)
-        return self.flat[place], ends
+        place = np.arange(int(ends[-1]) if len(ends) else 0)
+        place += np.repeat(self.starts[rows] - ends + sizes, sizes)
+        return self.flat[place], sizes
+
+
+def _byte_characters() -> dict[int, str]:
+    """Every byte as a visible character: itself, or one from 256 on for those without."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
 
+BYTES = _byte_characters()
 
 _LOADED: dict[str, Tokens] = {}
 
