@@ -91,26 +91,51 @@ def with_lateness(
     slide: str | None = None,
     grace: str = GRACE,
     broadcast_rows: int = 1_000_000,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Every event once per window, with ``late``.
 
     ``order`` is the total order of arrival; ``clock`` the columns that share a
     clock (the location by default; a partition column; none for one clock over
     everything).
+
+    ``before`` (see ``clocks``) is what each clock showed before the first of these
+    events: a window that it has closed takes no more of them.
     """
     slide = slide or size
     clock = list(clock)
     closing = closing_arrivals(events, order, clock, time, size, slide, grace)
+    if before is not None:
+        shows = before.select(*clock, F.col(time).alias("_shown"))
+        closing = closing.join(F.broadcast(shows), F.lit(True), "left") if not clock else closing.join(
+            shows.toDF(*[f"_{c}" for c in clock], "_shown"),
+            [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in clock], "left",
+        ).drop(*[f"_{c}" for c in clock])
+        ends = F.col("window_start") + F.expr(f"INTERVAL {size}") + F.expr(f"INTERVAL {grace}")
+        closing = closing.withColumn("closed", F.col("_shown") >= ends).drop("_shown")
+    else:
+        closing = closing.withColumn("closed", F.lit(False))
     closing = sized_broadcast(closing, broadcast_rows)
-    late: Column = F.coalesce(_position(order) >= F.col("closed_by"), F.lit(False))
+    late: Column = F.coalesce(F.col("closed"), F.lit(False)) | F.coalesce(
+        _position(order) >= F.col("closed_by"), F.lit(False)
+    )
     return (
         _assigned(events, time, size, slide)
         .join(closing, [*clock, "window_start"], "left")
         .withColumn("late", late)
-        .drop("closed_by")
+        .drop("closed_by", "closed")
     )
 
 
+def clocks(
+    events: DataFrame, clock: list[str] = ("location",), time: str = "delivered_at", before: DataFrame | None = None
+) -> DataFrame:
+    """What each clock shows after these events: the highest event time of all so far."""
+    rows = events.select(*clock, time)
+    rows = rows if before is None else rows.unionByName(before.select(*clock, time))
+    return rows.groupBy(*clock).agg(F.max(time).alias(time)).filter(F.col(time).isNotNull())
+
+
 def counts_with_grace(events: DataFrame, order: list[str], **options) -> DataFrame:
     """Counts over the records that are not late."""
     return (

@@ -37,6 +37,7 @@ def replay(
     chunk: list[Column],
     keys: DataFrame | None = None,
     hot: HotKeys | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Every scan with the shipment's state right after it.
 
@@ -44,6 +45,9 @@ def replay(
     to cut an overfull shipment (see skew.with_running).  Adds ``seq``, ``created_at``,
     ``delivered`` (this scan delivers), ``delivered_at`` and ``status``;
     ``destination`` is the shipment's, ``scan_destination`` the event's own.
+
+    ``before`` is the state (see ``shipment_state``) that earlier scans left; the replay
+    goes on from there.
     """
     delivers = at_destination(F.col("location"), F.col(f"{FIRST}.destination"))
     rows = with_running(
@@ -57,6 +61,7 @@ def replay(
         first=F.struct("destination", "scanned_at"),
         hot=hot,
         keys=keys,
+        carry=None if before is None else _carried(before),
     )
     return rows.select(
         *[c for c in scans.columns if c != "destination"],
@@ -70,6 +75,18 @@ def replay(
     )
 
 
+def _carried(state: DataFrame) -> DataFrame:
+    """A state in terms of the replay's running values."""
+    delivered = F.col("status") == S.DELIVERED
+    return state.select(
+        "shipment_id",
+        F.struct("destination", F.col("created_at").alias("scanned_at")).alias(FIRST),
+        "seq",
+        delivered.alias("was_delivered"),
+        F.when(delivered, F.struct(F.col("delivered_at").alias("scanned_at"))).alias("delivery"),
+    )
+
+
 def lifecycle(replayed: DataFrame) -> DataFrame:
     return replayed.select(
         "shipment_id", "seq", "status", F.col("location").alias("last_location"),
@@ -94,8 +111,9 @@ def delivered_events(replayed: DataFrame, dedupe: bool = False) -> DataFrame:
     )
 
 
-def shipment_state(replayed: DataFrame) -> DataFrame:
-    """Current state: what holds after a shipment's last scan."""
+def shipment_state(replayed: DataFrame, seq: bool = False) -> DataFrame:
+    """Current state: what holds after a shipment's last scan; ``seq`` adds how many
+    scans that took, which a later replay needs to go on."""
     last = F.max(
         F.struct("seq", "destination", "location", "created_at", "scanned_at", "delivered_at", "status")
     )
@@ -105,7 +123,7 @@ def shipment_state(replayed: DataFrame) -> DataFrame:
         .select(
             "shipment_id", "s.destination", F.col("s.location").alias("last_location"),
             "s.created_at", F.col("s.scanned_at").alias("last_scanned_at"),
-            "s.delivered_at", "s.status",
+            "s.delivered_at", "s.status", *(["s.seq"] if seq else []),
         )
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waybill import schemas as S
 from waybill.functions import messages, text
 from waybill.operators.events import by_type
+from waybill.operators.skew import sized_broadcast
 from waybill.operators.validate import notification_error
 
 LATEST = 10
@@ -108,17 +109,17 @@ def deletion_results(notes: DataFrame, deletions: DataFrame, order: list[str] |
     or absent id is an error, and so is an id that an earlier request deleted.
 
     Only the ids asked for are looked up, so the notifications are filtered by a
-    list that may be broadcast, rather than shuffled.  Which of several requests for
+    list that is written, and broadcast if it is short, rather than shuffled.  Which of several requests for
     one id is first is settled by a minimum per id; requests without an id take no part.
     """
     order = order or ["request_id"]
     asked = deletions.withColumn("wanted", text.trimmed("id"))
     blank = text.is_empty("id")
     named = asked.filter(~blank)
-    first = named.groupBy("wanted").agg(F.min(F.struct(*order)).alias("first"))
+    first = sized_broadcast(named.groupBy("wanted").agg(F.min(F.struct(*order)).alias("first")))
     present = (
         notes.select(F.col("id").alias("wanted"))
-        .join(first.select("wanted"), "wanted", "left_semi").distinct().withColumn("found", F.lit(True))
+        .join(first, "wanted", "left_semi").distinct().withColumn("found", F.lit(True))
     )
     known = first.join(present, "wanted", "left")
     absent = F.concat(F.lit("Notification not found with ID: "), F.col("id"))

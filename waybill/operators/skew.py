@@ -115,6 +115,7 @@ def with_running(
     first: Column | None = None,
     hot: HotKeys | None = None,
     keys: DataFrame | None = None,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with one more column per running value, per ``key`` in the total
     order of the columns ``order``; each value includes its own row.
@@ -134,20 +135,50 @@ def with_running(
     aggregated; then the rows are shuffled by key and chunk, and each chunk runs on
     its own, on top of the totals of the chunks before it.
 
+    ``carry`` has what came before all these rows, for keys that had any: one row per
+    key with the values' last results by their names and, where ``first`` is given, the
+    key's ``first_value``.  Rows then go on from there, so that parts of a table in
+    their order of arrival give what the whole table gives.
+
     Rows without a key belong to no group; their values mean nothing.
     """
     hot = hot or HotKeys()
+    kept = df.columns
     found = hot.find_rows((df if keys is None else keys).select(key), key)
+    if carry is not None:
+        df = df.join(carry.select(key, F.struct(*[c for c in carry.columns if c != key]).alias(CARRY)), key, "left")
     if not found:
-        return _plain(df, key, order, values, first)
+        return _resumed(_plain(df, key, order, values, first), kept, values, first)
     is_hot = F.coalesce(hot.slot(key).isin(*found), F.lit(False))
     pieces = -(-max(found.values()) * 4 // max(hot.floor_rows, 1))
     rows = _chunked(materialise(df.filter(is_hot)), key, chunk, min(max(pieces, 2), MOST_CHUNKS))
-    return _plain(df.filter(~is_hot), key, order, values, first).unionByName(
-        _split(rows, df.columns, key, order, values, first)
+    return _resumed(
+        _plain(df.filter(~is_hot), key, order, values, first).unionByName(
+            _split(rows, df.columns, key, order, values, first)
+        ), kept, values, first,
     )
 
 
+CARRY = "_carry"
+
+
+def _resumed(rows: DataFrame, kept: list[str], values: list[Running], first: Column | None) -> DataFrame:
+    """The values on top of those that the key had before."""
+    if CARRY not in rows.columns:
+        return rows
+    return rows.select(
+        *kept, *([] if first is None else [FIRST]),
+        *[v.joined(F.col(v.name), F.col(f"{CARRY}.{v.name}")).alias(v.name) for v in values],
+    )
+
+
+def _first_of_all(rows: DataFrame, own: Column) -> Column:
+    """A key's first value: the one it had before these rows, if there were any."""
+    if CARRY not in rows.columns:
+        return own
+    return F.when(F.col(CARRY).isNotNull(), F.col(f"{CARRY}.{FIRST}")).otherwise(own)
+
+
 MOST_CHUNKS = 10_000
 
 
@@ -157,7 +188,7 @@ def _running(*group: str, order: list[str]):
 
 def _plain(df: DataFrame, key: str, order: list[str], values: list[Running], first: Column | None) -> DataFrame:
     here = _running(key, order=order)
-    rows = df if first is None else df.withColumn(FIRST, F.first(first).over(here))
+    rows = df if first is None else df.withColumn(FIRST, _first_of_all(df, F.first(first).over(here)))
     return rows.select("*", *[v.over(here).alias(v.name) for v in values])
 
 
@@ -189,8 +220,8 @@ def _split(
     # windows below, and leave the hot key where it is.
     rows = rows.repartition(*group).join(carry, group, "left")
     if first is not None:
-        own = F.first(first).over(here)
-        rows = rows.withColumn(FIRST, F.when(F.col("_first").isNotNull(), F.col("_first.v")).otherwise(own))
+        own = F.when(F.col("_first").isNotNull(), F.col("_first.v")).otherwise(F.first(first).over(here))
+        rows = rows.withColumn(FIRST, _first_of_all(rows, own))
         kept = [*kept, FIRST]
     rows = rows.select("*", *[v.over(here).alias(f"_here_{v.name}") for v in values])
     return rows.select(
@@ -206,7 +237,8 @@ def _chunk_totals(
     if first is not None:
         wrapped = F.min(F.struct(position.alias("p"), first.alias("v"))).alias("_first")
         firsts = sized_broadcast(rows.groupBy(key).agg(wrapped))
-        rows = rows.join(firsts, key).withColumn(FIRST, F.col("_first.v"))
+        rows = rows.join(firsts, key)
+        rows = rows.withColumn(FIRST, _first_of_all(rows, F.col("_first.v")))
     totals = rows.groupBy(key, "_chunk").agg(
         *[v.total(position).alias(f"_c_{v.name}") for v in values],
         *([] if first is None else [F.min("_first").alias("_first")]),

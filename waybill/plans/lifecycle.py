@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waybill.operators import creation, gate, lifecycle
 from waybill.operators.skew import NoHotKeys
-from waybill.sources import tables
+from waybill.sources import stored, tables
 
 SHIPMENT = "42"
 
@@ -48,6 +48,22 @@ def status_lookup(spark, sf_dir):
     return lifecycle.status_lookup(tables.order_ids(spark, sf_dir), shipment_state(spark, sf_dir))
 
 
+def stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of all shipments as a table in buckets, made once in a session."""
+    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation")]
+    return stored.once_bucketed(
+        spark, "shipment-state", inputs, lambda: shipment_state(spark, sf_dir), "shipment_id"
+    )
+
+
+def status_lookup_stored(spark, sf_dir):
+    return lifecycle.status_lookup(tables.order_ids(spark, sf_dir), stored_state(spark, sf_dir))
+
+
+def shipment_by_id_stored(spark, sf_dir):
+    return lifecycle.response(lifecycle.shipment_by_id(stored_state(spark, sf_dir), SHIPMENT))
+
+
 def _marked(spark, sf_dir):
     return lifecycle.mark_delivered(
         tables.delivery_requests(spark, sf_dir), shipment_state(spark, sf_dir)
@@ -123,6 +139,8 @@ QUERIES = {
     "shipment_by_id": shipment_by_id,
     "shipment_responses": shipment_responses,
     "status_lookup": status_lookup,
+    "status_lookup_stored": status_lookup_stored,
+    "shipment_by_id_stored": shipment_by_id_stored,
     "mark_delivered": mark_delivered,
     "manual_deliveries": manual_deliveries,
     "state_after_manual": state_after_manual,

@@ -59,11 +59,14 @@ def busiest_shipments(spark, sf_dir):
     return notify.notifications_by_shipment(notifications(spark, sf_dir), top_n=10)
 
 
+def _inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation")]
+
+
 def _stored(spark, sf_dir) -> DataFrame:
     """All notifications as a table by shipment, made once in a session."""
-    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation")]
     return stored.once(
-        spark, "notifications", inputs,
+        spark, "notifications", _inputs(sf_dir),
         lambda folder: stored.write_notifications(notifications(spark, sf_dir), folder),
     )
 
@@ -74,7 +77,8 @@ def notifications_for_shipment_stored(spark, sf_dir):
 
 
 def notification_by_id_stored(spark, sf_dir):
-    return notify.notification_by_id(_stored(spark, sf_dir).drop("bucket"), f"  {FIRST_CREATED}\t")
+    rows = _stored(spark, sf_dir).drop("buckets", "bucket")
+    return notify.notification_by_id(rows, f"  {FIRST_CREATED}\t")
 
 
 def notification_count_stored(spark, sf_dir):
@@ -86,7 +90,12 @@ def notifications_by_type_stored(spark, sf_dir):
 
 
 def recent_notifications_stored(spark, sf_dir):
-    return notify.recent_notifications(_stored(spark, sf_dir).drop("bucket"))
+    """Of the newest days alone."""
+    by_day = stored.once(
+        spark, "notifications-by-day", _inputs(sf_dir),
+        lambda folder: stored.write_by_day(_stored(spark, sf_dir).drop("buckets", "bucket"), folder),
+    )
+    return notify.recent_notifications(stored.newest_days(by_day, notify.LATEST))
 
 
 def deletion_results_stored(spark, sf_dir):

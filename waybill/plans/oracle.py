@@ -470,7 +470,7 @@ ORACLE |= {
     f"{name}_stored": ORACLE[name]
     for name in (
         "counts_in_range", "notifications_for_shipment", "notification_by_id", "notification_count",
-        "notifications_by_type", "recent_notifications", "deletion_results",
+        "notifications_by_type", "recent_notifications", "deletion_results", "status_lookup", "shipment_by_id",
     )
 }
 ORACLE["location_total_stored"] = (

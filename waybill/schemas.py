@@ -37,6 +37,7 @@ _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
     "timestamp_ntz": T.TimestampNTZType(),
 }
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -59,9 +62,31 @@ def temporary_folder(spark: SparkSession, name: str) -> str:
     folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    if getattr(_HERE, "folders", None) is not None:
+        _HERE.folders.append(folder)
     return folder
 
 
+_HERE = threading.local()
+
+
+@contextlib.contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Temporary folders made inside, by this thread, go at the end: for the batches of
+    a stream, which outlive no batch but would fill the disk over days."""
+    outer = getattr(_HERE, "folders", None)
+    _HERE.folders = []
+    try:
+        yield
+    finally:
+        for folder in _HERE.folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.delete(path, True)
+            files.cancelDeleteOnExit(path)
+        _HERE.folders = outer
+
+
 def materialise(df):
     """Write ``df`` to the shared folder and go on from there, without its lineage.
 

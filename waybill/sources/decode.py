@@ -54,12 +54,18 @@ def _moment(name: str) -> Column:
 
 def record_id(records: DataFrame) -> Column:
     """What names a record: its topic, partition and offset; for a line of a file,
-    the file and a hash of the line.  Identical lines of one file are one record
-    read twice and share an id, as a redelivered record does."""
+    the file and the line's place in it, so that identical lines are records of their
+    own.  Places hold for one way of splitting files: those above
+    ``spark.sql.files.openCostInBytes`` may be cut elsewhere under other settings.
+    Where neither is known, a hash of the value stands in."""
     placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    file = F.col("source_file") if "source_file" in records.columns else F.lit(None).cast("string")
+
+    def given(name: str) -> Column:
+        return F.col(name) if name in records.columns else F.lit(None).cast("string")
+
+    place = F.coalesce(given("source_line"), F.sha2(F.coalesce("value", F.lit("")), 256))
     return F.when(placed, F.concat_ws(":", "topic", "partition", "offset")).otherwise(
-        F.concat_ws(":", "topic", F.coalesce(file, F.lit("")), F.sha2(F.coalesce("value", F.lit("")), 256))
+        F.concat_ws(":", "topic", F.coalesce(given("source_file"), F.lit("")), place)
     )
 
 
@@ -142,6 +148,19 @@ def decode(records: DataFrame, where: Column | str | None = None) -> DataFrame:
     return typed(parse(records, where))
 
 
+# The outcomes of decoding, by the name of their count: event type and status.
+OUTCOMES = {event: (event, "success") for event in S.WIRE} | {"error": ("error", "failure")}
+
+
+def outcome_counts() -> list[Column]:
+    """One count for each of OUTCOMES, over what ``parse`` gives; absent values don't count."""
+    usable = F.col("reason").isNull() & F.col("value").isNotNull()
+    return [
+        F.count_if(F.col("reason").isNotNull() if status == "failure" else usable & (F.col("event_type") == event)).alias(name)
+        for name, (event, status) in OUTCOMES.items()
+    ]
+
+
 def _of_type(events: DataFrame, event_type: str, *columns: str) -> DataFrame:
     return events.filter(F.col("event_type") == event_type).select(
         *columns, "correlation_id", "timestamp", "version"

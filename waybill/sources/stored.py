@@ -1,8 +1,9 @@
 """Tables derived once and read by many queries: hourly counts by day, notifications
-by shipment.
+by shipment and by day, shipment states in buckets.
 
 A table lies in the shared folder, laid out for the questions asked of it, and goes
 when the application ends.  Within a session it is made once for the same input files.
+How many buckets a table has follows its size.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions import text
-from waybill.session import temporary_folder
+from waybill.session import materialise, size_in_bytes, temporary_folder
 
-BUCKETS = 16
+BUCKET_BYTES = 64 << 20
+FEWEST = 16
 _made: dict[tuple, str] = {}
 
 
@@ -56,22 +58,62 @@ def counts_of_days(counts: DataFrame, start: datetime, end: datetime) -> DataFra
     return counts.filter(day.between(F.lit(start.date()), F.lit(end.date()))).drop("day")
 
 
-def bucket(shipment_id):
-    return F.pmod(F.xxhash64(shipment_id), F.lit(BUCKETS)).cast("int")
+def buckets_for(rows: DataFrame) -> int:
+    """Of BUCKET_BYTES each, by the optimizer's size; exact for stored rows."""
+    return max(FEWEST, -(-size_in_bytes(rows) // BUCKET_BYTES))
 
 
-def write_notifications(notes: DataFrame, folder: str) -> None:
+def write_notifications(notes: DataFrame, folder: str, buckets: int | None = None) -> None:
     """Notifications in one folder for each bucket of shipments, sorted by shipment, so
-    that a shipment's are in few pages of one folder.  A bucket takes as many tasks as
-    its shipments spread over, so a busy one fills no task with the whole bucket."""
-    placed = notes.withColumn("bucket", bucket("shipment_id"))
-    placed.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(4))).sortWithinPartitions(
-        "bucket", "shipment_id", "timestamp"
-    ).write.partitionBy("bucket").parquet(folder)
+    that a shipment's are in few pages of one folder, with a Bloom filter on the id for
+    each row group.  A bucket with more rows than a task should write is split by size."""
+    if buckets is None:
+        notes = materialise(notes)
+        buckets = buckets_for(notes)
+    placed = notes.withColumn("buckets", F.lit(buckets)).withColumn(
+        "bucket", F.pmod(F.xxhash64("shipment_id"), F.lit(buckets)).cast("int")
+    )
+    placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "shipment_id", "timestamp").write.option(
+        "parquet.bloom.filter.enabled#id", "true"
+    ).partitionBy("buckets", "bucket").parquet(folder)
 
 
 def notifications_of(notes: DataFrame, shipment_id: str) -> DataFrame:
-    """The stored notifications of one shipment's bucket."""
-    wanted = bucket(text.trimmed(F.lit(shipment_id)))
-    number = notes.sparkSession.range(1).select(wanted.alias("b")).first()["b"]
-    return notes.filter(F.col("bucket") == number).drop("bucket")
+    """The stored notifications of one shipment's bucket; other folders aren't read."""
+    wanted = F.pmod(F.xxhash64(text.trimmed(F.lit(shipment_id))), F.col("buckets")).cast("int")
+    return notes.filter(F.col("bucket") == wanted).drop("buckets", "bucket")
+
+
+def write_by_day(notes: DataFrame, folder: str) -> None:
+    """Notifications in one folder a day; a busy day is split by size."""
+    dated = notes.withColumn("day", F.col("timestamp").cast("date"))
+    dated.hint("rebalance", "day").write.partitionBy("day").parquet(folder)
+
+
+def newest_days(notes: DataFrame, rows: int) -> DataFrame:
+    """The newest days of a table by day that together have at least so many rows, or
+    all: whatever is left out is older than so many others.  Counts day by day, the
+    newest first, and no more of a day than is still missing."""
+    days = sorted((r["day"] for r in notes.select("day").distinct().collect() if r["day"] is not None), reverse=True)
+    for day in days:
+        rows -= notes.filter(F.col("day") == F.lit(day)).limit(rows).count()
+        if rows <= 0:
+            return notes.filter(F.col("day") >= F.lit(day)).drop("day")
+    return notes.drop("day")
+
+
+def once_bucketed(spark: SparkSession, name: str, inputs: list[str], make: Callable[[], DataFrame], key: str) -> DataFrame:
+    """A table in buckets of ``key``, each sorted by it, made unless it is there already.
+
+    Lookups of a key read one bucket; joins and aggregates by the key take the rows as
+    they lie.  The catalogue entry is the session's; the files go with the application.
+    """
+    made = (spark.sparkContext.applicationId, name, _files(spark, inputs))
+    if made not in _made:
+        rows = materialise(make())
+        folder = temporary_folder(spark, name)
+        table = folder.rsplit("/", 1)[-1].replace("-", "_")
+        count = buckets_for(rows)
+        rows.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", folder).saveAsTable(table)
+        _made[made] = table
+    return spark.table(_made[made])

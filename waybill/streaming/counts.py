@@ -3,24 +3,19 @@
 The watermark trails the highest event time by the grace period.  It moves
 between micro-batches only, so a late record may still be counted here where
 the exact rule (operators.late) would drop it; none is dropped that the rule
-keeps for one clock over all.
+keeps for one clock over all.  ``streaming.late`` applies the rule itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from waybill import schemas as S
 from waybill.functions import times
 from waybill.operators import counts
 from waybill.operators.late import GRACE
-from waybill.streaming import sinks
-
-_BASE = "_base"
-
+from waybill.streaming import latest, sinks
 
 def windowed_counts(
     delivered: DataFrame, size: str = counts.WINDOW, grace: str | None = GRACE, zone: str | None = "UTC"
@@ -48,23 +43,7 @@ def counts_writer(counted: DataFrame, path: str) -> DataStreamWriter:
     return counted.writeStream.outputMode("update").foreachBatch(sinks.to_batches(path))
 
 
-def _last_base(spark: SparkSession, path: str, through: int | None = None) -> int:
-    base = sinks.read_batches(spark, path + _BASE, T.StructType([]))
-    base = base if through is None else base.filter(F.col("batch_id") < through)
-    last = base.agg(F.max("batch_id").alias("b")).first()["b"]
-    return -1 if last is None else last
-
-
-def _view(spark: SparkSession, path: str, base: int, through: int | None = None) -> DataFrame:
-    """One compaction and the batches after it, up to ``through``."""
-    kept = sinks.read_batches(spark, path + _BASE, S.DELIVERY_COUNT).filter(F.col("batch_id") == base)
-    newer = sinks.read_batches(spark, path, S.DELIVERY_COUNT).filter(F.col("batch_id") > base)
-    newer = newer if through is None else newer.filter(F.col("batch_id") <= through)
-    return (
-        kept.unionByName(newer)
-        .groupBy("location", "window_start", "window_end")
-        .agg(F.max_by("count", "batch_id").alias("count"))
-    )
+KEY = ["location", "window_start", "window_end"]
 
 
 def read_counts(spark: SparkSession, path: str, retention: str | None = None) -> DataFrame:
@@ -72,32 +51,15 @@ def read_counts(spark: SparkSession, path: str, retention: str | None = None) ->
 
     ``retention`` leaves out windows that started that long before the newest one.
     """
-    rows = _view(spark, path, _last_base(spark, path))
+    rows = latest.view(spark, path, S.DELIVERY_COUNT, KEY)
     return rows if retention is None else counts.retained(rows, retention)
 
 
-def compact(spark: SparkSession, path: str, files: int = 16) -> int | None:
-    """Write the whole table as of now beside the batches, into few files; readers
-    then skip the batches it covers, and see the same rows as before.  Reads the
-    last compaction and what came after it.  Returns the last batch covered, None if
-    there is none."""
-    latest = sinks.read_batches(spark, path, T.StructType([])).agg(F.max("batch_id").alias("b")).first()["b"]
-    if latest is None:
-        return None
-    current = _view(spark, path, _last_base(spark, path, latest), latest)
-    sinks.write_batch(current.coalesce(files), path + _BASE, latest)
-    return latest
-
+def compact(spark: SparkSession, path: str, files: int = 16, retention: str | None = None) -> int | None:
+    """See ``latest.compact``; windows older than ``retention`` are left out for good once
+    ``remove_covered`` has deleted what the compaction covers."""
+    keep = None if retention is None else lambda rows: counts.retained(rows, retention)
+    return latest.compact(spark, path, S.DELIVERY_COUNT, KEY, files, keep)
 
-def remove_covered(spark: SparkSession, path: str) -> int:
-    """Delete the batches that the latest compaction covers, and older compactions.
 
-    For when no reader is at work on an older view.  Returns how many folders went.
-    """
-    base = _last_base(spark, path)
-    gone = 0
-    for table, covered in ((path, base), (path + _BASE, base - 1)):
-        for batch_id in sinks.batch_ids(spark, table):
-            if batch_id <= covered and (table != path or batch_id < base):
-                gone += sinks.delete_batch(spark, table, batch_id)
-    return gone
+remove_covered = latest.remove_covered

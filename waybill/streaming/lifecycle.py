@@ -1,130 +1,80 @@
-"""The life cycle as a stream: one state row per shipment.
-
-The rules are those of operators.lifecycle.  A trigger brings at most the rows
-its source limits it to (maxOffsetsPerTrigger, maxFilesPerTrigger), which also
-bounds what one busy shipment can hand to its task at a time.
+"""The life cycle as a stream: each batch goes on from the state that the last one left.
+
+A batch's scans run through the same windows as a whole table's (operators.lifecycle),
+on top of the stored state of just the shipments they name.  Within a batch scans are
+taken in the order given; across batches as they come.  A busy shipment is cut as in a
+table.  The state is one row per shipment in batch folders, of which a compaction is
+written every ``COMPACT`` batches, so a batch reads one row per shipment and what
+changed since.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter
 
 from waybill import schemas as S
-from waybill.functions import text, times
-from waybill.operators.lifecycle import usable_scans
-
-_STATE = S.struct(
-    "seq bigint, destination string, destination_key string, created_at bigint, delivered_at bigint, delivered bigint"
-)
-_OUTPUT = S.struct(
-    "shipment_id string, seq bigint, location string, destination string, scanned_at bigint, "
-    "created_at bigint, delivered_now bigint, delivered_at bigint, status string, correlation_id string"
+from waybill.operators import lifecycle
+from waybill.operators.skew import HotKeys
+from waybill.session import cleared
+from waybill.streaming import latest, sinks
+
+REPLAYED = S.struct(
+    "shipment_id string, seq bigint, location string, destination string, scanned_at timestamp_ntz, "
+    "created_at timestamp_ntz, delivered boolean, delivered_at timestamp_ntz, status string, correlation_id string"
 )
+STATE = T.StructType([*S.SHIPMENT_STATE.fields, T.StructField("seq", T.LongType())])
+KEY = ["shipment_id"]
+COMPACT = 20
+FILES = 16
 
 
-def _places(scans: DataFrame) -> DataFrame:
-    """Locations and destinations in the form they are compared in, blanks as null."""
-
-    def key(name: str):
-        return F.when(~text.is_blank(name), text.folded(name))
-
-    return scans.withColumn("location_key", key("location")).withColumn("destination_key", key("destination"))
-
-
-class ShipmentProcessor(StatefulProcessor):
-    """Carries a shipment's state from trigger to trigger."""
-
-    def __init__(self, order: list[str]):
-        self.order = order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("shipment", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        scans = pd.concat(list(rows)).sort_values(self.order, na_position="first").reset_index(drop=True)
-        if self.state.exists():
-            seen, destination, place, created_at, delivered_at, delivered = self.state.get()
-        else:
-            first = scans.iloc[0]
-            seen, destination, place = 0, _or_none(first["destination"]), _or_none(first["destination_key"])
-            created_at, delivered_at, delivered = _or_none(first["scanned_at"]), None, 0
-
-        arrives = scans["location_key"].eq(place) & scans["location_key"].notna() if place else scans["seq"].lt(0)
-        marks = arrives.cumsum()
-        # delivered_at is the time of the last delivering scan so far, even if that has none
-        times_at = dict(enumerate(scans.loc[arrives, "scanned_at"].map(_or_none), start=1))
-        times_at[0] = delivered_at
-        out = pd.DataFrame(
-            {
-                "shipment_id": key[0],
-                "seq": seen + 1 + scans.index,
-                "location": scans["location"],
-                "destination": destination,
-                "scanned_at": scans["scanned_at"],
-                "created_at": created_at,
-                "delivered_now": arrives.astype("int64"),
-                "delivered_at": marks.map(times_at),
-                "status": (marks.gt(0) | bool(delivered)).map({True: S.DELIVERED, False: S.IN_TRANSIT}),
-                "correlation_id": scans["correlation_id"],
-            }
-        )
-        for name in ("scanned_at", "created_at", "delivered_at"):
-            out[name] = out[name].astype("Int64")
-        last = int(marks.iloc[-1])
-        self.state.update(
-            (
-                int(seen + len(scans)), destination, place, created_at,
-                times_at[last], int(bool(delivered) or last > 0),
-            )
-        )
-        yield out
-
-    def close(self) -> None:
-        pass
-
-
-def _or_none(value):
-    if value is None or pd.isna(value):
-        return None
-    return value.item() if hasattr(value, "item") else value
-
-
-def replay_stream(scans: DataFrame, order: list[str]) -> DataFrame:
-    """Every scan of a stream with the shipment's state after it, as
-    operators.lifecycle.replay gives for a table.
+def read_state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The current state of every shipment, or that before a batch."""
+    return latest.view(spark, path, STATE, KEY, before)
+
+
+def go_on(
+    batch: DataFrame, batch_id: int, state_path: str, order: list[str], chunk: list[Column], hot: HotKeys | None = None
+) -> DataFrame:
+    """One batch's scans with the shipments' states after them."""
+    scans = lifecycle.usable_scans(batch)
+    state = read_state(batch.sparkSession, state_path, batch_id)
+    known = state.join(scans.select(*KEY).distinct(), KEY, "left_semi")
+    return lifecycle.replay(scans, order, chunk, hot=hot, before=known).select(*REPLAYED.names)
 
-    Within a trigger scans are taken in the order of ``order``; across triggers
-    as they come.
+
+def replay_batch(
+    batch: DataFrame, batch_id: int, replayed_path: str, state_path: str, order: list[str], chunk: list[Column],
+    hot: HotKeys | None = None, compact: int = COMPACT,
+) -> DataFrame:
+    """Writes a batch's life cycles and the states they leave; returns the former as stored.
+
+    A repeated attempt reads the states before the batch and replaces what it wrote.
     """
-    prepared = _places(usable_scans(scans)).withColumn("scanned_at", times.epoch_micros("scanned_at"))
-    prepared = prepared.withColumn("seq", F.lit(0).cast("bigint"))
-    rows = prepared.groupBy("shipment_id").transformWithStateInPandas(
-        statefulProcessor=ShipmentProcessor(list(order)),
-        outputStructType=_OUTPUT,
-        outputMode="Update",
-        timeMode="None",
-    )
-
-    def moment(name: str):
-        return F.timestamp_add("MICROSECOND", F.col(name), times.epoch()).alias(name)
-
-    return rows.select(
-        "shipment_id", "seq", "location", "destination", moment("scanned_at"), moment("created_at"),
-        (F.col("delivered_now") == 1).alias("delivered"), moment("delivered_at"), "status", "correlation_id",
-    )
-
-
-REPLAYED = T.StructType(
-    [
-        T.StructField("delivered", T.BooleanType()) if f.name == "delivered_now"
-        else T.StructField(f.name, T.TimestampNTZType()) if f.name.endswith("_at")
-        else f
-        for f in _OUTPUT.fields
-    ]
-)
+    spark = batch.sparkSession
+    kept = batch.persist()
+    try:
+        with cleared(spark):
+            sinks.write_batch(go_on(kept, batch_id, state_path, order, chunk, hot), replayed_path, batch_id)
+    finally:
+        kept.unpersist()
+    replayed = spark.read.schema(REPLAYED).parquet(f"{replayed_path}/batch_id={batch_id}")
+    sinks.write_batch(lifecycle.shipment_state(replayed, seq=True).select(*STATE.names), state_path, batch_id)
+    if batch_id % compact == compact - 1:
+        latest.compact(spark, state_path, STATE, KEY, FILES)
+    return replayed
+
+
+def replay_writer(
+    scans: DataFrame, order: list[str], chunk: list[Column], replayed_path: str, state_path: str,
+    hot: HotKeys | None = None, compact: int = COMPACT,
+) -> DataStreamWriter:
+    """Every scan of a stream with the shipment's state after it, as
+    operators.lifecycle.replay gives for a table, and the states."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        replay_batch(batch, batch_id, replayed_path, state_path, order, chunk, hot, compact)
+
+    return scans.writeStream.foreachBatch(write)

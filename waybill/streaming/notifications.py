@@ -6,12 +6,16 @@ each record's effect once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from waybill import schemas as S
-from waybill.operators import counts, events, gate, lifecycle, notify
+from waybill.functions import times
+from waybill.operators import counts, events, lifecycle, notify
+from waybill.operators.validate import scan_error
 from waybill.sources import decode
 from waybill.streaming import lifecycle as stream_lifecycle
 from waybill.streaming import sinks
@@ -23,7 +27,7 @@ ANSWER = S.struct(
     "request_id string, shipment_id string, location string, scanned_at timestamp_ntz, destination string, "
     "success string, error_message string"
 )
-KNOWN = S.struct("shipment_id string, destination string, created_at timestamp_ntz")
+CREATE = S.struct("destination string, created_at timestamp_ntz")
 
 
 def notification_stream(records: DataFrame) -> DataFrame:
@@ -32,8 +36,21 @@ def notification_stream(records: DataFrame) -> DataFrame:
     return notify.notifications(events.decoded_events(decode.decode(records)))
 
 
-def notifications_writer(records: DataFrame, path: str, dead_letters_path: str) -> DataStreamWriter:
-    """Notifications to one table, records that can't be used to another.
+REDELIVERY = "1 day"
+
+
+def once(records: DataFrame, within: str = REDELIVERY) -> DataFrame:
+    """Records of a stream without those delivered again ``within`` that time of the
+    records' clock: the state is one id per record, and goes after that time."""
+    instant = times.to_instant(F.col("timestamp"))
+    named = records.withColumn("record_id", decode.record_id(records)).withColumn("_at", instant)
+    return named.withWatermark("_at", within).dropDuplicatesWithinWatermark(["record_id"]).drop("_at", "record_id")
+
+
+def notifications_writer(
+    records: DataFrame, path: str, dead_letters_path: str, within: str = REDELIVERY
+) -> DataStreamWriter:
+    """Notifications to one table, records that can't be used to another, each record once.
 
     An event without a shipment id can't become a notification and is a dead letter
     too, with its own reason.
@@ -52,43 +69,71 @@ def notifications_writer(records: DataFrame, path: str, dead_letters_path: str)
         finally:
             parsed.unpersist()
 
-    return records.writeStream.foreachBatch(write)
+    return once(records, within).writeStream.foreachBatch(write)
 
 
 def read_notifications(spark: SparkSession, path: str) -> DataFrame:
-    """All notifications; a redelivered record has the id it had before and counts once."""
-    rows = sinks.read_batches(spark, path, NOTIFICATION)
-    return rows.dropDuplicates(["id"]).select(*NOTIFICATION.names)
+    """All notifications, as written: the stream has dropped what was delivered again."""
+    return sinks.read_batches(spark, path, NOTIFICATION).select(*NOTIFICATION.names)
+
+
+class GateProcessor(StatefulProcessor):
+    """Keeps a shipment's latest create and answers the requests that come after it."""
+
+    def __init__(self, order: list[str]):
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.create = handle.getValueState("create", CREATE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # at the same moment the create comes first; nulls before all else, as Spark sorts
+        def arrival(row: Row):
+            values = [row["at"], row["kind"] == "scan", *(row[c] for c in self.order)]
+            return [(v is not None, v) if v is not None else (False,) for v in values]
+
+        known = self.create.get() if self.create.exists() else None
+        created = None
+        for row in sorted(rows, key=arrival):
+            if row["kind"] == "create":
+                if known is None or known[1] is None or (row["at"] is not None and row["at"] >= known[1]):
+                    known = created = (row["destination"], row["at"])
+                continue
+            seen = known is not None and (known[1] is None or (row["at"] is not None and row["at"] >= known[1]))
+            error = row["error"] or (None if seen else f"Shipment with ID {row['shipment_id']} not found.")
+            yield Row(
+                request_id=row["request_id"], shipment_id=row["shipment_id"], location=row["location"],
+                scanned_at=row["at"], destination=known[0] if seen else None,
+                success=str(error is None).lower(), error_message=error,
+            )
+        if created is not None:
+            self.create.update(created)
 
+    def close(self) -> None:
+        pass
 
-def gate_writer(
-    records: DataFrame, known_path: str, answers_path: str, order: list[str]
-) -> DataStreamWriter:
-    """Scan requests checked against the creates seen so far, the batch's own included.
+
+def gate_stream(records: DataFrame, order: list[str]) -> DataFrame:
+    """Scan requests checked against the creates that came before them or with them.
 
     ``records`` is a stream with ``kind`` (create or scan), ``at``, ``shipment_id``,
-    ``destination``, ``location`` and ``request_id``.  Creates are kept as a table;
-    a batch looks up only those of the shipments that it asks for.
+    ``destination``, ``location`` and ``request_id``.  The state is one create per
+    shipment, the latest by ``at``; a request older than it counts as one before it.  So a
+    batch costs what its own rows cost, however many creates there have been.  Requests
+    that are wrong in themselves need no state and are spread by their own id; what one
+    shipment hands to a task is bounded by the trigger.
     """
+    asked = F.col("kind") == "scan"
+    rows = records.filter(asked | (F.col("kind") == "create")).withColumn("error", F.when(asked, scan_error()))
+    alone = F.concat(F.lit("\0"), F.coalesce("request_id", F.lit("")))
+    key = F.when(F.col("error").isNotNull(), alone).otherwise(F.coalesce("shipment_id", F.lit("")))
+    return rows.withColumn("key", key).groupBy("key").transformWithState(
+        statefulProcessor=GateProcessor(list(order)), outputStructType=ANSWER, outputMode="Append", timeMode="None",
+    )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        creates = batch.filter("kind = 'create'").select(
-            "shipment_id", "destination", F.col("at").alias("created_at")
-        )
-        sinks.write_batch(creates, known_path, batch_id)
-        requests = batch.filter("kind = 'scan'").select(
-            "request_id", "shipment_id", "location", F.col("at").alias("scanned_at")
-        )
-        known = sinks.read_batches(spark, known_path, KNOWN).filter(F.col("batch_id") <= batch_id)
-        asked = known.join(requests.select("shipment_id").distinct(), "shipment_id", "left_semi")
-        results = gate.scan_results(requests, asked.select(*KNOWN.names), order)
-        answers = results.select(
-            *[F.col(c).cast("string") if c == "success" else F.col(c) for c in ANSWER.names]
-        )
-        sinks.write_batch(answers, answers_path, batch_id)
-
-    return records.writeStream.foreachBatch(write)
+
+def gate_writer(records: DataFrame, answers_path: str, order: list[str]) -> DataStreamWriter:
+    return gate_stream(records, order).writeStream.outputMode("append").foreachBatch(sinks.to_batches(answers_path))
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
@@ -97,25 +142,21 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chain_writer(
-    scans: DataFrame, order: list[str], replayed_path: str, counts_path: str, size: str = counts.WINDOW
+    scans: DataFrame, order: list[str], chunk: list[Column], replayed_path: str, state_path: str, counts_path: str,
+    size: str = counts.WINDOW,
 ) -> DataStreamWriter:
     """Scans to life cycles to deliveries to counts, in one stream.
 
     A batch's deliveries are counted by themselves; ``read_chained_counts`` adds the
     batches up, so no batch has to know an earlier one's counts.
     """
-    replayed = stream_lifecycle.replay_stream(scans, order)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            sinks.write_batch(kept, replayed_path, batch_id)
-            counted = counts.delivery_counts(lifecycle.delivered_events(kept), size)
-            sinks.write_batch(counted, counts_path, batch_id)
-        finally:
-            kept.unpersist()
+        replayed = stream_lifecycle.replay_batch(batch, batch_id, replayed_path, state_path, order, chunk)
+        counted = counts.delivery_counts(lifecycle.delivered_events(replayed), size)
+        sinks.write_batch(counted, counts_path, batch_id)
 
-    return replayed.writeStream.outputMode("update").foreachBatch(write)
+    return scans.writeStream.foreachBatch(write)
 
 
 def read_chained_counts(spark: SparkSession, path: str) -> DataFrame:

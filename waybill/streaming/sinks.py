@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -69,15 +70,39 @@ def kafka_writer(records: DataFrame, servers: str, mode: str = "append") -> Data
     )
 
 
-def split_writer(records: DataFrame, events_path: str, dead_letters_path: str) -> DataStreamWriter:
-    """Usable events to one table, the others to another, decoding each batch once."""
+OUTCOMES = T.StructType([
+    T.StructField("event_type", T.StringType()), T.StructField("status", T.StringType()), T.StructField("count", T.LongType()),
+])
+
+
+def split_writer(
+    records: DataFrame, events_path: str, dead_letters_path: str, metrics_path: str | None = None
+) -> DataStreamWriter:
+    """Usable events to one table, the others to another, decoding each batch once.
+
+    ``metrics_path`` gets each batch's events by type and outcome, counted by an
+    observation while the batch is decoded, not by another pass; ``read_outcomes`` adds
+    them up.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = decode.parse(batch).persist()
+        parsed = decode.parse(batch)
+        seen = Observation()
+        if metrics_path is not None:
+            parsed = parsed.observe(seen, *decode.outcome_counts())
+        parsed = parsed.persist()
         try:
             write_batch(decode.typed(parsed), events_path, batch_id)
             write_batch(decode.dead_letters(parsed), dead_letters_path, batch_id)
         finally:
             parsed.unpersist()
+        if metrics_path is not None:
+            rows = [(*decode.OUTCOMES[name], n) for name, n in seen.get.items() if n]
+            write_batch(batch.sparkSession.createDataFrame(rows, OUTCOMES).coalesce(1), metrics_path, batch_id)
 
     return records.writeStream.foreachBatch(write)
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Events by type and outcome over all batches."""
+    return read_batches(spark, path, OUTCOMES).groupBy("event_type", "status").agg(F.sum("count").alias("count"))
