@@ -39,7 +39,7 @@ from waybill.operators.skew import sized_broadcast
 SIZE = 2048
 SLACK = 16  # tokens of padding that a window may keep
 END = 1  # the id behind every document
-CACHED = 400_000  # words, and cores of words, remembered by one Python worker
+CACHED = 800_000  # parts of texts remembered by one Python worker
 PART = 1 << 20  # bytes of text taken at once
 SPECIAL = "<|"  # a special token may stand in such a word
 
@@ -56,21 +56,24 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# The pattern by which this kind of tokenizer parts words, for ASCII and the
-# letters of Latin-1, and the normalisation and byte characters that go with it.
-CORES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\v\f\ra-z0-9ß-öø-ÿ]+")
+# The pattern by which this kind of tokenizer parts texts, for ASCII and the
+# letters of Latin-1, and the normalisation that goes with it.
+CORES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^ \t\n\v\f\ra-z0-9ß-öø-ÿ]+")
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMAL = ["NFC", "Replace", "Lowercase"]
 PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
+SPACE = re.compile(r"[ \t\n\v\f\r]+")
+WHOLE = " "  # marks a word that is no core
 
 
 class Tokens:
-    """A tokenizer whose ids of a text are those of its words, one after the other.
+    """A tokenizer whose ids of a text are those of its parts, one after the other.
 
     That holds where nothing joins across ASCII white space: the split keeps no white
-    space, and the normalisation is by character.  Words of ASCII and Latin-1 letters are
+    space, and the normalisation is by character.  Texts of ASCII and Latin-1 letters are
     parted here into cores, which a tokenizer without normalisation and split then
-    encodes, each distinct one once; all others, and special tokens, are encoded as they are.
+    encodes, each distinct one once; words with other characters, or with special tokens,
+    are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -88,49 +91,61 @@ class Tokens:
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
-        self._forget_cores()
-        self.numbers: dict[bytes, int] = {}
-        self.word_ids = Spans()
-
-    def _forget_cores(self) -> None:
-        self.cores = {"\n": -1}  # parts the words that are learnt together
-        self.core_ids = Spans()
-
-    def _learn_cores(self, cores: list[str]) -> None:
-        if not cores:
-            return
-        coded = self.bare.encode(" ".join(c.encode().decode("latin-1").translate(BYTES) for c in cores), add_special_tokens=False)
-        begin = len(self.core_ids.sizes)
-        self.cores.update(zip(cores, range(begin, begin + len(cores))))
-        self.core_ids.add(np.array(coded.ids, np.uint32), np.bincount(np.array(coded.word_ids), minlength=len(cores)))
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.cores) >= CACHED:
-            self._forget_cores()
-        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
-        plain = [i for i, t in enumerate(texts) if (t.isascii() or PLAIN.fullmatch(t)) and SPECIAL not in t]
-        found = CORES.findall("\n".join([texts[i] for i in plain]).lower())
-        self._learn_cores([c for c in set(found) if c not in self.cores])
-        number = np.fromiter(map(self.cores.__getitem__, found), np.int64, len(found))
-        word = np.cumsum(number < 0)[number >= 0]
-        ids, sizes = self.core_ids.take(number[number >= 0])
-        sizes = np.bincount(word, sizes, len(plain)).astype(np.int64)
-        known = set(plain) if len(plain) < len(words) else ()
-        others = [i for i in range(len(words)) if i not in known] if known or not plain else []
-        parts = [np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32) for i in others]
-        self.numbers.update(zip((words[i] for i in [*plain, *others]), range(len(self.numbers), len(self.numbers) + len(words))))
-        self.word_ids.add(np.concatenate([ids, *parts]), np.append(sizes, [len(p) for p in parts]).astype(np.int64))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.spans = Spans()
+
+    def _learn(self, parts: list[str]) -> None:
+        cores = [p for p in parts if p[0] != WHOLE]
+        begin = len(self.spans.sizes)
+        self.numbers.update(zip(cores, range(begin, begin + len(cores))))
+        if cores:
+            shown = " ".join([c.encode().decode("latin-1").translate(BYTES) for c in cores])
+            coded = self.bare.encode(shown, add_special_tokens=False)
+            self.spans.add(np.array(coded.ids, np.uint32), np.bincount(coded.word_ids, minlength=len(cores)))
+        words = [p for p in parts if p[0] == WHOLE]
+        if words:
+            begin += len(cores)
+            self.numbers.update(zip(words, range(begin, begin + len(words))))
+            ids = [np.array(self.tokenizer.encode(w[1:], add_special_tokens=False).ids, np.uint32) for w in words]
+            self.spans.add(np.concatenate(ids), np.array([len(i) for i in ids], np.int64))
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return CORES.findall(text.lower())
+        out = []
+        for word in SPACE.split(text):
+            if PLAIN.fullmatch(word) and SPECIAL not in word:
+                out += CORES.findall(word.lower())
+            else:
+                out.append(WHOLE + word)
+        return out
+
+    def _coded(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.numbers) >= CACHED:
+            self._forget()
+        lists = [self._parts(t) for t in texts]
+        flat = list(chain.from_iterable(lists))
+        new = [p for p in set(flat) if p not in self.numbers]
+        if new:
+            self._learn(new)
+        ids, sizes = self.spans.take(np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat)))
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum([0, *map(len, lists)])].tolist()
+        return [ids[x:y] for x, y in zip(ends[:-1], ends[1:])]
 
     def ids(self, text: bytes) -> np.ndarray:
-        """The ids of one text, PART bytes of whole words at a time."""
-        out, at = [], 0
+        """The ids of one text, about PART bytes of whole words at a time."""
+        out, at = [np.zeros(0, np.uint32)], 0
         while at < len(text):
             end = at + PART
             while end < len(text) and text[end] not in b" \t\n\v\f\r":
                 end += 1
-            out.append(self._counted(text[at:end].split())[0])
+            out += self._coded([text[at:end].decode("utf-8", "replace")])
             at = end
-        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+        return np.concatenate(out)
 
     def batch(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of several texts, short ones together."""
@@ -138,11 +153,8 @@ class Tokens:
         held, size = [], 0
 
         def flush():
-            words = [texts[i].split() for i in held]
-            ids, sizes = self._counted(list(chain.from_iterable(words)))
-            ends = np.append(0, np.cumsum(sizes))[np.cumsum([len(w) for w in words])]
-            for i, begin, end in zip(held, [0, *ends[:-1].tolist()], ends.tolist()):
-                out[i] = ids[begin:end]
+            for i, ids in zip(held, self._coded([texts[i].decode("utf-8", "replace") for i in held])):
+                out[i] = ids
 
         for i, text in enumerate(texts):
             if len(text) > PART:
@@ -157,15 +169,6 @@ class Tokens:
             flush()
         return out
 
-    def _counted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All words' ids, and how many each word has."""
-        if len(self.numbers) >= CACHED:
-            self.numbers, self.word_ids = {}, Spans()
-        new = [w for w in set(words) if w not in self.numbers]
-        if new:
-            self._learn(new)
-        return self.word_ids.take(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
-
 
 class Spans:
     """Rows of ids of various lengths, one after the other."""
