@@ -111,7 +111,8 @@ IDF = np.append(0, np.linspace(1, 9, 900)).astype(np.float32)
 
 
 def test_all_that_the_rule_accepts_is_found(monkeypatch):
-    """Items of all lengths at all offsets among other words of the vocabulary, whatever the latent space says."""
+    """With ``exact``: items of all lengths at all offsets among other words of the vocabulary,
+    whatever the latent space says."""
     rng = random.Random(3)
     vocabulary = [f"w{n:03}" for n in range(900)]
     weights = [1 / (n + 1) for n in reversed(range(900))]  # the last are the most common, IDF says the opposite
@@ -137,7 +138,7 @@ def test_all_that_the_rule_accepts_is_found(monkeypatch):
                     copies.add((len(texts), i, len(item)))
                 texts.append(np.array(before + new + after))
     latent = np.random.default_rng(4).normal(size=(items.size, 5)).astype(np.float32)
-    finder = d.Finder(items, IDF[:items.size], latent)
+    finder = d.Finder(items, IDF[:items.size], latent, exact=True)
     want = brute_force(texts, items)
     assert copies <= want and len(want) > 2 * len(copies)
     for places in (2_000_000, 50):  # in one piece and in many
@@ -145,3 +146,75 @@ def test_all_that_the_rule_accepts_is_found(monkeypatch):
         hits = finder.hits(texts)
         assert {(h[0], h[1], h[4]) for h in hits} == want
         assert all(-1.001 <= h[8] <= 1.001 for h in hits)
+
+
+def test_passages_of_the_search():
+    """Whole and half windows every step, and those of short texts; cosines against plain sums."""
+    rng = np.random.default_rng(9)
+    items = d.Items([(0, " ".join(f"a{i}" for i in range(20))), (1, " ".join(f"b{i}" for i in range(45))), (2, " ".join(f"c{i}" for i in range(130)))])
+    latent = rng.normal(size=(items.size, 6)).astype(np.float32)
+    latent[0] = 0
+    texts = [rng.integers(0, items.size, n) for n in (0, 1, 9, 20, 45, 133)]
+    texts += [np.concatenate([texts[4], items.words[i], texts[3]]) for i in range(3)]
+    finder = d.Finder(items, np.ones(items.size, np.float32), latent)
+    want = set()
+    for i, item in enumerate(items.words):
+        parts = [item] if len(item) <= d.LONGEST else [item[a:a + d.WINDOW] for a in range(0, len(item) - d.HALF, d.HALF)]
+        size = d.HALF if len(item) <= d.SHORT else d.WINDOW
+        margin = max(len(item) - d.STEP, len(item) // 2) if size == d.HALF else len(item) // 2
+        for t, text in enumerate(texts):
+            for at in range(0, len(text), d.STEP):
+                if at and -(-(len(text) - at) // d.STEP) < size // d.STEP:
+                    continue
+                row = latent[text[at:at + size]].sum(axis=0)
+                sums = [latent[p].sum(axis=0) for p in parts]
+                cosine = max((row @ x / max(np.linalg.norm(row) * np.linalg.norm(x), 1e-9) for x in sums), default=0)
+                span = text[max(0, at - margin):at + size + margin]
+                common = sum(n for w, n in zip(*np.unique(item, return_counts=True)) if w in span)
+                if cosine >= d.COSINE and common >= np.ceil(d.PARAPHRASED * len(item)):
+                    want.add((t, i, max(0, at - margin), min(len(text), at + size + margin)))
+    b, item, begin, end, cosine = finder.near(texts)
+    text = finder._text_at(b, begin)
+    start = b.text_starts[text]
+    assert set(zip(text.tolist(), item.tolist(), (begin - start).tolist(), (end - start).tolist())) == want
+    assert {(6, 0), (7, 1), (8, 2)} <= {w[:2] for w in want} and (cosine >= d.COSINE - 1e-6).all()
+
+
+def test_recall_of_the_search(spark, sf_dir):
+    """Copies, a fifth of the words changed, and the rarer words replaced, among many items,
+    against all that the final rule accepts."""
+    rng = random.Random(1)
+    texts = sorted({r["text"] for r in queries.read(spark, sf_dir, "documents").collect() if r["text"] and len(r["text"].split()) > 80})
+    rng.shuffle(texts)
+    items = []
+    for text in texts[:300]:
+        words = text.split()
+        for _ in range(3):
+            n = rng.randrange(15, 60)
+            at = rng.randrange(len(words) - n + 1)
+            items.append(words[at:at + n])
+    rows, truth = [], {}
+    df = {}
+    for text in texts:
+        for w in set(d.plain_words(text.encode())):
+            df[w] = df.get(w, 0) + 1
+    for k, text in enumerate(texts[300:450]):
+        words, item, how = text.split(), rng.randrange(len(items)), k % 3
+        new = list(items[item])
+        rare = sorted(range(len(new) - 6), key=lambda j: df.get(d.plain(new[j].encode()), 0))[:int(0.3 * len(new))]
+        for j in range(len(new)):
+            if how == 1 and rng.random() < 0.2 or how == 2 and j in rare:
+                new[j] = rng.choice(words)
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = new
+        rows.append((k, " ".join(words)))
+        truth[k, item] = how
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found, every = (
+        {(r["doc_id"], r["item_id"]) for r in d.find(docs, asked, exact=exact).collect()} for exact in (False, True)
+    )
+    for how in range(3):
+        accepted = {pair for pair, h in truth.items() if h == how} & every
+        assert len(accepted) > 25 and len(accepted & found) >= 0.9 * len(accepted)
+    assert len(found & every) >= 0.9 * len(every)

@@ -93,3 +93,26 @@ def test_nulls_and_odd_pages(spark, pages):
     assert odd == ["", "", "a & b"]
     empty = table.limit(0)
     assert extract.extract(empty, extract.fit(empty), ["page_id"]).count() == 0
+
+
+def test_text_outside_of_blocks(spark, sf_dir):
+    pages = queries.read(spark, sf_dir, "pages")
+    trees = extract.fit(pages)
+    sources = {
+        "just plain text": "just plain text", "<b>bold</b> and <a href=x>a link</a><br>next": "bold and a link next",
+        "<html><body>bare body &amp; text</body></html>": "bare body & text", "<nav>Home</nav>tail": "tail",
+        "<nav><a href=x>Home</a></nav>": "", "": "",
+    }
+    assert extract.texts(list(sources), trees) == list(sources.values())
+
+
+def test_the_sample_is_of_marked_pages(spark, monkeypatch):
+    """However rare they are."""
+    monkeypatch.setattr(extract, "TRAIN_PAGES", 3)
+    marked = "<body><nav><p>menu</p></nav><article><p>" + "words of the story " * 9 + "</p></article></body>"
+    rows = [(i, f"<p>plain {i}</p>") for i in range(200)] + [(500, marked)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    assert extract.fit(pages) is not None
+    assert extract.fit(pages.filter("page_id < 200")) is None
+    with pytest.raises(ValueError):
+        extract.extract(pages.withColumn("text", pages.html), None, ["page_id", "text"])

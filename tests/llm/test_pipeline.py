@@ -79,3 +79,30 @@ def test_ids_are_the_library_s(stages):
 
 def test_threshold_is_the_query_s():
     assert quality.PREDICTED == 0.7
+
+
+def test_stages_with_nulls_repeats_and_clashing_names(spark, sf_dir):
+    """Every name that a stage uses inside is a user's column here."""
+    item = queries.read(spark, sf_dir, "benchmark").first()["text"]
+    good = queries.read(spark, sf_dir, "documents").join(
+        queries.read(spark, sf_dir, "labels").filter("quality = 1"), "doc_id"
+    ).limit(3).select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"]) for r in good] + [
+        (None, good[0]["text"] + " " + item), (7, item), (7, "another text under one id " * 9), (7, item), (8, None), (8, None), (9, ""),
+        (10, "token=abcdefgh " * 3), (11, "word " * 200_000),
+    ]
+    names = "quality_score keep_row text_digest spans found_hex found_base kept_0 node label ids numbers score g".split()
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or ""), *range(len(names))) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names),
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns, name
+            assert all(tuple(r)[5:] == tuple(range(len(names))) for r in out.collect()), name
+            assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    clean = dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, docs, sf_dir)
+    kept = sorted(((r["doc_id"], (r["text"] or "")[:20]) for r in clean.collect()), key=repr)
+    assert (None, good[0]["text"][:20]) not in kept and kept.count((8, "")) == 2
+    assert [k for k in kept if k[0] == 7] == [(7, "another text under o")]

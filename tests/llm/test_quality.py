@@ -48,3 +48,63 @@ def test_few_or_no_labels(spark, docs):
     for rows in ([], [(1, 1)], [(1, None), (None, 0)]):
         labels = spark.createDataFrame(rows, "doc_id long, quality int")
         assert quality.classify(table, quality.fit(table, labels)).count() == 2
+
+
+def step_by_step(texts, labels):
+    """The same training, one feature and one row at a time, in doubles."""
+    rng = np.random.default_rng(quality.SEED)
+    bags = []
+    for t in texts:
+        ids, _ = quality.features([t])
+        bags.append({int(i): sum(ids == i) / len(ids) for i in set(ids.tolist())})
+    embed = (rng.random((quality.BUCKETS, quality.DIMENSIONS)) - 0.5) / quality.DIMENSIONS
+    layer, bias = np.zeros((quality.DIMENSIONS, 2)), np.zeros(2)
+    share = [sum(labels == c) / len(labels) for c in (0, 1)]
+    steps, step = quality.EPOCHS * -(-len(bags) // quality.BATCH), 0
+    for _ in range(quality.EPOCHS):
+        order = rng.permutation(len(bags))
+        for begin in range(0, len(order), quality.BATCH):
+            rate = quality.RATE * (1 - step / steps)
+            step += 1
+            rows = order[begin:begin + quality.BATCH].tolist()
+            layer_step, bias_step, embed_steps = np.zeros_like(layer), np.zeros(2), []
+            for i in rows:
+                vector = sum(part * embed[b] for b, part in bags[i].items())
+                odds = np.exp(vector @ layer + bias)
+                error = odds / odds.sum() - np.eye(2)[labels[i]]
+                error *= 0.5 / share[labels[i]]
+                layer_step += np.outer(vector, error) / len(rows)
+                bias_step += error / len(rows)
+                pull = np.clip(layer @ error / len(rows), -quality.LARGEST_STEP, quality.LARGEST_STEP)
+                embed_steps.append((i, rate * len(rows) * pull))
+            layer -= rate * layer_step
+            bias -= rate * bias_step
+            for i, pull in embed_steps:
+                for b, part in bags[i].items():
+                    embed[b] -= part * pull
+    return np.append(embed @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0])
+
+
+def test_training_is_gradient_descent_on_the_softmax(monkeypatch):
+    monkeypatch.setattr(quality, "BATCH", 3)
+    monkeypatch.setattr(quality, "EPOCHS", 2)
+    texts = [f"{'good words' if i % 3 else 'bad text'} number {i}".encode() for i in range(10)]
+    labels = np.array([int(i % 3 > 0) for i in range(10)])
+    got, want = quality.train(texts, labels), step_by_step(texts, labels)
+    assert np.abs(want).max() > 0.01
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-4)
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_TEXT", 100)
+    rows = [(2, "good text")] * 50 + [(2, "other")] * 50 + [(3, "bad")] * 50 + [(3, "x" * 1000), (5, "y" * 1000)]
+    labels = spark.createDataFrame([(2, 1), (3, 0), (5, 1)], "doc_id long, quality int")
+    ids = [i for i in (2, 3, 5) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = {2: b"good text", 3: b"bad"}
+    kept = [i for i in ids if i in texts]
+    model = quality.fit(docs(rows), labels)
+    if len({i == 2 for i in kept}) == 2:
+        want = quality.train([texts[i] for i in kept], np.array([int(i == 2) for i in kept]))
+        assert np.allclose(model, want)
+    else:
+        assert not model[:-1].any()

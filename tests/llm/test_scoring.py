@@ -8,37 +8,62 @@ import pytest
 from waybill.llm import scoring
 
 
+END = None
+
+
+def models(texts):
+    """Per model: token counts, bigram counts; and the vocabulary with the end of texts."""
+    count = {m: (Counter(), Counter()) for m in (True, False)}
+    vocabulary = set()
+    for words, m in texts:
+        if words:
+            one, two = count[m]
+            one.update([*words, END])
+            two.update(zip([END, *words], [*words, END]))
+            vocabulary |= {*words, END}
+    return count, vocabulary
+
+
+def probability(one, two, vocabulary, v, w):
+    total = max(sum(one.values()), 1)
+    plain = one[w] / total
+    after = two[v, w] / one[v] if one[v] > 0 else plain
+    return scoring.BIGRAM * after + scoring.WORD * plain + scoring.FLOOR / len(vocabulary)
+
+
 def brute_force(rows, wanted):
     texts = [((t or "").encode().lower().split(), i in wanted and i is not None) for i, t in rows]
-    count = {m: (Counter(), Counter(), 0) for m in (True, False)}
-    starts, vocabulary = Counter(), set()
-    for words, m in texts:
-        one, two, _ = count[m]
-        one.update(words)
-        two.update(zip([None, *words], words))
-        vocabulary |= set(words)
-        starts[m] += bool(words)
+    count, vocabulary = models(texts)
     out = []
     for (i, _), (words, mine) in zip(rows, texts):
         losses = []
+        tokens = [*words, END] if words else []
         for m in (True, False):
-            own = Counter(words) if m == mine else Counter()
-            own2 = Counter(zip([None, *words], words)) if m == mine else Counter()
-            one, two, _ = count[m]
-            total = max(sum(one.values()) - sum(own.values()), 1)
-            loss = 0
-            for v, w in zip([None, *words], words):
-                before = starts[m] - (m == mine) if v is None else one[v] - own[v]
-                plain = (one[w] - own[w]) / total
-                after = (two[v, w] - own2[v, w]) / before if before > 0 else plain
-                p = scoring.BIGRAM * after + scoring.WORD * plain + scoring.FLOOR / (len(vocabulary) + 1)
-                loss += round(-math.log(p) * scoring.MICRO)
-            losses.append(loss)
-        score = (losses[0] - losses[1]) / len(words) / scoring.MICRO if words else None
-        out.append((i, mine, len(words), *losses, score))
+            one, two = count[m]
+            if m == mine:
+                one, two = one - Counter(tokens), two - Counter(zip([END, *words], tokens))
+            losses.append(sum(
+                round(-math.log(probability(one, two, vocabulary, v, w)) * scoring.MICRO)
+                for v, w in zip([END, *words], tokens)
+            ))
+        score = (losses[0] - losses[1]) / len(tokens) / scoring.MICRO if words else None
+        out.append((i, mine, len(tokens), *losses, score))
     return sorted(out, key=repr)
 
 
+def test_probabilities_sum_to_one():
+    """Over all that may follow a word, the start included, with a text's own counts off or not."""
+    texts = [(b"a b a c".split(), True), (b"b a".split(), True), (b"c c d".split(), False), ([], True)]
+    count, vocabulary = models(texts)
+    for m in (True, False):
+        for own in ([], [t for t, mine in texts if mine == m][0]):
+            one = count[m][0] - Counter([*own, END] if own else [])
+            two = count[m][1] - Counter(zip([END, *own], [*own, END]) if own else [])
+            if sum(one.values()):
+                for v in vocabulary:
+                    assert math.isclose(sum(probability(one, two, vocabulary, v, w) for w in vocabulary), 1)
+
+
 def test_against_counting(spark, docs):
     rows = [(i, f"good words make good text number {i % 3}") for i in range(8)]
     rows += [(100 + i, f"bad words spoil text {i} x x x") for i in range(9)]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -91,3 +92,91 @@ def test_query(spark, sf_dir):
         shown = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in want)
         assert r["base_sha256"] == hashlib.sha256(shown.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == n for _, k, _ in want) for n in range(3)]
+
+
+def plainly_masked(text, spans, mark="[secret]"):
+    out, pos = [], 0
+    for start, end in spans:
+        if start >= pos:
+            out += [text[pos:start], mark]
+        pos = max(pos, end)
+    return "".join([*out, text[pos:]])
+
+
+def test_masking_across_stretches(spark):
+    """Spans within, over and right at the edges of the stretches that are masked by themselves."""
+    rng = random.Random(7)
+    text = "".join(rng.choice("ab é🙂") for _ in range(3 * secrets.STRETCH + 17))
+    size = secrets.STRETCH
+    cases = [
+        [], [(0, 5)], [(size - 3, size + 4)], [(size - 2, 2 * size + 5), (size, size + 9)], [(size, 2 * size)], [(len(text) - 4, len(text))],
+        sorted((s, s + rng.randrange(1, 300)) for s in rng.sample(range(len(text) - 300), 200)),
+    ]
+    rows = spark.createDataFrame(
+        [(i, text, [{"start": s, "end": e} for s, e in c]) for i, c in enumerate(cases)],
+        "i int, text string, spans array<struct<start:int,end:int>>",
+    )
+    got = dict(rows.select("i", secrets.masked(F.col("text"), F.col("spans"))).collect())
+    assert got == {i: plainly_masked(text, c) for i, c in enumerate(cases)}
+
+
+def test_a_megabyte_of_matches_takes_seconds(spark, docs):
+    text = " ".join(f"token=abc{i:06}" for i in range(64_000))
+    table = docs([(1, text)])
+    secrets.find(docs([(1, "token=abcdef")])).collect()
+    begun = time.monotonic()
+    found = secrets.find(table, keep=["doc_id", "text"])
+    row = found.select("spans", secrets.masked(F.col("text"), F.col("spans")).alias("masked")).first()
+    assert time.monotonic() - begun < 60
+    assert [(s["start"], s["end"]) for s in row["spans"] if s["kind"] == 0] == [(s, e) for s, _, e in base(text)]
+    assert row["masked"] == " ".join(["[secret]"] * 64_000)
+
+
+def test_columns_of_any_name(spark):
+    table = spark.createDataFrame([(1, "token=abcdef", 7, 8)], "doc_id long, text string, found_hex int, kept_0 int")
+    row = secrets.find(table, keep=table.columns).first()
+    assert (row["found_hex"], row["kept_0"], len(row["spans"])) == (7, 8, 1)
+    assert queries.op5_secret_scan(spark, "/root/testdata/sf0.001").columns[:6] == [
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans",
+    ]
+
+
+def test_the_battery_by_hand(spark, docs):
+    """Chi-squared, runs and serial correlation of one string each, and the step-up rule, recomputed."""
+    rows = [(i, f"see {t} there") for i, t in enumerate(battery_strings())]
+    scanned = secrets.scan(docs(rows), ["doc_id"]).collect()
+    tried = {}
+    for r in scanned:
+        for c in r["found_candidates"]:
+            tried.setdefault((c["encoding"], c["band"]), []).append(c["step"])
+    limits = {}
+    for key, steps in tried.items():
+        good = [
+            s for s in set(steps)
+            if 10 ** (-s / secrets.P_STEPS) <= secrets.LEVEL * sum(x >= s for x in steps) / len(steps)
+        ]
+        if good:
+            limits[key] = min(good)
+    found = secrets.limits(secrets.scan(docs(rows), ["doc_id"])).collect()
+    assert {(r["encoding"], r["band"]): r["limit"] for r in found} == limits
+    spans = {r["doc_id"]: {s["start"] for s in r["spans"] if s["kind"] == 3} for r in secrets.find(docs(rows)).collect()}
+    for r in scanned:
+        held = {
+            c["start"] for c in r["found_candidates"]
+            if c["step"] < limits.get((c["encoding"], c["band"]), secrets.P_LOWEST + 1)
+        }
+        plain = {(s["start"], s["end"]) for k in ("assign", "access", "hex") for s in r[f"found_{k}"]}
+        ends = {c["start"]: c["end"] for c in r["found_candidates"]}
+        held = {s for s in held if not any(a < ends[s] and s < b for a, b in plain)}
+        assert spans[r["kept_0"]] == held
+
+
+def battery_strings():
+    rng = random.Random(11)
+    out = []
+    for alphabet in ("0123456789", "abcdef0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", secrets.UPPER + secrets.LOWER + secrets.DIGITS):
+        for n in (16, 24, 40, 90):
+            out += ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(3)]
+            out += [alphabet[i] * (n // 2) + "1" + alphabet[-1] * (n // 2) for i in (0, 3)]
+            out.append("".join(alphabet[i % 5] for i in range(n)) + "1")
+    return out

@@ -1,7 +1,6 @@
 """Documents that hold benchmark items, word for word or paraphrased.
 
-A bound on the words says where to look, two checks on the words decide, and latent
-semantic analysis says how near what was found is:
+Latent semantic analysis says where to look, two checks on the words decide:
 
 1. Texts become numbers of the benchmark's words (0 for all others), stored once;
    everything after reads only that.
@@ -10,16 +9,19 @@ semantic analysis says how near what was found is:
    singular value decomposition: one distributed pass sums A' (A G) for a random G,
    and a small factorisation (Nystrom's, of a vocabulary by a few dozen columns) gives
    the latent directions.
-3. Every passage of every document is held against every item.  A common subsequence
-   of PARAPHRASED of an item leaves out so few of its words that SEEDS of the rarest
-   ones (as many as may be left out, and SEEDS more) stand in the text around the
-   passage, and that all words there that are the item's number as many.  What fails
-   either can't pass step 4, so nothing is lost; all the rest are candidates.
+3. Every passage of every document is held against every item by the cosine of their
+   latent vectors.  This search takes passages every STEP words, and half as long ones
+   for items of up to SHORT words, so that no item is lost among its neighbours.  What
+   reaches COSINE is a candidate.
 4. A candidate counts if the longest common subsequence of words between the item and
    the surrounding text covers COPIED of the item, or PARAPHRASED of it together with
-   the item's answer (its last sentence), whose rarer words must be there.
-5. ``cosine`` is that of its passage and the item's nearest passage in latent space.
-   It doesn't decide: RANK directions are too few to tell the items of a block apart.
+   the item's answer (its last sentence), whose rarer words must be there.  Where the
+   text has fewer of the item's words than that, in whatever order, it isn't computed.
+
+With ``exact`` step 3 is a bound instead: a common subsequence of PARAPHRASED of an item
+leaves out so few of its words that SEEDS of the rarest ones (as many as may be left
+out, and SEEDS more) stand in the text around the passage.  That loses nothing, and is
+what the recall of the cosine search is measured against.
 
 The benchmark is read in blocks of at most BLOCK_WORDS words (or one item), so what
 the driver holds and broadcasts doesn't grow with it; the corpus is never gathered.
@@ -39,10 +41,15 @@ from waybill.llm.words import hand_back, raw_texts
 
 WINDOW = 40
 HALF = WINDOW // 2
-RANK = 48
+STEP = HALF // 2
+SHORT = 30  # words of an item that is held against half windows
+LONGEST = 60  # words of an item that is one passage
+COSINE = 0.35
+PASSAGES = 4096  # compared with all items at once
+RANK = 64
 EXTRA = 8  # random columns beyond the rank
 SEED = 11
-SEEDS = 4  # rarer words of an item that must stand together before the others are looked at
+SEEDS = 4  # rarer words of an item that must stand together (``bounded``)
 COPIED = 0.75
 PARAPHRASED = 0.55
 ANSWERED = 0.6  # of the answer's rarer words
@@ -54,11 +61,11 @@ PLACES = 2_000_000  # words of candidates, or places of rarer words, held at onc
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 HITS = (
-    "doc_id long, item_id long, kind string, item_words long, common_words long, start long, end long, "
+    "item_id long, kind string, item_words long, common_words long, start long, end long, "
     "answer boolean, cosine double"
 )
 HITS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("item_id", pa.int64()), ("kind", pa.string()), ("item_words", pa.int64()),
+    ("item_id", pa.int64()), ("kind", pa.string()), ("item_words", pa.int64()),
     ("common_words", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("answer", pa.bool_()),
     ("cosine", pa.float64()),
 ])
@@ -128,17 +135,20 @@ def numbered(docs: DataFrame, items: Items) -> DataFrame:
             del batch, out
         hand_back()
 
-    return docs.mapInArrow(each, "doc_id long, numbers binary")
+    kind_of_id = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(each, f"doc_id {kind_of_id}, numbers binary")
 
 
 class Blocks:
-    """Half-window blocks of many texts; a passage is a block and the next of its text."""
+    """Blocks of ``unit`` words of many texts; with half windows, a passage is a block and
+    the next of its text."""
 
-    def __init__(self, texts: list[np.ndarray]):
+    def __init__(self, texts: list[np.ndarray], unit: int = HALF):
+        self.unit = unit
         self.flat = np.concatenate([np.zeros(0, np.int64), *texts])
         sizes = np.array([len(t) for t in texts], np.int64)
         self.text_starts = np.cumsum(sizes) - sizes
-        counts = -(-sizes // HALF)
+        counts = -(-sizes // unit)
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         self.block_in = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         self.followed = np.append(self.text_of[1:] == self.text_of[:-1], False) if len(self.text_of) else np.zeros(0, bool)
@@ -148,7 +158,7 @@ class Blocks:
         self.known = np.flatnonzero(self.flat > 0)
         self.words = self.flat[self.known]
         first = np.cumsum(counts) - counts
-        self.block_of = (np.repeat(first, sizes) + place // HALF)[self.known]
+        self.block_of = (np.repeat(first, sizes) + place // unit)[self.known]
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
         """Per block the sum of its words' ``rows``."""
@@ -318,11 +328,16 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 class Finder:
     """What a task needs to judge documents against one block of items."""
 
-    def __init__(self, items: Items, idf: np.ndarray, latent: np.ndarray):
-        self.items, self.idf, self.latent = items, idf, latent
-        blocks = Blocks(items.words)
-        self.passages = _unit(blocks.of_passages(blocks.sums(latent)))
-        self.item_of = blocks.text_of[blocks.passages]
+    def __init__(self, items: Items, idf: np.ndarray, latent: np.ndarray, exact: bool = False):
+        self.items, self.idf, self.latent, self.exact = items, idf, latent, exact
+        # items up to LONGEST words are one passage, longer ones several
+        parts = [
+            (i, w[at:at + WINDOW]) for i, w in enumerate(items.words) if len(w)
+            for at in (range(0, len(w) - HALF, HALF) if len(w) > LONGEST else [0])
+        ]
+        parts = [(i, w if len(items.words[i]) > LONGEST else items.words[i]) for i, w in parts]
+        self.item_of = np.array([i for i, _ in parts], np.int64)
+        self.passages = _unit(np.array([latent[w].sum(axis=0) for _, w in parts], np.float32).reshape(len(parts), -1))
         self.rare = []
         for answer in items.answers:
             middle = np.median(idf[answer]) if len(answer) else 0
@@ -330,23 +345,65 @@ class Finder:
         sizes = np.array([len(w) for w in items.words], np.int64)
         self.least = np.ceil(PARAPHRASED * sizes).astype(np.int64)  # common words, see ``hits``
         self.margin = sizes // 2
+        # a short passage may begin or end anywhere in its item
+        self.short_margin = np.maximum(sizes - STEP, self.margin)
+        self.short = sizes <= SHORT
+        # (item, word) pairs, and how often the item has the word
+        pairs = np.concatenate([np.zeros(0, np.int64), *(i * len(idf) + w for i, w in enumerate(items.words))])
+        self.held, self.times = np.unique(pairs, return_counts=True)
+        if exact:
+            self._list_rarer(sizes)
+
+    def _list_rarer(self, sizes: np.ndarray) -> None:
+        """The items of which a word is among the rarer ones, once for each time it stands there."""
         self.spans = WINDOW + 2 * self.margin
         self.seeds = np.minimum(SEEDS, self.least)
-        # the items of which a word is among the rarer ones, once for each time it stands there
         rarer = [
-            w[np.argsort(-idf[w], kind="stable")][:len(w) - least + seeds]
-            for w, least, seeds in zip(items.words, self.least, self.seeds)
+            w[np.argsort(-self.idf[w], kind="stable")][:len(w) - least + seeds]
+            for w, least, seeds in zip(self.items.words, self.least, self.seeds)
         ]
         words = np.concatenate([np.zeros(0, np.int64), *rarer])
         by = np.argsort(words, kind="stable")
         self.listed = np.repeat(np.arange(len(rarer)), [len(w) for w in rarer])[by]
-        self.listed_from = np.searchsorted(words[by], np.arange(len(idf) + 1))
-        # (item, word) pairs, and how often the item has the word
-        pairs = np.concatenate([np.zeros(0, np.int64), *(i * len(idf) + w for i, w in enumerate(items.words))])
-        self.held, self.times = np.unique(pairs, return_counts=True)
-
-    def candidates(self, texts: list[np.ndarray]) -> tuple[Blocks, np.ndarray, np.ndarray]:
-        """The passages (their first blocks, in order) and items that may pass ``hits``, and all that do."""
+        self.listed_from = np.searchsorted(words[by], np.arange(len(self.idf) + 1))
+
+    def near(self, texts: list[np.ndarray]) -> tuple[Blocks, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Items near a passage in latent space, and where around it to look: the item, begin
+        and end (in ``flat``), and the cosine.
+
+        Passages of WINDOW words begin every STEP words, and so do half as long ones, which
+        items of up to SHORT words are held against.
+        """
+        b = Blocks(texts, STEP)
+        sums = b.sums(self.latent)
+        first, counts = self._first_blocks(b)
+        left = counts[b.text_of] - b.block_in  # units of the text from here on
+        out = []
+        for units, passages in ((HALF // STEP, self.short[self.item_of]), (WINDOW // STEP, ~self.short[self.item_of])):
+            which = np.flatnonzero(passages)
+            rows = sums.copy()
+            for k in range(1, units):
+                rows[:-k][left[:-k] > k] += sums[k:][left[:-k] > k]
+            starts = np.flatnonzero((left >= units) | (b.block_in == 0))
+            norms = np.linalg.norm(rows[starts], axis=1)
+            starts, norms = starts[norms > 0], norms[norms > 0]
+            for begin in range(0, len(starts) if len(which) else 0, PASSAGES):
+                part = starts[begin:begin + PASSAGES]
+                cosine = (rows[part] / norms[begin:begin + PASSAGES, None]) @ self.passages[which].T
+                passage, at = np.nonzero(cosine >= COSINE)
+                out.append((part[passage], self.item_of[which[at]], np.full(len(at), units * STEP), cosine[passage, at]))
+        block, item, size, cosine = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
+        text = b.text_of[block]
+        start = b.text_starts[text] + b.block_in[block] * STEP
+        margin = np.where(size < WINDOW, self.short_margin[item], self.margin[item])
+        end = np.append(b.text_starts[1:], len(b.flat))[text]
+        begin, end = np.maximum(b.text_starts[text], start - margin), np.minimum(end, start + size + margin)
+        keep = self._common(b, begin, end, item) >= self.least[item]  # fewer common words can't pass
+        return b, item[keep], begin[keep], end[keep], cosine[keep]
+
+    def bounded(self, texts: list[np.ndarray]) -> tuple[Blocks, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``near``, but every passage that may pass the final rule, whatever its cosine:
+        to measure recall against, or where nothing may be missed."""
         b = Blocks(texts)
         each = np.diff(self.listed_from)[b.words]
         at, each, words = b.known[each > 0], each[each > 0], b.words[each > 0]
@@ -362,8 +419,10 @@ class Finder:
             begin = end
         keys = np.unique(np.concatenate(keys))
         passage, item = keys // len(self.least), keys % len(self.least)
-        keep = self._common(b, passage, item) >= self.least[item]
-        return b, passage[keep], item[keep]
+        begin, end = self._bounds(b, passage, item)
+        keep = self._common(b, begin, end, item) >= self.least[item]
+        cosine = np.array([self._cosine(b, p, i) for p, i in zip(passage[keep].tolist(), item[keep].tolist())], np.float32)
+        return b, item[keep], begin[keep], end[keep], cosine
 
     def _seeded(self, b: Blocks, at: np.ndarray, each: np.ndarray, words: np.ndarray, last: int) -> np.ndarray:
         """passage * items + item, where enough of an item's rarer words stand around the passage,
@@ -410,13 +469,12 @@ class Finder:
             np.minimum(text_end, start + WINDOW + self.margin[item]),
         )
 
-    def _common(self, b: Blocks, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """How many of the item's words stand around each passage, in whatever order."""
-        begin, end = self._bounds(b, passage, item)
-        out = np.zeros(len(passage), np.int64)
+    def _common(self, b: Blocks, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """How many of the item's words stand between begin and end, in whatever order."""
+        out = np.zeros(len(item), np.int64)
         upto = np.cumsum(end - begin)
         done = 0
-        while done < len(passage):
+        while done < len(item):
             to = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + PLACES, "right")))
             long = (end - begin)[done:to]
             row = np.repeat(np.arange(to - done), long)
@@ -435,10 +493,10 @@ class Finder:
     def hits(self, texts: list[np.ndarray]) -> list[tuple]:
         """(text, item, kind, item words, common words, start, end, answer, cosine), best per text and item."""
         best: dict[tuple[int, int], tuple] = {}
-        b, passages, of = self.candidates(texts)
-        begins, ends = self._bounds(b, passages, of)
-        for passage, i, low, high in zip(passages.tolist(), of.tolist(), begins.tolist(), ends.tolist()):
-            text = int(b.text_of[passage])
+        b, items, begins, ends, cosines = (self.bounded if self.exact else self.near)(texts)
+        for text, i, low, high, cosine in zip(
+            self._text_at(b, begins).tolist(), items.tolist(), begins.tolist(), ends.tolist(), cosines.tolist()
+        ):
             item, span = self.items.words[i], b.flat[low:high]
             low -= int(b.text_starts[text])
             length, end = common_subsequence(item, span)
@@ -453,31 +511,40 @@ class Finder:
                 kind = "paraphrase"
             else:
                 continue
-            if (text, i) not in best or length > best[text, i][0][4]:
-                best[text, i] = (text, i, kind, len(item), length, low + begin, low + end, answer), passage
-        return [(*found, self._cosine(b, passage, found[1])) for found, passage in best.values()]
+            found = (text, i, kind, len(item), length, low + begin, low + end, answer, round(cosine, 4))
+            if (text, i) not in best or (length, cosine) > (best[text, i][4], best[text, i][8]):
+                best[text, i] = found
+        return list(best.values())
+
+    @staticmethod
+    def _text_at(b: Blocks, places: np.ndarray) -> np.ndarray:
+        """The text that holds each place; empty texts hold none."""
+        full = np.flatnonzero(np.diff(np.append(b.text_starts, len(b.flat))))
+        return full[np.searchsorted(b.text_starts[full], places, "right") - 1]
 
     def _cosine(self, b: Blocks, passage: int, item: int) -> float:
-        """The largest to the item's passages."""
+        """The largest of a passage's cosines to the item's passages."""
         begin = int(b.text_starts[b.text_of[passage]] + b.block_in[passage] * HALF)
         end = min(begin + WINDOW, int(np.append(b.text_starts, len(b.flat))[b.text_of[passage] + 1]))
         words = b.flat[begin:end]
         row = _unit(self.latent[words[words > 0]].sum(axis=0)[None])[0]
-        return round(float((self.passages[self.item_of == item] @ row).max()), 4)
+        return float((self.passages[self.item_of == item] @ row).max())
 
 
 def find(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text",
+    item_text: str = "text", exact: bool = False,
 ) -> DataFrame:
-    """One row per document row and item that it holds: the two ids, kind (copy or
+    """One row per document row and item that it holds: the two ids (the document's of
+    whatever type it is, and under its own name), kind (copy or
     paraphrase), lengths in words, the place in words (signs alone don't count), whether the
-    answer is there, and the cosine that found it.
+    answer is there, and the cosine that found it.  ``exact`` looks at every passage that
+    could pass the final checks instead of those near an item in latent space.
 
     Null and empty texts and items hold nothing and are held by nothing.  Rows that
     repeat give repeated rows.  Other columns are not carried.
     """
-    rows = only(docs, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = only(docs, doc_id, text).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     asked = only(benchmark, item_id, item_text).select(
         F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")
     ).filter("item_id is not null and text is not null")
@@ -486,15 +553,16 @@ def find(
     found = None
     for part in range(parts):
         block = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        here = _find_block(rows, Items([(r["item_id"], r["text"]) for r in block]))
+        here = _find_block(rows, Items([(r["item_id"], r["text"]) for r in block]), exact)
         found = here if found is None else found.union(here)
-    return found
+    return found.withColumnRenamed("doc_id", doc_id)
 
 
-def _find_block(rows: DataFrame, items: Items) -> DataFrame:
+def _find_block(rows: DataFrame, items: Items, exact: bool) -> DataFrame:
     spark = rows.sparkSession
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {HITS}"
     if items.size == 1:
-        return spark.createDataFrame([], HITS)
+        return spark.createDataFrame([], schema)
     kind = "<u2" if items.size < 1 << 16 else "<u4"
     numbers = stored(numbered(rows, items))
     counts, passages = frequencies(numbers, items)
@@ -503,16 +571,16 @@ def _find_block(rows: DataFrame, items: Items) -> DataFrame:
     shared = spark.sparkContext.broadcast((items, idf, latent))
 
     def judge(batches):
-        finder = Finder(*shared.value)
+        finder = Finder(*shared.value, exact)
         for batch in _slices(batches):
-            ids = batch.column("doc_id").to_pylist()
+            ids = batch.column("doc_id")
             hits = finder.hits(_texts(batch, kind))
             if hits:
                 columns = list(zip(*hits))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([ids[t] for t in columns[0]], pa.int64()),
+                    ids.take(pa.array(columns[0], pa.int64())),
                     pa.array([items.ids[i] for i in columns[1]], pa.int64()),
-                    *(pa.array(c, f.type) for c, f in zip(columns[2:], list(HITS_ARROW)[2:])),
-                ], schema=HITS_ARROW)
+                    *(pa.array(c, f.type) for c, f in zip(columns[2:], list(HITS_ARROW)[1:])),
+                ], names=["doc_id", *HITS_ARROW.names])
 
-    return numbers.mapInArrow(judge, HITS)
+    return numbers.mapInArrow(judge, schema)

@@ -52,7 +52,8 @@ def parse(source: str) -> Page:
     """The page's block elements and texts.
 
     Inline elements belong to the block around them.  A new block of text begins where
-    a block element begins or ends.
+    a block element begins or ends.  Text that stands in no block element gets one of its
+    own, a body, for each stretch between block elements.
     """
     page = Page()
 
@@ -69,8 +70,21 @@ def parse(source: str) -> Page:
     stack: list[tuple[str, int]] = [("#root", root)]  # tag, block element
     links = 0
     block = 0
+    bare = (-1, -1)  # the last body made for bare text, and its block
     at, size = 0, len(source)
 
+    def said(text: str) -> None:
+        nonlocal bare
+        element = stack[-1][1]
+        if element == root:
+            if bare[1] != block:
+                if text.isspace():
+                    return
+                bare = opened("body", "", root), block
+                page.ends[bare[0]] = len(page.tags)
+            element = bare[0]
+        page.pieces.append((element, text, links > 0, block))
+
     def close_to(depth: int) -> None:
         nonlocal links, block
         while len(stack) > depth:
@@ -95,7 +109,7 @@ def parse(source: str) -> Page:
         less = source.find("<", at)
         text = source[at:less if less >= 0 else size]
         if text:
-            page.pieces.append((stack[-1][1], text, links > 0, block))
+            said(text)
         if less < 0:
             break
         follows = source[less + 1:less + 2]
@@ -112,7 +126,7 @@ def parse(source: str) -> Page:
             if follows == "/" and (end := source.find(">", less)) >= 0:
                 at = end + 1  # an end tag without a name
             else:
-                page.pieces.append((stack[-1][1], "<", links > 0, block))
+                said("<")
                 at = less + 1
             continue
         at = match.end()
@@ -124,7 +138,7 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag == "br":
-            page.pieces.append((stack[-1][1], " ", links > 0, block))
+            said(" ")
             continue
         if tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):

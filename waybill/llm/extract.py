@@ -60,6 +60,7 @@ GROUPS = [  # tags as features
 ]
 GROUP_OF = {t: i for i, g in enumerate(GROUPS) for t in g}
 N_GROUPS, N_ROLES = len(GROUPS) + 1, len(ROLES)
+MARKED = [GROUP_OF[t] for t in ("header", "footer", "nav", "aside", "form")] + list(range(N_GROUPS, N_GROUPS + N_ROLES))
 
 
 class Nodes:
@@ -118,6 +119,9 @@ class Nodes:
             text / np.maximum(parent_text, 1), np.log1p(paragraphs), position,
         ]).astype(np.float32)
         self.weight = np.log1p(own)
+        marks = np.maximum(both, above)
+        marks[:, N_GROUPS + list(ROLES).index("main")] = 0
+        self.plain = (own > 0) & (linked <= own / 2) & ~marks[:, MARKED].any(axis=1) & ~np.array(page.hidden)
 
 
 def _main_of(page: Page) -> np.ndarray | None:
@@ -306,6 +310,13 @@ def decide(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
     return state == 1
 
 
+def main_of(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
+    """The elements to take: those decided on, or where these have no text, as on a page of
+    bare text, all that is neither marked as something else nor mostly links."""
+    main = decide(nodes, odds)
+    return main if (main & (nodes.weight > 0)).any() else nodes.plain
+
+
 def text_of(page: Page, main: np.ndarray) -> str:
     """The main elements' texts: one line for each block that has any."""
     lines: list[str] = []
@@ -329,12 +340,13 @@ def texts(sources: list[str | None], trees: Trees | None) -> list[str]:
         return [text_of(p, ~np.array(p.hidden)) for p in pages]
     odds = trees.odds(np.concatenate([x.features for x in nodes])) if nodes else np.zeros(0)
     ends = np.cumsum([len(x.features) for x in nodes])
-    return [text_of(p, decide(x, odds[e - len(x.features):e])) for p, x, e in zip(pages, nodes, ends.tolist())]
+    return [text_of(p, main_of(x, odds[e - len(x.features):e])) for p, x, e in zip(pages, nodes, ends.tolist())]
 
 
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> Trees | None:
-    """The trees learnt from TRAIN_PAGES pages, in one task."""
-    sample = only(pages, page_id, html).filter(F.col(html).isNotNull()).orderBy(
+    """The trees learnt, in one task, from TRAIN_PAGES of the pages that have an article or
+    main element; None if no page has one."""
+    sample = only(pages, page_id, html).filter(F.col(html).rlike(r"(?i)<(article|main)[\s>/]")).orderBy(
         F.xxhash64(F.col(page_id), F.lit(SEED)), page_id, html
     ).limit(TRAIN_PAGES).select(F.col(page_id).alias("page_id"), F.col(html).alias("html"))
 
@@ -363,8 +375,14 @@ def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> Trees
 
 
 def extract(pages: DataFrame, trees: Trees | None, keep: list[str], html: str = "html", text: str = "text") -> DataFrame:
-    """Columns ``keep`` and the main text of each page; empty for null, empty and bare pages."""
+    """Columns ``keep`` and the main text of each page.
+
+    Null and empty pages have an empty text, and so have those of menus and the like
+    alone.  Rows that repeat stay; an empty table gives no rows.
+    """
     only(pages, *keep, html)
+    if text in keep:
+        raise ValueError(f"the table has a column {text} already")
     shared = pages.sparkSession.sparkContext.broadcast(trees)
     schema = T.StructType([*pages.select(*keep).schema.fields, T.StructField(text, T.StringType())])
     rows = pages.select(*keep, F.col(html).alias("page_source"))

@@ -113,10 +113,9 @@ WITH d AS (
          {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents
 ), tok AS MATERIALIZED (
-  SELECT r, coalesce(t, false) AS mine, unnest(w) AS w, unnest(list_prepend(' ', w[:-2])) AS v
+  SELECT r, coalesce(t, false) AS mine, unnest(list_append(w, ' ')) AS w, unnest(list_prepend(' ', w)) AS v
   FROM d WHERE len(w) > 0
 ), n AS (SELECT count(*) FILTER (mine) AS nt, count(*) FILTER (NOT mine) AS nb, count(DISTINCT w) AS vocabulary FROM tok),
-m AS (SELECT count(*) FILTER (coalesce(t, false)) AS ft, count(*) FILTER (NOT coalesce(t, false)) AS fb FROM d WHERE len(w) > 0),
 ow AS (SELECT r, w, count(*) AS c FROM tok GROUP BY ALL),
 o2 AS (SELECT r, v, w, count(*) AS c FROM tok GROUP BY ALL),
 cw AS (SELECT w, count(*) FILTER (mine) AS ct, count(*) FILTER (NOT mine) AS cb FROM tok GROUP BY w),
@@ -124,24 +123,23 @@ c2 AS (SELECT v, w, count(*) FILTER (mine) AS ct, count(*) FILTER (NOT mine) AS
 e AS (
   SELECT tok.r,
     cw.ct - CASE WHEN mine THEN ow.c ELSE 0 END AS wt, cw.cb - CASE WHEN mine THEN 0 ELSE ow.c END AS wb,
-    CASE WHEN tok.v = ' ' THEN ft ELSE cv.ct END - CASE WHEN NOT mine THEN 0 WHEN tok.v = ' ' THEN 1 ELSE ov.c END AS vt,
-    CASE WHEN tok.v = ' ' THEN fb ELSE cv.cb END - CASE WHEN mine THEN 0 WHEN tok.v = ' ' THEN 1 ELSE ov.c END AS vb,
+    cv.ct - CASE WHEN mine THEN ov.c ELSE 0 END AS vt, cv.cb - CASE WHEN mine THEN 0 ELSE ov.c END AS vb,
     c2.ct - CASE WHEN mine THEN o2.c ELSE 0 END AS bt, c2.cb - CASE WHEN mine THEN 0 ELSE o2.c END AS bb,
-    greatest(nt - CASE WHEN mine THEN len(d.w) ELSE 0 END, 1) AS nt,
-    greatest(nb - CASE WHEN mine THEN 0 ELSE len(d.w) END, 1) AS nb, vocabulary
-  FROM tok JOIN d USING (r) JOIN ow ON ow.r = tok.r AND ow.w = tok.w LEFT JOIN ow ov ON ov.r = tok.r AND ov.w = tok.v
+    greatest(nt - CASE WHEN mine THEN len(d.w) + 1 ELSE 0 END, 1) AS nt,
+    greatest(nb - CASE WHEN mine THEN 0 ELSE len(d.w) + 1 END, 1) AS nb, vocabulary
+  FROM tok JOIN d USING (r) JOIN ow ON ow.r = tok.r AND ow.w = tok.w JOIN ow ov ON ov.r = tok.r AND ov.w = tok.v
   JOIN o2 ON o2.r = tok.r AND o2.v = tok.v AND o2.w = tok.w
-  JOIN cw ON cw.w = tok.w LEFT JOIN cw cv ON cv.w = tok.v JOIN c2 ON c2.v = tok.v AND c2.w = tok.w, n, m
+  JOIN cw ON cw.w = tok.w JOIN cw cv ON cv.w = tok.v JOIN c2 ON c2.v = tok.v AND c2.w = tok.w, n
 ), loss AS (
   SELECT r,
     sum(round_even(-ln(0.6::DOUBLE * CASE WHEN vt > 0 THEN bt / vt ELSE wt / nt END + 0.3::DOUBLE * (wt / nt)
-      + 0.1::DOUBLE / (vocabulary + 1)) * 1000000, 0)::BIGINT)::BIGINT AS a,
+      + 0.1::DOUBLE / vocabulary) * 1000000, 0)::BIGINT)::BIGINT AS a,
     sum(round_even(-ln(0.6::DOUBLE * CASE WHEN vb > 0 THEN bb / vb ELSE wb / nb END + 0.3::DOUBLE * (wb / nb)
-      + 0.1::DOUBLE / (vocabulary + 1)) * 1000000, 0)::BIGINT)::BIGINT AS b
+      + 0.1::DOUBLE / vocabulary) * 1000000, 0)::BIGINT)::BIGINT AS b
   FROM e GROUP BY r
 )
-SELECT doc_id, coalesce(t, false) AS in_target, len(w)::BIGINT AS n_tokens, coalesce(a, 0) AS target_loss,
-       coalesce(b, 0) AS background_loss, (a - b)::DOUBLE / len(w) / 1000000 AS score
+SELECT doc_id, coalesce(t, false) AS in_target, CASE WHEN len(w) > 0 THEN len(w) + 1 ELSE 0 END::BIGINT AS n_tokens, coalesce(a, 0) AS target_loss,
+       coalesce(b, 0) AS background_loss, (a - b)::DOUBLE / (len(w) + 1) / 1000000 AS score
 FROM d LEFT JOIN loss USING (r)
 """
 

@@ -26,6 +26,7 @@ BUCKETS = 1 << BITS
 NGRAMS = (3, 4)
 DIMENSIONS = 16
 TRAIN_ROWS = 1500  # of each class: the bound of the training sample
+TRAIN_TEXT = 1 << 18  # bytes of a text in it
 EPOCHS = 10
 RATE = 2.0
 BATCH = 8
@@ -172,8 +173,10 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
     """The model learnt from the labelled rows that aren't held out.
 
-    At most TRAIN_ROWS rows of each class: those whose ids hash lowest.  Without rows
-    of both classes every text scores alike: near 1, or near 0 if all are of class 0.
+    At most TRAIN_ROWS ids of each class, those that hash lowest, one text each (of rows
+    that share an id the smallest text), and no text above TRAIN_TEXT bytes: this bounds
+    what the one training task holds.  Without rows of both classes, or in an empty
+    table, every text scores alike: near 1, or near 0 if all are of class 0.
     """
     known = only(labels, doc_id, label).select(
         F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")
@@ -183,6 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = [known.filter(F.col("label") == c).orderBy(mark, "id").limit(TRAIN_ROWS) for c in (0, 1)]
     sample = F.broadcast(chosen[0].union(chosen[1]))  # 2 * TRAIN_ROWS rows at most
     rows = only(docs, doc_id, text).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(sample, "id")
+    rows = rows.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_TEXT).groupBy("id", "label").agg(
+        F.min("text").alias("text")
+    )
 
     def learn(batches):
         ids, texts, marks = [], [], []

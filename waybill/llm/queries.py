@@ -48,9 +48,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return found.select(
         "doc_id",
-        of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), of(3).alias("n_random"),
+        of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
         F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
         secrets.as_text(F.col("spans")).alias("spans"),
+        of(3).alias("n_random"),
     )
 
 

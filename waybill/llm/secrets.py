@@ -90,8 +90,20 @@ COMMONNESS = [None] * len(ENCODINGS) + [_commonness(a) for _, _, a, _ in LETTERS
 SPAN = "struct<start:int,end:int,match:string,value:string>"
 
 
+BLOCK = 256  # matches put in place together
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """All matches with their places: what lies between them gives the distances."""
+    """All matches with their places: what lies between them gives the distances.
+
+    Places are sums of lengths, first within blocks of matches and then over blocks, as
+    an array that grows match by match would be copied each time.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     between = F.split(text, pattern, -1)
@@ -104,8 +116,28 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
         return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
 
     begin = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def blocks(rows: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda i: F.aggregate(F.slice(rows, i * BLOCK + 1, F.lit(BLOCK)), begin, step))
+
+    def together(made: Column) -> Column:
+        starts = F.aggregate(
+            made, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")),
+            lambda acc, block: F.struct(
+                (acc["pos"] + block["pos"]).alias("pos"), F.concat(acc["out"], F.array(acc["pos"])).alias("out")
+            ),
+            lambda acc: acc["out"],
+        )
+        return F.flatten(F.zip_with(made, starts, lambda block, start: F.transform(block["out"], lambda s: F.struct(
+            (s["start"] + start).alias("start"), (s["end"] + start).alias("end"),
+            s["match"].alias("match"), s["value"].alias("value"),
+        ))))
+
     # what follows the last match has no match beside it
-    return F.aggregate(F.filter(parts, lambda p: p["match"].isNotNull()), begin, step, lambda acc: acc["out"])
+    matched = F.filter(parts, lambda p: p["match"].isNotNull())
+    none = F.array().cast(f"array<{SPAN}>")
+    return _let(matched, lambda rows: F.when(F.size(rows) > 0, _let(blocks(rows), together)).otherwise(none))
 
 
 def _where(has: Column, spans: Column) -> Column:
@@ -233,7 +265,8 @@ def battery(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Per row of ``docs``: columns ``keep``, base and candidate spans.  One pass, nothing shuffled."""
+    """Per row of ``docs``: columns ``keep`` as kept_0, kept_1, ..., base and candidate
+    spans.  One pass, nothing shuffled."""
     only(docs, *keep, text)
     carried = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     rows = docs.select(*carried, F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -243,7 +276,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     access = _matches(t, ACCESS[:-1] + "{%d,}" % (ACCESS_LENGTH - 4))
     hexes = _matches(t, HEX[:-1] + "{%d,}" % HEX_LENGTH)
     return rows.select(
-        *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)),
+        *(f"kept_{i}" for i in range(len(keep))),
         *(
             F.transform(_where(has, spans), lambda s: F.struct(s["start"], s["end"])).alias(f"found_{kind}")
             for kind, has, spans in (
@@ -272,15 +305,40 @@ def limits(scanned: DataFrame, level: float = LEVEL) -> DataFrame:
     return ranked.filter(small).groupBy("encoding", "band").agg(F.min("step").alias("limit"))
 
 
+STRETCH = 4096  # characters of a text that are looked at together
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """Those of the spans that touch none of the others, which are first sorted into stretches."""
+    last = F.floor(F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0)) / STRETCH).cast("int")
+    stretches = F.transform(F.sequence(F.lit(0), last), lambda i: F.filter(
+        others, lambda o: (o["start"] < (i + 1) * STRETCH) & (o["end"] > i * STRETCH)
+    ))
+
+    def touches(lists: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / STRETCH).cast("int")
+        many = F.floor((s["end"] - 1) / STRETCH).cast("int") - first + 1
+        return F.exists(F.slice(lists, first + 1, many), lambda near: F.exists(
+            near, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])
+        ))
+
+    return F.when(F.size(spans) > 0, _let(stretches, lambda lists: F.filter(spans, lambda s: ~touches(lists, s)))).otherwise(spans)
+
+
 def find(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: float = LEVEL, keep: list[str] | None = None,
+    spans: str = "spans",
 ) -> DataFrame:
     """Per row: doc_id and ``spans``, an array of (start, kind, end, name) by start and kind.
 
     Random spans that touch a base span are left out.  Rows with a null id or text
-    stay (null texts are empty).  ``keep`` names the columns to carry instead of doc_id.
+    stay (null texts are empty), and so do rows that repeat; an empty table gives none.
+    ``keep`` names the columns to carry instead of doc_id, whatever they are called, but
+    for one named as ``spans`` says.
     """
     keep = [doc_id] if keep is None else keep
+    if spans in keep:
+        raise ValueError(f"the table has a column {spans} already")
     scanned = stored(scan(docs, keep, text))
     # bounded: encodings x length bands
     found = {(r["encoding"], r["band"]): r["limit"] for r in limits(scanned, level).collect()}
@@ -297,9 +355,13 @@ def find(
     held = F.filter("found_candidates", lambda c: c["step"] < F.coalesce(
         F.try_element_at(table, c["encoding"] * 1000 + c["band"]), F.lit(P_LOWEST + 1)
     ))
-    apart = F.filter(held, lambda c: ~F.exists("found_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    rows = scanned.withColumn("found_base", base)
-    return rows.select(*keep, F.array_sort(F.concat("found_base", listed(3, apart))).alias("spans"))
+    kept = [f"kept_{i}" for i in range(len(keep))]
+    rows = scanned.select(*kept, base.alias("found_base"), held.alias("found_held"))
+    apart = _apart(F.col("found_held"), F.col("found_base"))
+    return rows.select(
+        *(F.col(k).alias(c) for k, c in zip(kept, keep)),
+        F.array_sort(F.concat("found_base", listed(3, apart))).alias(spans),
+    )
 
 
 def as_text(spans: Column) -> Column:
@@ -308,14 +370,26 @@ def as_text(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every span replaced by ``mark``; overlapping spans become one mark."""
-    begin = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+    """``text`` with every span replaced by ``mark``; overlapping spans become one mark.
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["pos"]
-        kept = F.when(fresh, F.concat(F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))).otherwise("")
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], kept).alias("out"))
+    Every stretch of the text is masked by itself and then joined to the others.
+    """
+    def stretch(part: Column, i: Column) -> Column:
+        first = i * STRETCH
+        begin = F.struct(first.alias("pos"), F.lit("").alias("out"))
 
-    return F.aggregate(spans, begin, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["pos"] + 1, F.length(text) - acc["pos"]),
-    ))
+        def step(acc: Column, s: Column) -> Column:
+            fresh = s["start"] >= acc["pos"]
+            ahead = F.substring(part, acc["pos"] - first + 1, s["start"] - acc["pos"])
+            return F.struct(
+                F.greatest(acc["pos"], s["end"]).alias("pos"),
+                F.concat(acc["out"], F.when(fresh, F.concat(ahead, F.lit(mark))).otherwise("")).alias("out"),
+            )
+
+        here = F.filter(spans, lambda s: (s["start"] < first + STRETCH) & (s["end"] > first))
+        return F.aggregate(here, begin, step, lambda acc: F.concat(
+            acc["out"], F.substring(part, acc["pos"] - first + 1, F.greatest(first + STRETCH - acc["pos"], F.lit(0)))
+        ))
+
+    parts = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % STRETCH), F.lit(0))
+    return F.array_join(F.transform(parts, stretch), "")

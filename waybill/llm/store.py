@@ -45,3 +45,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.select(*names)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or one like it that none of the columns has, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -45,14 +45,21 @@ def _known(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def id_groups(docs: DataFrame, groups: int) -> DataFrame:
-    """``docs`` with g: ranges of doc_id with about equally many rows; null ids come first."""
+    """``docs`` with g: ranges of doc_id with about equally many rows.  Null ids, which
+    belong to no range, are dealt over all groups."""
     steps = [i / groups for i in range(1, groups)]
-    cuts = sorted(set(
-        docs.select(F.percentile_approx("doc_id", steps, max(10_000, 20 * groups)).alias("q")).first()["q"] or []
-    )) if steps else []
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>")
-    at = F.size(F.filter(edges, lambda c: c < F.col("doc_id")))
-    return docs.select(F.when(F.col("doc_id").isNull(), 0).otherwise(at).cast("int").alias("g"), "doc_id", "text")
+    found = docs.select(F.percentile_approx("doc_id", steps, max(10_000, 20 * groups)).alias("q")).first()["q"] if steps else None
+    cuts = np.unique(np.array(found or [], np.int64))
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(cuts, ids.to_numpy(zero_copy_only=False)), pa.int32())
+
+    any_group = F.pmod(F.xxhash64("text"), F.lit(groups)).cast("int")
+    known = F.col("doc_id").isNotNull()
+    return docs.select(
+        F.when(known, range_of(F.coalesce("doc_id", F.lit(0)))).otherwise(any_group).alias("g"), "doc_id", "text"
+    )
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -60,7 +67,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``kept`` joins the words that stay by one space.  Null texts have no words.  Rows
     with a null id neither lose words nor make others lose any; rows that share an id
-    don't make each other lose any.  Other columns are not carried.
+    don't make each other lose any, and meet in one task, which bounds how many there may
+    be.  An empty table gives no rows.  Other columns are not carried.
     """
     rows = only(docs, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     groups = exchange.groups_for(rows)

@@ -160,6 +160,31 @@ def _searched(k: int):
     return each
 
 
+LINE_ROWS = 16  # trees and blocks in one Arrow batch
+
+
+def _in_line(k: int):
+    """Rows by shard, each tree ahead of the blocks that are searched in it -> hits."""
+
+    def each(batches):
+        tree, place = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = row["shard"], row["dim"]
+                if row["block"] < 0:
+                    tree, place = _unpacked(row["asked"]), here
+                elif place == here:  # a shard may hold no vector of that length
+                    asked = _unpacked(row["asked"])
+                    found = search(tree, asked["ids"], asked["vectors"], k, asked["kth"])
+                    yield pa.RecordBatch.from_pydict({
+                        "query_id": pa.array(np.repeat(asked["ids"], [len(x) for x, _ in found]), pa.int64()),
+                        "vec_id": pa.array(np.concatenate([x for x, _ in found]), pa.int64()),
+                        "score": pa.array(np.concatenate([s for _, s in found]), pa.int64()),
+                    })
+
+    return each
+
+
 FOUND = "block int, dim int, asked binary, queries array<long>, ids array<long>, scores array<long>"
 
 
@@ -214,11 +239,14 @@ def nearest(
         "block", "dim", "asked"
     ).union(first.select("block", "dim", "asked"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
-    second = (
-        rest.select("block", "dim", "asked", F.explode(others).alias("shard")).join(trees, ["shard", "dim"])
-        .repartition(F.col("block"), F.col("shard")).select("block", "dim", "asked", "tree").mapInArrow(_searched(k), FOUND)
+    visits = rest.select(F.explode(others).alias("shard"), "dim", "block", "asked")
+    # a tree travels once: it stands ahead of all blocks that are searched in it
+    lined_up = trees.select("shard", "dim", F.lit(-1).alias("block"), F.col("tree").alias("asked")).unionByName(visits)
+    second = stored(
+        lined_up.repartition("shard", "dim").sortWithinPartitions("shard", "dim", "block")
+        .mapInArrow(_in_line(k), HITS), arrow_rows=LINE_ROWS,
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return _hits(first).union(_hits(second)).withColumn("rank", F.row_number().over(best)).filter(
+    return _hits(first).union(second).withColumn("rank", F.row_number().over(best)).filter(
         F.col("rank") <= k
     ).select("query_id", "rank", "vec_id", "score")
