@@ -389,3 +389,22 @@ def test_full_workflow(spark):
     assert sorted(kinds) == ["SHIPMENT_CREATED", "SHIPMENT_DELIVERED", "SHIPMENT_SCANNED", "SHIPMENT_SCANNED"]
     hourly = counts.delivery_counts(lifecycle.delivered_events(replayed)).collect()
     assert [tuple(r) for r in hourly] == [("Vienna", at(10), at(11), 1)]
+
+
+def test_early_requests_are_the_rejected_ones(spark):
+    """One join gives what the replay gives, nulls, blanks and repeated creates included."""
+    def at(minute):
+        return None if minute is None else datetime(2024, 1, 15, 10) + timedelta(minutes=minute)
+
+    creates = [("A", 5), ("A", 2), ("B", 7), ("C", None), ("C", 9), (None, 1)]
+    asked = [
+        (f"{s}-{m}", s, place, at(m))
+        for s in ("A", "B", "C", "D", " ", None) for m in (None, 0, 2, 7, 8) for place in ("Hub", " ", None)
+    ]
+    for extra in ([], [(" ", 3)]):
+        created = spark.createDataFrame([(s, "Berlin", at(m)) for s, m in creates + extra], "shipment_id string, destination string, created_at timestamp_ntz")
+        requests = spark.createDataFrame(asked, "request_id string, shipment_id string, location string, scanned_at timestamp_ntz")
+        slow = gate.scan_rejected(gate.scan_results(requests, created, ["request_id"]))
+        fast = gate.early_requests(requests, created)
+        assert fast.columns == slow.columns
+        assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect())) != []

@@ -97,6 +97,23 @@ def scan_rejected(results: DataFrame) -> DataFrame:
     )
 
 
+def early_requests(requests: DataFrame, created: DataFrame) -> DataFrame:
+    """What ``scan_rejected`` gives, from the requests and creates themselves: those that
+    come before a shipment's first create.  A minimum per shipment and one join, no replay."""
+    blank = text.is_blank("shipment_id")
+    nameless = blank if created.filter(blank).isEmpty() else F.lit(False)
+    fine = requests.filter(scan_error().isNull()).select("request_id", "shipment_id", "location", "scanned_at")
+    # a struct, as a create without a time comes first of all
+    first = created.filter(~nameless).groupBy("shipment_id").agg(F.min(F.struct("created_at")).alias("first"))
+    since = F.col("first.created_at")
+    known = F.col("first").isNotNull() & (since.isNull() | F.coalesce(F.col("scanned_at") >= since, F.lit(False)))
+    early = fine.filter(~nameless).join(first, "shipment_id", "left").filter(~known)
+    return early.select(*fine.columns).unionByName(fine.filter(nameless)).select(
+        "request_id", "shipment_id", "location",
+        F.concat(F.lit("Shipment with ID "), F.col("shipment_id"), F.lit(" not found.")).alias("error_message"),
+    )
+
+
 def scan_state(requests: DataFrame, created: DataFrame, order: list[str]) -> DataFrame:
     """The scanning side's view: in transit after any accepted scan, never delivered.
 

@@ -7,6 +7,7 @@ table to every task only after its size has been checked.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -198,16 +199,25 @@ def _chunked(rows: DataFrame, key: str, chunk: list[Column], pieces: int) -> Dat
     cuts = rows.groupBy(key).agg(
         F.percentile_approx(value, [i / pieces for i in range(1, pieces)], max(10_000, 20 * pieces)).alias("_cuts")
     )
-    met = rows.join(sized_broadcast(cuts), key, "left").withColumn("_at", value)
+    # the last cut of each block of them, so that a row looks at two short lists
+    step = max(1, math.isqrt(pieces))
+    last = F.filter("_cuts", lambda _, i: (i + 1) % step == 0)
+    met = rows.join(sized_broadcast(cuts.withColumn("_last", last)), key, "left").withColumn("_at", value)
+
+    def before(fits) -> Column:
+        """How many cuts, which are sorted, come before the first that doesn't fit."""
+        blocks = F.size(F.filter("_last", fits))
+        return blocks * step + F.size(F.filter(F.slice("_cuts", blocks * step + 1, F.lit(step)), fits))
+
     # a value that is a cut is a chunk of its own, between those on either side
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_at")))
-    upto = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
+    below = before(lambda c: c < F.col("_at"))
+    upto = before(lambda c: c <= F.col("_at"))
     full = upto - below > 1
     place = F.struct(
         F.when(F.col("_cuts").isNull(), 0).otherwise(below + upto).alias("c0"),
         *[F.when(full, c).alias(f"c{i}") for i, c in enumerate(chunk[1:], 1)],
     )
-    return met.withColumn("_chunk", place).drop("_cuts", "_at")
+    return met.withColumn("_chunk", place).drop("_cuts", "_last", "_at")
 
 
 def _split(

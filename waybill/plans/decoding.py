@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waybill import schemas as S
 from waybill.functions import times
 from waybill.operators import events, records
-from waybill.sources import decode, logs, tables
+from waybill.sources import decode, logs, stored, tables
 
 
 def decode_delivered(spark, sf_dir):
@@ -37,8 +37,16 @@ def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.unionByName(tables.delivered_records(spark, sf_dir).drop("event_id"))
 
 
+def _stored_records(spark, sf_dir) -> DataFrame:
+    """The records of three topics as a table, written once in a session."""
+    inputs = [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation", "events")]
+    return stored.once(
+        spark, "mixed-records", inputs, lambda folder: mixed_records(spark, sf_dir).write.parquet(folder)
+    )
+
+
 def decode_by_type(spark, sf_dir):
-    return decode.decode(mixed_records(spark, sf_dir)).select(
+    return decode.decode(_stored_records(spark, sf_dir)).select(
         "topic", "partition", "offset", "event_type", "shipment_id", "destination", "location",
         "created_at", "scanned_at", "delivered_at", "correlation_id",
     )

@@ -104,7 +104,7 @@ def scan_accepted(spark, sf_dir):
 
 
 def scan_rejected(spark, sf_dir):
-    return gate.scan_rejected(_results(spark, sf_dir))
+    return gate.early_requests(tables.scan_requests(spark, sf_dir), tables.recreated(spark, sf_dir))
 
 
 def scan_state(spark, sf_dir):
