@@ -60,6 +60,7 @@ def test_small_tables(spark):
         (3, 0, "user", "a b", "x"), (3, 0, "user", "a b", "x"), (4, 0, None, None, "x"), (5, 1, "", "", "x"),
         (-6, 0, "use", "ra b", "x"), (None, 0, "user", "a b", "x"), (7, 0, "user", "a\tb c  d", None),
         (8, 0, "user", "a b", "x"), (8, 1, "bot", "c", "x"), (9, 0, "b", "z", "x"), (9, 0, "a", "z", "x"), (9, 0, "a", "y", "x"),
+        (30, 0, "user", "word " * 100_000, "x"), (31, 0, "user", "word " * 100_000, "x"),
     ]
     assert of(spark, rows) == walked(rows)
     assert of(spark, [(None, 0, "user", "a", "x")]) == of(spark, []) == []

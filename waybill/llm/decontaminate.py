@@ -58,6 +58,8 @@ FIXED_POINT = 1 << 20  # sums of the sketch are whole numbers, so their order do
 CACHED = 300_000
 PLACES = 2_000_000  # words of candidates, or places of rarer words, held at once
 
+MEMBERS = 1 << 26  # bytes of a table of items by words
+
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 HITS = (
@@ -351,6 +353,10 @@ class Finder:
         # (item, word) pairs, and how often the item has the word
         pairs = np.concatenate([np.zeros(0, np.int64), *(i * len(idf) + w for i, w in enumerate(items.words))])
         self.held, self.times = np.unique(pairs, return_counts=True)
+        self.member = None
+        if len(sizes) * len(idf) <= MEMBERS:
+            self.member = np.zeros((len(sizes), len(idf)), bool)
+            self.member.reshape(-1)[self.held] = True
         if exact:
             self._list_rarer(sizes)
 
@@ -470,7 +476,8 @@ class Finder:
         )
 
     def _common(self, b: Blocks, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """How many of the item's words stand between begin and end, in whatever order."""
+        """How many of the item's words stand between begin and end, in whatever order; 0
+        may stand for too few."""
         out = np.zeros(len(item), np.int64)
         upto = np.cumsum(end - begin)
         done = 0
@@ -480,7 +487,13 @@ class Finder:
             row = np.repeat(np.arange(to - done), long)
             place = np.arange(len(row)) - np.repeat(np.cumsum(long) - long - begin[done:to], long)
             word = b.flat[place]
-            row, word = row[word > 0], word[word > 0]
+            if self.member is not None:  # where even with repeats there are too few, they needn't be counted once
+                row = row[inside := self.member[item[done:to][row], word]]
+                word = word[inside]
+                enough = np.bincount(row, minlength=to - done) >= self.least[item[done:to]]
+                row, word = row[enough[row]], word[enough[row]]
+            else:
+                row, word = row[word > 0], word[word > 0]
             pair = item[done:to][row] * len(self.idf) + word
             found = np.minimum(np.searchsorted(self.held, pair), len(self.held) - 1)
             is_held = self.held[found] == pair
