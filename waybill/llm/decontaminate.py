@@ -46,6 +46,7 @@ SHORT = 30  # words of an item that is held against half windows
 LONGEST = 60  # words of an item that is one passage
 COSINE = 0.35
 PASSAGES = 4096  # compared with all items at once
+BLOCKS = 8192  # summed at once
 RANK = 64
 EXTRA = 8  # random columns beyond the rank
 SEED = 11
@@ -160,23 +161,20 @@ class Blocks:
         self.known = np.flatnonzero(self.flat > 0)
         self.words = self.flat[self.known]
         first = np.cumsum(counts) - counts
-        self.block_of = (np.repeat(first, sizes) + place // unit)[self.known]
+        block = np.repeat(first, sizes) + place // unit
+        self.block_of = block[self.known]
+        self.grid = np.zeros((len(self.text_of), unit), np.int32)  # the words of each block, 0 behind its end
+        self.grid[block, place % unit] = self.flat
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
-        """Per block the sum of its words' ``rows``."""
-        out = np.zeros((len(self.text_of), rows.shape[1]), np.float32)
-        step = 200_000
-        cuts = [0]
-        while cuts[-1] < len(self.words):  # whole blocks at a time
-            end = min(cuts[-1] + step, len(self.words))
-            if end < len(self.words):
-                end = int(np.searchsorted(self.block_of, self.block_of[end], "left")) or end
-                end = end if end > cuts[-1] else int(np.searchsorted(self.block_of, self.block_of[cuts[-1]], "right"))
-            cuts.append(end)
-        for begin, end in zip(cuts[:-1], cuts[1:]):
-            blocks = self.block_of[begin:end]
-            first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
-            out[blocks[first]] = np.add.reduceat(rows[self.words[begin:end]], first, axis=0)
+        """Per block the sum of its words' ``rows``; row 0, for words outside the vocabulary, is zero."""
+        out = np.empty((len(self.text_of), rows.shape[1]), np.float32)
+        for begin in range(0, len(out), BLOCKS):
+            words = self.grid[begin:begin + BLOCKS]
+            part = rows[words[:, 0]]
+            for k in range(1, self.unit):
+                part += rows[words[:, k]]
+            out[begin:begin + BLOCKS] = part
         return out
 
     def of_passages(self, blocks: np.ndarray) -> np.ndarray:
