@@ -109,11 +109,11 @@ def _nodes(rows: DataFrame, convs: DataFrame) -> DataFrame:
     )
     # the root's children may be most of all nodes; they need no join
     deep = nodes.filter("depth > 1").join(above.filter("depth > 1"), ["depth", *ups])
-    top = nodes.filter("depth <= 1").crossJoin(F.broadcast(nodes.filter("depth = 0").select(F.col("conv_id").alias("r"))))
+    found = nodes.filter("depth = 0").select("conv_id").first()
+    least = F.lit(found["conv_id"] if found else None).cast("long")
+    top = nodes.filter("depth <= 1").withColumn("parent_conv_id", F.when(F.col("depth") == 1, least))
     names = ["depth", *LANES, "conv_id", "n_convs", "words", "parent_conv_id"]
-    return deep.select(*names).unionByName(
-        top.withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.col("r"))).select(*names)
-    )
+    return deep.select(*names).unionByName(top.select(*names))
 
 
 def _arcs(nodes: DataFrame) -> DataFrame:
