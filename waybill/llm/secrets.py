@@ -268,8 +268,8 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Per row of ``docs``: columns ``keep`` as kept_0, kept_1, ..., base and candidate
     spans.  One pass, nothing shuffled."""
     only(docs, *keep, text)
-    carried = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
-    rows = docs.select(*carried, F.coalesce(F.col(text), F.lit("")).alias("t"))
+    # renamed by place: any name may be a user's
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit(""))).toDF(*(f"kept_{i}" for i in range(len(keep))), "t")
     t = F.col("t")
     assign = F.filter(_matches(t, ASSIGN, 2), lambda s: F.length(s["value"]) >= ASSIGN_LENGTH)
     # runs of fixed classes: a too short one can't hide a longer one
@@ -358,10 +358,7 @@ def find(
     kept = [f"kept_{i}" for i in range(len(keep))]
     rows = scanned.select(*kept, base.alias("found_base"), held.alias("found_held"))
     apart = _apart(F.col("found_held"), F.col("found_base"))
-    return rows.select(
-        *(F.col(k).alias(c) for k, c in zip(kept, keep)),
-        F.array_sort(F.concat("found_base", listed(3, apart))).alias(spans),
-    )
+    return rows.select(*kept, F.array_sort(F.concat("found_base", listed(3, apart)))).toDF(*keep, spans)
 
 
 def as_text(spans: Column) -> Column:
