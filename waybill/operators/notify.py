@@ -24,19 +24,41 @@ def refused() -> Column:
     return F.col("value").isNotNull() & F.col("event_type").isin(*kinds) & text.is_empty(F.col("e.shipmentId"))
 
 
-def notifications(events: DataFrame) -> DataFrame:
-    """One notification per event (see operators.events) with a shipment id."""
+def usable(events: DataFrame) -> DataFrame:
+    """What notifications are made of: events (see operators.events) with a shipment id."""
     return events.filter(~text.is_empty("shipment_id")).select(
+        "event_type", "shipment_id", "destination", "location", F.col("event_at").alias("timestamp"), "record_id"
+    )
+
+
+def identified(rows: DataFrame, *also: str) -> DataFrame:
+    """Usable events under their notification's id; ``also`` names columns to keep."""
+    return rows.select(
         F.sha2("record_id", 256).alias("id"),
+        "event_type", "shipment_id", "destination", "location", "timestamp", *also,
+    )
+
+
+def worded(rows: DataFrame, *also: str) -> DataFrame:
+    """Notifications of identified events.  Their texts are longer than what they are
+    made of: whatever moves the rows is better done before."""
+    return rows.select(
+        "id",
         "shipment_id",
         by_type(*[F.lit(t) for t in S.NOTIFICATION_TYPES]).alias("type"),
         by_type(
             messages.created_message(), messages.scanned_message(), messages.delivered_message()
         ).alias("message"),
-        F.col("event_at").alias("timestamp"),
+        "timestamp",
+        *also,
     )
 
 
+def notifications(events: DataFrame) -> DataFrame:
+    """One notification per event with a shipment id."""
+    return worded(identified(usable(events)))
+
+
 def notification_by_id(notes: DataFrame, id_: str | None) -> DataFrame:
     """The id is trimmed; a missing one finds nothing."""
     wanted = (id_ or "").strip()

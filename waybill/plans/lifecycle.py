@@ -12,11 +12,16 @@ SHIPMENT = "42"
 
 
 def replayed(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
-    """All scans replayed, or those of one shipment, which are picked out first."""
-    scans = tables.scans(spark, sf_dir, shipment_id)
-    if shipment_id is not None:
-        return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), hot=NoHotKeys())
-    return lifecycle.replay(scans, tables.SCAN_ORDER, tables.scan_chunk(), keys=tables.scan_keys(spark, sf_dir))
+    """All scans replayed, or those of one shipment, which are picked out first.  Their
+    ids are made after the replay, so that they neither travel nor are sorted."""
+    scans = tables.bare_scans(spark, sf_dir, shipment_id)
+    one = shipment_id is not None
+    return tables.with_ids(
+        lifecycle.replay(
+            scans, tables.SCAN_ORDER, tables.scan_chunk(),
+            keys=None if one else tables.scan_keys(spark, sf_dir), hot=NoHotKeys() if one else None,
+        )
+    )
 
 
 def shipment_lifecycle(spark, sf_dir):

@@ -37,13 +37,16 @@ def _of_order(rows: DataFrame, column: str, shipment_id: str | None) -> DataFram
 
 
 def _orders_to(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
-    customers = (
-        table(spark, sf_dir, "customer")
+    """Orders with their customer, then its nation: the size of a bare table is known,
+    that of a join is taken for the product of its sides, which is never broadcast."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    orders = _of_order(table(spark, sf_dir, "orders"), "o_orderkey", shipment_id)
+    return (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_name", F.col("n_name").alias("destination"), "n_regionkey")
+        .withColumnRenamed("n_name", "destination")
+        .drop("c_nationkey", "n_nationkey")
     )
-    orders = _of_order(table(spark, sf_dir, "orders"), "o_orderkey", shipment_id)
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,13 +100,15 @@ def scan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("location"))
-    )
+    """Lines with their supplier, then its nation, see ``_orders_to``."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = _of_order(table(spark, sf_dir, "lineitem"), "l_orderkey", shipment_id)
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    return (
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_nations(spark, sf_dir).drop("n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .withColumnRenamed("n_name", "location")
+        .drop("s_nationkey", "n_nationkey")
+    )
 
 
 _SCAN_IDENTITY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -126,8 +131,9 @@ def _any_case(location: Column) -> Column:
     return F.when(F.col("l_partkey") % 2 == 0, F.lower(location)).otherwise(location)
 
 
-def scans(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
-    """Scanned events with the destination of their shipment; of all shipments or one.
+def bare_scans(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """Scanned events with the destination of their shipment, but without the ids that
+    ``with_ids`` makes of the rest; of all shipments or one.
 
     Joined on the shipment id itself, so that the join's partitioning serves
     whatever groups by shipment next.
@@ -138,13 +144,28 @@ def scans(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> D
     lines = _lines(spark, sf_dir, shipment_id).select(
         F.col("l_orderkey").cast("string").alias("shipment_id"),
         *_arrival(),
-        F.concat_ws("-", *_SCAN_IDENTITY).alias("correlation_id"),
-        F.concat_ws(":", F.lit(S.TOPIC_SCANNED), *_SCAN_IDENTITY).alias("record_id"),
         _any_case(F.col("location")).alias("location"),
     )
     return lines.join(destinations, "shipment_id")
 
 
+def with_ids(scans: DataFrame) -> DataFrame:
+    """Scans with ``correlation_id`` and ``record_id``, which take more room than the
+    columns they are made of: add them after whatever moves or sorts the scans."""
+    identity = ("shipment_id", "line", "part", "supplier")
+    return scans.select(
+        "*",
+        F.concat_ws("-", *identity).alias("correlation_id"),
+        F.concat_ws(":", F.lit(S.TOPIC_SCANNED), *identity).alias("record_id"),
+    )
+
+
+def scans(spark: SparkSession, sf_dir: str, shipment_id: str | None = None) -> DataFrame:
+    """Scanned events with ids and the destination of their shipment; of all shipments or one."""
+    rows = with_ids(bare_scans(spark, sf_dir, shipment_id))
+    return rows.select("shipment_id", *SCAN_ORDER, "correlation_id", "record_id", "location", "destination")
+
+
 def scan_chunk() -> list[Column]:
     return [F.col(c) for c in SCAN_CHUNK]
 
