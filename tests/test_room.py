@@ -1,9 +1,13 @@
 """What travels between tasks: numbers rather than texts, and each row once."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from waybill import schemas as S
+from waybill.operators import notify
 from waybill.plans import catalog
+from waybill.plans import notifications as plans
+from waybill.sources import stored, tables
 
 
 @pytest.fixture
@@ -63,3 +67,34 @@ def test_counts_make_no_ids_and_hold_no_delivery(spark, small_dir, name):
     text = plan(spark, small_dir, name)
     assert "concat_ws" not in text
     assert "last_value" not in text and "last(" not in text
+
+
+def test_the_table_by_shipment_is_written_once(spark, small_dir, monkeypatch):
+    def twice(rows):
+        raise AssertionError("written to learn its size")
+
+    monkeypatch.setattr(stored, "_made", {})
+    monkeypatch.setattr(stored, "materialise", twice)
+    table = plans._stored(spark, small_dir)
+    same(table.drop("buckets", "bucket"), plans.notifications(spark, small_dir))
+    assert all(".zstd." in f for f in table.inputFiles())
+
+
+def test_how_many_buckets_follows_the_rows(spark, small_dir, monkeypatch):
+    assert plans._buckets(spark, small_dir) == stored.FEWEST
+    monkeypatch.setattr(stored, "BUCKET_BYTES", 4096)
+    rows = tables.order_ids(spark, small_dir).count() + tables.scan_keys(spark, small_dir).count()
+    assert plans._buckets(spark, small_dir) == -(-rows * stored.NOTE_BYTES // 4096)
+
+
+def test_moved_rows_make_the_same_tables(spark, small_dir, tmp_path):
+    """Rows without a time too."""
+    rows = plans._usable(spark, small_dir).withColumn(
+        "timestamp", F.when(F.col("shipment_id").cast("bigint") % 5 != 0, F.col("timestamp"))
+    )
+    want = plans._made(rows)
+    stored.write_notifications(rows, str(tmp_path / "shipments"), 4, make=plans._made)
+    table = spark.read.parquet(str(tmp_path / "shipments"))
+    same(table.drop("buckets", "bucket"), want)
+    one = notify.notifications_for_shipment(stored.notifications_of(table, "42"), "42")
+    same(one, want.filter("shipment_id = '42'"))

@@ -63,11 +63,27 @@ def _inputs(sf_dir: str) -> list[str]:
     return [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer", "supplier", "nation")]
 
 
+def _usable(spark, sf_dir) -> DataFrame:
+    return notify.usable(all_events(spark, sf_dir))
+
+
+def _made(rows: DataFrame, *also: str) -> DataFrame:
+    return notify.worded(notify.identified(rows, *also), *also)
+
+
+def _buckets(spark, sf_dir) -> int:
+    """By the number of orders and scans, which the files' footers tell; deliveries are few."""
+    rows = tables.order_ids(spark, sf_dir).count() + tables.scan_keys(spark, sf_dir).count()
+    return stored.buckets_of(rows * stored.NOTE_BYTES)
+
+
 def _stored(spark, sf_dir) -> DataFrame:
     """All notifications as a table by shipment, made once in a session."""
     return stored.once(
         spark, "notifications", _inputs(sf_dir),
-        lambda folder: stored.write_notifications(notifications(spark, sf_dir), folder),
+        lambda folder: stored.write_notifications(
+            _usable(spark, sf_dir), folder, _buckets(spark, sf_dir), make=_made
+        ),
     )
 
 

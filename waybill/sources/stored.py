@@ -19,6 +19,8 @@ from waybill.session import materialise, size_in_bytes, temporary_folder
 
 BUCKET_BYTES = 64 << 20
 FEWEST = 16
+# a stored notification, most of which is its id
+NOTE_BYTES = 48
 _made: dict[tuple, str] = {}
 
 
@@ -58,24 +60,40 @@ def counts_of_days(counts: DataFrame, start: datetime, end: datetime) -> DataFra
     return counts.filter(day.between(F.lit(start.date()), F.lit(end.date()))).drop("day")
 
 
+def buckets_of(size: int) -> int:
+    """Of BUCKET_BYTES each."""
+    return max(FEWEST, -(-size // BUCKET_BYTES))
+
+
 def buckets_for(rows: DataFrame) -> int:
-    """Of BUCKET_BYTES each, by the optimizer's size; exact for stored rows."""
-    return max(FEWEST, -(-size_in_bytes(rows) // BUCKET_BYTES))
+    """By the optimizer's size; exact for stored rows."""
+    return buckets_of(size_in_bytes(rows))
+
 
+def _unchanged(rows: DataFrame, *also: str) -> DataFrame:
+    return rows
 
-def write_notifications(notes: DataFrame, folder: str, buckets: int | None = None) -> None:
+
+def write_notifications(
+    rows: DataFrame, folder: str, buckets: int | None = None, make: Callable[..., DataFrame] = _unchanged
+) -> None:
     """Notifications in one folder for each bucket of shipments, sorted by shipment, so
     that a shipment's are in few pages of one folder, with a Bloom filter on the id for
-    each row group.  A bucket with more rows than a task should write is split by size."""
+    each row group.  A bucket with more rows than a task should write is split by size.
+
+    ``rows`` are notifications, or shorter rows with their ``shipment_id`` and
+    ``timestamp`` that are moved and sorted in their stead; ``make(rows, "bucket")``
+    gives the notifications, and the bucket beside them.  Without a number of
+    ``buckets`` the rows are written once more, to learn their size.
+    """
     if buckets is None:
-        notes = materialise(notes)
-        buckets = buckets_for(notes)
-    placed = notes.withColumn("buckets", F.lit(buckets)).withColumn(
-        "bucket", F.pmod(F.xxhash64("shipment_id"), F.lit(buckets)).cast("int")
-    )
-    placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "shipment_id", "timestamp").write.option(
-        "parquet.bloom.filter.enabled#id", "true"
-    ).partitionBy("buckets", "bucket").parquet(folder)
+        rows = materialise(rows)
+        buckets = buckets_for(rows)
+    placed = rows.withColumn("bucket", F.pmod(F.xxhash64("shipment_id"), F.lit(buckets)).cast("int"))
+    sorted_ = placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "shipment_id", "timestamp")
+    make(sorted_, "bucket").write.option("parquet.bloom.filter.enabled#id", "true").option(
+        "compression", "zstd"
+    ).partitionBy("bucket").parquet(f"{folder}/buckets={buckets}")
 
 
 def notifications_of(notes: DataFrame, shipment_id: str) -> DataFrame:
