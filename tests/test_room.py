@@ -87,6 +87,18 @@ def test_how_many_buckets_follows_the_rows(spark, small_dir, monkeypatch):
     assert plans._buckets(spark, small_dir) == -(-rows * stored.NOTE_BYTES // 4096)
 
 
+def test_the_table_by_day_needs_no_other(spark, small_dir, monkeypatch):
+    def other(*_):
+        raise AssertionError("shuffled texts")
+
+    monkeypatch.setattr(stored, "_made", {})
+    monkeypatch.setattr(plans, "_stored", other)
+    same(
+        plans.recent_notifications_stored(spark, small_dir),
+        notify.recent_notifications(plans.notifications(spark, small_dir)),
+    )
+
+
 def test_moved_rows_make_the_same_tables(spark, small_dir, tmp_path):
     """Rows without a time too."""
     rows = plans._usable(spark, small_dir).withColumn(
@@ -98,3 +110,5 @@ def test_moved_rows_make_the_same_tables(spark, small_dir, tmp_path):
     same(table.drop("buckets", "bucket"), want)
     one = notify.notifications_for_shipment(stored.notifications_of(table, "42"), "42")
     same(one, want.filter("shipment_id = '42'"))
+    stored.write_by_day(rows, str(tmp_path / "days"), make=plans._made)
+    same(spark.read.parquet(str(tmp_path / "days")).drop("day"), want)

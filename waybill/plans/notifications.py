@@ -109,7 +109,7 @@ def recent_notifications_stored(spark, sf_dir):
     """Of the newest days alone."""
     by_day = stored.once(
         spark, "notifications-by-day", _inputs(sf_dir),
-        lambda folder: stored.write_by_day(_stored(spark, sf_dir).drop("buckets", "bucket"), folder),
+        lambda folder: stored.write_by_day(_usable(spark, sf_dir), folder, make=_made),
     )
     return notify.recent_notifications(stored.newest_days(by_day, notify.LATEST))
 

@@ -102,10 +102,13 @@ def notifications_of(notes: DataFrame, shipment_id: str) -> DataFrame:
     return notes.filter(F.col("bucket") == wanted).drop("buckets", "bucket")
 
 
-def write_by_day(notes: DataFrame, folder: str) -> None:
-    """Notifications in one folder a day; a busy day is split by size."""
-    dated = notes.withColumn("day", F.col("timestamp").cast("date"))
-    dated.hint("rebalance", "day").write.partitionBy("day").parquet(folder)
+def write_by_day(rows: DataFrame, folder: str, make: Callable[..., DataFrame] = _unchanged) -> None:
+    """Notifications in one folder a day; a busy day is split by size.  ``rows`` and
+    ``make`` as in ``write_notifications``."""
+    dated = rows.withColumn("day", F.col("timestamp").cast("date"))
+    make(dated.hint("rebalance", "day").sortWithinPartitions("day"), "day").write.option(
+        "compression", "zstd"
+    ).partitionBy("day").parquet(folder)
 
 
 def newest_days(notes: DataFrame, rows: int) -> DataFrame:
