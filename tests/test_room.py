@@ -112,3 +112,37 @@ def test_moved_rows_make_the_same_tables(spark, small_dir, tmp_path):
     same(one, want.filter("shipment_id = '42'"))
     stored.write_by_day(rows, str(tmp_path / "days"), make=plans._made)
     same(spark.read.parquet(str(tmp_path / "days")).drop("day"), want)
+
+
+HASH = "0123456789abcdef" * 4
+ODD = [HASH, HASH.upper(), HASH[1:], HASH + "0", HASH + "\n", "00" + HASH, "x", "é", "\x00", "\x01", "", "0" * 64, " ", None]
+
+
+def test_packed_ids_differ_as_ids_do(spark):
+    rows = spark.createDataFrame([(i,) for i in ODD], "id string")
+    packed = rows.select("id", notify._packed(F.col("id")).alias("k"))
+    assert {r["id"]: r["back"] for r in packed.select("id", notify._unpacked(F.col("k")).alias("back")).collect()} == {i: i for i in ODD}
+    assert packed.filter("k IS NOT NULL").select("k").distinct().count() == len(ODD) - 1
+    assert packed.filter(F.col("id") == HASH).select(F.octet_length("k")).first()[0] == 33
+
+
+def test_deletions_by_any_id(spark, unbroadcast):
+    """Notifications without an id stay; ids come back as they were, twice if they were."""
+    notes = spark.createDataFrame([(n, i) for n, i in enumerate([*ODD, "x"])], "n int, id string")
+    gone = spark.createDataFrame([(1, f" {HASH}"), (2, "x"), (3, "missing"), (4, None), (5, " "), (6, HASH.upper()), (7, "x ")], "request_id int, id string")
+    kept = notify.delete_notifications(notes, gone)
+    assert kept.columns == ["n", "id"]
+    assert sorted(map(tuple, kept.collect())) == sorted((n, i) for n, i in enumerate([*ODD, "x"]) if i not in (HASH, "x", HASH.upper()))
+    assert tuple(notify.deletion_counts(notes, gone).first()) == (4, len(ODD) + 1 - 4)
+    answers = {r["request_id"]: r["success"] for r in notify.deletion_results(notes, gone).collect()}
+    assert answers == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True, 7: False}
+
+
+@pytest.mark.parametrize("name, join", [("deletion_results", "LeftSemi"), ("deletion_counts", "LeftOuter")])
+def test_ids_travel_packed(spark, small_dir, unbroadcast, name, join):
+    """And texts not at all."""
+    text = plan(spark, small_dir, name)
+    line = next(line for line in text.split("\n") if join in line)
+    assert "wanted" in line
+    side = below(text, join)
+    assert "unhex" in side and "has been" not in side

@@ -116,14 +116,37 @@ def notification_validation(notes: DataFrame, absent=None) -> DataFrame:
     return notes.select("id", notification_error(absent=absent).alias("error_message"))
 
 
+# First byte of a packed id, and the ids that are digits of a hash.
+_HASH, _OTHER = "00", "01"
+_HASH_SHAPE = r"\A[0-9a-f]{64}\z"
+
+
+def _packed(id_: Column) -> Column:
+    """An id as bytes, half as many where it is a hash in hexadecimal digits, as the ids
+    of notifications are; different ids stay different."""
+    return F.when(id_.rlike(_HASH_SHAPE), F.unhex(F.concat(F.lit(_HASH), id_))).otherwise(
+        F.concat(F.unhex(F.lit(_OTHER)), id_.cast("binary"))
+    )
+
+
+def _unpacked(key: Column) -> Column:
+    rest = F.substring(key, 2, 2_147_483_647)
+    is_hash = F.substring(key, 1, 1) == F.unhex(F.lit(_HASH))
+    return F.when(is_hash, F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def _ids(deletions: DataFrame) -> DataFrame:
-    """Trimmed ids to delete, each once."""
-    return deletions.select(text.trimmed("id").alias("id")).filter("id <> ''").distinct()
+    """Trimmed ids to delete, each once, packed as ``wanted``."""
+    trimmed = deletions.select(text.trimmed("id").alias("id")).filter("id <> ''")
+    return trimmed.select(_packed(F.col("id")).alias("wanted")).distinct()
 
 
 def delete_notifications(notes: DataFrame, deletions: DataFrame) -> DataFrame:
-    """Notifications whose id is not among the (trimmed) ids to delete."""
-    return notes.join(_ids(deletions), "id", "left_anti")
+    """Notifications, or what they are made of, whose id is not among the (trimmed) ids
+    to delete."""
+    others = [c for c in notes.columns if c != "id"]
+    kept = notes.select(_packed(F.col("id")).alias("wanted"), *others).join(_ids(deletions), "wanted", "left_anti")
+    return kept.withColumn("id", _unpacked(F.col("wanted"))).select(*notes.columns)
 
 
 def deletion_results(notes: DataFrame, deletions: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -135,12 +158,12 @@ def deletion_results(notes: DataFrame, deletions: DataFrame, order: list[str] |
     one id is first is settled by a minimum per id; requests without an id take no part.
     """
     order = order or ["request_id"]
-    asked = deletions.withColumn("wanted", text.trimmed("id"))
+    asked = deletions.withColumn("wanted", _packed(text.trimmed("id")))
     blank = text.is_empty("id")
     named = asked.filter(~blank)
     first = sized_broadcast(named.groupBy("wanted").agg(F.min(F.struct(*order)).alias("first")))
     present = (
-        notes.select(F.col("id").alias("wanted"))
+        notes.select(_packed(F.col("id")).alias("wanted"))
         .join(first, "wanted", "left_semi").distinct().withColumn("found", F.lit(True))
     )
     known = first.join(present, "wanted", "left")
@@ -163,7 +186,7 @@ def deletion_counts(notes: DataFrame, deletions: DataFrame | None = None) -> Dat
         marked = notes.select(F.lit(1).alias("gone"))
     else:
         ids = _ids(deletions).withColumn("gone", F.lit(1))
-        marked = notes.select("id").join(ids, "id", "left")
+        marked = notes.select(_packed(F.col("id")).alias("wanted")).join(ids, "wanted", "left")
     return marked.agg(
         F.count(F.col("gone")).alias("deleted_count"),
         F.count_if(F.col("gone").isNull()).alias("remaining_count"),
