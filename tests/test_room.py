@@ -138,7 +138,7 @@ def test_deletions_by_any_id(spark, unbroadcast):
     assert answers == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True, 7: False}
 
 
-@pytest.mark.parametrize("name, join", [("deletion_results", "LeftSemi"), ("deletion_counts", "LeftOuter")])
+@pytest.mark.parametrize("name, join", [("deletion_results", "LeftSemi"), ("deletion_counts", "LeftOuter"), ("delete_notifications", "LeftAnti")])
 def test_ids_travel_packed(spark, small_dir, unbroadcast, name, join):
     """And texts not at all."""
     text = plan(spark, small_dir, name)

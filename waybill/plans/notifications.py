@@ -168,7 +168,9 @@ def _deletions(spark, sf_dir):
 
 
 def delete_notifications(spark, sf_dir):
-    return notify.delete_notifications(notifications(spark, sf_dir), _deletions(spark, sf_dir))
+    """Deleted by id before the texts are made."""
+    identified = notify.identified(_usable(spark, sf_dir))
+    return notify.worded(notify.delete_notifications(identified, _deletions(spark, sf_dir)))
 
 
 def deletion_results(spark, sf_dir):
