@@ -46,7 +46,7 @@ def below(text, operator):
 def test_scans_are_shuffled_once_where_suppliers_are_small(spark, small_dir, name):
     """Each small table is below the limit; the size guessed for a join of two isn't."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10KB")
     try:
         text = plan(spark, small_dir, name)
     finally:
@@ -131,8 +131,8 @@ def test_deletions_by_any_id(spark, unbroadcast):
     notes = spark.createDataFrame([(n, i) for n, i in enumerate([*ODD, "x"])], "n int, id string")
     gone = spark.createDataFrame([(1, f" {HASH}"), (2, "x"), (3, "missing"), (4, None), (5, " "), (6, HASH.upper()), (7, "x ")], "request_id int, id string")
     kept = notify.delete_notifications(notes, gone)
-    assert kept.columns == ["n", "id"]
-    assert sorted(map(tuple, kept.collect())) == sorted((n, i) for n, i in enumerate([*ODD, "x"]) if i not in (HASH, "x", HASH.upper()))
+    assert kept.columns == ["id", "n"]
+    assert sorted((r["n"], r["id"]) for r in kept.collect()) == sorted((n, i) for n, i in enumerate([*ODD, "x"]) if i not in (HASH, "x", HASH.upper()))
     assert tuple(notify.deletion_counts(notes, gone).first()) == (4, len(ODD) + 1 - 4)
     answers = {r["request_id"]: r["success"] for r in notify.deletion_results(notes, gone).collect()}
     assert answers == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True, 7: False}

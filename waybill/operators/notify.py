@@ -146,7 +146,7 @@ def delete_notifications(notes: DataFrame, deletions: DataFrame) -> DataFrame:
     to delete."""
     others = [c for c in notes.columns if c != "id"]
     kept = notes.select(_packed(F.col("id")).alias("wanted"), *others).join(_ids(deletions), "wanted", "left_anti")
-    return kept.withColumn("id", _unpacked(F.col("wanted"))).select(*notes.columns)
+    return kept.select(_unpacked(F.col("wanted")).alias("id"), *others)
 
 
 def deletion_results(notes: DataFrame, deletions: DataFrame, order: list[str] | None = None) -> DataFrame:
